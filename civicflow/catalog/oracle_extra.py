@@ -3,9 +3,109 @@
 from __future__ import annotations
 
 
+from civicflow.catalog.oracle import SRProducts, title
+
+CUT = "timestamp '1998-01-01 00:00:00'"
+RUN1, RUN2, PROBE = "timestamp '2024-03-01 00:00:00'", "timestamp '2024-03-02 00:00:00'", "timestamp '2024-03-01 12:00:00'"
+
+
+def _snapshot(key: str, cols: list[str], src1: str, src2: str) -> str:
+    """Two check-strategy snapshot runs, in plain SQL."""
+    c = ", ".join(cols)
+    changed = " or ".join(f"o.{x} is distinct from s.{x}" for x in cols)
+    scd = lambda k, ts: f"md5(coalesce(cast({k} as varchar), '') || '|' || coalesce(cast({ts} as varchar), ''))"
+    return f"""with s1 as ({src1}), s2 as ({src2}),
+h1 as (select {key}, {c}, {scd(key, RUN1)} as scd_id, {RUN1} as updated_at, {RUN1} as valid_from,
+         cast(null as timestamp) as valid_to from s1),
+j as (select o.{key} as okey, s.{key} as skey, ({changed}) as chg from h1 o full join s2 s on o.{key} = s.{key}),
+old as (select h1.{key}, {", ".join("h1." + x for x in cols)}, h1.scd_id, h1.updated_at, h1.valid_from,
+          case when j.chg and j.skey is not null then {RUN2} end as valid_to
+        from h1 join j on h1.{key} = j.okey),
+fresh as (select s2.{key}, {", ".join("s2." + x for x in cols)}, {scd("s2." + key, RUN2)} as scd_id,
+            {RUN2} as updated_at, {RUN2} as valid_from, cast(null as timestamp) as valid_to
+          from s2 join j on s2.{key} = j.skey where j.okey is null or j.chg)
+select * from old union all select * from fresh"""
+
+
+def _history_input(sr: str) -> str:
+    return f"""select complaint_id, status, closed_at, resolution_description, resolution_updated_at, agency_code
+from (select unique_key as complaint_id, status, try_cast(closed_date as timestamp) as closed_at,
+        cast(null as varchar) as resolution_description, cast(null as timestamp) as resolution_updated_at,
+        agency as agency_code,
+        row_number() over (partition by unique_key order by filename desc nulls last, extracted_at desc) as rn
+      from {sr} s where unique_key is not null) x where rn = 1"""
+
+
 def extra(full) -> dict[str, str]:
     fact, db, dt = full.fact, full.dim_b, full.dim_t
+    drop1 = SRProducts("extracted_at = timestamp '2024-02-01 05:00:00'")
+    orders_target = f"select * from orders where o_orderdate < {CUT}"
+    orders_src = f"""select * from orders where o_orderdate >= {CUT}
+        union all select o_orderkey, o_custkey, 'R', o_totalprice, o_orderdate, o_orderpriority
+        from orders where o_orderdate < {CUT} and o_orderkey % 7 = 0"""
+    cust2 = """select c_custkey, c_name, case when c_custkey % 10 = 0 then c_acctbal + 1 else c_acctbal end as c_acctbal,
+        c_mktsegment from customer where c_custkey % 17 <> 0
+        union all select c_custkey + 1000000, c_name, c_acctbal, c_mktsegment from customer where c_custkey % 50 = 0"""
+    cust_hist = _snapshot("c_custkey", ["c_name", "c_acctbal", "c_mktsegment"],
+                          "select c_custkey, c_name, c_acctbal, c_mktsegment from customer", cust2)
     return {
+        "w1_latest_lineitem": """select * exclude (rn) from (select *, row_number() over (
+    partition by l_orderkey, l_linenumber order by l_shipdate desc nulls first, l_partkey, l_suppkey, l_quantity,
+    l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) as rn from lineitem) x where rn = 1""",
+        "w2_latest_event_per_user": """select user_id, event_id, ts, event_type from (select *, row_number() over (
+    partition by user_id order by ts desc nulls last, event_id desc) as rn from events) x where rn = 1""",
+        "j8_order_orphans": """select o_orderkey, o_custkey from orders o where o_custkey is not null
+    and not exists (select 1 from customer c where c.c_custkey = o.o_custkey)""",
+        "j8_customers_without_orders": """select c_custkey, c_name from customer c where c_custkey is not null
+    and not exists (select 1 from orders o where o.o_custkey = c.c_custkey)""",
+        "j5_orders_by_region": """select r.r_name, n.n_name, count(*) as orders,
+    cast(sum(cast(o.o_totalprice as decimal(18,2))) as decimal(28,2)) as total_price
+from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
+     join region r on n.n_regionkey = r.r_regionkey group by r.r_name, n.n_name""",
+        "x14_order_ship_durations": """select l.l_orderkey, l.l_linenumber, l.l_partkey,
+    case when l.l_shipdate is not null and l.l_shipdate >= o.o_orderdate
+         then cast(date_diff('hour', o.o_orderdate, l.l_shipdate) as integer) end as hours_to_ship,
+    case when l.l_shipdate is not null and l.l_shipdate >= o.o_orderdate
+         then cast(date_diff('day', o.o_orderdate, l.l_shipdate) as integer) end as days_to_ship
+from lineitem l join orders o on l.l_orderkey = o.o_orderkey""",
+        "a4_quantity_percentiles": """select l_returnflag, quantile_cont(l_quantity, 0.5) as p50_quantity,
+    quantile_cont(l_quantity, 0.9) as p90_quantity, max(l_quantity) as max_quantity, count(*) as lines
+from lineitem group by l_returnflag""",
+        "a4_event_value_percentiles": """select event_type, round(quantile_cont(value, 0.5), 6) as p50_value,
+    round(quantile_cont(value, 0.9), 6) as p90_value from events group by event_type""",
+        "a11_duplicate_line_keys": """select l_orderkey, l_linenumber, count(*) as copies from lineitem
+group by l_orderkey, l_linenumber having count(*) > 1""",
+        "x6_title_case_parts": f"""select p_partkey, {title("upper(p_name)")} as name_title,
+    {title("concat_ws('/', p_type, p_brand)")} as type_title from part""",
+        "x19_order_keys": """select o_orderkey,
+    md5(coalesce(cast(o_orderkey as varchar), '_dbt_utils_surrogate_key_null_')) as order_sk,
+    md5(coalesce(cast(o_orderkey as varchar), '_dbt_utils_surrogate_key_null_') || '-' ||
+        coalesce(cast(case when o_custkey % 5 <> 0 then o_custkey end as varchar), '_dbt_utils_surrogate_key_null_'))
+        as order_customer_sk
+from orders""",
+        "s6_events_page": """select event_id, ts, event_type from events order by ts desc, event_id
+limit 1000 offset 1000""",
+        "s6_events_paged": """select event_id, rank, cast((rank - 1) // 1000 * 1000 as bigint) as batch_offset
+from (select event_id, cast(row_number() over (order by ts desc, event_id) as integer) as rank from events) x
+where rank <= 10000""",
+        "i1_orders_since_mark": f"""select o_orderkey, o_orderdate from orders where o_orderdate >
+    (select coalesce(max(o_orderdate), timestamp '1900-01-01') from orders where o_orderdate < {CUT})""",
+        "i2_orders_merge": f"""with t as ({orders_target}), s as ({orders_src})
+select * from t where o_orderkey not in (select o_orderkey from s) union all select * from s""",
+        "i3_orders_evolve": f"""with t as ({orders_target}), s as ({orders_src})
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       cast(null as varchar) as o_note from t where o_orderkey not in (select o_orderkey from s)
+union all select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, cast(null as varchar),
+       'n' || cast(o_orderkey as varchar) from s""",
+        "i4_customer_history": cust_hist,
+        "i7_customer_as_of": f"""select * from ({cust_hist}) h where valid_from <= {PROBE}
+    and (valid_to is null or valid_to > {PROBE})""",
+        "p8_request_history": _snapshot(
+            "complaint_id", ["status", "closed_at", "resolution_description", "resolution_updated_at", "agency_code"],
+            _history_input(drop1.sr), _history_input(full.sr)),
+        "i2_fact_incremental": f"""with f1 as ({drop1.fact}),
+inc as ({full.fact_rows("extracted_at > (select coalesce(max(extracted_at), timestamp '1900-01-01') from (" + drop1.fact + ") z)")})
+select * from f1 where complaint_id not in (select complaint_id from inc) union all select * from inc""",
         "p9_requests_per_100k": f"""with f as ({fact}), b as ({db})
 select b.borough_name, b.population_2020, count(*) as total_complaints,
   cast(cast((2 * count(*) * 10000000 + cast(b.population_2020 as bigint)) // (2 * cast(b.population_2020 as bigint))
