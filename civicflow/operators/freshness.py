@@ -10,10 +10,12 @@ from civicflow.fixed_values import FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS
 
 def freshness(df: DataFrame, loaded_at: str, as_of: str, warn_hours: int = FRESHNESS_WARN_HOURS,
               error_hours: int = FRESHNESS_ERROR_HOURS) -> DataFrame:
-    """One row: newest load time, its age in whole seconds/hours, and pass / warn / error."""
+    """One row: newest load time, its age in seconds (second boundaries crossed,
+    as the warehouse's ``datediff(second, ...)``), and pass / warn / error."""
     now = F.lit(as_of).cast("timestamp_ntz")
     mx = df.agg(F.max(loaded_at).alias("max_loaded_at"))
-    age_s = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / 1_000_000
+    secs = lambda c: F.floor(F.unix_micros(c.cast("timestamp")) / 1_000_000)
+    age_s = secs(now) - secs(F.col("max_loaded_at"))
     return mx.select(
         "max_loaded_at",
         age_s.cast("long").alias("age_seconds"),
