@@ -278,6 +278,7 @@ def _registry() -> dict[str, str]:
         "p7_daily_summary": full.daily_summary,
     }
     out.update(oracle_extra.extra(full))
+    out.update(oracle_extra.io_extra(full))
     from civicflow.catalog import oracle_checks
     out.update(oracle_checks.extra(full))
     return out

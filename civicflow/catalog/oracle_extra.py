@@ -126,3 +126,18 @@ select cast(date_trunc('month', created_date) as date) as month,
             // (2 * cast(sum(total_complaints) as bigint)) as decimal(18,1)) * 0.1 as decimal(10,1)) as pct_resolved
 from s group by 1""",
     }
+
+
+def io_extra(full) -> dict[str, str]:
+    parsed = f"""select unique_key as complaint_id, try_cast(created_date as timestamp) as created_at,
+  try_cast(closed_date as timestamp) as closed_at, agency as agency_code, complaint_type, status, incident_zip,
+  borough, try_cast(latitude as decimal(18,12)) as latitude, try_cast(longitude as decimal(18,12)) as longitude,
+  open_data_channel_type as submission_channel, extracted_at, substr(filename, 8, 10) as landing_day
+from {full.sr}"""
+    return {
+        "s1_landing_arrays": parsed,
+        "s5_landing_lines": parsed,
+        "t1_stream_bronze": parsed,
+        "t2_stream_fact": full.fact,
+        "p12_full_run": full.daily_summary,
+    }

@@ -224,7 +224,7 @@ def q_fact_incremental(spark, sf_dir):
 
 
 def extra() -> dict:
-    from civicflow.catalog import queries_checks
+    from civicflow.catalog import queries_checks, queries_io
     out = {
         "w1_latest_lineitem": q_latest_lineitem,
         "w2_latest_event_per_user": q_latest_event_per_user,
@@ -248,4 +248,5 @@ def extra() -> dict:
         "i2_fact_incremental": q_fact_incremental,
     }
     out.update(queries_checks.extra())
+    out.update(queries_io.extra())
     return out

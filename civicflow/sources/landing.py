@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from civicflow.fixed_values import PAGE_SIZE
 
 
-def _lineage(root: str) -> F.Column:
+def _lineage(root: str, path_col: str = "_metadata.file_path") -> F.Column:
     """The source file path relative to the landing root (scheme stripped)."""
     root_rel = root.rstrip("/").split(":", 1)[-1] if root.startswith("file:") else root.rstrip("/")
-    path = F.regexp_replace(F.col("_metadata.file_path"), r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "")
+    path = F.regexp_replace(F.col(path_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "")
     return F.regexp_replace(path, "^" + _re_escape(root_rel) + "/?", "")
 
 
@@ -19,6 +19,16 @@ def _re_escape(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
 
 
+def records_from_files(df: DataFrame, root: str, layout: str = "array",
+                       path_col: str = "_metadata.file_path") -> DataFrame:
+    """Turn one-variant-per-file (``array``) or one-variant-per-line (``lines``)
+    rows into one bronze-shaped row per record: ``raw_data`` + relative ``filename``."""
+    rel = _lineage(root, path_col)
+    if layout == "array":
+        return df.select(F.explode(F.col("raw").cast("array<variant>")).alias("raw_data"), rel.alias("filename"))
+    return df.select(F.col("raw").alias("raw_data"), rel.alias("filename"))
+
+
 def read_landing(spark: SparkSession, root: str, layout: str = "array", glob: str = "**") -> DataFrame:
     """S1 + S2: one row per landed record, ``raw_data`` variant + relative ``filename``.
 
@@ -31,11 +41,18 @@ def read_landing(spark: SparkSession, root: str, layout: str = "array", glob: st
     reader = spark.read.option("singleVariantColumn", "raw").option("recursiveFileLookup", "true")
     if layout == "array":
         reader = reader.option("multiLine", "true")
-        df = reader.json(root)
-        return df.select(F.explode(F.col("raw").cast("array<variant>")).alias("raw_data"),
-                         _lineage(root).alias("filename"))
-    df = reader.json(root)
-    return df.select(F.col("raw").alias("raw_data"), _lineage(root).alias("filename"))
+    return records_from_files(reader.json(root), root, layout)
+
+
+def write_landing_arrays(pages: DataFrame, day_root: str, page_col: str, payload_cols: list[str]) -> None:
+    """Land records as JSON-array files, one file per page (the API page format).
+
+    The caller's ``page_col`` must bound a page to at most ``PAGE_SIZE``
+    records (an API page), so ``collect_list`` gathers a bounded group.
+    """
+    arrays = pages.groupBy(page_col).agg(
+        F.to_json(F.collect_list(F.struct(*[F.col(c) for c in payload_cols]))).alias("value"))
+    arrays.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(day_root)
 
 
 def write_landing(records: DataFrame, root: str, date_col: str = "ingest_date",
