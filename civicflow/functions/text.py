@@ -9,6 +9,8 @@ from civicflow.fixed_values import BOROUGH_PLACEHOLDERS, INITCAP_DELIMITERS
 
 # A word is a maximal run of non-delimiters; delimiter runs are kept verbatim.
 _TOKEN_PATTERN = f"([^{INITCAP_DELIMITERS}]+|[{INITCAP_DELIMITERS}]+)"
+# Any delimiter other than the plain space (Spark's initcap breaks words on ' ' only).
+_NON_SPACE_DELIMITER = "[" + INITCAP_DELIMITERS.replace(r"\s", r"\t\n\x0B\f\r") + "]"
 
 
 def _col(c: Column | str) -> Column:
@@ -27,9 +29,12 @@ def title_case(c: Column | str) -> Column:
     ``-`` or ``(`` also starts a new word: ``HEAT/HOT WATER`` -> ``Heat/Hot Water``.
     An apostrophe is not a delimiter: ``o'brien`` -> ``O'brien``.  NULL stays NULL.
     """
-    tokens = F.regexp_extract_all(F.lower(_col(c)), F.lit(_TOKEN_PATTERN), F.lit(1))
+    x = _col(c)
+    tokens = F.regexp_extract_all(F.lower(x), F.lit(_TOKEN_PATTERN), F.lit(1))
     capped = F.transform(tokens, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30)))
-    return F.array_join(capped, "")
+    # Fast path: with spaces as the only delimiters the built-in initcap agrees
+    # and is ~3x cheaper than tokenising.
+    return F.when(x.rlike(_NON_SPACE_DELIMITER), F.array_join(capped, "")).otherwise(F.initcap(x))
 
 
 def placeholder_to_null(c: Column | str, placeholders=BOROUGH_PLACEHOLDERS) -> Column:

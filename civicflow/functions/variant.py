@@ -15,6 +15,12 @@ def json_field(raw: Column | str, key: str, type_: str = "string") -> Column:
     return F.try_variant_get(_col(raw), f"$.{key}", type_)
 
 
+def json_fields(raw: Column | str, keys, type_: str = "string") -> Column:
+    """X1 for many keys at once: one traversal of the variant into a struct
+    (absent keys and JSON nulls are NULL fields; other keys are ignored)."""
+    return F.try_variant_get(_col(raw), "$", "struct<" + ",".join(f"`{k}`:{type_}" for k in keys) + ">")
+
+
 def has_path(raw: Column | str, key: str) -> Column:
     """the key is present (a JSON null counts as present, an absent key does not)."""
     return F.variant_get(_col(raw), f"$.{key}", "variant").isNotNull()

@@ -47,7 +47,7 @@ def merge_upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str])
     if target is None:
         return src
     touched = src.select(*keys).distinct()
-    kept = target.join(touched, list(keys), "left_anti")
+    kept = target.join(touched, list(keys), "left_anti").select(*target.columns)
     return evolve_union(kept, src)
 
 

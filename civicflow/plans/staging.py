@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.fixed_values import LATITUDE_BOUNDS, LONGITUDE_BOUNDS
-from civicflow.functions import (blank_to_null, json_field, parse_decimal, parse_timestamp,
-                                 placeholder_to_null, title_case, within)
+from civicflow.fixed_values import LATITUDE_BOUNDS, LONGITUDE_BOUNDS, RECORD_KEYS
+from civicflow.functions import (blank_to_null, parse_decimal, parse_timestamp, placeholder_to_null,
+                                 title_case, within)
+from civicflow.functions.variant import json_fields
 from civicflow.operators.dedup import latest_per_key
 
 BASE_COLUMNS = ("complaint_id", "created_at", "closed_at", "resolution_updated_at", "agency_code",
@@ -26,17 +27,22 @@ _STRING_FIELDS = (("agency", "agency_code"), ("agency_name", "agency_name"),
 
 
 def base(bronze: DataFrame) -> DataFrame:
-    """23 typed columns flattened from ``raw_data`` (one pass, no shuffle)."""
-    raw = F.col("raw_data")
-    return bronze.select(
-        json_field(raw, "unique_key").alias("complaint_id"),
-        parse_timestamp(json_field(raw, "created_date")).alias("created_at"),
-        parse_timestamp(json_field(raw, "closed_date")).alias("closed_at"),
-        parse_timestamp(json_field(raw, "resolution_action_updated_date")).alias("resolution_updated_at"),
-        *[json_field(raw, k).alias(c) for k, c in _STRING_FIELDS],
-        parse_decimal(json_field(raw, "latitude")).alias("latitude"),
-        parse_decimal(json_field(raw, "longitude")).alias("longitude"),
-        json_field(raw, "open_data_channel_type").alias("submission_channel"),
+    """23 typed columns flattened from ``raw_data`` (one pass, no shuffle).
+
+    The variant is traversed once into a struct of all consumed keys rather
+    than once per key (about 2x cheaper per row)."""
+    rec = bronze.select(json_fields("raw_data", RECORD_KEYS).alias("r"), "_extracted_at", "filename",
+                        "_source_relation")
+    r = lambda k: F.col(f"r.{k}")
+    return rec.select(
+        r("unique_key").alias("complaint_id"),
+        parse_timestamp(r("created_date")).alias("created_at"),
+        parse_timestamp(r("closed_date")).alias("closed_at"),
+        parse_timestamp(r("resolution_action_updated_date")).alias("resolution_updated_at"),
+        *[r(k).alias(c) for k, c in _STRING_FIELDS],
+        parse_decimal(r("latitude")).alias("latitude"),
+        parse_decimal(r("longitude")).alias("longitude"),
+        r("open_data_channel_type").alias("submission_channel"),
         F.col("_extracted_at").alias("extracted_at"),
         F.col("filename").alias("source_filename"),
         F.col("_source_relation").alias("source_relation"),
