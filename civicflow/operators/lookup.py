@@ -60,6 +60,10 @@ def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str, int | None]]) ->
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
-    """Child rows whose non-NULL foreign key has no parent (left anti join)."""
-    p = parent.select(F.col(pk).alias("__pk")).distinct()
+    """Child rows whose non-NULL foreign key has no parent (left anti join).
+
+    The distinct parent keys are broadcast when their count is within the
+    bound; beyond it the anti join shuffles and AQE splits a skewed key.
+    """
+    p = checked_broadcast(parent.select(F.col(pk).alias("__pk")).distinct())
     return child.filter(F.col(fk).isNotNull()).join(p, F.col(fk) == F.col("__pk"), "left_anti")

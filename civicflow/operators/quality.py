@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civicflow.operators.lookup import checked_broadcast
+
 RESULT_COLUMNS = ("check", "column", "severity", "failures")
 
 
@@ -104,7 +106,9 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
             dup = keyed.groupBy(*cols).count().filter(F.col("count") > 1)
             results.append(dup.agg(*_row(c, F.count(F.lit(1)))))
         elif c.kind == "relationships":
-            parent = c.parent.select(F.col(c.parent_column).alias("__pk")).distinct()
+            # The parent is usually a dimension: broadcast it after a size check so a
+            # hot foreign key (e.g. the sentinel) never lands in one shuffle task.
+            parent = checked_broadcast(c.parent.select(F.col(c.parent_column).alias("__pk")).distinct())
             orphans = df.filter(F.col(c.column).isNotNull()).join(parent, F.col(c.column) == F.col("__pk"), "left_anti")
             results.append(orphans.agg(*_row(c, F.count(F.lit(1)))))
         elif c.kind == "equal_rowcount":
