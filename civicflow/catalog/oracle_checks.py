@@ -93,7 +93,9 @@ select c.*, coalesce(d.duplicate_keys, 0) as duplicate_keys from c left join d u
         ]),
         "q_mart_checks": checks_sql("daily_summary", mart, C.mart_checks()),
         "q_seed_checks": checks_sql("borough_lookup", seed_borough_values(), C.borough_seed_checks()) +
-        "\nunion all\n" + checks_sql("complaint_type_lookup", seed_type_values(), C.type_seed_checks()),
+        "\nunion all\n" + checks_sql("complaint_type_lookup", seed_type_values(), C.type_seed_checks()) +
+        "\nunion all\n" + checks_sql("requests_clean", full.clean, C.seed_coverage_checks(None, None),
+                                      {"borough": seed_borough_values(), "complaint_type": seed_type_values()}),
         "q_order_relationship_checks": checks_sql("orders", "select * from orders", orders_checks,
                                                   {"o_custkey": "select c_custkey from customer"}),
         "q8_events_freshness": fresh,

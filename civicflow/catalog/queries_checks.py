@@ -53,10 +53,16 @@ def q_mart_checks(spark, sf_dir):
 
 
 def q_seed_checks(spark, sf_dir):
-    # Seeds are static; checked together with the observed domains they enrich.
-    return (C.suite(load_seed(spark, "borough_lookup"), C.borough_seed_checks(), "borough_lookup")
-            .unionByName(C.suite(load_seed(spark, "complaint_type_lookup"), C.type_seed_checks(),
-                                 "complaint_type_lookup")))
+    """Seed checks, plus coverage of the observed silver domains by the seeds
+    (warn: an observed value without metadata means the seed needs a row)."""
+    from civicflow.catalog.queries import _prepare, sr_bronze
+    from civicflow.plans.staging import base, clean
+    _prepare(spark)
+    sb, st = load_seed(spark, "borough_lookup"), load_seed(spark, "complaint_type_lookup")
+    silver = clean(base(sr_bronze(spark, sf_dir)))
+    return (C.suite(sb, C.borough_seed_checks(), "borough_lookup")
+            .unionByName(C.suite(st, C.type_seed_checks(), "complaint_type_lookup"))
+            .unionByName(C.suite(silver, C.seed_coverage_checks(sb, st), "requests_clean")))
 
 
 def q_order_relationship_checks(spark, sf_dir):

@@ -77,6 +77,11 @@ def type_seed_checks() -> list[q.Check]:
             q.not_null("is_quality_of_life"), q.not_null("is_emergency")]
 
 
+def seed_coverage_checks(borough_seed: DataFrame | None, type_seed: DataFrame | None) -> list[q.Check]:
+    return [q.relationships("borough", borough_seed, "borough_name", severity="warn"),
+            q.relationships("complaint_type", type_seed, "complaint_type", severity="warn")]
+
+
 def suite(df: DataFrame, checks: list[q.Check], table: str) -> DataFrame:
     from pyspark.sql import functions as F
     return q.run_checks(df, checks).select(F.lit(table).alias("table"), "*")
