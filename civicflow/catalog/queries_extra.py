@@ -15,6 +15,7 @@ from civicflow.operators.lookup import checked_broadcast, orphans, star_join
 from civicflow.plans.history import request_history
 from civicflow.plans.build import GoldBuild
 from civicflow.sources.paging import page, paged
+from civicflow.sources.tables import spread
 from civicflow.sources.service_requests import AS_OF, DROP_LOADED_AT
 
 ORDERS_CUT = "1998-01-01 00:00:00"
@@ -37,7 +38,7 @@ def _prep(spark):
 
 def q_latest_lineitem(spark, sf_dir):
     """One line per (l_orderkey, l_linenumber): latest ship date (NULLs first), full tie-break."""
-    li = _t(spark, sf_dir, "lineitem")
+    li = spread(_t(spark, sf_dir, "lineitem"))
     rest = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
             "l_returnflag", "l_linestatus"]
     return latest_per_key(li, ["l_orderkey", "l_linenumber"], [F.col("l_shipdate").desc_nulls_first()],
@@ -86,7 +87,7 @@ def q_orders_by_region(spark, sf_dir):
 def q_order_ship_durations(spark, sf_dir):
     """Hours and days from order to ship, NULL when shipped before ordered."""
     o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    li = spread(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"))
     j = li.join(o, "l_orderkey")
     ok = F.col("l_shipdate").isNotNull() & (F.col("l_shipdate") >= F.col("o_orderdate"))
     return j.select("l_orderkey", "l_linenumber", "l_partkey",

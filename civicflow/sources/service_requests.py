@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.fixed_values import SOURCE_TAG
+from civicflow.sources.tables import spread
 
 # Record keys written into the JSON payload, in order (the last two columns of
 # the flat fixture, filename and extracted_at, are load metadata).
@@ -34,7 +35,8 @@ def service_request_records(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     in_drop = lambda d: ((d == 1) & (eid % 10 != 9)) | ((d == 2) & (eid % 10).isin(0, 9))
     drops = F.filter(F.array(F.lit(1), F.lit(2)), in_drop)
-    e = events.select("event_id", "user_id", "event_type", "ts", "value", F.explode(drops).alias("drop_no"))
+    e = spread(events.select("event_id", "user_id", "event_type", "ts", "value")) \
+        .select("*", F.explode(drops).alias("drop_no"))
     c_ts = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
     d_ts = c_ts + F.make_dt_interval(mins=F.floor(F.col("value") * 60).cast("int"))
     etype = F.col("event_type")

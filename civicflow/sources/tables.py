@@ -84,3 +84,13 @@ def view(df: DataFrame, name: str) -> DataFrame:
     """A view product: a lazy DataFrame registered for SQL, recomputed on read."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` across the cluster only when its scan yields fewer
+    splits than the default parallelism (e.g. one unsplittable file or a
+    single row group).  A large input already has enough splits and is
+    returned unchanged, so no shuffle is added at scale.  Planning only - no job.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
