@@ -108,7 +108,7 @@ def _two_drop_run(spark, sf_dir, streaming: bool, on_error: str = "continue"):
 def q_stream_fact(spark, sf_dir):
     """Fact after two streamed drops, merged incrementally per micro-batch."""
     wh = _two_drop_run(spark, sf_dir, streaming=True)
-    return wh.read("gold", "fact_requests")
+    return wh.fact_table().read()
 
 
 def q_full_run(spark, sf_dir):

@@ -16,7 +16,7 @@ from civicflow.plans.enriched import enrich
 from civicflow.plans.history import request_history
 from civicflow.plans.marts import daily_summary
 from civicflow.plans.staging import base, clean
-from civicflow.plans.star import dim_borough, dim_request_type, fact_requests
+from civicflow.plans.star import dim_borough, dim_request_type, fact_increment
 from civicflow.sources import tables as T
 from civicflow.sources.seeds import load_seed
 
@@ -41,6 +41,9 @@ class Warehouse:
         T.write_table(df, self.path(layer, name))
         return T.read_table(self.spark, self.path(layer, name))
 
+    def fact_table(self) -> T.PartitionedTable:
+        return T.PartitionedTable(self.spark, self.path("gold", "fact_requests"), "created_month")
+
     @property
     def bronze_dir(self) -> str:
         return self.path("bronze", "requests_raw")
@@ -80,10 +83,17 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     gate(dim_b, C.dim_borough_checks(), "dim_borough")
     gate(dim_t, C.dim_type_checks(), "dim_request_type")
     nb, nt = dim_b.count(), dim_t.count()
-    target = None if full_refresh else wh.read("gold", "fact_requests")
-    fact = wh.write("gold", "fact_requests",
-                    fact_requests(enriched, dim_b, dim_t, as_of, target=target, full_refresh=full_refresh,
-                                  dim_b_rows=nb, dim_t_rows=nt))
+    # The fact is partitioned by created_month: a run rewrites only the months
+    # that hold an old or a new version of a merged request.
+    fact_tbl = wh.fact_table()
+    target = None if full_refresh else fact_tbl.read()
+    inc = fact_increment(enriched, dim_b, dim_t, as_of, target=target, full_refresh=full_refresh,
+                         dim_b_rows=nb, dim_t_rows=nt)
+    if target is None:
+        fact_tbl.overwrite(inc)
+    else:
+        fact_tbl.merge(inc, ["complaint_id"])
+    fact = fact_tbl.read()
     gate(fact, C.fact_checks(dim_b, dim_t, enriched), "fact_requests")
     mart = wh.write("gold", "daily_summary", daily_summary(fact, dim_b, dim_t, as_of, nb, nt))
     gate(mart, C.mart_checks(), "daily_summary")

@@ -11,6 +11,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _POINTER = "_CURRENT"
 
@@ -94,3 +95,86 @@ def spread(df: DataFrame) -> DataFrame:
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+class PartitionedTable:
+    """A Parquet table partitioned by one column whose merges rewrite only the
+    partitions they touch (I2 at scale).
+
+    Each merge writes the rewritten partitions into a new version folder and
+    then switches a small manifest (partition value -> version folder, plus
+    the column order), so untouched partitions are never rewritten, nothing is
+    overwritten while being read, and a failed merge leaves the previous
+    manifest in force.
+    """
+
+    def __init__(self, spark: SparkSession, table_dir: str, partition_col: str):
+        self.spark, self.dir, self.col = spark, table_dir, partition_col
+
+    def _manifest(self) -> dict | None:
+        import json
+        name = _read_text(self.spark, os.path.join(self.dir, _POINTER))
+        if not name:
+            return None
+        fs, p = _hadoop_fs(self.spark, os.path.join(self.dir, name.strip()))
+        stream = fs.open(p)
+        try:
+            jvm = self.spark.sparkContext._jvm
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return json.loads(reader.readLine())
+        finally:
+            stream.close()
+
+    def _publish(self, manifest: dict) -> None:
+        import json
+        name = f"manifest-{uuid.uuid4().hex[:16]}.json"
+        _write_text(self.spark, os.path.join(self.dir, name), json.dumps(manifest) + "\n")
+        _write_text(self.spark, os.path.join(self.dir, _POINTER), name + "\n")
+
+    def exists(self) -> bool:
+        return self._manifest() is not None
+
+    def read(self) -> DataFrame | None:
+        m = self._manifest()
+        if not m:
+            return None
+        by_version: dict[str, list[str]] = {}
+        for value, version in m["partitions"].items():
+            by_version.setdefault(version, []).append(value)
+        out = None
+        for version, values in sorted(by_version.items()):
+            base = os.path.join(self.dir, version)
+            part = (self.spark.read.option("basePath", base)
+                    .parquet(*[os.path.join(base, f"{self.col}={v}") for v in sorted(values)]))
+            out = part if out is None else out.unionByName(part)
+        types = dict(m["types"])
+        return out.select(*[F.col(c).cast(types[c]).alias(c) for c in m["columns"]])
+
+    def _write(self, df: DataFrame, manifest: dict | None, drop_values=()) -> None:
+        version = f"v-{uuid.uuid4().hex[:16]}"
+        df.write.partitionBy(self.col).parquet(os.path.join(self.dir, version))
+        # Partition values written by this version (bounded: one per partition).
+        written = [str(r[0]) for r in df.select(self.col).distinct().collect()]
+        parts = dict(manifest["partitions"]) if manifest else {}
+        for v in drop_values:
+            parts.pop(str(v), None)
+        parts.update({v: version for v in written})
+        self._publish({"partitions": parts, "columns": df.columns,
+                       "types": [(f.name, f.dataType.simpleString()) for f in df.schema.fields]})
+
+    def overwrite(self, df: DataFrame) -> None:
+        self._write(df, None)
+
+    def merge(self, src: DataFrame, keys: list[str]) -> None:
+        """Matched keys replaced, new keys inserted; only partitions holding an old
+        or a new version of a touched key are rewritten."""
+        current = self.read()
+        if current is None:
+            self._write(src, None)
+            return
+        touched = src.select(*keys).distinct()
+        hit = current.join(touched, keys, "left_semi").select(self.col)
+        values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
+        affected = current.filter(F.col(self.col).isin(values))
+        kept = affected.join(touched, keys, "left_anti").select(*current.columns)
+        self._write(kept.unionByName(src.select(*current.columns)), self._manifest(), drop_values=values)

@@ -23,7 +23,7 @@ def test_default_run_stops_at_failing_error_check(spark):
     with pytest.raises(CheckFailed):
         run_all(wh, AS_OF)
     assert wh.read("silver", "requests_clean") is not None
-    assert wh.read("gold", "fact_requests") is None  # downstream layers not built
+    assert wh.fact_table().read() is None  # downstream layers not built
 
 
 def test_incremental_runs_equal_full_refresh(spark):
