@@ -19,7 +19,7 @@ def high_water_mark(target: DataFrame | None, col: str, default: str = DEFAULT_W
 
 
 def since(df: DataFrame, target: DataFrame | None, col: str, default: str = DEFAULT_WATERMARK,
-          full_refresh: bool = False) -> DataFrame:
+          full_refresh: bool = False, mark: str | None = None) -> DataFrame:
     """Rows strictly newer than the target's high-water mark.
 
     The first run (no target) and a full refresh (I6) take every row.  The
@@ -28,6 +28,8 @@ def since(df: DataFrame, target: DataFrame | None, col: str, default: str = DEFA
     """
     if target is None or full_refresh:
         return df
+    if mark is not None:  # mark stored with the target table: no scan needed
+        return df.filter(F.col(col) > F.lit(mark).cast("timestamp_ntz"))
     return df.filter(F.col(col) > high_water_mark(target, col, default))
 
 

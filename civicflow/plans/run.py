@@ -42,7 +42,8 @@ class Warehouse:
         return T.read_table(self.spark, self.path(layer, name))
 
     def fact_table(self) -> T.PartitionedTable:
-        return T.PartitionedTable(self.spark, self.path("gold", "fact_requests"), "created_month")
+        return T.PartitionedTable(self.spark, self.path("gold", "fact_requests"), "created_month",
+                                  mark_col="extracted_at")
 
     @property
     def bronze_dir(self) -> str:
@@ -88,7 +89,7 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     fact_tbl = wh.fact_table()
     target = None if full_refresh else fact_tbl.read()
     inc = fact_increment(enriched, dim_b, dim_t, as_of, target=target, full_refresh=full_refresh,
-                         dim_b_rows=nb, dim_t_rows=nt)
+                         dim_b_rows=nb, dim_t_rows=nt, mark=None if target is None else fact_tbl.mark())
     if target is None:
         fact_tbl.overwrite(inc)
     else:

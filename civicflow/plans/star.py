@@ -65,9 +65,10 @@ def dim_request_type(clean_df: DataFrame, type_seed: DataFrame, as_of: str) -> D
 
 def fact_increment(enriched: DataFrame, dim_b: DataFrame, dim_t: DataFrame, as_of: str,
                    target: DataFrame | None = None, full_refresh: bool = False,
-                   dim_b_rows: int | None = None, dim_t_rows: int | None = None) -> DataFrame:
+                   dim_b_rows: int | None = None, dim_t_rows: int | None = None,
+                   mark: str | None = None) -> DataFrame:
     """The rows one run of P6 writes: new/changed requests with resolved keys."""
-    e = since(enriched, target, "extracted_at", full_refresh=full_refresh)
+    e = since(enriched, target, "extracted_at", full_refresh=full_refresh, mark=mark)
     e = resolve_fk(e, dim_b, "borough", "borough_name", "borough_sk", UNKNOWN, dim_b_rows)
     e = resolve_fk(e, dim_t, "complaint_type", "complaint_type", "complaint_type_sk", UNKNOWN, dim_t_rows)
     e = e.withColumn("complaint_sk", surrogate_key("complaint_id")) \

@@ -108,8 +108,8 @@ class PartitionedTable:
     manifest in force.
     """
 
-    def __init__(self, spark: SparkSession, table_dir: str, partition_col: str):
-        self.spark, self.dir, self.col = spark, table_dir, partition_col
+    def __init__(self, spark: SparkSession, table_dir: str, partition_col: str, mark_col: str | None = None):
+        self.spark, self.dir, self.col, self.mark_col = spark, table_dir, partition_col, mark_col
 
     def _manifest(self) -> dict | None:
         import json
@@ -159,8 +159,20 @@ class PartitionedTable:
         for v in drop_values:
             parts.pop(str(v), None)
         parts.update({v: version for v in written})
-        self._publish({"partitions": parts, "columns": df.columns,
-                       "types": [(f.name, f.dataType.simpleString()) for f in df.schema.fields]})
+        manifest_out = {"partitions": parts, "columns": df.columns,
+                        "types": [(f.name, f.dataType.simpleString()) for f in df.schema.fields]}
+        if self.mark_col:
+            # High-water mark kept with the table: max over what this write added
+            # (the increment) and the previous mark - never a scan of the table.
+            new = df.agg(F.max(self.mark_col).cast("string")).first()[0]
+            old = (manifest or {}).get("mark")
+            manifest_out["mark"] = max([m for m in (old, new) if m is not None], default=None)
+        self._publish(manifest_out)
+
+    def mark(self) -> str | None:
+        """The stored high-water mark of ``mark_col`` (None for an empty/new table)."""
+        m = self._manifest()
+        return m.get("mark") if m else None
 
     def overwrite(self, df: DataFrame) -> None:
         self._write(df, None)

@@ -25,3 +25,16 @@ def test_merge_rewrites_only_touched_partitions(spark, tmpdir_path):
     assert t.read().columns == ["id", "v", "m"]
     t.merge(_df(spark, [(2, "B", "2024-04-01"), (4, "d", "2024-04-01")]), ["id"])  # idempotent
     assert sorted((r.id, r.v, str(r.m)) for r in t.read().collect()) == got
+
+
+def test_high_water_mark_kept_in_manifest(spark, tmpdir_path):
+    t = PartitionedTable(spark, os.path.join(tmpdir_path, "f"), "m", mark_col="ts")
+    mk = lambda rows: spark.createDataFrame(rows, "id int, ts string, m string").select(
+        "id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("m").cast("date").alias("m"))
+    assert t.mark() is None
+    t.merge(mk([(1, "2024-02-01 05:00:00", "2024-01-01")]), ["id"])
+    assert t.mark() == "2024-02-01 05:00:00"
+    t.merge(mk([(2, "2024-01-15 00:00:00", "2024-01-01")]), ["id"])  # older increment keeps the mark
+    assert t.mark() == "2024-02-01 05:00:00"
+    t.merge(mk([(1, "2024-02-02 05:00:00", "2024-01-01")]), ["id"])
+    assert t.mark() == "2024-02-02 05:00:00"
