@@ -9,20 +9,22 @@ CUT = "timestamp '1998-01-01 00:00:00'"
 RUN1, RUN2, PROBE = "timestamp '2024-03-01 00:00:00'", "timestamp '2024-03-02 00:00:00'", "timestamp '2024-03-01 12:00:00'"
 
 
-def _snapshot(key: str, cols: list[str], src1: str, src2: str) -> str:
+def _snapshot(key: str, cols: list[str], src1: str, src2: str, run1: str | None = None,
+              run2: str | None = None) -> str:
     """Two check-strategy snapshot runs, in plain SQL."""
+    RUN1_, RUN2_ = run1 or RUN1, run2 or RUN2
     c = ", ".join(cols)
     changed = " or ".join(f"o.{x} is distinct from s.{x}" for x in cols)
     scd = lambda k, ts: f"md5(coalesce(cast({k} as varchar), '') || '|' || coalesce(cast({ts} as varchar), ''))"
     return f"""with s1 as ({src1}), s2 as ({src2}),
-h1 as (select {key}, {c}, {scd(key, RUN1)} as scd_id, {RUN1} as updated_at, {RUN1} as valid_from,
+h1 as (select {key}, {c}, {scd(key, RUN1_)} as scd_id, {RUN1_} as updated_at, {RUN1_} as valid_from,
          cast(null as timestamp) as valid_to from s1),
 j as (select o.{key} as okey, s.{key} as skey, ({changed}) as chg from h1 o full join s2 s on o.{key} = s.{key}),
 old as (select h1.{key}, {", ".join("h1." + x for x in cols)}, h1.scd_id, h1.updated_at, h1.valid_from,
-          case when j.chg and j.skey is not null then {RUN2} end as valid_to
+          case when j.chg and j.skey is not null then {RUN2_} end as valid_to
         from h1 join j on h1.{key} = j.okey),
-fresh as (select s2.{key}, {", ".join("s2." + x for x in cols)}, {scd("s2." + key, RUN2)} as scd_id,
-            {RUN2} as updated_at, {RUN2} as valid_from, cast(null as timestamp) as valid_to
+fresh as (select s2.{key}, {", ".join("s2." + x for x in cols)}, {scd("s2." + key, RUN2_)} as scd_id,
+            {RUN2_} as updated_at, {RUN2_} as valid_from, cast(null as timestamp) as valid_to
           from s2 join j on s2.{key} = j.skey where j.okey is null or j.chg)
 select * from old union all select * from fresh"""
 
@@ -128,7 +130,13 @@ from s group by 1""",
     }
 
 
+HIST_COLS = ["status", "closed_at", "resolution_description", "resolution_updated_at", "agency_code"]
+
+
 def io_extra(full) -> dict[str, str]:
+    drop1 = SRProducts("extracted_at = timestamp '2024-02-01 05:00:00'")
+    stored_hist = _snapshot("complaint_id", HIST_COLS, _history_input(drop1.sr), _history_input(full.sr),
+                            "timestamp '2024-02-01 05:00:00'", "timestamp '2024-02-02 05:00:00'")
     parsed = f"""select unique_key as complaint_id, try_cast(created_date as timestamp) as created_at,
   try_cast(closed_date as timestamp) as closed_at, agency as agency_code, complaint_type, status, incident_zip,
   borough, try_cast(latitude as decimal(18,12)) as latitude, try_cast(longitude as decimal(18,12)) as longitude,
@@ -140,4 +148,8 @@ from {full.sr}"""
         "t1_stream_bronze": parsed,
         "t2_stream_fact": full.fact,
         "p12_full_run": full.daily_summary,
+        "p12_full_run_history": stored_hist,
+        "i6_fact_full_refresh": full.fact,
+        "i7_request_history_as_of": f"""select * from ({_snapshot("complaint_id", HIST_COLS, _history_input(drop1.sr),
+            _history_input(full.sr))}) h where valid_from <= {PROBE} and (valid_to is null or valid_to > {PROBE})""",
     }

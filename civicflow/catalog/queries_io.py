@@ -117,6 +117,27 @@ def q_full_run(spark, sf_dir):
     return wh.read("gold", "daily_summary")
 
 
+def q_full_run_history(spark, sf_dir):
+    """P12 + S14: the stored type-2 history after two scheduled runs (closed versions appended)."""
+    wh = _two_drop_run(spark, sf_dir, streaming=False)
+    return wh.history_store().read()
+
+
+def q_fact_full_refresh(spark, sf_dir):
+    """A full refresh ignores the stored fact and its high-water mark."""
+    from civicflow.catalog.queries import sr_bronze
+    from civicflow.plans.build import GoldBuild, materialize
+    run1 = materialize(GoldBuild(spark, sr_bronze(spark, sf_dir, (1,)), AS_OF).fact, "fact_run1")
+    return GoldBuild(spark, sr_bronze(spark, sf_dir, (1, 2)), AS_OF, target_fact=run1, full_refresh=True).fact
+
+
+def q_request_history_as_of(spark, sf_dir):
+    """Request versions current between the two history runs."""
+    from civicflow.catalog.queries_extra import HISTORY_PROBE, q_request_history
+    from civicflow.operators.history import as_of
+    return as_of(q_request_history(spark, sf_dir), HISTORY_PROBE)
+
+
 def extra() -> dict:
     return {
         "s1_landing_arrays": q_landing_arrays,
@@ -125,4 +146,7 @@ def extra() -> dict:
         "t1_stream_bronze": q_stream_bronze,
         "t2_stream_fact": q_stream_fact,
         "p12_full_run": q_full_run,
+        "p12_full_run_history": q_full_run_history,
+        "i6_fact_full_refresh": q_fact_full_refresh,
+        "i7_request_history_as_of": q_request_history_as_of,
     }

@@ -41,6 +41,9 @@ class Warehouse:
         T.write_table(df, self.path(layer, name))
         return T.read_table(self.spark, self.path(layer, name))
 
+    def history_store(self) -> T.HistoryStore:
+        return T.HistoryStore(self.spark, self.path("silver", "request_history"))
+
     def fact_table(self) -> T.PartitionedTable:
         return T.PartitionedTable(self.spark, self.path("gold", "fact_requests"), "created_month",
                                   mark_col="extracted_at")
@@ -98,8 +101,12 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     gate(fact, C.fact_checks(dim_b, dim_t, enriched), "fact_requests")
     mart = wh.write("gold", "daily_summary", daily_summary(fact, dim_b, dim_t, as_of, nb, nt))
     gate(mart, C.mart_checks(), "daily_summary")
-    hist_prev = None if full_refresh else wh.read("silver", "request_history")
-    history = wh.write("silver", "request_history", request_history(hist_prev, bronze, history_at or as_of))
+    # History: only the open versions take part in change detection; closed
+    # versions are appended and never rewritten.
+    store = wh.history_store()
+    open_versions = None if full_refresh else store.current()
+    store.publish(request_history(open_versions, bronze, history_at or as_of), reset=full_refresh)
+    history = store.read()
     results = reports[0]
     for r in reports[1:]:
         results = results.unionByName(r)

@@ -190,3 +190,61 @@ class PartitionedTable:
         affected = current.filter(F.col(self.col).isin(values))
         kept = affected.join(touched, keys, "left_anti").select(*current.columns)
         self._write(kept.unionByName(src.select(*current.columns)), self._manifest(), drop_values=values)
+
+
+class HistoryStore:
+    """Type-2 history stored so a snapshot never rewrites closed versions.
+
+    Closed versions never change again, so each snapshot run appends its newly
+    closed versions and replaces only the current (open) versions - one row
+    per key - instead of rewriting the whole, ever-growing history.  One write
+    per run (partitioned by a derived ``__closed`` flag), then a manifest
+    switch listing the closed folders and the current folder.
+    """
+
+    def __init__(self, spark: SparkSession, table_dir: str):
+        self.spark, self.dir = spark, table_dir
+
+    def _manifest(self) -> dict | None:
+        import json
+        name = _read_text(self.spark, os.path.join(self.dir, _POINTER))
+        if not name:
+            return None
+        text = _read_text(self.spark, os.path.join(self.dir, name.strip()))
+        return json.loads(text) if text else None
+
+    def _exists(self, rel: str) -> bool:
+        fs, p = _hadoop_fs(self.spark, os.path.join(self.dir, rel))
+        return fs.exists(p)
+
+    def current(self) -> DataFrame | None:
+        m = self._manifest()
+        if not m or not m.get("current"):
+            return None
+        return self.spark.read.parquet(os.path.join(self.dir, m["current"])).select(*m["columns"])
+
+    def read(self) -> DataFrame | None:
+        m = self._manifest()
+        if not m:
+            return None
+        paths = [os.path.join(self.dir, p) for p in [*m["closed"], m.get("current")] if p]
+        if not paths:
+            return None
+        return self.spark.read.parquet(*paths).select(*m["columns"])
+
+    def publish(self, snapshot: DataFrame, reset: bool = False) -> None:
+        """``snapshot`` = open versions after this run plus the versions it closed."""
+        import json
+        version = f"v-{uuid.uuid4().hex[:16]}"
+        (snapshot.withColumn("__closed", F.col("valid_to").isNotNull())
+         .write.partitionBy("__closed").parquet(os.path.join(self.dir, version)))
+        old = None if reset else self._manifest()
+        closed = list(old["closed"]) if old else []
+        rel_closed, rel_open = f"{version}/__closed=true", f"{version}/__closed=false"
+        if self._exists(rel_closed):
+            closed.append(rel_closed)
+        manifest = {"closed": closed, "current": rel_open if self._exists(rel_open) else None,
+                    "columns": snapshot.columns}
+        name = f"manifest-{uuid.uuid4().hex[:16]}.json"
+        _write_text(self.spark, os.path.join(self.dir, name), json.dumps(manifest) + "\n")
+        _write_text(self.spark, os.path.join(self.dir, _POINTER), name + "\n")

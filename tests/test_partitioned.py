@@ -38,3 +38,21 @@ def test_high_water_mark_kept_in_manifest(spark, tmpdir_path):
     assert t.mark() == "2024-02-01 05:00:00"
     t.merge(mk([(1, "2024-02-02 05:00:00", "2024-01-01")]), ["id"])
     assert t.mark() == "2024-02-02 05:00:00"
+
+
+def test_history_store_appends_closed_versions(spark, tmpdir_path):
+    from civicflow.operators.history import snapshot_check
+    from civicflow.sources.tables import HistoryStore
+
+    store = HistoryStore(spark, os.path.join(tmpdir_path, "h"))
+    gens = [[(1, "a"), (2, "b")], [(1, "a"), (2, "B"), (3, "c")], [(2, "BB"), (3, "c")]]
+    times = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]
+    lazy = None
+    for rows, t in zip(gens, times):
+        src = spark.createDataFrame(rows, "k int, s string")
+        store.publish(snapshot_check(store.current(), src, "k", ["s"], t))
+        lazy = snapshot_check(lazy, src, "k", ["s"], t)
+    assert sorted(tuple(r) for r in store.read().collect()) == sorted(tuple(r) for r in lazy.collect())
+    m = store._manifest()
+    assert len(m["closed"]) == 2  # runs 2 and 3 each closed a version of key 2; run 1 closed none
+    assert store.current().count() == 3
