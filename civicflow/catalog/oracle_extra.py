@@ -38,8 +38,36 @@ from (select unique_key as complaint_id, status, try_cast(closed_date as timesta
       from {sr} s where unique_key is not null) x where rn = 1"""
 
 
+def _bi(full) -> dict[str, str]:
+    """The BI questions: same answers whether asked through DataFrames or SQL views."""
+    fact, db, dt = full.fact, full.dim_b, full.dim_t
+    per_capita = f"""with f as ({fact}), b as ({db})
+select b.borough_name, b.population_2020, count(*) as total_complaints,
+  cast(cast((2 * count(*) * 10000000 + cast(b.population_2020 as bigint)) // (2 * cast(b.population_2020 as bigint))
+            as decimal(18,0)) * 0.01 as decimal(18,2)) as complaints_per_100k
+from f join b on f.borough_sk = b.borough_sk
+where b.population_2020 is not null
+group by b.borough_name, b.population_2020"""
+    median = f"""with f as ({fact}), t as ({dt})
+select t.category, count(*) as complaints,
+  quantile_cont(cast(f.response_time_hours as double), 0.5) as median_hours
+from f join t on f.complaint_type_sk = t.complaint_type_sk
+where f.is_resolved
+group by t.category"""
+    trend = f"""with s as ({full.daily_summary})
+select cast(date_trunc('month', created_date) as date) as month,
+  cast(sum(total_complaints) as decimal(28,0)) as complaints,
+  cast(cast((2000 * cast(sum(resolved_complaints) as bigint) + cast(sum(total_complaints) as bigint))
+            // (2 * cast(sum(total_complaints) as bigint)) as decimal(18,1)) * 0.1 as decimal(10,1)) as pct_resolved
+from s group by 1"""
+    return {"p9_requests_per_100k": per_capita, "p10_median_response_by_category": median,
+            "p11_monthly_trend": trend, "s8_sql_per_capita": per_capita,
+            "s8_sql_median_by_category": median, "s8_sql_monthly_trend": trend}
+
+
 def extra(full) -> dict[str, str]:
     fact, db, dt = full.fact, full.dim_b, full.dim_t
+    bi = _bi(full)
     drop1 = SRProducts("extracted_at = timestamp '2024-02-01 05:00:00'")
     orders_target = f"select * from orders where o_orderdate < {CUT}"
     orders_src = f"""select * from orders where o_orderdate >= {CUT}
@@ -51,6 +79,7 @@ def extra(full) -> dict[str, str]:
     cust_hist = _snapshot("c_custkey", ["c_name", "c_acctbal", "c_mktsegment"],
                           "select c_custkey, c_name, c_acctbal, c_mktsegment from customer", cust2)
     return {
+        **bi,
         "w1_latest_lineitem": """select * exclude (rn) from (select *, row_number() over (
     partition by l_orderkey, l_linenumber order by l_shipdate desc nulls first, l_partkey, l_suppkey, l_quantity,
     l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) as rn from lineitem) x where rn = 1""",
@@ -108,25 +137,6 @@ union all select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate
         "i2_fact_incremental": f"""with f1 as ({drop1.fact}),
 inc as ({full.fact_rows("extracted_at > (select coalesce(max(extracted_at), timestamp '1900-01-01') from (" + drop1.fact + ") z)")})
 select * from f1 where complaint_id not in (select complaint_id from inc) union all select * from inc""",
-        "p9_requests_per_100k": f"""with f as ({fact}), b as ({db})
-select b.borough_name, b.population_2020, count(*) as total_complaints,
-  cast(cast((2 * count(*) * 10000000 + cast(b.population_2020 as bigint)) // (2 * cast(b.population_2020 as bigint))
-            as decimal(18,0)) * 0.01 as decimal(18,2)) as complaints_per_100k
-from f join b on f.borough_sk = b.borough_sk
-where b.population_2020 is not null
-group by b.borough_name, b.population_2020""",
-        "p10_median_response_by_category": f"""with f as ({fact}), t as ({dt})
-select t.category, count(*) as complaints,
-  quantile_cont(cast(f.response_time_hours as double), 0.5) as median_hours
-from f join t on f.complaint_type_sk = t.complaint_type_sk
-where f.is_resolved
-group by t.category""",
-        "p11_monthly_trend": f"""with s as ({full.daily_summary})
-select cast(date_trunc('month', created_date) as date) as month,
-  cast(sum(total_complaints) as decimal(28,0)) as complaints,
-  cast(cast((2000 * cast(sum(resolved_complaints) as bigint) + cast(sum(total_complaints) as bigint))
-            // (2 * cast(sum(total_complaints) as bigint)) as decimal(18,1)) * 0.1 as decimal(10,1)) as pct_resolved
-from s group by 1""",
     }
 
 

@@ -90,6 +90,32 @@ def q_monthly_trend(spark, sf_dir):
     return monthly_trend(daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF, g.dim_b_rows, g.dim_t_rows))
 
 
+def _views(spark, sf_dir):
+    from civicflow.plans.views import register_gold_views
+    g = gold(spark, sf_dir)
+    mart = daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF, g.dim_b_rows, g.dim_t_rows)
+    register_gold_views(spark, {"fact_requests": g.fact, "dim_borough": g.dim_b,
+                                "dim_request_type": g.dim_t, "daily_summary": mart})
+
+
+def q_sql_per_capita(spark, sf_dir):
+    from civicflow.plans.views import run_sql
+    _views(spark, sf_dir)
+    return run_sql(spark, "per_capita")
+
+
+def q_sql_median_by_category(spark, sf_dir):
+    from civicflow.plans.views import run_sql
+    _views(spark, sf_dir)
+    return run_sql(spark, "median_by_category")
+
+
+def q_sql_monthly_trend(spark, sf_dir):
+    from civicflow.plans.views import run_sql
+    _views(spark, sf_dir)
+    return run_sql(spark, "monthly_trend")
+
+
 def queries() -> dict[str, Query]:
     from civicflow.catalog import queries_extra
 
@@ -104,6 +130,9 @@ def queries() -> dict[str, Query]:
         "p9_requests_per_100k": q_per_100k,
         "p10_median_response_by_category": q_median_by_category,
         "p11_monthly_trend": q_monthly_trend,
+        "s8_sql_per_capita": q_sql_per_capita,
+        "s8_sql_median_by_category": q_sql_median_by_category,
+        "s8_sql_monthly_trend": q_sql_monthly_trend,
     }
     out.update(queries_extra.extra())
     return out
