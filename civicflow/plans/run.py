@@ -11,6 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from civicflow.operators import quality as q
+from civicflow.operators.freshness import freshness
 from civicflow.plans import checks as C
 from civicflow.plans.enriched import enrich
 from civicflow.plans.history import request_history
@@ -76,6 +77,8 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
             q.enforce(res.drop("table"))
 
     bronze = wh.bronze()
+    # Q8: source freshness is reported but never blocks the run (warn or error alike).
+    fresh = freshness(bronze, "_extracted_at", as_of)
     gate(bronze, C.source_checks(), "bronze")
     silver = wh.write("silver", "requests_clean", clean(base(bronze)))
     gate(silver, C.staging_checks(), "requests_clean")
@@ -111,4 +114,4 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     for r in reports[1:]:
         results = results.unionByName(r)
     return {"silver": silver, "dim_borough": dim_b, "dim_request_type": dim_t, "fact": fact,
-            "daily_summary": mart, "history": history, "checks": results}
+            "daily_summary": mart, "history": history, "checks": results, "freshness": fresh}
