@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.functions.variant import empty_string_count, json_field
+from civicflow.functions.variant import empty_string_count_variant, json_fields
 
 PROFILE_COLUMNS = ("filename", "records", "missing_unique_key", "missing_created_date",
                    "missing_complaint_type", "missing_borough", "empty_strings", "duplicate_keys")
 
 
-def _missing(raw, key):
+def _missing(v):
     # "Missing" is falsy: absent, NULL or the empty string.
-    v = json_field(raw, key)
     return v.isNull() | (v == "")
 
 
@@ -21,13 +20,14 @@ def file_profile(bronze: DataFrame) -> DataFrame:
     """Q10: one row per landed file; the record-level counters are one aggregation
     and duplicated keys (number of distinct keys seen twice or more in a file)
     a second, map-side combined one."""
-    raw = F.col("raw_data")
-    rec = bronze.select("filename", json_field(raw, "unique_key").alias("k"),
-                        _missing(raw, "unique_key").alias("m_key"),
-                        _missing(raw, "created_date").alias("m_date"),
-                        _missing(raw, "complaint_type").alias("m_type"),
-                        _missing(raw, "borough").alias("m_borough"),
-                        empty_string_count(F.to_json(raw)).alias("empties"))
+    keys = ("unique_key", "created_date", "complaint_type", "borough")
+    r = bronze.select("filename", json_fields("raw_data", keys).alias("r"),
+                      empty_string_count_variant("raw_data").alias("empties"))
+    rec = r.select("filename", F.col("r.unique_key").alias("k"),
+                   _missing(F.col("r.unique_key")).alias("m_key"),
+                   _missing(F.col("r.created_date")).alias("m_date"),
+                   _missing(F.col("r.complaint_type")).alias("m_type"),
+                   _missing(F.col("r.borough")).alias("m_borough"), "empties")
     counters = rec.groupBy("filename").agg(
         F.count(F.lit(1)).alias("records"),
         F.count_if("m_key").alias("missing_unique_key"),
