@@ -81,7 +81,21 @@ select c.*, coalesce(d.duplicate_keys, 0) as duplicate_keys from c left join d u
     orders_checks = [q.unique("o_orderkey"), q.not_null("o_custkey"),
                      q.relationships("o_custkey", None, "c_custkey"),
                      q.accepted_values("o_orderstatus", ("F", "O", "P"))]
+    from civicflow.operators.contracts import CONTRACTS
+
+    def contract(product: str, rel: str, key: str) -> str:
+        c = CONTRACTS[key]
+        nn = " + ".join(f"count_if({col} is null)" for col in c.not_null)
+        return (f"select '{product}' as product, cast({len(c.columns)} as integer) as columns, "
+                f"cast(0 as integer) as drift, cast({nn} as bigint) as not_null_failures from ({rel}) r")
+
+    contracts = "\nunion all\n".join([
+        contract("dim_borough", full.dim_b, "dim_borough"),
+        contract("dim_request_type", full.dim_t, "dim_request_type"),
+        contract("fact_requests", full.fact, "fact_requests"),
+        contract("daily_summary", mart, "daily_summary")])
     return {
+        "q9_contract_report": contracts,
         "q_source_checks": checks_sql("bronze", _sr_flat_bronze(full), C.source_checks()),
         "q_staging_checks": checks_sql("requests_clean", full.clean, C.staging_checks()),
         "q_enriched_checks": checks_sql("requests_enriched", full.enriched, C.enriched_checks()),

@@ -96,6 +96,21 @@ def q_run_summary(spark, sf_dir):
     return run_summary(file_profile(_bronze(spark, sf_dir)))
 
 
+def q_contract_report(spark, sf_dir):
+    """Q9: contract conformance of the four gold products."""
+    from civicflow.operators.contracts import CONTRACTS, contract_report
+    g = _gold(spark, sf_dir)
+    mart = daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF, g.dim_b_rows, g.dim_t_rows)
+    parts = [contract_report(g.dim_b, CONTRACTS["dim_borough"], "dim_borough"),
+             contract_report(g.dim_t, CONTRACTS["dim_request_type"], "dim_request_type"),
+             contract_report(g.fact, CONTRACTS["fact_requests"], "fact_requests"),
+             contract_report(mart, CONTRACTS["daily_summary"], "daily_summary")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def extra() -> dict:
     return {
         "q_source_checks": q_source_checks,
@@ -105,6 +120,7 @@ def extra() -> dict:
         "q_mart_checks": q_mart_checks,
         "q_seed_checks": q_seed_checks,
         "q_order_relationship_checks": q_order_relationship_checks,
+        "q9_contract_report": q_contract_report,
         "q8_events_freshness": q_events_freshness,
         "q10_file_profile": q_file_profile,
         "q11_run_summary": q_run_summary,

@@ -30,3 +30,14 @@ def test_entry_runs(spark):
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, name, QUERIES[name], ORACLE.get(name), SF, con)
     assert res["status"] in ("ok", "rows-only"), res
+
+
+def test_registry_needs_no_session():
+    """The driver may build the registries before any SparkSession exists."""
+    import subprocess
+    import sys
+    code = ("import __spark_entry__ as E; q = E.queries(); o = E.oracle_sql(); "
+            "assert set(o) <= set(q) and len(o) > 40; print('ok')")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                         cwd=__import__("os").path.dirname(__import__("os").path.dirname(__file__)))
+    assert out.stdout.strip().endswith("ok"), out.stderr[-2000:]
