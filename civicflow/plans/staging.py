@@ -49,13 +49,19 @@ def base(bronze: DataFrame) -> DataFrame:
     )
 
 
-def clean(base_df: DataFrame, lat_bounds=LATITUDE_BOUNDS, lon_bounds=LONGITUDE_BOUNDS) -> DataFrame:
-    """Normalised, one row per ``complaint_id`` (newest file wins), with an id and a creation time.
+# Winner of a complaint id: newest file name (NULLs first, as a bare DESC in the
+# warehouse), then newest load, then a hash of the whole row (deterministic).
+def _dedup_order():
+    return [F.col("source_filename").desc_nulls_first()]
 
-    The dedup runs before the ``created_at`` filter, so an id whose newest
-    version lacks a creation time disappears.  Shuffle: one, on ``complaint_id``.
-    """
-    cleaned = base_df.select(
+
+def _dedup_tiebreak():
+    return [F.col("extracted_at").desc_nulls_last(), F.xxhash64(*BASE_COLUMNS).asc()]
+
+
+def cleaned_rows(base_df: DataFrame, lat_bounds=LATITUDE_BOUNDS, lon_bounds=LONGITUDE_BOUNDS) -> DataFrame:
+    """Row-wise normalisation of P1 (no shuffle)."""
+    return base_df.select(
         F.trim(F.col("complaint_id")).alias("complaint_id"),
         "created_at", "closed_at", "resolution_updated_at",
         blank_to_null("agency_code").alias("agency_code"),
@@ -76,10 +82,19 @@ def clean(base_df: DataFrame, lat_bounds=LATITUDE_BOUNDS, lon_bounds=LONGITUDE_B
         title_case(blank_to_null("submission_channel")).alias("submission_channel"),
         "extracted_at", "source_filename", "source_relation",
     )
-    latest = latest_per_key(
-        cleaned, ["complaint_id"],
-        order=[F.col("source_filename").desc_nulls_first()],
-        tiebreak=[F.col("extracted_at").desc_nulls_last(), F.xxhash64(*BASE_COLUMNS).asc()],
-        drop_null_keys=True,
-    )
+
+
+def latest_versions(cleaned: DataFrame) -> DataFrame:
+    """Newest cleaned version per non-NULL ``complaint_id`` (before the created_at filter)."""
+    return latest_per_key(cleaned, ["complaint_id"], order=_dedup_order(), tiebreak=_dedup_tiebreak(),
+                          drop_null_keys=True)
+
+
+def clean(base_df: DataFrame, lat_bounds=LATITUDE_BOUNDS, lon_bounds=LONGITUDE_BOUNDS) -> DataFrame:
+    """Normalised, one row per ``complaint_id`` (newest file wins), with an id and a creation time.
+
+    The dedup runs before the ``created_at`` filter, so an id whose newest
+    version lacks a creation time disappears.  Shuffle: one, on ``complaint_id``.
+    """
+    latest = latest_versions(cleaned_rows(base_df, lat_bounds, lon_bounds))
     return latest.filter(F.col("created_at").isNotNull())

@@ -97,6 +97,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _part_name(v) -> str:
+    """Folder name of a partition value (Spark stores NULL under a fixed name)."""
+    return _NULL_PARTITION if v is None else str(v)
+
+
 class PartitionedTable:
     """A Parquet table partitioned by one column whose merges rewrite only the
     partitions they touch (I2 at scale).
@@ -154,10 +162,10 @@ class PartitionedTable:
         version = f"v-{uuid.uuid4().hex[:16]}"
         df.write.partitionBy(self.col).parquet(os.path.join(self.dir, version))
         # Partition values written by this version (bounded: one per partition).
-        written = [str(r[0]) for r in df.select(self.col).distinct().collect()]
+        written = [_part_name(r[0]) for r in df.select(self.col).distinct().collect()]
         parts = dict(manifest["partitions"]) if manifest else {}
         for v in drop_values:
-            parts.pop(str(v), None)
+            parts.pop(_part_name(v), None)
         parts.update({v: version for v in written})
         manifest_out = {"partitions": parts, "columns": df.columns,
                         "types": [(f.name, f.dataType.simpleString()) for f in df.schema.fields]}
@@ -177,6 +185,24 @@ class PartitionedTable:
     def overwrite(self, df: DataFrame) -> None:
         self._write(df, None)
 
+    def merge_latest(self, src: DataFrame, keys: list[str], pick) -> None:
+        """Keep, per key, the winner of ``pick`` (a latest-per-key function) over the
+        stored rows and ``src`` together - the same winner a full recompute over
+        all inputs would choose, whatever order the inputs arrive in.  Only the
+        partitions holding a stored or a new version of a touched key are read
+        back and rewritten."""
+        current = self.read()
+        if current is None:
+            self._write(pick(src), None)
+            return
+        touched = src.select(*keys).distinct()
+        hit = current.join(touched, keys, "left_semi").select(self.col)
+        values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
+        affected = current.filter(F.col(self.col).isin(values) | (F.col(self.col).isNull() if None in values
+                                                                   else F.lit(False)))
+        merged = pick(affected.unionByName(src.select(*current.columns)))
+        self._write(merged.select(*current.columns), self._manifest(), drop_values=values)
+
     def merge(self, src: DataFrame, keys: list[str]) -> None:
         """Matched keys replaced, new keys inserted; only partitions holding an old
         or a new version of a touched key are rewritten."""
