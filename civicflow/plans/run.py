@@ -87,7 +87,7 @@ def build_silver(wh: Warehouse, bronze: DataFrame, full_refresh: bool = False) -
 
 
 def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: str | None = None,
-            on_error: str = "raise") -> dict[str, DataFrame]:
+            on_error: str = "raise", vacuum_min_age_seconds: int | None = None) -> dict[str, DataFrame]:
     """Build every product from the current bronze, layer by layer.
 
     Like a ``build`` per layer, each layer's checks run right after it; with
@@ -142,5 +142,11 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     results = reports[0]
     for r in reports[1:]:
         results = results.unionByName(r)
+    if vacuum_min_age_seconds is not None:
+        # Optional maintenance: drop versions no product references any more.
+        for layer, name in (("silver", "requests_latest"), ("silver", "request_history"),
+                            ("gold", "dim_borough"), ("gold", "dim_request_type"),
+                            ("gold", "fact_requests"), ("gold", "daily_summary")):
+            T.vacuum(spark, wh.path(layer, name), vacuum_min_age_seconds)
     return {"silver": silver, "dim_borough": dim_b, "dim_request_type": dim_t, "fact": fact,
             "daily_summary": mart, "history": history, "checks": results, "freshness": fresh}

@@ -274,3 +274,34 @@ class HistoryStore:
         name = f"manifest-{uuid.uuid4().hex[:16]}.json"
         _write_text(self.spark, os.path.join(self.dir, name), json.dumps(manifest) + "\n")
         _write_text(self.spark, os.path.join(self.dir, _POINTER), name + "\n")
+
+
+def vacuum(spark: SparkSession, table_dir: str, min_age_seconds: int = 3600) -> list[str]:
+    """Delete version folders and manifests the current pointer no longer references.
+
+    Works for plain versioned tables, ``PartitionedTable`` and ``HistoryStore``.
+    Only entries older than ``min_age_seconds`` go, so a reader that planned
+    against the previous version can finish.  Returns the deleted names.
+    """
+    import json
+    import time
+    pointer = _read_text(spark, os.path.join(table_dir, _POINTER))
+    if not pointer:
+        return []
+    pointer = pointer.strip()
+    keep = {pointer}
+    if pointer.startswith("manifest-"):
+        m = json.loads(_read_text(spark, os.path.join(table_dir, pointer)) or "{}")
+        refs = list((m.get("partitions") or {}).values()) + list(m.get("closed") or []) + [m.get("current") or ""]
+        keep |= {r.split("/", 1)[0] for r in refs if r}
+    fs, root = _hadoop_fs(spark, table_dir)
+    cutoff = (time.time() - min_age_seconds) * 1000
+    deleted = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name == _POINTER or name in keep or not (name.startswith("v-") or name.startswith("manifest-")):
+            continue
+        if st.getModificationTime() <= cutoff:
+            fs.delete(st.getPath(), True)
+            deleted.append(name)
+    return sorted(deleted)

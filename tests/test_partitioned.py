@@ -56,3 +56,18 @@ def test_history_store_appends_closed_versions(spark, tmpdir_path):
     m = store._manifest()
     assert len(m["closed"]) == 2  # runs 2 and 3 each closed a version of key 2; run 1 closed none
     assert store.current().count() == 3
+
+
+def test_vacuum_keeps_only_referenced_versions(spark, tmpdir_path):
+    from civicflow.sources.tables import vacuum
+    t = PartitionedTable(spark, os.path.join(tmpdir_path, "v"), "m")
+    t.merge(_df(spark, [(1, "a", "2024-01-01"), (2, "b", "2024-02-01")]), ["id"])
+    t.merge(_df(spark, [(1, "A", "2024-01-01"), (2, "B", "2024-02-01")]), ["id"])  # both months: v1 unused
+    before = sorted(r.id for r in t.read().collect())
+    assert vacuum(spark, t.dir, min_age_seconds=3600) == []  # too young: nothing deleted
+    gone = vacuum(spark, t.dir, min_age_seconds=0)
+    assert any(g.startswith("v-") for g in gone) and any(g.startswith("manifest-") for g in gone)
+    assert sorted(r.id for r in t.read().collect()) == before
+    assert sorted((r.id, r.v) for r in t.read().collect()) == [(1, "A"), (2, "B")]
+    t.merge(_df(spark, [(3, "c", "2024-03-01")]), ["id"])  # untouched months stay referenced
+    assert [g for g in vacuum(spark, t.dir, min_age_seconds=0) if g.startswith("v-")] == []
