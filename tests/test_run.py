@@ -67,3 +67,15 @@ def test_incremental_silver_equals_full_recompute(spark):
     after_late = build_silver(wh, wh.bronze())
     full_late = clean(base(b1.unionByName(b2).unionByName(late)))
     assert _rows(after_late) == _rows(full_late.select(*inc.columns))
+
+
+def test_two_runs_with_vacuum_keep_products_readable(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh_vac"))
+    sr_bronze(spark, SF, (1,)).write.parquet(wh.bronze_dir + "/load=1")
+    run_all(wh, AS_OF, on_error="continue", vacuum_min_age_seconds=0)
+    sr_bronze(spark, SF, (2,)).write.parquet(wh.bronze_dir + "/load=2")
+    out = run_all(wh, AS_OF, on_error="continue", vacuum_min_age_seconds=0)
+    full = GoldBuild(spark, sr_bronze(spark, SF, (1, 2)), AS_OF, persist=False)
+    assert _rows(wh.fact_table().read()) == _rows(full.fact)
+    assert wh.history_store().read().count() > 0
+    assert out["freshness"].first().status in ("pass", "warn", "error")
