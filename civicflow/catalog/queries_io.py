@@ -114,7 +114,7 @@ def q_stream_fact(spark, sf_dir):
 def q_full_run(spark, sf_dir):
     """Two scheduled runs (drop 1, then drop 2); returns the published daily mart."""
     wh = _two_drop_run(spark, sf_dir, streaming=False)
-    return wh.read("gold", "daily_summary")
+    return wh.mart_table().read().drop("_month")
 
 
 def q_full_run_history(spark, sf_dir):

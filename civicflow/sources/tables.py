@@ -158,7 +158,11 @@ class PartitionedTable:
         types = dict(m["types"])
         return out.select(*[F.col(c).cast(types[c]).alias(c) for c in m["columns"]])
 
-    def _write(self, df: DataFrame, manifest: dict | None, drop_values=()) -> None:
+    def meta(self, key: str):
+        m = self._manifest()
+        return (m or {}).get("meta", {}).get(key)
+
+    def _write(self, df: DataFrame, manifest: dict | None, drop_values=(), meta: dict | None = None) -> list:
         version = f"v-{uuid.uuid4().hex[:16]}"
         df.write.partitionBy(self.col).parquet(os.path.join(self.dir, version))
         # Partition values written by this version (bounded: one per partition).
@@ -168,7 +172,8 @@ class PartitionedTable:
             parts.pop(_part_name(v), None)
         parts.update({v: version for v in written})
         manifest_out = {"partitions": parts, "columns": df.columns,
-                        "types": [(f.name, f.dataType.simpleString()) for f in df.schema.fields]}
+                        "types": [(f.name, f.dataType.simpleString()) for f in df.schema.fields],
+                        "meta": dict((manifest or {}).get("meta", {}), **(meta or {}))}
         if self.mark_col:
             # High-water mark kept with the table: max over what this write added
             # (the increment) and the previous mark - never a scan of the table.
@@ -176,14 +181,20 @@ class PartitionedTable:
             old = (manifest or {}).get("mark")
             manifest_out["mark"] = max([m for m in (old, new) if m is not None], default=None)
         self._publish(manifest_out)
+        return written
 
     def mark(self) -> str | None:
         """The stored high-water mark of ``mark_col`` (None for an empty/new table)."""
         m = self._manifest()
         return m.get("mark") if m else None
 
-    def overwrite(self, df: DataFrame) -> None:
-        self._write(df, None)
+    def overwrite(self, df: DataFrame, meta: dict | None = None) -> list:
+        """Replace the whole table; returns the partition values written."""
+        return self._write(df, None, meta=meta)
+
+    def replace(self, df: DataFrame, values: list, meta: dict | None = None) -> None:
+        """Replace exactly the partitions ``values`` with ``df`` (rows of those partitions)."""
+        self._write(df, self._manifest(), drop_values=values, meta=meta)
 
     def merge_latest(self, src: DataFrame, keys: list[str], pick) -> None:
         """Keep, per key, the winner of ``pick`` (a latest-per-key function) over the
@@ -203,19 +214,19 @@ class PartitionedTable:
         merged = pick(affected.unionByName(src.select(*current.columns)))
         self._write(merged.select(*current.columns), self._manifest(), drop_values=values)
 
-    def merge(self, src: DataFrame, keys: list[str]) -> None:
+    def merge(self, src: DataFrame, keys: list[str]) -> list:
         """Matched keys replaced, new keys inserted; only partitions holding an old
-        or a new version of a touched key are rewritten."""
+        or a new version of a touched key are rewritten.  Returns those partition values."""
         current = self.read()
         if current is None:
-            self._write(src, None)
-            return
+            return self._write(src, None)
         touched = src.select(*keys).distinct()
         hit = current.join(touched, keys, "left_semi").select(self.col)
         values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
         affected = current.filter(F.col(self.col).isin(values))
         kept = affected.join(touched, keys, "left_anti").select(*current.columns)
         self._write(kept.unionByName(src.select(*current.columns)), self._manifest(), drop_values=values)
+        return values
 
 
 class HistoryStore:

@@ -1,6 +1,7 @@
 """Whole-run behaviour: layer gating and incremental == full refresh."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from civicflow.catalog.queries import sr_bronze
 from civicflow.catalog.queries_io import DAYS, land_arrays
@@ -79,3 +80,32 @@ def test_two_runs_with_vacuum_keep_products_readable(spark):
     assert _rows(wh.fact_table().read()) == _rows(full.fact)
     assert wh.history_store().read().count() > 0
     assert out["freshness"].first().status in ("pass", "warn", "error")
+
+
+def test_mart_refresh_rewrites_only_touched_months(spark):
+    import datetime as dt
+
+    from civicflow.plans.marts import daily_summary
+    from civicflow.plans.run import refresh_mart
+    wh = Warehouse(spark, scratch_path(spark, "wh_mart"))
+    D = dt.date
+    dim_b = spark.createDataFrame([("b1", "Manhattan", dt.datetime(2024, 1, 1))],
+                                  "borough_sk string, borough_name string, dim_loaded_at timestamp_ntz")
+    dim_t = spark.createDataFrame([("t1", "Noise", True, False, dt.datetime(2024, 1, 1))],
+                                  "complaint_type_sk string, category string, is_quality_of_life boolean, "
+                                  "is_emergency boolean, dim_loaded_at timestamp_ntz")
+    schema = ("created_date date, created_month date, borough_sk string, complaint_type_sk string, "
+              "is_resolved boolean, is_open boolean, response_time_hours int")
+    v1 = [(D(2024, 1, 5), D(2024, 1, 1), "b1", "t1", True, False, 3),
+          (D(2024, 2, 7), D(2024, 2, 1), "b1", "t1", False, True, None)]
+    f1 = spark.createDataFrame(v1, schema)
+    refresh_mart(wh, f1, dim_b, dim_t, AS_OF, 1, 1, [D(2024, 1, 1), D(2024, 2, 1)])
+    jan_version = wh.mart_table()._manifest()["partitions"]["2024-01-01"]
+    f2 = spark.createDataFrame(v1 + [(D(2024, 2, 8), D(2024, 2, 1), "b1", "t1", True, False, 5)], schema)
+    mart = refresh_mart(wh, f2, dim_b, dim_t, AS_OF, 1, 1, [D(2024, 2, 1)])
+    assert wh.mart_table()._manifest()["partitions"]["2024-01-01"] == jan_version
+    assert _rows(mart) == _rows(daily_summary(f2, dim_b, dim_t, AS_OF, 1, 1).select(*mart.columns))
+    dim_t2 = dim_t.withColumn("category", F.lit("Housing"))
+    mart2 = refresh_mart(wh, f2, dim_b, dim_t2, AS_OF, 1, 1, [])
+    assert wh.mart_table()._manifest()["partitions"]["2024-01-01"] != jan_version  # full rebuild
+    assert {r.category for r in mart2.collect()} == {"Housing"}
