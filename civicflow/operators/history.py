@@ -16,7 +16,7 @@ def _scd_id(key: str, ts_col) -> F.Column:
 
 
 def snapshot_check(history: DataFrame | None, source: DataFrame, key: str,
-                   check_cols: Sequence[str], run_at: str) -> DataFrame:
+                   check_cols: Sequence[str], run_at: str, carry: Sequence[str] = ()) -> DataFrame:
     """One snapshot run.
 
     * new key -> open version (valid_from = run_at, valid_to NULL);
@@ -27,12 +27,17 @@ def snapshot_check(history: DataFrame | None, source: DataFrame, key: str,
     Plan: open versions FULL-OUTER-joined to the source on the key (one
     shuffle of each side on ``key``); closed history is passed through
     untouched.  ``source`` must be unique on ``key``.
+
+    ``carry`` columns ride along without change tracking: an open version takes
+    the source's value whenever the key is present in the source.
     """
     ts = F.lit(run_at).cast("timestamp_ntz")
     cols = [key, *check_cols]
-    src = source.select(*cols)
+    carry = list(carry)
+    src = source.select(*cols, *carry)
     new_rows = lambda df: df.select(*cols, _scd_id(key, ts).alias("scd_id"), ts.alias("updated_at"),
-                                    ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
+                                    ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+                                    *carry)
     if history is None:
         return new_rows(src)
     closed = history.filter(F.col("valid_to").isNotNull())
@@ -51,10 +56,12 @@ def snapshot_check(history: DataFrame | None, source: DataFrame, key: str,
     old = j.filter(has_o).select(
         *[F.col(f"o.{c}").alias(c) for c in cols], F.col("o.scd_id"), F.col("o.updated_at"),
         F.col("o.valid_from"), F.when(F.col("__changed"), ts).otherwise(F.lit(None).cast("timestamp_ntz"))
-        .alias("valid_to"))
+        .alias("valid_to"),
+        *[F.when(has_s & ~F.col("__changed"), F.col(f"s.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in carry])
     # New versions: new keys and changed keys.
-    fresh = new_rows(j.filter(has_s & (~has_o | F.col("__changed"))).select(*[F.col(f"s.{c}").alias(c) for c in cols]))
-    return closed.select(*cols, *SCD_COLUMNS).unionByName(old).unionByName(fresh)
+    fresh = new_rows(j.filter(has_s & (~has_o | F.col("__changed")))
+                     .select(*[F.col(f"s.{c}").alias(c) for c in cols + carry]))
+    return closed.select(*cols, *SCD_COLUMNS, *carry).unionByName(old).unionByName(fresh)
 
 
 def as_of(history: DataFrame, t: str) -> DataFrame:

@@ -12,7 +12,7 @@ from civicflow.operators.dedup import latest_per_key
 from civicflow.operators.history import snapshot_check
 
 
-def history_input(bronze: DataFrame) -> DataFrame:
+def history_input(bronze: DataFrame, with_filename: bool = False) -> DataFrame:
     """Latest raw row per *untrimmed* key (newest file, NULLs last), five fields parsed.
 
     An absent key is filtered (JSON null is kept, as a path test does).
@@ -30,9 +30,28 @@ def history_input(bronze: DataFrame) -> DataFrame:
                             tiebreak=[F.col("_extracted_at").desc_nulls_last(),
                                       F.xxhash64("status", "closed_at", "resolution_description",
                                                  "resolution_updated_at", "agency_code").asc()])
-    return latest.select("complaint_id", *HISTORY_CHECK_COLUMNS)
+    extra = [F.col("filename").alias("_source_filename")] if with_filename else []
+    return latest.select("complaint_id", *HISTORY_CHECK_COLUMNS, *extra)
 
 
 def request_history(history: DataFrame | None, bronze: DataFrame, run_at: str) -> DataFrame:
     """One snapshot run over the current bronze."""
     return snapshot_check(history, history_input(bronze), "complaint_id", HISTORY_CHECK_COLUMNS, run_at)
+
+
+def request_history_increment(open_versions: DataFrame | None, new_bronze: DataFrame, run_at: str) -> DataFrame:
+    """P8 over newly loaded bronze only (the stored-history path).
+
+    Each open version remembers the newest source file it reflects
+    (``_source_filename``); a new row from an older file - a late delivery -
+    is ignored, exactly as a snapshot over all of bronze would ignore it.
+    Keys absent from the new bronze stay open, as with hard deletes off.
+    """
+    src = history_input(new_bronze, with_filename=True)
+    if open_versions is not None:
+        seen = open_versions.select("complaint_id", F.col("_source_filename").alias("__seen"))
+        src = (src.join(seen, "complaint_id", "left")
+               .filter(F.col("__seen").isNull() | (F.col("_source_filename") >= F.col("__seen")))
+               .drop("__seen"))
+    return snapshot_check(open_versions, src, "complaint_id", HISTORY_CHECK_COLUMNS, run_at,
+                          carry=("_source_filename",))

@@ -15,7 +15,7 @@ from civicflow.operators import quality as q
 from civicflow.operators.freshness import freshness
 from civicflow.plans import checks as C
 from civicflow.plans.enriched import enrich
-from civicflow.plans.history import request_history
+from civicflow.plans.history import request_history_increment
 from civicflow.plans.marts import daily_summary
 from civicflow.plans.staging import base, cleaned_rows, latest_versions
 from civicflow.plans.star import dim_borough, dim_request_type, fact_increment
@@ -165,11 +165,15 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     gate(fact, C.fact_checks(dim_b, dim_t, enriched), "fact_requests")
     mart = refresh_mart(wh, fact, dim_b, dim_t, as_of, nb, nt, touched, full_refresh)
     gate(mart, C.mart_checks(), "daily_summary")
-    # History: only the open versions take part in change detection; closed
-    # versions are appended and never rewritten.
+    # History: only bronze loaded since the stored mark and the open versions
+    # take part; closed versions are appended and never rewritten.
     store = wh.history_store()
     open_versions = None if full_refresh else store.current()
-    store.publish(request_history(open_versions, bronze, history_at or as_of), reset=full_refresh)
+    mark = None if full_refresh else store.meta("mark")
+    new = bronze if mark is None else bronze.filter(F.col("_extracted_at") >= F.lit(mark).cast("timestamp_ntz"))
+    new_mark = new.agg(F.max("_extracted_at").cast("string")).first()[0] or mark
+    store.publish(request_history_increment(open_versions, new, history_at or as_of), reset=full_refresh,
+                  meta={"mark": new_mark})
     history = store.read()
     results = reports[0]
     for r in reports[1:]:

@@ -254,22 +254,27 @@ class HistoryStore:
         fs, p = _hadoop_fs(self.spark, os.path.join(self.dir, rel))
         return fs.exists(p)
 
+    def meta(self, key: str):
+        return ((self._manifest() or {}).get("meta") or {}).get(key)
+
     def current(self) -> DataFrame | None:
         m = self._manifest()
         if not m or not m.get("current"):
             return None
         return self.spark.read.parquet(os.path.join(self.dir, m["current"])).select(*m["columns"])
 
-    def read(self) -> DataFrame | None:
+    def read(self, hidden: bool = False) -> DataFrame | None:
+        """All versions; bookkeeping columns (leading ``_``) are dropped unless ``hidden``."""
         m = self._manifest()
         if not m:
             return None
         paths = [os.path.join(self.dir, p) for p in [*m["closed"], m.get("current")] if p]
         if not paths:
             return None
-        return self.spark.read.parquet(*paths).select(*m["columns"])
+        cols = [c for c in m["columns"] if hidden or not c.startswith("_")]
+        return self.spark.read.parquet(*paths).select(*cols)
 
-    def publish(self, snapshot: DataFrame, reset: bool = False) -> None:
+    def publish(self, snapshot: DataFrame, reset: bool = False, meta: dict | None = None) -> None:
         """``snapshot`` = open versions after this run plus the versions it closed."""
         import json
         version = f"v-{uuid.uuid4().hex[:16]}"
@@ -281,7 +286,8 @@ class HistoryStore:
         if self._exists(rel_closed):
             closed.append(rel_closed)
         manifest = {"closed": closed, "current": rel_open if self._exists(rel_open) else None,
-                    "columns": snapshot.columns}
+                    "columns": snapshot.columns,
+                    "meta": dict(((old or {}).get("meta") or {}), **(meta or {}))}
         name = f"manifest-{uuid.uuid4().hex[:16]}.json"
         _write_text(self.spark, os.path.join(self.dir, name), json.dumps(manifest) + "\n")
         _write_text(self.spark, os.path.join(self.dir, _POINTER), name + "\n")
