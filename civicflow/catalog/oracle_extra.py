@@ -34,7 +34,8 @@ def _history_input(sr: str) -> str:
 from (select unique_key as complaint_id, status, try_cast(closed_date as timestamp) as closed_at,
         cast(null as varchar) as resolution_description, cast(null as timestamp) as resolution_updated_at,
         agency as agency_code,
-        row_number() over (partition by unique_key order by filename desc nulls last, extracted_at desc) as rn
+        row_number() over (partition by unique_key order by filename desc nulls last, extracted_at desc nulls last,
+          status asc nulls first, try_cast(closed_date as timestamp) asc nulls first, agency asc nulls first) as rn
       from {sr} s where unique_key is not null) x where rn = 1"""
 
 

@@ -28,8 +28,7 @@ def history_input(bronze: DataFrame, with_filename: bool = False) -> DataFrame:
         F.col("filename"), F.col("_extracted_at"))
     latest = latest_per_key(rows, ["complaint_id"], order=[F.col("filename").desc_nulls_last()],
                             tiebreak=[F.col("_extracted_at").desc_nulls_last(),
-                                      F.xxhash64("status", "closed_at", "resolution_description",
-                                                 "resolution_updated_at", "agency_code").asc()])
+                                      *[F.col(c).asc_nulls_first() for c in HISTORY_CHECK_COLUMNS]])
     extra = [F.col("filename").alias("_source_filename")] if with_filename else []
     return latest.select("complaint_id", *HISTORY_CHECK_COLUMNS, *extra)
 

@@ -50,13 +50,20 @@ def base(bronze: DataFrame) -> DataFrame:
 
 
 # Winner of a complaint id: newest file name (NULLs first, as a bare DESC in the
-# warehouse), then newest load, then a hash of the whole row (deterministic).
+# warehouse), then newest load, then newest creation time, then the other
+# columns in order - a deterministic total order that SQL can state too.
 def _dedup_order():
     return [F.col("source_filename").desc_nulls_first()]
 
 
+# Tie-break columns after the load time: a total order over the remaining
+# columns (rows equal on all of them are interchangeable).
+TIEBREAK_COLUMNS = tuple(c for c in BASE_COLUMNS if c not in ("source_filename", "extracted_at", "created_at"))
+
+
 def _dedup_tiebreak():
-    return [F.col("extracted_at").desc_nulls_last(), F.xxhash64(*BASE_COLUMNS).asc()]
+    return [F.col("extracted_at").desc_nulls_last(), F.col("created_at").desc_nulls_last(),
+            *[F.col(c).asc_nulls_first() for c in TIEBREAK_COLUMNS]]
 
 
 def cleaned_rows(base_df: DataFrame, lat_bounds=LATITUDE_BOUNDS, lon_bounds=LONGITUDE_BOUNDS) -> DataFrame:
