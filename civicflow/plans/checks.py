@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from civicflow.fixed_values import (AGE_BUCKET_LABELS, BOROUGH_NAMES, ENRICHED_STATUSES, STAGING_STATUSES,
                                     UNKNOWN)
 from civicflow.operators import quality as q
+from civicflow.sources.seeds import SEED_LENGTHS
 
 
 def source_checks() -> list[q.Check]:
@@ -66,15 +67,21 @@ def mart_checks() -> list[q.Check]:
             q.unique_combination(("created_date", "borough_name", "category"))]
 
 
+def seed_length_checks(name: str) -> list[q.Check]:
+    """Declared ``varchar(n)`` lengths of a seed's string columns."""
+    return [q.expression_is_true(f"length({col}) <= {n}", where=f"{col} is not null", name="max_length")
+            for col, n in SEED_LENGTHS[name].items()]
+
+
 def borough_seed_checks() -> list[q.Check]:
     return [q.unique("borough_name"), q.not_null("borough_name"), q.accepted_values("borough_name", BOROUGH_NAMES),
             q.unique("borough_code"), q.not_null("borough_code"), q.not_null("county_name"),
-            q.not_null("population_2020")]
+            q.not_null("population_2020"), *seed_length_checks("borough_lookup")]
 
 
 def type_seed_checks() -> list[q.Check]:
     return [q.unique("complaint_type"), q.not_null("complaint_type"), q.not_null("category"),
-            q.not_null("is_quality_of_life"), q.not_null("is_emergency")]
+            q.not_null("is_quality_of_life"), q.not_null("is_emergency"), *seed_length_checks("complaint_type_lookup")]
 
 
 def seed_coverage_checks(borough_seed: DataFrame | None, type_seed: DataFrame | None) -> list[q.Check]:

@@ -17,7 +17,7 @@ SEED_SCHEMAS = {
                              "is_emergency boolean",
 }
 
-# Declared maximum string lengths (varchar(n)); checked by ``seed_length_violations``.
+# Declared maximum string lengths (varchar(n)); checked by ``plans.checks.seed_length_checks``.
 SEED_LENGTHS = {
     "borough_lookup": {"borough_name": 50, "borough_code": 2, "county_name": 50},
     "complaint_type_lookup": {"complaint_type": 100, "category": 50},

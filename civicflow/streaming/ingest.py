@@ -29,13 +29,18 @@ def landing_stream(spark: SparkSession, root: str, layout: str = "array", max_fi
 
 
 def ingest_available(spark: SparkSession, landing_root: str, bronze_dir: str, checkpoint: str,
-                     loaded_at: str, layout: str = "array",
-                     on_batch: Callable[[DataFrame, int], None] | None = None) -> int:
+                     loaded_at: str | None, layout: str = "array",
+                     on_batch: Callable[[DataFrame, int], None] | None = None,
+                     processing_time: str | None = None):
     """T1 + T2: load every newly landed file into bronze, then call ``on_batch``.
 
     Each micro-batch is written to ``bronze_dir/batch_id=<id>`` with overwrite,
     so a retried batch replaces its own output instead of duplicating it
     (``foreachBatch`` is at-least-once).  Returns the number of batches run.
+
+    With ``processing_time`` (e.g. ``"60 seconds"``) the same stream runs
+    continuously and the started ``StreamingQuery`` is returned instead;
+    ``loaded_at=None`` then stamps each batch with its load time.
     """
     ran = []
 
@@ -46,7 +51,10 @@ def ingest_available(spark: SparkSession, landing_root: str, bronze_dir: str, ch
         if on_batch is not None:
             on_batch(df, batch_id)
 
-    q = (landing_stream(spark, landing_root, layout).writeStream.foreachBatch(_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    w = landing_stream(spark, landing_root, layout).writeStream.foreachBatch(_batch) \
+        .option("checkpointLocation", checkpoint)
+    if processing_time:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return len(ran)

@@ -73,3 +73,19 @@ def test_versioned_table_and_layer_routing(spark, tmpdir_path):
     first = read_table(spark, t)
     write_table(first.withColumn("id", F.col("id") + 10), t)  # reads v1 while writing v2
     assert sorted(r.id for r in read_table(spark, t).collect()) == [10, 11, 12]
+
+
+def test_continuous_trigger_processes_new_files(spark, tmpdir_path):
+    import time
+    land, bronze, ckpt = (os.path.join(tmpdir_path, x) for x in ("land", "bronze", "ckpt"))
+    _land(land, "2024-02-01", "a.json", [{"unique_key": "1"}])
+    q = ingest_available(spark, land, bronze, ckpt, None, processing_time="1 second")
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and not os.path.exists(os.path.join(bronze, "batch_id=0")):
+            time.sleep(0.5)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(bronze).collect()
+    assert len(rows) == 1 and rows[0]._extracted_at is not None
