@@ -1,19 +1,30 @@
 """Table sinks and layer routing (S8-S10, S12) on plain Parquet folders.
 
-A product is "replaced" by writing a new version folder and then switching a
-small pointer file, so a reader never sees a half-written table and a table
-is never overwritten while it is being read (I2/I4 read their own target).
+A product is "replaced" by writing a new version folder and then committing
+a new, sequence-numbered manifest that names it.  A manifest is written under
+a temporary name and renamed to ``manifest-<seq>.json``; the rename is atomic
+and, on HDFS-like stores, fails if another writer already committed that
+sequence number (optimistic concurrency).  Readers take the highest sequence.
+Nothing is ever overwritten in place, so a reader never sees a half-written
+table, a crash leaves the previous version in force, and a table is never
+overwritten while it is being read (I2/I4 read their own target).
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_POINTER = "_CURRENT"
+_MANIFEST_RE = re.compile(r"^manifest-(\d{12})\.json$")
+
+
+class ConcurrentCommitError(RuntimeError):
+    pass
 
 
 def layer_name(custom: str | None, default: str) -> str:
@@ -44,17 +55,52 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         return None
     stream = fs.open(p)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
+        jvm = spark.sparkContext._jvm
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
     finally:
         stream.close()
 
 
+def _latest_manifest(spark: SparkSession, table_dir: str) -> tuple[int, dict | None]:
+    """(sequence, content) of the newest committed manifest; (0, None) for no table."""
+    fs, root = _hadoop_fs(spark, table_dir)
+    if not fs.exists(root):
+        return 0, None
+    best = 0
+    for st in fs.listStatus(root):
+        m = _MANIFEST_RE.match(st.getPath().getName())
+        if m:
+            best = max(best, int(m.group(1)))
+    if not best:
+        return 0, None
+    return best, json.loads(_read_text(spark, os.path.join(table_dir, f"manifest-{best:012d}.json")))
+
+
+def _commit(spark: SparkSession, table_dir: str, content: dict, after_seq: int) -> int:
+    """Atomically publish ``content`` as the manifest following ``after_seq``."""
+    seq = after_seq + 1
+    tmp = os.path.join(table_dir, f"_tmp-{uuid.uuid4().hex}.json")
+    _write_text(spark, tmp, json.dumps(content) + "\n")
+    fs, tmp_p = _hadoop_fs(spark, tmp)
+    _, final_p = _hadoop_fs(spark, os.path.join(table_dir, f"manifest-{seq:012d}.json"))
+    # rename fails on HDFS-like stores if the target exists; the exists check
+    # covers local file systems, whose rename would replace it.
+    if fs.exists(final_p) or not fs.rename(tmp_p, final_p):
+        fs.delete(tmp_p, False)
+        raise ConcurrentCommitError(f"{table_dir}: manifest {seq} was committed by another writer")
+    return seq
+
+
 def current_version(spark: SparkSession, table_dir: str) -> str | None:
     """Folder of the table's current version, or None if the table does not exist."""
-    v = _read_text(spark, os.path.join(table_dir, _POINTER))
-    return os.path.join(table_dir, v.strip()) if v else None
+    _, m = _latest_manifest(spark, table_dir)
+    return os.path.join(table_dir, m["version"]) if m else None
 
 
 def table_exists(spark: SparkSession, table_dir: str) -> bool:
@@ -77,7 +123,8 @@ def write_table(df: DataFrame, table_dir: str, partition_by: list[str] | None =
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(os.path.join(table_dir, version))
-    _write_text(spark, os.path.join(table_dir, _POINTER), version + "\n")
+    seq, _ = _latest_manifest(spark, table_dir)
+    _commit(spark, table_dir, {"version": version}, seq)
     return os.path.join(table_dir, version)
 
 
@@ -120,30 +167,15 @@ class PartitionedTable:
         self.spark, self.dir, self.col, self.mark_col = spark, table_dir, partition_col, mark_col
 
     def _manifest(self) -> dict | None:
-        import json
-        name = _read_text(self.spark, os.path.join(self.dir, _POINTER))
-        if not name:
-            return None
-        fs, p = _hadoop_fs(self.spark, os.path.join(self.dir, name.strip()))
-        stream = fs.open(p)
-        try:
-            jvm = self.spark.sparkContext._jvm
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            return json.loads(reader.readLine())
-        finally:
-            stream.close()
-
-    def _publish(self, manifest: dict) -> None:
-        import json
-        name = f"manifest-{uuid.uuid4().hex[:16]}.json"
-        _write_text(self.spark, os.path.join(self.dir, name), json.dumps(manifest) + "\n")
-        _write_text(self.spark, os.path.join(self.dir, _POINTER), name + "\n")
+        return _latest_manifest(self.spark, self.dir)[1]
 
     def exists(self) -> bool:
         return self._manifest() is not None
 
     def read(self) -> DataFrame | None:
-        m = self._manifest()
+        return self._read_manifest(self._manifest())
+
+    def _read_manifest(self, m: dict | None) -> DataFrame | None:
         if not m:
             return None
         by_version: dict[str, list[str]] = {}
@@ -162,7 +194,10 @@ class PartitionedTable:
         m = self._manifest()
         return (m or {}).get("meta", {}).get(key)
 
-    def _write(self, df: DataFrame, manifest: dict | None, drop_values=(), meta: dict | None = None) -> list:
+    def _write(self, df: DataFrame, manifest: dict | None, base_seq: int, drop_values=(),
+               meta: dict | None = None) -> list:
+        """Write ``df`` as a new version on top of ``manifest`` (committed as
+        ``base_seq``); a commit by another writer since then makes ours fail."""
         version = f"v-{uuid.uuid4().hex[:16]}"
         df.write.partitionBy(self.col).parquet(os.path.join(self.dir, version))
         # Partition values written by this version (bounded: one per partition).
@@ -180,7 +215,7 @@ class PartitionedTable:
             new = df.agg(F.max(self.mark_col).cast("string")).first()[0]
             old = (manifest or {}).get("mark")
             manifest_out["mark"] = max([m for m in (old, new) if m is not None], default=None)
-        self._publish(manifest_out)
+        _commit(self.spark, self.dir, manifest_out, base_seq)
         return written
 
     def mark(self) -> str | None:
@@ -190,11 +225,13 @@ class PartitionedTable:
 
     def overwrite(self, df: DataFrame, meta: dict | None = None) -> list:
         """Replace the whole table; returns the partition values written."""
-        return self._write(df, None, meta=meta)
+        seq, _ = _latest_manifest(self.spark, self.dir)
+        return self._write(df, None, seq, meta=meta)
 
     def replace(self, df: DataFrame, values: list, meta: dict | None = None) -> None:
         """Replace exactly the partitions ``values`` with ``df`` (rows of those partitions)."""
-        self._write(df, self._manifest(), drop_values=values, meta=meta)
+        seq, m = _latest_manifest(self.spark, self.dir)
+        self._write(df, m, seq, drop_values=values, meta=meta)
 
     def merge_latest(self, src: DataFrame, keys: list[str], pick) -> None:
         """Keep, per key, the winner of ``pick`` (a latest-per-key function) over the
@@ -202,9 +239,10 @@ class PartitionedTable:
         all inputs would choose, whatever order the inputs arrive in.  Only the
         partitions holding a stored or a new version of a touched key are read
         back and rewritten."""
-        current = self.read()
+        seq, m = _latest_manifest(self.spark, self.dir)
+        current = self._read_manifest(m)
         if current is None:
-            self._write(pick(src), None)
+            self._write(pick(src), None, seq)
             return
         touched = src.select(*keys).distinct()
         hit = current.join(touched, keys, "left_semi").select(self.col)
@@ -212,20 +250,21 @@ class PartitionedTable:
         affected = current.filter(F.col(self.col).isin(values) | (F.col(self.col).isNull() if None in values
                                                                    else F.lit(False)))
         merged = pick(affected.unionByName(src.select(*current.columns)))
-        self._write(merged.select(*current.columns), self._manifest(), drop_values=values)
+        self._write(merged.select(*current.columns), m, seq, drop_values=values)
 
     def merge(self, src: DataFrame, keys: list[str]) -> list:
         """Matched keys replaced, new keys inserted; only partitions holding an old
         or a new version of a touched key are rewritten.  Returns those partition values."""
-        current = self.read()
+        seq, m = _latest_manifest(self.spark, self.dir)
+        current = self._read_manifest(m)
         if current is None:
-            return self._write(src, None)
+            return self._write(src, None, seq)
         touched = src.select(*keys).distinct()
         hit = current.join(touched, keys, "left_semi").select(self.col)
         values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
         affected = current.filter(F.col(self.col).isin(values))
         kept = affected.join(touched, keys, "left_anti").select(*current.columns)
-        self._write(kept.unionByName(src.select(*current.columns)), self._manifest(), drop_values=values)
+        self._write(kept.unionByName(src.select(*current.columns)), m, seq, drop_values=values)
         return values
 
 
@@ -243,12 +282,7 @@ class HistoryStore:
         self.spark, self.dir = spark, table_dir
 
     def _manifest(self) -> dict | None:
-        import json
-        name = _read_text(self.spark, os.path.join(self.dir, _POINTER))
-        if not name:
-            return None
-        text = _read_text(self.spark, os.path.join(self.dir, name.strip()))
-        return json.loads(text) if text else None
+        return _latest_manifest(self.spark, self.dir)[1]
 
     def _exists(self, rel: str) -> bool:
         fs, p = _hadoop_fs(self.spark, os.path.join(self.dir, rel))
@@ -276,11 +310,11 @@ class HistoryStore:
 
     def publish(self, snapshot: DataFrame, reset: bool = False, meta: dict | None = None) -> None:
         """``snapshot`` = open versions after this run plus the versions it closed."""
-        import json
+        base_seq, old_manifest = _latest_manifest(self.spark, self.dir)
         version = f"v-{uuid.uuid4().hex[:16]}"
         (snapshot.withColumn("__closed", F.col("valid_to").isNotNull())
          .write.partitionBy("__closed").parquet(os.path.join(self.dir, version)))
-        old = None if reset else self._manifest()
+        old = None if reset else old_manifest
         closed = list(old["closed"]) if old else []
         rel_closed, rel_open = f"{version}/__closed=true", f"{version}/__closed=false"
         if self._exists(rel_closed):
@@ -288,35 +322,31 @@ class HistoryStore:
         manifest = {"closed": closed, "current": rel_open if self._exists(rel_open) else None,
                     "columns": snapshot.columns,
                     "meta": dict(((old or {}).get("meta") or {}), **(meta or {}))}
-        name = f"manifest-{uuid.uuid4().hex[:16]}.json"
-        _write_text(self.spark, os.path.join(self.dir, name), json.dumps(manifest) + "\n")
-        _write_text(self.spark, os.path.join(self.dir, _POINTER), name + "\n")
+        _commit(self.spark, self.dir, manifest, base_seq)
 
 
 def vacuum(spark: SparkSession, table_dir: str, min_age_seconds: int = 3600) -> list[str]:
-    """Delete version folders and manifests the current pointer no longer references.
+    """Delete version folders, manifests and leftover temporary files that the
+    newest manifest no longer needs.
 
     Works for plain versioned tables, ``PartitionedTable`` and ``HistoryStore``.
     Only entries older than ``min_age_seconds`` go, so a reader that planned
     against the previous version can finish.  Returns the deleted names.
     """
-    import json
     import time
-    pointer = _read_text(spark, os.path.join(table_dir, _POINTER))
-    if not pointer:
+    seq, m = _latest_manifest(spark, table_dir)
+    if not m:
         return []
-    pointer = pointer.strip()
-    keep = {pointer}
-    if pointer.startswith("manifest-"):
-        m = json.loads(_read_text(spark, os.path.join(table_dir, pointer)) or "{}")
-        refs = list((m.get("partitions") or {}).values()) + list(m.get("closed") or []) + [m.get("current") or ""]
-        keep |= {r.split("/", 1)[0] for r in refs if r}
+    keep = {f"manifest-{seq:012d}.json"}
+    refs = [m.get("version") or ""] + list((m.get("partitions") or {}).values()) + \
+        list(m.get("closed") or []) + [m.get("current") or ""]
+    keep |= {r.split("/", 1)[0] for r in refs if r}
     fs, root = _hadoop_fs(spark, table_dir)
     cutoff = (time.time() - min_age_seconds) * 1000
     deleted = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if name == _POINTER or name in keep or not (name.startswith("v-") or name.startswith("manifest-")):
+        if name in keep or not (name.startswith("v-") or _MANIFEST_RE.match(name) or name.startswith("_tmp-")):
             continue
         if st.getModificationTime() <= cutoff:
             fs.delete(st.getPath(), True)

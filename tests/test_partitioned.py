@@ -71,3 +71,24 @@ def test_vacuum_keeps_only_referenced_versions(spark, tmpdir_path):
     assert sorted((r.id, r.v) for r in t.read().collect()) == [(1, "A"), (2, "B")]
     t.merge(_df(spark, [(3, "c", "2024-03-01")]), ["id"])  # untouched months stay referenced
     assert [g for g in vacuum(spark, t.dir, min_age_seconds=0) if g.startswith("v-")] == []
+
+
+def test_commits_are_sequenced_and_stale_writers_fail(spark, tmpdir_path):
+    import pytest
+
+    from civicflow.sources.tables import (ConcurrentCommitError, _commit, _latest_manifest, _write_text,
+                                          read_table, vacuum, write_table)
+    t = os.path.join(tmpdir_path, "plain")
+    write_table(spark.range(2), t)
+    seq, m = _latest_manifest(spark, t)
+    assert seq == 1 and m["version"].startswith("v-")
+    write_table(spark.range(5), t)
+    assert _latest_manifest(spark, t)[0] == 2 and read_table(spark, t).count() == 5
+    with pytest.raises(ConcurrentCommitError):  # a writer that based its work on manifest 1
+        _commit(spark, t, {"version": m["version"]}, 1)
+    assert read_table(spark, t).count() == 5
+    _write_text(spark, os.path.join(t, "_tmp-crashed.json"), "{\"version\": \"v-nope\"")  # torn write
+    assert read_table(spark, t).count() == 5
+    gone = vacuum(spark, t, min_age_seconds=0)
+    assert "_tmp-crashed.json" in gone and "manifest-000000000001.json" in gone
+    assert read_table(spark, t).count() == 5
