@@ -186,9 +186,11 @@ class PartitionedTable:
             base = os.path.join(self.dir, version)
             part = (self.spark.read.option("basePath", base)
                     .parquet(*[os.path.join(base, f"{self.col}={v}") for v in sorted(values)]))
-            out = part if out is None else out.unionByName(part)
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
         types = dict(m["types"])
-        return out.select(*[F.col(c).cast(types[c]).alias(c) for c in m["columns"]])
+        # Columns appended by a later merge are NULL in partitions written before it.
+        return out.select(*[(F.col(c) if c in out.columns else F.lit(None)).cast(types[c]).alias(c)
+                            for c in m["columns"]])
 
     def meta(self, key: str):
         m = self._manifest()
@@ -264,7 +266,10 @@ class PartitionedTable:
         values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
         affected = current.filter(F.col(self.col).isin(values))
         kept = affected.join(touched, keys, "left_anti").select(*current.columns)
-        self._write(kept.unionByName(src.select(*current.columns)), m, seq, drop_values=values)
+        # Columns new in ``src`` are appended; columns it lacks stay (NULL for its rows).
+        cols = current.columns + [c for c in src.columns if c not in current.columns]
+        merged = kept.unionByName(src, allowMissingColumns=True).select(*cols)
+        self._write(merged, m, seq, drop_values=values)
         return values
 
 

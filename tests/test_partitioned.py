@@ -92,3 +92,13 @@ def test_commits_are_sequenced_and_stale_writers_fail(spark, tmpdir_path):
     gone = vacuum(spark, t, min_age_seconds=0)
     assert "_tmp-crashed.json" in gone and "manifest-000000000001.json" in gone
     assert read_table(spark, t).count() == 5
+
+
+def test_merge_appends_new_columns(spark, tmpdir_path):
+    t = PartitionedTable(spark, os.path.join(tmpdir_path, "evo"), "m")
+    t.merge(_df(spark, [(1, "a", "2024-01-01"), (2, "b", "2024-02-01")]), ["id"])
+    src = _df(spark, [(2, "B", "2024-02-01")]).withColumn("note", F.lit("new"))
+    t.merge(src, ["id"])
+    got = sorted((r.id, r.v, str(r.m), r.note) for r in t.read().collect())
+    assert got == [(1, "a", "2024-01-01", None), (2, "B", "2024-02-01", "new")]
+    assert t.read().columns == ["id", "v", "m", "note"]
