@@ -134,15 +134,55 @@ def view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+# Inputs up to this size are cheap to round-robin whatever the cluster size.
+SMALL_INPUT_BYTES = 1 << 30
+# Compressed input per task when spreading a small input (rows expand several
+# times in memory, and the per-row work here - JSON, variant parsing - is CPU-bound).
+SPREAD_BYTES_PER_TASK = 256 << 10
+
+
+def _bytes(conf_value: str) -> int:
+    v = conf_value.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if v.endswith(suffix):
+            return int(float(v[: -len(suffix)]) * units[suffix])
+    return int(v)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` across the cluster only when its scan yields fewer
-    splits than the default parallelism (e.g. one unsplittable file or a
-    single row group).  A large input already has enough splits and is
-    returned unchanged, so no shuffle is added at scale.  Planning only - no job.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    """Round-robin a scan whose splits cannot use the cluster, and only when that is cheap or needed.
 
+    * small input (<= 1 GiB): one cheap shuffle spreads CPU-heavy per-row work
+      over up to ``defaultParallelism`` tasks (e.g. a file with a single row group);
+    * splits far larger than ``spark.sql.files.maxPartitionBytes`` (unsplittable
+      files or row groups): re-split to the size Spark would have chosen;
+    * otherwise - a large, normally split input - it is returned unchanged, so
+      no shuffle is added at scale even when there are fewer splits than cores.
+
+    Planning only (file sizes come from the scan's statistics) - no job.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    if n >= target:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    want = spread_partitions(n, target, size, max_split)
+    return df if want is None else df.repartition(want)
+
+
+def spread_partitions(splits: int, parallelism: int, size: int, max_split: int) -> int | None:
+    """The partition count ``spread`` re-splits to, or None to keep the scan as is."""
+    if splits >= parallelism:
+        return None
+    if size <= SMALL_INPUT_BYTES:
+        want = min(parallelism, max(1, -(-size // SPREAD_BYTES_PER_TASK)))
+        return want if want > splits else None
+    if size / max(splits, 1) > 2 * max_split:
+        return -(-size // max_split)
+    return None
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 

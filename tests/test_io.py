@@ -89,3 +89,12 @@ def test_continuous_trigger_processes_new_files(spark, tmpdir_path):
         q.stop()
     rows = spark.read.option("recursiveFileLookup", "true").parquet(bronze).collect()
     assert len(rows) == 1 and rows[0]._extracted_at is not None
+
+
+def test_spread_only_when_cheap_or_needed():
+    from civicflow.sources.tables import spread_partitions
+    MB, GB = 1 << 20, 1 << 30
+    assert spread_partitions(1, 8, 2 * MB, 128 * MB) == 8            # tiny single-row-group file
+    assert spread_partitions(16, 8, 2 * MB, 128 * MB) is None        # already enough splits
+    assert spread_partitions(4000, 8000, 500 * GB, 128 * MB) is None  # large, normally split: no shuffle
+    assert spread_partitions(1, 8000, 100 * GB, 128 * MB) == 800      # one unsplittable 100 GB file
