@@ -8,19 +8,31 @@ from pyspark.sql import functions as F
 # Largest dimension we broadcast, in rows.  A lookup row is a natural key and
 # a 32-char hash (~100 bytes), so the bound is ~100 MB per executor.
 MAX_BROADCAST_ROWS = 1_000_000
+# Largest planner size estimate we broadcast without a row count.  For plans
+# over file scans the estimate is an upper bound (no operator here grows its
+# input), so an estimate under this bound proves the side is small.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``dim`` only when its row count is proven to be at most ``max_rows``.
+                      known_rows: int | None = None, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``dim`` only behind a proven size bound.
+
+    * ``known_rows`` (e.g. counted from a materialised dimension) within ``max_rows``;
+    * otherwise the planner's estimate - the size of the files it reads, an
+      upper bound - within ``max_bytes``.  No job is run for the check.
 
-    ``known_rows`` may come from a materialised table; otherwise the dimension
-    is counted (dimensions are materialised before use, so this is cheap).
-    Beyond the bound the plain DataFrame is returned: a shuffle join, where
-    AQE splits skewed partitions.
+    Beyond the bound the plain DataFrame is returned: a shuffle join, which AQE
+    turns into a broadcast at run time if the measured side is small and whose
+    skewed partitions it splits.
     """
-    n = known_rows if known_rows is not None else dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    if known_rows is not None:
+        return F.broadcast(dim) if known_rows <= max_rows else dim
+    return F.broadcast(dim) if _estimated_bytes(dim) <= max_bytes else dim
 
 
 def enrich_left(observed: DataFrame, meta: DataFrame, key: str, meta_key: str | None = None,
