@@ -132,3 +132,13 @@ def test_incremental_history_equals_full_bronze_snapshots(spark):
         seen = b if seen is None else seen.unionByName(b)
         lazy = request_history(lazy, seen, t)
     assert _rows(wh.history_store().read()) == _rows(lazy)
+
+
+def test_freshness_with_known_mark(spark):
+    from civicflow.operators.freshness import freshness
+    df = spark.createDataFrame([("2024-01-01 00:00:00",)], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    none_new = df.filter("false")
+    r = freshness(none_new, "t", "2024-01-02 00:00:00", known_max="2024-01-01 12:00:00").first()
+    assert str(r.max_loaded_at) == "2024-01-01 12:00:00" and r.status == "pass"
+    r2 = freshness(df, "t", "2024-01-03 00:00:00", known_max="2023-12-31 00:00:00").first()
+    assert str(r2.max_loaded_at) == "2024-01-01 00:00:00" and r2.status == "warn"
