@@ -42,10 +42,34 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.sparkContext.setLogLevel("ERROR")
+    apply_scale_defaults(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+# Defaults for large runs, applied only where the cluster configuration is
+# silent (an explicit setting always wins).
+SCALE_DEFAULTS = {
+    # Bigger post-shuffle partitions: fewer tasks when AQE coalesces at TB scale.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # A partition is skewed at 5x the median and over 512 MB; AQE then splits it.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Keep the optimiser's runtime filters (bloom / semi-join reduction) on.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
+def apply_scale_defaults(spark: SparkSession) -> None:
+    conf = spark.sparkContext.getConf()
+    for key, value in SCALE_DEFAULTS.items():
+        if not conf.contains(key):
+            try:
+                spark.conf.set(key, value)
+            except Exception:  # noqa: BLE001 - static or unknown key in this version
+                pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only if unset."""
     sc = spark.sparkContext
