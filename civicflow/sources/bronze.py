@@ -17,13 +17,11 @@ def to_bronze(df: DataFrame, loaded_at: str | _dt.datetime | None = None,
     """Shape landed rows (``raw_data`` variant + ``filename``) into the bronze schema.
 
     ``_extracted_at`` defaults to ``loaded_at`` (the load time, one value per
-    load) and ``_source_relation`` to the source tag.  Rows lacking payload or
+    load; the current time when omitted) and ``_source_relation`` to the source tag.  Rows lacking payload or
     filename violate the table's not-null columns: they are routed out here
     rather than silently stored (see ``bronze_violations``).
     """
-    stamp = F.lit(str(loaded_at) if loaded_at is not None else None)
-    if loaded_at is None:
-        stamp = F.current_timestamp()
+    stamp = F.current_timestamp() if loaded_at is None else F.lit(str(loaded_at))
     out = df
     if "_extracted_at" not in df.columns:
         out = out.withColumn("_extracted_at", stamp.cast("timestamp_ntz"))

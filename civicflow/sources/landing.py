@@ -25,11 +25,13 @@ def records_from_files(df: DataFrame, root: str, layout: str = "array",
     rows into one bronze-shaped row per record: ``raw_data`` + relative ``filename``."""
     rel = _lineage(root, path_col)
     if layout == "array":
-        return df.select(F.explode(F.col("raw").cast("array<variant>")).alias("raw_data"), rel.alias("filename"))
+        # An outer array is stripped; a file holding a single object is one record.
+        records = F.coalesce(F.try_variant_get(F.col("raw"), "$", "array<variant>"), F.array(F.col("raw")))
+        return df.select(F.explode(records).alias("raw_data"), rel.alias("filename"))
     return df.select(F.col("raw").alias("raw_data"), rel.alias("filename"))
 
 
-def read_landing(spark: SparkSession, root: str, layout: str = "array", glob: str = "**") -> DataFrame:
+def read_landing(spark: SparkSession, root: str, layout: str = "array") -> DataFrame:
     """S1 + S2: one row per landed record, ``raw_data`` variant + relative ``filename``.
 
     ``layout='array'``: each file is one JSON array of records (the API page

@@ -98,3 +98,13 @@ def test_spread_only_when_cheap_or_needed():
     assert spread_partitions(16, 8, 2 * MB, 128 * MB) is None        # already enough splits
     assert spread_partitions(4000, 8000, 500 * GB, 128 * MB) is None  # large, normally split: no shuffle
     assert spread_partitions(1, 8000, 100 * GB, 128 * MB) == 800      # one unsplittable 100 GB file
+
+
+def test_single_object_file_is_one_record(spark, tmpdir_path):
+    os.makedirs(os.path.join(tmpdir_path, "2024-02-03"))
+    with open(os.path.join(tmpdir_path, "2024-02-03", "one.json"), "w") as fh:
+        json.dump({"unique_key": "9"}, fh)
+    _land(tmpdir_path, "2024-02-04", "two.json", [{"unique_key": "10"}, {"unique_key": "11"}])
+    keys = sorted(r.k for r in read_landing(spark, tmpdir_path, "array")
+                  .selectExpr("try_variant_get(raw_data, '$.unique_key', 'string') as k").collect())
+    assert keys == ["10", "11", "9"]
