@@ -92,3 +92,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder for one intermediate table under the checkpoint dir."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root.rstrip("/"), "civicflow", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def clean_scratch(spark: SparkSession, older_than_seconds: int = 86400) -> list[str]:
+    """Delete this package's scratch folders under the checkpoint dir that are
+    older than ``older_than_seconds`` (default one day, so scratch of jobs
+    still running is left alone).  Returns the deleted folder names."""
+    import time
+    root = os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "civicflow")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    cutoff = (time.time() - older_than_seconds) * 1000
+    deleted = []
+    for st in fs.listStatus(path):
+        if st.getModificationTime() <= cutoff:
+            fs.delete(st.getPath(), True)
+            deleted.append(st.getPath().getName())
+    return sorted(deleted)

@@ -108,3 +108,11 @@ def test_single_object_file_is_one_record(spark, tmpdir_path):
     keys = sorted(r.k for r in read_landing(spark, tmpdir_path, "array")
                   .selectExpr("try_variant_get(raw_data, '$.unique_key', 'string') as k").collect())
     assert keys == ["10", "11", "9"]
+
+
+def test_clean_scratch_only_removes_old_folders(spark):
+    from civicflow.session import clean_scratch, scratch_path
+    p = scratch_path(spark, "probe")
+    spark.range(1).write.parquet(p)
+    assert os.path.basename(p) not in clean_scratch(spark, older_than_seconds=3600)
+    assert os.path.basename(p) in clean_scratch(spark, older_than_seconds=0)
