@@ -61,7 +61,7 @@ from (select max(ts) as m from events) x""" for t in probes)
     payload = ("unique_key", "created_date", "closed_date", "status", "complaint_type", "borough", "latitude",
                "longitude", "agency", "open_data_channel_type", "incident_zip")
     empties = " + ".join(f"(case when {k} = '' then 1 else 0 end)" for k in payload)
-    miss = lambda k: f"count_if({k} is null or {k} = '')"
+    miss = lambda k: f"cast(count_if({k} is null or {k} = '') as bigint)"
     profile = f"""with s as ({full.sr}),
 c as (select filename, count(*) as records, {miss("unique_key")} as missing_unique_key,
         {miss("created_date")} as missing_created_date, {miss("complaint_type")} as missing_complaint_type,

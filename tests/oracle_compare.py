@@ -41,6 +41,23 @@ def norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT",
+                 "float": "FLOAT"}
+
+
+def type_diffs(sdf, rel) -> list[str]:
+    """Columns whose Spark type and DuckDB type differ (decimals must agree on precision/scale)."""
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        if duck_types.get(f.name) != want:
+            out.append(f"{f.name}: spark={t} duck={duck_types.get(f.name)}")
+    return out
+
+
 def rows_of(cols, records):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted(tuple(norm(r[i]) for i in order) for r in records)
@@ -67,7 +84,11 @@ def compare(spark, name, fn, sql, sf_dir, con):
         return res
     a, b = rows_of(scols, srows), rows_of(ocols, orows)
     res["values_match"] = a == b
-    res["status"] = "ok" if a == b and len(srows) == len(orows) else "FAIL"
+    diffs = type_diffs(sdf, rel)
+    res["types_match"] = not diffs
+    if diffs:
+        res["type_diffs"] = diffs
+    res["status"] = "ok" if a == b and len(srows) == len(orows) and not diffs else "FAIL"
     if a != b:
         sa, sb = set(a), set(b)
         res["only_spark"] = sorted(sa - sb)[:3]
