@@ -33,3 +33,12 @@ def test_high_water_mark_reaches_the_scan(spark):
     df = E.queries()["i1_orders_since_mark"](spark, SF)
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate,ScalarSubquery" in plan
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    offenders = []
+    for name, fn in sorted(E.queries().items()):
+        plan = _plan(fn(spark, SF))
+        if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+            offenders.append(name)
+    assert offenders == []
