@@ -289,6 +289,8 @@ class PartitionedTable:
         touched = src.select(*keys).distinct()
         hit = current.join(touched, keys, "left_semi").select(self.col)
         values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
+        if not values:  # nothing new: no version, no commit
+            return
         affected = current.filter(F.col(self.col).isin(values) | (F.col(self.col).isNull() if None in values
                                                                    else F.lit(False)))
         merged = pick(affected.unionByName(src.select(*current.columns)))
@@ -304,6 +306,8 @@ class PartitionedTable:
         touched = src.select(*keys).distinct()
         hit = current.join(touched, keys, "left_semi").select(self.col)
         values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
+        if not values:  # nothing new: no version, no commit
+            return []
         affected = current.filter(F.col(self.col).isin(values))
         kept = affected.join(touched, keys, "left_anti").select(*current.columns)
         # Columns new in ``src`` are appended; columns it lacks stay (NULL for its rows).
