@@ -5,9 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicflow.llm.common import table
+from civicflow.llm.decontaminate import contamination
+from civicflow.llm.fingerprints import fingerprints
+from civicflow.llm.language_id import held_out, train, with_language
 from civicflow.llm.ngram_join import near_duplicates
+from civicflow.llm.substring_dedup import remove_repeats
+from civicflow.llm.warc import read_archives, write_archives
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that its text repeats."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language; two thirds of the ids are there to learn from."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
+    found = with_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
+                        F.col("share").alias("position_share"))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +37,29 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from dictionary-compressed archives."""
+    manifest = write_archives(table(spark, sf_dir, "pages"))
+    return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's sketch, its edited text's, and how alike they are."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that no earlier 20-word window covers."""
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": op1_decontaminate,
+        "op5_language_id": op5_language_id,
         "op6_ngram_join": op6_ngram_join,
+        "op7_warc": op7_warc,
+        "op8_fingerprints": op8_fingerprints,
+        "op10_substring_dedup": op10_substring_dedup,
     }
