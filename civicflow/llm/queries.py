@@ -11,9 +11,13 @@ from civicflow.llm.common import table
 from civicflow.llm.decontaminate import contamination
 from civicflow.llm.fingerprints import fingerprints
 from civicflow.llm.language_id import held_out, train, with_language
+from civicflow.llm.mixing import mix
 from civicflow.llm.ngram_join import near_duplicates
+from civicflow.llm.sharding import place
 from civicflow.llm.substring_dedup import remove_repeats
+from civicflow.llm.url_filter import blocked, canonical
 from civicflow.llm.warc import read_archives, write_archives
+from civicflow.llm.weak_pii import KINDS, find_spans, spelled
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +27,25 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix takes of it."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot and shard."""
+    return place(table(spark, sf_dir, "documents").select("doc_id")).select("doc_id", "slot", "shard")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: base spans, and all spans with those that the classifier adds."""
+    rows, _, _ = find_spans(table(spark, sf_dir, "documents"))
+    n = [F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in KINDS]
+    return (rows.withColumn("spans", F.expr("array_sort(concat(base, added))"))
+            .select("doc_id", *n, F.sha2(spelled("base"), 256).alias("base_sha256"), spelled("spans").alias("spans"),
+                    F.size("added").cast("long").alias("n_added")))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's predicted language; two thirds of the ids are there to learn from."""
     docs = table(spark, sf_dir, "documents")
@@ -48,6 +71,14 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict.  The canonical URLs of pages whose id is divisible by 100 stand for
+    a list of blocked URLs; all pages are judged."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where("page_id % 100 = 0").select(canonical(F.col("url")).alias("url"))
+    return blocked(pages, listed).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that no earlier 20-word window covers."""
     return remove_repeats(table(spark, sf_dir, "documents")).select(
@@ -57,9 +88,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_mixing": op2_mixing,
+        "op3_sharding": op3_sharding,
+        "op4_pii": op4_pii,
         "op5_language_id": op5_language_id,
         "op6_ngram_join": op6_ngram_join,
         "op7_warc": op7_warc,
         "op8_fingerprints": op8_fingerprints,
+        "op9_url_filter": op9_url_filter,
         "op10_substring_dedup": op10_substring_dedup,
     }

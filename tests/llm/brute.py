@@ -84,3 +84,65 @@ def contamination(docs, items, n=10):
                     found |= windows[g]
         out.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
     return out
+
+
+PII = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+       ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def pii(text):
+    """Base spans (start, kind number, end, kind) of a text."""
+    out = []
+    for k, (kind, pattern) in enumerate(PII):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            good = {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                    "card": 14 <= len(digits) <= 19 and luhn(digits), "phone": 10 <= len(digits) <= 15}[kind]
+            if good:
+                out.append((m.start(), k, m.end(), kind))
+    return sorted(out)
+
+
+def spelled(spans):
+    return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in spans)
+
+
+def targets(sizes, epochs=3):
+    """{source: target} by water-filling with exact fractions; sizes: {source: words}."""
+    from fractions import Fraction
+
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    out = {}
+    while True:
+        left = Fraction(sum(sizes.values())) - sum(out.values())
+        free = [s for s in order if s not in out]
+        over = [s for s in free if left * weight[s] / sum(weight[f] for f in free) > epochs * sizes[s]]
+        if not over:
+            return out | {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        out |= {s: Fraction(epochs * sizes[s]) for s in over}
+
+
+RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+def url_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+    return host.translate(UPPER), path
+
+
+def url_rule(host, path):
+    fits = [r for r in RULES for h, _, p in [r.partition("/")] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+    return max(fits, key=len) if fits else None
