@@ -253,3 +253,22 @@ def classify(model: ByteGRU | None, column: pa.Array, letters: pa.Array) -> tupl
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def keep_known(docs: DataFrame, model: ByteGRU | None, least_score: float = 0.3) -> DataFrame:
+    """``docs`` without the documents that the model rejects: ``und``, or a pooled probability below
+    ``least_score``.  Same columns, rows untouched; without a model every document with a letter stays."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    letters = "letters"
+    while letters in docs.columns:
+        letters += "_"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                lang, score, _ = classify(shared.value, part.column("text"), part.column(letters))
+                fits = np.asarray(part.column(letters).to_pylist(), bool)
+                stay = fits & (np.asarray(score) >= least_score) if shared.value is not None else fits
+                yield part.drop_columns([letters]).filter(pa.array(stay))
+
+    return docs.withColumn(letters, has_letter(F.col("text"))).mapInArrow(run, docs.schema)

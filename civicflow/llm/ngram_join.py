@@ -75,8 +75,8 @@ def _sets_of_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.R
         for part in slices(batch, "text"):
             _, row, digest = shingle_sets(part.column("text"), n)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.bincount(row, minlength=part.num_rows).astype(np.int64)),
-                 pa.array(digest.view(np.int64))], names=["doc_id", "n_shingles", "digest"])
+                [part.column("doc_id"), part.column("key"), pa.array(np.bincount(row, minlength=part.num_rows).astype(np.int64)),
+                 pa.array(digest.view(np.int64))], names=["doc_id", "key", "n_shingles", "digest"])
 
 
 def _deal(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -189,12 +189,16 @@ def _side(index: DataFrame, name: str) -> DataFrame:
                                   if c in index.columns])
 
 
+def text_key():
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
+
+
 def ngram_links(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(documents, components): documents has doc_id, n_shingles, digest for every row;
+    """(documents, components): documents has doc_id, key (hash of the text), n_shingles, digest for every row;
     components has digest, component (the smallest digest that links reach) for digests with a link."""
     spark = docs.sparkSession
-    slim = docs.select("doc_id", "text")
-    sizes = stored(slim.mapInArrow(lambda it: _sets_of_batches(it, n), "doc_id bigint, n_shingles bigint, digest bigint"),
+    slim = docs.select("doc_id", text_key(), "text")
+    sizes = stored(slim.mapInArrow(lambda it: _sets_of_batches(it, n), "doc_id bigint, key bigint, n_shingles bigint, digest bigint"),
                    "shingle-sizes")
     total = sizes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = bucket_count(total, BUCKET_GRAMS, spark)
@@ -262,3 +266,24 @@ def near_duplicates(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOL
     return (sizes.join(named, "digest", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
                     .otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each component, all columns; of a component's rows the one with the
+    smallest doc_id stays (NULL last; equal ids by a hash of the text; of wholly equal rows any one).
+
+    Texts without words are linked with nothing and all stay.  An empty table gives no rows.
+    """
+    sizes, comps = ngram_links(docs, n, threshold)
+    member = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    heads = (sizes.where("n_shingles > 0").groupBy("digest").agg(F.min(member).alias("head"))
+             .join(comps.withColumnRenamed("node", "digest"), "digest", "left")
+             .groupBy(F.coalesce("component", "digest")).agg(F.min("head").alias("head")))
+    stay = stored(heads.select(F.col("head.doc_id").alias("stay_id"), F.col("head.key").alias("stay_key"))
+                  .withColumn("alone", F.lit(False))
+                  .unionByName(sizes.where("n_shingles = 0").select(F.col("doc_id").alias("stay_id"), F.col("key").alias("stay_key"))
+                               .distinct().withColumn("alone", F.lit(True))), "shingle-stay")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), text_key().alias("own_key"))
+    nth = F.row_number().over(Window.partitionBy("own_id", "own_key").orderBy(F.lit(1)))
+    return (rows.join(stay, F.col("own_id").eqNullSafe(F.col("stay_id")) & (F.col("own_key") == F.col("stay_key")))
+            .withColumn("nth", nth).where("alone or nth = 1").select("row.*"))
