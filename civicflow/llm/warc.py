@@ -108,7 +108,7 @@ class ArchiveWriter:
         self.dict = dictionary(self.waiting)
         self.file = f"{self.name}-{self.files:04d}.warc.zst"
         self.files += 1
-        self.out = self.fs.open_output_stream(f"{self.folder}/{self.file}")
+        self.out = self.fs.open_output_stream(f"{self.folder}/{self.file}", compression=None)
         raw = self.dict.as_bytes()
         self.out.write(struct.pack("<II", DICT_FRAME, len(raw)) + raw)
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=self.dict, write_content_size=True, write_checksum=True)
@@ -184,7 +184,7 @@ def _page(uri: str) -> int | None:
 def open_archive(path: str) -> io.BufferedReader:
     """Decompressed records of one archive, with the dictionary from its leading frame."""
     fs, inner = filesystem(path)
-    raw = fs.open_input_stream(inner)
+    raw = fs.open_input_stream(inner, compression=None)
     magic, size = struct.unpack("<II", raw.read(8))
     if magic != DICT_FRAME:
         raise ValueError(f"{path}: no dictionary frame")

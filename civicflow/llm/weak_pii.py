@@ -47,6 +47,7 @@ CUES = {"email": "contact|e-?mail|mail|write to", "ip": "address|host|ip|peer|se
 COUNTER = "chapter|invoice|isbn|issn|license|no\\.|order|part|ref|release|section|serial|sku|ticket|version"
 BEFORE, AFTER = 40, 20
 EM_ROUNDS = 25
+SURE = 2.0    # log-odds that a looser candidate needs (88 per cent)
 PRIOR = 20.0  # strength of the labelers' prior, in matches
 
 
@@ -199,7 +200,7 @@ def find_spans(docs: DataFrame) -> tuple[DataFrame, Labels, list[float]]:
     weights = train_classifier(counts, labels)
     span = lambda k: f"x -> struct(x.start as start, {KINDS.index(k)} as rank, x.end as end, '{k}' as kind, x.value as value)"
     base = F.array_sort(F.concat(*[F.expr(f"transform(filter(base_{k}, x -> x.good), {span(k)})") for k in BASE]))
-    picked = F.concat(*[F.expr(f"transform(filter(loose_{k}, x -> x.good and {_score('x.votes', weights)} > 0), {span(k)})") for k in LOOSE])
+    picked = F.concat(*[F.expr(f"transform(filter(loose_{k}, x -> x.good and {_score('x.votes', weights)} > {SURE}D), {span(k)})") for k in LOOSE])
     rows = judged.select("doc_id", base.alias("base"), picked.alias("picked"))
     free = F.expr("filter(picked, c -> not exists(base, b -> b.start < c.end and c.start < b.end))")
     return rows.select("doc_id", "base", F.array_sort(free).alias("added")), labels, weights
