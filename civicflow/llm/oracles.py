@@ -1,7 +1,158 @@
-"""DuckDB SQL for the contract queries that SQL can express."""
+"""DuckDB SQL for the contract queries that SQL can express.
+
+Each states its contract directly: no automaton, filter, bucket or sample appears here.
+Op 4 adds a classifier's spans and ops 5 and 8 a network's and a sketch's results, which SQL can't
+express; they are tested against brute-force versions and held-out accuracy.
+"""
 
 from __future__ import annotations
 
+from civicflow.llm.mixing import MAX_EPOCHS, SEED
+from civicflow.llm.sharding import SHARDS, SLOTS, walk
+from civicflow.llm.url_filter import RULES
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"[^\x20\x09-\x0D]+"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(pattern: str, text: str) -> str:
+    return f"coalesce(regexp_extract_all({text}, '{pattern}'), [])"
+
+
+OP1 = f"""
+with items as (
+  select coalesce(cast(item_id as varchar), '') as item, w, len(w) as n
+  from (select item_id, {_words(_ALNUM, _LOWER.format('text'))} as w from benchmark) t where len(w) > 0),
+windows as (
+  select distinct item, array_to_string(w[i:i + least(n, 10) - 1], ' ') as win, least(n, 10) as size
+  from (select *, unnest(range(1, n - least(n, 10) + 2)) as i from items) t),
+docs as (
+  select row_number() over () as r, doc_id, {_words(_ALNUM, _LOWER.format('text'))} as w from documents),
+sizes as (select distinct size from windows),
+places as (
+  select r, i, size, array_to_string(w[i:i + size - 1], ' ') as win
+  from (select r, w, size, unnest(range(1, len(w) - size + 2)) as i from docs, sizes) t),
+found as (select r, i, p.size, item from places p join windows using (win, size)),
+hit as (
+  select r, count(*) as n_hit from (
+    select distinct r, unnest(range(i, i + size)) as at from (select distinct r, i, size from found) f) h group by r),
+named as (select r, count(*) as n_items, string_agg(item, ',' order by item) as names from (select distinct r, item from found) f group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit using (r) left join named using (r)"""
+
+OP2 = f"""
+with docs as (
+  select doc_id, source, cast(len({_words(_SPACED, 'text')}) as bigint) as size,
+    md5('{SEED}:' || coalesce(cast(doc_id as varchar), '')) as turn from documents),
+sources as (
+  select source, cast(sum(size) as bigint) as s, {MAX_EPOCHS} * cast(sum(size) as bigint) as cap,
+    cast((row_number() over (order by source nulls last) - 1) % 3 + 1 as bigint) as w from docs group by source),
+-- The clamped sources are the first ones by cap per weight, as far as each is below the level of what is left.
+levels as (
+  select *, sum(cap) over before as capped_before, sum(w) over from_here as weights_here, (select sum(s) from sources) as pool
+  from sources window before as (order by cast(cap as double) / w, source nulls last rows between unbounded preceding and 1 preceding),
+    from_here as (order by cast(cap as double) / w, source nulls last rows between current row and unbounded following)),
+clamped as (select *, cap * weights_here < w * (pool - coalesce(capped_before, 0)) as clamp from levels),
+rest as (select (select any_value(pool) from clamped) - coalesce(sum(cap) filter (where clamp), 0) as left_over, sum(w) filter (where not clamp) as weights from clamped),
+targets as (
+  select source, s, case when clamp then cast(cap as double) else cast(left_over as double) * w / cast(weights as double) end as target
+  from clamped, rest),
+goals as (select *, cast(round(target) as bigint) as goal, if(s > 0, cast(round(target) as bigint) // s, 0) as epochs from targets),
+placed as (
+  select d.*, s, target, epochs, goal - epochs * s as extra,
+    coalesce(sum(size) over (partition by d.source order by turn, doc_id nulls first, size rows between unbounded preceding and 1 preceding), 0) as before
+  from docs d join goals g on d.source is not distinct from g.source)
+select doc_id, size, s as source_size, target, cast(epochs * size + greatest(0, least(size, extra - before)) as bigint) as taken from placed"""
+
+
+def _op3() -> str:
+    """One turn a step: the shard whose turn it is claims the first free slot of its walk."""
+    walks = ", ".join(f"({i}, '{s}', {walk(s, SLOTS)[0]}, {walk(s, SLOTS)[1]})" for i, s in enumerate(SHARDS))
+    n = len(SHARDS)
+    return f"""
+with recursive walks(i, shard, first, skip) as (values {walks}),
+-- owner: the shard number of each slot, -1 for a free one; steps: how far each shard has walked
+fill(turn, owner, steps) as (
+  select 0, list_transform(range({SLOTS}), lambda x: -1), list_transform(range({n}), lambda x: 0)
+  union all
+  select turn + 1, list_concat(list_concat(owner[1:slot], [i]), owner[slot + 2:]), list_concat(list_concat(steps[1:i], [k + 1]), steps[i + 2:])
+  from (select *, (first + k * skip) % {SLOTS} as slot from (
+    select f.turn, f.owner, f.steps, w.i, w.first, w.skip,
+      list_filter(range(f.steps[w.i + 1], {SLOTS}), lambda k: f.owner[(w.first + k * w.skip) % {SLOTS} + 1] = -1)[1] as k
+    from fill f join walks w on w.i = f.turn % {n} where f.turn < {SLOTS}) t) s),
+slots as (select unnest(range({SLOTS})) as slot, unnest(owner) as i from fill where turn = {SLOTS}),
+docs as (
+  select doc_id, cast(('0x' || left(md5(coalesce(cast(doc_id as varchar), '')), 8))::bigint % {SLOTS} as integer) as slot from documents)
+select doc_id, docs.slot, shard from docs join slots using (slot) join walks using (i)"""
+
+
+OP6 = f"""
+with recursive docs as (
+  select row_number() over () as r, doc_id, {_words(_SPACED, _LOWER.format('text'))} as w from documents),
+grams as (
+  select distinct r, array_to_string(w[i:i + 4], ' ') as g
+  from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from docs where len(w) > 0) t),
+sizes as (select r, count(*) as n from grams group by r),
+links as (
+  select a.r as x, b.r as y from grams a join grams b on a.g = b.g and a.r < b.r
+  join sizes sa on sa.r = a.r join sizes sb on sb.r = b.r
+  group by a.r, b.r, sa.n, sb.n having 100 * count(*) >= 75 * (sa.n + sb.n - count(*))),
+edges as (select x, y from links union select y, x from links),
+reach as (select r as x, r as y from docs union select reach.x, edges.y from reach join edges on edges.x = reach.y),
+least_id as (select reach.x as r, min(doc_id) as component_id from reach join docs on docs.r = reach.y group by reach.x)
+select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id
+from docs join least_id using (r) left join sizes using (r)"""
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+OP7 = f"""
+with pages_ as (
+  select page_id, coalesce(html, '') as body from pages),
+digests as (
+  select page_id, body, strlen(body) as payload_bytes, sha1(body) as hex from pages_),
+bits as (
+  select *, array_to_string(list_transform(range(1, 41), lambda k: right('000' || bin(instr('0123456789abcdef', hex[k]) - 1), 4)), '') as b
+  from digests),
+firsts as (select body, min(page_id) as first from pages_ group by body)
+select page_id, cast(payload_bytes as bigint) as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: '{_BASE32}'[cast(('0b' || substr(b, 5 * k + 1, 5)) as integer) + 1]), '') as payload_digest,
+  if(first is null or page_id is not distinct from first, 'response', 'revisit') as record_type,
+  if(page_id is not distinct from first, null, first) as refers_to
+from bits join firsts using (body)"""
+
+
+def _op9() -> str:
+    host = f"coalesce({_LOWER.format('regexp_extract(url, ' + chr(39) + '(?s)^.*?://([^/?#]*)' + chr(39) + ', 1)')}, '')"
+    path = "coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+    return f"""
+with parts as (select row_number() over () as r, page_id, {host} as host, {path} as path from pages),
+named as (
+  select *, regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '(/|\\.html)$', '') as key from parts),
+fits as (
+  select r, arg_max(h || p, length(h || p)) as rule, arg_max(v, length(h || p)) as ruled
+  from parts join (values {rules}) as t(h, p, v) on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by r),
+listed as (select distinct key from named where page_id % 100 = 0 and key <> '')
+select page_id, host, path, rule, coalesce(ruled, if(l.key is null, 'allow', 'block')) as verdict, l.key is not null as listed
+from named left join fits using (r) left join listed l on l.key = named.key"""
+
+
+OP10 = f"""
+with docs as (select doc_id, {_words(_SPACED, 'text')} as w from documents),
+windows as (
+  select doc_id, i, array_to_string(w[i:i + 19], ' ') as win
+  from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from docs where len(w) >= 20) t),
+later as (
+  select doc_id, i from (select *, row_number() over (partition by win order by doc_id, i) as nth from windows) t where nth > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as place from later),
+marks as (select doc_id, list(place) as places, count(*) as n from gone group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed,
+  sha256(if(n is null, array_to_string(w, ' '),
+    coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: not list_contains(places, i)), lambda i: w[i]), ' '), ''))) as kept_sha256
+from docs d left join marks m using (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": OP1, "op2_mixing": OP2, "op3_sharding": _op3(), "op6_ngram_join": OP6, "op7_warc": OP7, "op9_url_filter": _op9(),
+            "op10_substring_dedup": OP10}
