@@ -2,7 +2,7 @@
 
 Training is plain numpy: forward and backward recurrent layers, a softmax at
 every position, backpropagation through time and Adam.  It sees windows of bytes
-of a bounded sample of labelled rows (SAMPLE_PER_LANG per language, the rows
+of a bounded sample of labelled rows (SAMPLE_PER_LANG distinct texts per language, those
 with the smallest hash; up to WINDOWS_PER_DOC windows of each).
 
 Prediction reads every byte of every text.  A text is read in windows of WINDOW
@@ -181,15 +181,21 @@ def positions(model: ByteGRU, column: pa.Array) -> Iterator[tuple[np.ndarray, np
 def sample_windows(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Bounded training sample: (languages, windows, real bytes, label) of rows (text, lang).
 
-    Rows with the smallest hash of each language; of each row up to WINDOWS_PER_DOC evenly
-    spaced pieces of WINDOW characters.
+    The distinct texts with the smallest hash of each language; of each text up to WINDOWS_PER_DOC
+    evenly spaced pieces of WINDOW characters.  A first pass counts rows per language; the second
+    lets only hashes below a bound pass, so a language's sort sees a few times the sample however
+    many rows it has.
     """
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), F.length("text")))
+    known = labelled.where("text is not null and lang is not null and text != ''").select("lang", "text", F.xxhash64("text").alias("h"))
+    bound = F.lit(0)
+    for r in known.groupBy("lang").count().collect():  # one row per language
+        bound = F.when(F.col("lang") == r.lang, int(min(1.0, 8 * per_lang / r["count"]) * 2**32)).otherwise(bound)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     gap = F.greatest(F.lit(1), F.length("text") / F.lit(WINDOWS_PER_DOC)).cast("int")
     cut = F.array(*[F.substring(F.col("text"), F.lit(1) + gap * k, F.lit(WINDOW)) for k in range(WINDOWS_PER_DOC)])
-    rows = (labelled.where("text is not null and lang is not null and text != ''").select("lang", F.xxhash64("text").alias("h"), "text")
-            .withColumn("rank", rank).where(F.col("rank") <= per_lang).select("lang", "h", cut.alias("pieces"))
-            .orderBy("lang", "h").collect())
+    below = F.shiftrightunsigned("h", 32) < bound
+    rows = (known.where(below).select("lang", "h", cut.alias("pieces")).groupBy("lang", "h").agg(F.first("pieces").alias("pieces"))
+            .withColumn("rank", rank).where(F.col("rank") <= per_lang).orderBy("lang", "h").collect())
     langs = sorted({r.lang for r in rows})
     pieces = [(p.encode()[:WINDOW], langs.index(r.lang)) for r in rows for p in r.pieces if p]
     x = np.full((len(pieces), WINDOW), 32, np.uint8)
