@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from civicflow.catalog.oracle import SRProducts, seed_borough_values, seed_type_values
+from civicflow.fixed_values import RECORD_KEYS
 from civicflow.plans import checks as C
 
 
@@ -58,9 +59,7 @@ def extra(full: SRProducts) -> dict[str, str]:
     case when m is null then 'error' when date_diff('second', m, timestamp '{t}') > 48 * 3600 then 'error'
          when date_diff('second', m, timestamp '{t}') > 24 * 3600 then 'warn' else 'pass' end as status
 from (select max(ts) as m from events) x""" for t in probes)
-    payload = ("unique_key", "created_date", "closed_date", "status", "complaint_type", "borough", "latitude",
-               "longitude", "agency", "open_data_channel_type", "incident_zip")
-    empties = " + ".join(f"(case when {k} = '' then 1 else 0 end)" for k in payload)
+    empties = " + ".join(f"(case when {k} = '' then 1 else 0 end)" for k in RECORD_KEYS)
     miss = lambda k: f"cast(count_if({k} is null or {k} = '') as bigint)"
     profile = f"""with s as ({full.sr}),
 c as (select filename, count(*) as records, {miss("unique_key")} as missing_unique_key,
@@ -90,6 +89,8 @@ select c.*, coalesce(d.duplicate_keys, 0) as duplicate_keys from c left join d u
                 f"cast(0 as integer) as drift, cast({nn} as bigint) as not_null_failures from ({rel}) r")
 
     contracts = "\nunion all\n".join([
+        f"select 'dim_borough (drifted)' as product, cast(9 as integer) as columns, cast(3 as integer) as drift, "
+        f"count(*) filter (where borough_name = 'Queens') as not_null_failures from ({full.dim_b}) d",
         contract("dim_borough", full.dim_b, "dim_borough"),
         contract("dim_request_type", full.dim_t, "dim_request_type"),
         contract("fact_requests", full.fact, "fact_requests"),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 
-from civicflow.catalog.oracle import SRProducts, title
+from civicflow.catalog.oracle import SRProducts, lit, surrogate, title
+from civicflow.fixed_values import SURROGATE_NULL_TOKEN
 
 CUT = "timestamp '1998-01-01 00:00:00'"
 RUN1, RUN2, PROBE = "timestamp '2024-03-01 00:00:00'", "timestamp '2024-03-02 00:00:00'", "timestamp '2024-03-01 12:00:00'"
@@ -32,43 +33,44 @@ select * from old union all select * from fresh"""
 def _history_input(sr: str) -> str:
     return f"""select complaint_id, status, closed_at, resolution_description, resolution_updated_at, agency_code
 from (select unique_key as complaint_id, status, try_cast(closed_date as timestamp) as closed_at,
-        cast(null as varchar) as resolution_description, cast(null as timestamp) as resolution_updated_at,
-        agency as agency_code,
-        row_number() over (partition by unique_key order by filename desc nulls last, extracted_at desc nulls last,
-          status asc nulls first, try_cast(closed_date as timestamp) asc nulls first, agency asc nulls first) as rn
-      from {sr} s where unique_key is not null) x where rn = 1"""
-
-
-def _bi(full) -> dict[str, str]:
-    """The BI questions: same answers whether asked through DataFrames or SQL views."""
-    fact, db, dt = full.fact, full.dim_b, full.dim_t
-    per_capita = f"""with f as ({fact}), b as ({db})
-select b.borough_name, b.population_2020, count(*) as total_complaints,
-  cast(cast((2 * count(*) * 10000000 + cast(b.population_2020 as bigint)) // (2 * cast(b.population_2020 as bigint))
-            as decimal(18,0)) * 0.01 as decimal(18,2)) as complaints_per_100k
-from f join b on f.borough_sk = b.borough_sk
-where b.population_2020 is not null
-group by b.borough_name, b.population_2020"""
-    median = f"""with f as ({fact}), t as ({dt})
-select t.category, count(*) as complaints,
-  quantile_cont(cast(f.response_time_hours as double), 0.5) as median_hours
-from f join t on f.complaint_type_sk = t.complaint_type_sk
-where f.is_resolved
-group by t.category"""
-    trend = f"""with s as ({full.daily_summary})
-select cast(date_trunc('month', created_date) as date) as month,
-  cast(sum(total_complaints) as decimal(28,0)) as complaints,
-  cast(cast((2000 * cast(sum(resolved_complaints) as bigint) + cast(sum(total_complaints) as bigint))
-            // (2 * cast(sum(total_complaints) as bigint)) as decimal(18,1)) * 0.1 as decimal(10,1)) as pct_resolved
-from s group by 1"""
-    return {"p9_requests_per_100k": per_capita, "p10_median_response_by_category": median,
-            "p11_monthly_trend": trend, "s8_sql_per_capita": per_capita,
-            "s8_sql_median_by_category": median, "s8_sql_monthly_trend": trend}
+        resolution_description, try_cast(resolution_action_updated_date as timestamp) as resolution_updated_at,
+        agency as agency_code, filename, extracted_at from {sr} s where unique_key is not null) x
+qualify row_number() over (partition by complaint_id order by filename desc nulls last, extracted_at desc nulls last, status nulls first,
+          closed_at nulls first, resolution_description nulls first, resolution_updated_at nulls first, agency_code nulls first) = 1"""
+
+
+def _tenths(part: str, whole: str) -> str:
+    """100 * part / whole, rounded half up to one decimal in whole numbers."""
+    return f"cast((2000 * cast({part} as bigint) + cast({whole} as bigint)) // (2 * cast({whole} as bigint)) as decimal(18,1)) * 0.1"
+
+
+def _questions(full) -> dict[str, str]:
+    """P9-P11 and the SQL questions, over the gold products."""
+    fact, boroughs, types, daily = (f"({x}) {n}" for x, n in ((full.fact, "facts"), (full.dim_b, "boroughs"), (full.dim_t, "types"),
+                                                              (full.daily_summary, "daily")))
+    people = "cast(any_value(population_2020) as bigint)"
+    per_capita = f"""select borough_name, any_value(population_2020) as population_2020, count(complaint_sk) as total_complaints,
+  cast(cast((2 * count(complaint_sk) * 10000000 + {people}) // (2 * {people}) as decimal(18,0)) * 0.01 as decimal(18,2)) as complaints_per_100k
+from {boroughs} join {fact} using (borough_sk) group by borough_name having any_value(population_2020) is not null"""
+    median = f"""select category, count(complaint_sk) as complaints, quantile_cont(cast(response_time_hours as double), 0.5) as median_hours
+from {types} join (select * from {fact} where is_resolved) resolved using (complaint_type_sk) group by category"""
+    trend = f"""select month, cast(total as decimal(28,0)) as complaints, cast({_tenths("resolved", "total")} as decimal(10,1)) as pct_resolved
+from (select make_date(cast(year(created_date) as bigint), cast(month(created_date) as bigint), 1) as month,
+        sum(total_complaints) as total, sum(resolved_complaints) as resolved from {daily} group by all) months"""
+    return {
+        "p9_requests_per_100k": per_capita, "p10_median_response_by_category": median, "p11_monthly_trend": trend,
+        "s8_sql_per_capita": per_capita, "s8_sql_median_by_category": median, "s8_sql_monthly_trend": trend,
+        "s8_sql_open_backlog": f"""select borough_name, complaint_age_bucket as age, count(*) as waiting, max(days_since_created) as oldest_days
+from {fact}, {boroughs} where facts.borough_sk = boroughs.borough_sk and is_open and not is_missing_metadata
+group by borough_name, complaint_age_bucket""",
+        "s8_sql_busiest_day": f"""select borough_name, arg_max(created_date, (n, -epoch(created_date))) as created_date,
+  cast(max(n) as decimal(28,0)) as requests
+from (select borough_name, created_date, sum(total_complaints) as n from {daily} group by all) days group by borough_name""",
+    }
 
 
 def extra(full) -> dict[str, str]:
-    fact, db, dt = full.fact, full.dim_b, full.dim_t
-    bi = _bi(full)
+    bi = _questions(full)
     drop1 = SRProducts("extracted_at = timestamp '2024-02-01 05:00:00'")
     orders_target = f"select * from orders where o_orderdate < {CUT}"
     orders_src = f"""select * from orders where o_orderdate >= {CUT}
@@ -86,10 +88,11 @@ def extra(full) -> dict[str, str]:
     l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) as rn from lineitem) x where rn = 1""",
         "w2_latest_event_per_user": """select user_id, event_id, ts, event_type from (select *, row_number() over (
     partition by user_id order by ts desc nulls last, event_id desc) as rn from events) x where rn = 1""",
-        "j8_order_orphans": """select o_orderkey, o_custkey from orders o where o_custkey is not null
-    and not exists (select 1 from customer c where c.c_custkey = o.o_custkey)""",
-        "j8_customers_without_orders": """select c_custkey, c_name from customer c where c_custkey is not null
-    and not exists (select 1 from orders o where o.o_custkey = c.c_custkey)""",
+        "j8_order_orphans": """select o_orderkey, o_custkey from orders where o_custkey is not null
+    and o_custkey not in (select c_custkey from customer where c_acctbal >= 0)""",
+        "j8_customers_without_orders": f"""select c_custkey, c_name from customer
+    where c_custkey not in (select o_custkey from orders where o_orderdate >= {CUT}
+      and o_orderpriority = '1-URGENT' and o_custkey is not null)""",
         "j5_orders_by_region": """select r.r_name, n.n_name, count(*) as orders,
     cast(sum(cast(o.o_totalprice as decimal(18,2))) as decimal(28,2)) as total_price
 from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
@@ -109,17 +112,15 @@ from lineitem group by l_returnflag""",
 group by l_orderkey, l_linenumber having count(*) > 1""",
         "x6_title_case_parts": f"""select p_partkey, {title("upper(p_name)")} as name_title,
     {title("concat_ws('/', p_type, p_brand)")} as type_title from part""",
-        "x19_order_keys": """select o_orderkey,
-    md5(coalesce(cast(o_orderkey as varchar), '_dbt_utils_surrogate_key_null_')) as order_sk,
-    md5(coalesce(cast(o_orderkey as varchar), '_dbt_utils_surrogate_key_null_') || '-' ||
-        coalesce(cast(case when o_custkey % 5 <> 0 then o_custkey end as varchar), '_dbt_utils_surrogate_key_null_'))
+        "x19_order_keys": f"""select o_orderkey,
+    {surrogate("o_orderkey")} as order_sk,
+    md5(cast(o_orderkey as varchar) || '-' || if(o_custkey % 5 = 0, {lit(SURROGATE_NULL_TOKEN)}, cast(o_custkey as varchar)))
         as order_customer_sk
 from orders""",
         "s6_events_page": """select event_id, ts, event_type from events order by ts desc, event_id
 limit 1000 offset 1000""",
         "s6_events_paged": """select event_id, rank, cast((rank - 1) // 1000 * 1000 as bigint) as batch_offset
-from (select event_id, cast(row_number() over (order by ts desc, event_id) as integer) as rank from events) x
-where rank <= 10000""",
+from (select event_id, row_number() over (order by ts desc, event_id) as rank from events) x""",
         "i1_orders_since_mark": f"""select o_orderkey, o_orderdate from orders where o_orderdate >
     (select coalesce(max(o_orderdate), timestamp '1900-01-01') from orders where o_orderdate < {CUT})""",
         "i2_orders_merge": f"""with t as ({orders_target}), s as ({orders_src})
@@ -146,6 +147,7 @@ HIST_COLS = ["status", "closed_at", "resolution_description", "resolution_update
 
 def io_extra(full) -> dict[str, str]:
     drop1 = SRProducts("extracted_at = timestamp '2024-02-01 05:00:00'")
+    consistent = SRProducts("coalesce(try_cast(trim(unique_key) as bigint), 0) % 89 <> 0")
     stored_hist = _snapshot("complaint_id", HIST_COLS, _history_input(drop1.sr), _history_input(full.sr),
                             "timestamp '2024-02-01 05:00:00'", "timestamp '2024-02-02 05:00:00'")
     parsed = f"""select unique_key as complaint_id, try_cast(created_date as timestamp) as created_at,
@@ -157,7 +159,17 @@ from {full.sr}"""
         "s1_landing_arrays": parsed,
         "s5_landing_lines": parsed,
         "t1_stream_bronze": parsed,
+        "s11_landing_inventory": f"""select substr(filename, 8, 10) as landing_date, count(distinct filename) as files
+from {full.sr} group by 1""",
+        "s1_landing_rejects": """select if(page % 3000 = 0, 'deep', 'flat') as folder, count(*) as rejected
+from (select distinct event_id - event_id % 1000 as page from events where event_id % 10 <> 9) pages where page % 4000 = 0 group by 1""",
+        "t1_stream_two_checkpoints": f"""select unique_key as complaint_id, 2 * count(*) as loads, max(status) as status
+from {drop1.sr} group by unique_key""",
         "t2_stream_fact": full.fact,
+        "t4_stream_history": stored_hist,
+        "p12_gated_run": consistent.daily_summary,
+        "q12_severities": "select * from (values ('error', false), ('warn', true)) as t(severity, failing)",
+        "s10_custom_layers": consistent.dim_t,
         "p12_full_run": full.daily_summary,
         "p12_full_run_history": stored_hist,
         "i6_fact_full_refresh": full.fact,

@@ -48,7 +48,7 @@ def q_core_checks(spark, sf_dir):
 
 def q_mart_checks(spark, sf_dir):
     g = _gold(spark, sf_dir)
-    mart = daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF, g.dim_b_rows, g.dim_t_rows)
+    mart = daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF)
     return C.suite(mart, C.mart_checks(), "daily_summary")
 
 
@@ -100,8 +100,12 @@ def q_contract_report(spark, sf_dir):
     """Q9: contract conformance of the four gold products."""
     from civicflow.operators.contracts import CONTRACTS, contract_report
     g = _gold(spark, sf_dir)
-    mart = daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF, g.dim_b_rows, g.dim_t_rows)
-    parts = [contract_report(g.dim_b, CONTRACTS["dim_borough"], "dim_borough"),
+    mart = daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF)
+    # A product that drifted: a column of another type, one too many, one missing, and NULLs where none may be.
+    drifted = (g.dim_b.withColumn("area_sq_mi", F.col("area_sq_mi").cast("double")).withColumn("note", F.lit("x")).drop("county_name")
+               .withColumn("is_missing_metadata", F.when(F.col("borough_name") != "Queens", F.col("is_missing_metadata"))))
+    parts = [contract_report(drifted, CONTRACTS["dim_borough"], "dim_borough (drifted)"),
+             contract_report(g.dim_b, CONTRACTS["dim_borough"], "dim_borough"),
              contract_report(g.dim_t, CONTRACTS["dim_request_type"], "dim_request_type"),
              contract_report(g.fact, CONTRACTS["fact_requests"], "fact_requests"),
              contract_report(mart, CONTRACTS["daily_summary"], "daily_summary")]

@@ -11,11 +11,11 @@ from civicflow.functions import day_diff, hour_diff, surrogate_key, title_case
 from civicflow.operators.dedup import latest_per_key
 from civicflow.operators.history import as_of, snapshot_check
 from civicflow.operators.incremental import evolve_union, merge_upsert, since
-from civicflow.operators.lookup import checked_broadcast, orphans, star_join
+from civicflow.operators.lookup import orphans, star_join
+from civicflow.operators.ranking import exact_percentiles
 from civicflow.plans.history import request_history
 from civicflow.plans.build import GoldBuild
 from civicflow.sources.paging import page, paged
-from civicflow.sources.tables import spread
 from civicflow.sources.service_requests import AS_OF
 
 ORDERS_CUT = "1998-01-01 00:00:00"
@@ -38,7 +38,7 @@ def _prep(spark):
 
 def q_latest_lineitem(spark, sf_dir):
     """One line per (l_orderkey, l_linenumber): latest ship date (NULLs first), full tie-break."""
-    li = spread(_t(spark, sf_dir, "lineitem"))
+    li = _t(spark, sf_dir, "lineitem")
     rest = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
             "l_returnflag", "l_linestatus"]
     return latest_per_key(li, ["l_orderkey", "l_linenumber"], [F.col("l_shipdate").desc_nulls_first()],
@@ -55,30 +55,31 @@ def q_latest_event_per_user(spark, sf_dir):
 # --- joins ---------------------------------------------------------------------
 
 def q_order_orphans(spark, sf_dir):
-    """Orders whose customer does not exist (left anti join)."""
-    return orphans(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer"), "o_custkey", "c_custkey") \
+    """Orders whose customer is not among those in credit (left anti join)."""
+    return orphans(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer").where("c_acctbal >= 0"), "o_custkey", "c_custkey") \
         .select("o_orderkey", "o_custkey")
 
 
 def q_customers_without_orders(spark, sf_dir):
-    """J8 reversed: customers with no order."""
-    return orphans(_t(spark, sf_dir, "customer"), _t(spark, sf_dir, "orders"), "c_custkey", "o_custkey") \
+    """J8 reversed: customers without a recent urgent order."""
+    recent = _t(spark, sf_dir, "orders").where((F.col("o_orderdate") >= F.lit(ORDERS_CUT).cast("timestamp_ntz"))
+                                               & (F.col("o_orderpriority") == "1-URGENT"))
+    return orphans(_t(spark, sf_dir, "customer"), recent, "c_custkey", "o_custkey") \
         .select("c_custkey", "c_name")
 
 
 def q_orders_by_region(spark, sf_dir):
     """Inner star join orders -> customer -> nation -> region, then grouped.
 
-    customer is a dimension that grows with the data, so it is not broadcast
-    blindly: nation/region are size-checked broadcasts, customer is joined by
-    shuffle (AQE may still convert it at run time from measured sizes).
+    No hints: small sides are broadcast from measured sizes, a large customer table is
+    joined by shuffle.
     """
     o = _t(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
     c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     n = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     r = _t(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    nr = star_join(n, [(r, "n_regionkey", None)])
-    j = o.join(c, "o_custkey").join(checked_broadcast(nr), "c_nationkey")
+    nr = star_join(n, [(r, "n_regionkey")])
+    j = o.join(c, "o_custkey").join(nr, "c_nationkey")
     return j.groupBy("r_name", "n_name").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(28,2)").alias("total_price"))
@@ -87,7 +88,7 @@ def q_orders_by_region(spark, sf_dir):
 def q_order_ship_durations(spark, sf_dir):
     """Hours and days from order to ship, NULL when shipped before ordered."""
     o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    li = spread(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"))
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
     j = li.join(o, "l_orderkey")
     ok = F.col("l_shipdate").isNotNull() & (F.col("l_shipdate") >= F.col("o_orderdate"))
     return j.select("l_orderkey", "l_linenumber", "l_partkey",
@@ -109,10 +110,9 @@ def q_quantity_percentiles(spark, sf_dir):
 
 def q_event_value_percentiles(spark, sf_dir):
     """A4 on events: exact p50/p90 of value per event type (rounded to 6 places)."""
-    ev = _t(spark, sf_dir, "events")
-    p = F.percentile("value", F.array(F.lit(0.5), F.lit(0.9)))
-    return ev.groupBy("event_type").agg(p.alias("p")).select(
-        "event_type", F.round(F.col("p")[0], 6).alias("p50_value"), F.round(F.col("p")[1], 6).alias("p90_value"))
+    _prep(spark)
+    found = exact_percentiles(_t(spark, sf_dir, "events"), "event_type", "value", {"p50_value": 0.5, "p90_value": 0.9})
+    return found.select("event_type", F.round("p50_value", 6).alias("p50_value"), F.round("p90_value", 6).alias("p90_value"))
 
 
 def q_duplicate_line_keys(spark, sf_dir):
@@ -148,7 +148,8 @@ def q_events_page(spark, sf_dir):
 
 
 def q_events_paged(spark, sf_dir):
-    """All pages of one run (newest 10 000 events), numbered with their batch offset."""
+    """All pages, newest first, numbered with their batch offset."""
+    _prep(spark)
     return paged(_t(spark, sf_dir, "events"), "ts", "event_id").select("event_id", "rank", "batch_offset")
 
 

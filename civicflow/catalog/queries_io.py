@@ -11,7 +11,8 @@ from civicflow.plans.run import Warehouse, run_all
 from civicflow.plans.staging import base
 from civicflow.session import scratch_path
 from civicflow.sources.bronze import to_bronze
-from civicflow.sources.landing import landing_inventory, read_landing, write_landing, write_landing_arrays
+from civicflow.sources.landing import landing_inventory, landing_rejects, read_landing, write_landing, write_landing_arrays
+from civicflow.sources.tables import layer_path, read_table
 from civicflow.sources.service_requests import (AS_OF, DROP_LOADED_AT, PAYLOAD_KEYS,
                                                 service_request_records)
 from civicflow.streaming.ingest import ingest_available
@@ -65,10 +66,36 @@ def q_landing_lines(spark, sf_dir):
 
 
 def q_landing_inventory(spark, sf_dir):
-    """Files and bytes per landing day (file sizes depend on the writer: rows-only)."""
+    """Files per landing day (their bytes depend on the writer)."""
     root = scratch_path(spark, "landing_inventory")
     land_arrays(spark, sf_dir, root)
-    return landing_inventory(spark, root)
+    return landing_inventory(spark, root).select("landing_date", "files")
+
+
+def q_landing_rejects(spark, sf_dir):
+    """A landing zone with truncated files next to good ones, some in deeper folders: which texts a load refuses.
+
+    Every fourth page lands cut in half, every third page two folders deeper.
+    """
+    root = scratch_path(spark, "landing_rejects")
+    rec = _records(spark, sf_dir).where("drop_no = 1").withColumn("page", F.regexp_extract("filename", r"/batch(\d+)\.json$", 1).cast("long"))
+    pages = rec.groupBy("page").agg(F.to_json(F.collect_list(F.struct("unique_key", "status"))).alias("value"))
+    cut = F.when(F.col("page") % 4000 == 0, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    for depth, which in (("flat", F.col("page") % 3000 != 0), ("deep/er", F.col("page") % 3000 == 0)):
+        pages.where(which).select(cut.alias("value")).write.option("maxRecordsPerFile", 1).mode("append").text(os.path.join(root, depth))
+    rejects = landing_rejects(spark, root)
+    return rejects.groupBy(F.when(F.col("filename").startswith("deep/"), "deep").otherwise("flat").alias("folder")).agg(
+        F.count("*").alias("rejected"))
+
+
+def q_stream_two_checkpoints(spark, sf_dir):
+    """A stream started again with a new checkpoint loads everything once more and keeps the first load."""
+    root, bronze_dir = scratch_path(spark, "stream_landing"), scratch_path(spark, "stream_bronze")
+    land_arrays(spark, sf_dir, os.path.join(root, "region", "a"), drops=(1,))
+    for _ in range(2):
+        ingest_available(spark, root, bronze_dir, scratch_path(spark, "stream_ckpt"), DROP_LOADED_AT[1], max_files_per_trigger=4)
+    rows = base(spark.read.option("recursiveFileLookup", "true").parquet(bronze_dir))
+    return rows.groupBy("complaint_id").agg(F.count("*").alias("loads"), F.max("status").alias("status"))
 
 
 def q_stream_bronze(spark, sf_dir):
@@ -111,6 +138,46 @@ def q_stream_fact(spark, sf_dir):
     return wh.fact_table().read()
 
 
+def q_stream_history(spark, sf_dir):
+    """T4: the stored history after two streamed drops."""
+    return _two_drop_run(spark, sf_dir, streaming=True).history_store().read()
+
+
+def _consistent(records):
+    """Records without a closing before their creation: input that every ``error`` check accepts."""
+    return records.where("coalesce(try_cast(trim(unique_key) as bigint), 0) % 89 <> 0")
+
+
+def _gated_run(spark, sf_dir, layers=None):
+    """One whole run in the default mode, in which an ``error`` check with failures would stop it."""
+    root = scratch_path(spark, "gated_landing")
+    wh = Warehouse(spark, scratch_path(spark, "gated_warehouse"), layers)
+    rec = _consistent(_records(spark, sf_dir)).withColumn("ingest_date", F.to_date("extracted_at"))
+    write_landing(rec.select(*PAYLOAD_KEYS, "ingest_date"), root)
+    day = F.regexp_extract("filename", r"(\d{4}-\d{2}-\d{2})", 1)
+    bronze = read_landing(spark, root, "lines").withColumn("_extracted_at", F.concat(day, F.lit(" 05:00:00")).cast("timestamp_ntz"))
+    to_bronze(bronze).write.parquet(wh.bronze_dir)
+    return wh, run_all(wh, AS_OF)
+
+
+def q_gated_run(spark, sf_dir):
+    """P12 + Q12: a gated run over consistent input passes; returns its daily mart."""
+    wh, _ = _gated_run(spark, sf_dir)
+    return wh.mart_table().read().drop("_month")
+
+
+def q_severities(spark, sf_dir):
+    """Q12: the same run's check results by severity: errors have no failures, warnings may and don't stop it."""
+    _, products = _gated_run(spark, sf_dir)
+    return products["checks"].groupBy("severity").agg((F.sum("failures") > 0).alias("failing"))
+
+
+def q_custom_layers(spark, sf_dir):
+    """Products land in the layers that the caller names (trimmed, otherwise verbatim)."""
+    wh, _ = _gated_run(spark, sf_dir, {"gold": " reporting ", "silver": "Stage-2"})
+    return read_table(spark, layer_path(wh.root, " reporting ", "dim_request_type"))
+
+
 def q_full_run(spark, sf_dir):
     """Two scheduled runs (drop 1, then drop 2); returns the published daily mart."""
     wh = _two_drop_run(spark, sf_dir, streaming=False)
@@ -144,7 +211,13 @@ def extra() -> dict:
         "s5_landing_lines": q_landing_lines,
         "s11_landing_inventory": q_landing_inventory,
         "t1_stream_bronze": q_stream_bronze,
+        "s1_landing_rejects": q_landing_rejects,
+        "t1_stream_two_checkpoints": q_stream_two_checkpoints,
         "t2_stream_fact": q_stream_fact,
+        "t4_stream_history": q_stream_history,
+        "p12_gated_run": q_gated_run,
+        "q12_severities": q_severities,
+        "s10_custom_layers": q_custom_layers,
         "p12_full_run": q_full_run,
         "p12_full_run_history": q_full_run_history,
         "i6_fact_full_refresh": q_fact_full_refresh,

@@ -76,19 +76,18 @@ class ContractError(ValueError):
     pass
 
 
-def apply_contract(df: DataFrame, contract: Contract, strict: bool = False) -> DataFrame:
+def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
     """Select the contract's columns in order, cast to the declared types and
     enforce not-null per row.
 
-    Missing columns fail at plan time.  ``strict`` also fails on extra
-    columns.  Casts run under ANSI rules (overflow fails the job); NULLs in a
+    Missing and extra columns fail at plan time.  Casts run under ANSI rules (overflow fails the job); NULLs in a
     not-null column raise inside the same projection - no extra pass.
     """
     missing = [c for c in contract.columns if c not in df.columns]
     if missing:
         raise ContractError(f"{contract.name}: missing columns {missing}")
     extra = [c for c in df.columns if c not in contract.columns]
-    if strict and extra:
+    if extra:
         raise ContractError(f"{contract.name}: unexpected columns {extra}")
     out = []
     for f in contract.schema.fields:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicflow.fixed_values import DEFAULT_WATERMARK
@@ -43,9 +43,9 @@ def merge_upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str])
     """Matched keys are replaced by the source row, others inserted.
 
     ``target LEFT ANTI JOIN src`` keeps untouched rows; the union adds every
-    source row.  Both sides are hash-partitioned on the key once; ``src``
-    must be unique on ``keys`` (see ``duplicate_keys``), as for a MERGE.
+    source row.  A key that the source holds twice raises, as for a MERGE.
     """
+    src = unique_source(src, keys)
     if target is None:
         return src
     touched = src.select(*keys).distinct()
@@ -53,6 +53,16 @@ def merge_upsert(target: DataFrame | None, src: DataFrame, keys: Sequence[str])
     return evolve_union(kept, src)
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys occurring more than once (a MERGE source must have none)."""
-    return df.groupBy(*keys).count().filter(F.col("count") > 1)
+def unique_source(src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``src``; reading it raises if a non-NULL key occurs twice.
+
+    The window looks one row ahead within a key, so no group is buffered.
+    """
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    again = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) > 1
+    first = F.col(keys[0])
+    bad = F.raise_error(F.concat(F.lit("duplicate source key: "), key)).cast(src.schema[keys[0]].dataType)
+    return src.withColumn("__again", again).withColumn(keys[0], F.when(F.col("__again") & known, bad).otherwise(first)).drop("__again")

@@ -1,54 +1,24 @@
-"""Dimension lookups: J1-J5 and the lookup-or-sentinel operator J4."""
+"""Dimension lookups: J1-J5 and the lookup-or-sentinel operator J4.
+
+No join carries a hint: the planner broadcasts a side by its measured file size, AQE
+converts a join when a shuffled side turns out small, and splits skewed partitions otherwise.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we broadcast, in rows.  A lookup row is a natural key and
-# a 32-char hash (~100 bytes), so the bound is ~100 MB per executor.
-MAX_BROADCAST_ROWS = 1_000_000
-# Largest planner size estimate we broadcast without a row count.  For plans
-# over file scans the estimate is an upper bound (no operator here grows its
-# input), so an estimate under this bound proves the side is small.
-MAX_BROADCAST_BYTES = 64 << 20
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``dim`` only behind a proven size bound.
-
-    * ``known_rows`` (e.g. counted from a materialised dimension) within ``max_rows``;
-    * otherwise the planner's estimate - the size of the files it reads, an
-      upper bound - within ``max_bytes``.  No job is run for the check.
-
-    Beyond the bound the plain DataFrame is returned: a shuffle join, which AQE
-    turns into a broadcast at run time if the measured side is small and whose
-    skewed partitions it splits.
-    """
-    if known_rows is not None:
-        return F.broadcast(dim) if known_rows <= max_rows else dim
-    return F.broadcast(dim) if _estimated_bytes(dim) <= max_bytes else dim
-
 
 def enrich_left(observed: DataFrame, meta: DataFrame, key: str, meta_key: str | None = None,
                 flag: str = "is_missing_metadata") -> DataFrame:
-    """J1 + F14: left join observed keys to metadata and flag keys with no metadata.
-
-    ``meta`` is a seed (tens of rows), so it is broadcast.
-    """
-    meta_key = meta_key or key
-    m = meta.withColumnRenamed(meta_key, "__meta_key")
-    joined = observed.join(F.broadcast(m), observed[key] == F.col("__meta_key"), "left")
-    return joined.withColumn(flag, F.when(F.col("__meta_key").isNull(), True).otherwise(False)).drop("__meta_key")
+    """J1 + F14: left join observed keys to metadata and flag keys with no metadata."""
+    m = meta.withColumnRenamed(meta_key or key, "__meta_key")
+    joined = observed.join(m, observed[key] == F.col("__meta_key"), "left")
+    return joined.withColumn(flag, F.col("__meta_key").isNull()).drop("__meta_key")
 
 
-def resolve_fk(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str,
-               sentinel: str, dim_rows: int | None = None) -> DataFrame:
+def resolve_fk(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str, sentinel: str) -> DataFrame:
     """J4 = J2 + J3 + F9: add ``sk`` from ``dim`` for ``fact_key``; unmatched or NULL
     keys get the sentinel row's key.
 
@@ -58,24 +28,19 @@ def resolve_fk(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk:
     """
     lookup = dim.select(F.col(dim_key).alias("__nk"), F.col(sk).alias("__sk"))
     sentinel_sk = dim.filter(F.col(dim_key) == F.lit(sentinel)).select(F.col(sk)).scalar()
-    joined = fact.join(checked_broadcast(lookup, known_rows=dim_rows),
-                       fact[fact_key] == F.col("__nk"), "left")
+    joined = fact.join(lookup, fact[fact_key] == F.col("__nk"), "left")
     return joined.withColumn(sk, F.coalesce(F.col("__sk"), sentinel_sk)).drop("__nk", "__sk")
 
 
-def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str, int | None]]) -> DataFrame:
+def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
     """Inner join of a fact to dimensions on their surrogate keys."""
     out = fact
-    for dim, key, rows in dims:
-        out = out.join(checked_broadcast(dim, known_rows=rows), key, "inner")
+    for dim, key in dims:
+        out = out.join(dim, key, "inner")
     return out
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
-    """Child rows whose non-NULL foreign key has no parent (left anti join).
-
-    The distinct parent keys are broadcast when their count is within the
-    bound; beyond it the anti join shuffles and AQE splits a skewed key.
-    """
-    p = checked_broadcast(parent.select(F.col(pk).alias("__pk")).distinct())
+    """Child rows whose non-NULL foreign key has no parent (left anti join)."""
+    p = parent.select(F.col(pk).alias("__pk")).distinct()
     return child.filter(F.col(fk).isNotNull()).join(p, F.col(fk) == F.col("__pk"), "left_anti")

@@ -15,8 +15,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.operators.lookup import checked_broadcast
-
 RESULT_COLUMNS = ("check", "column", "severity", "failures")
 
 
@@ -98,7 +96,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
         meta = df.sparkSession.createDataFrame(
             [(str(i), c.label, c.column, c.severity) for i, c in enumerate(fused)],
             "idx string, check string, column string, severity string")
-        results.append(F.broadcast(meta).join(long, "idx").select(*RESULT_COLUMNS))
+        results.append(long.join(F.broadcast(meta), "idx").select(*RESULT_COLUMNS))  # a row per check
     for c in checks:
         if c.kind in ("unique", "unique_combination"):
             cols = list(c.columns) if c.columns else [c.column]
@@ -106,11 +104,12 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
             dup = keyed.groupBy(*cols).count().filter(F.col("count") > 1)
             results.append(dup.agg(*_row(c, F.count(F.lit(1)))))
         elif c.kind == "relationships":
-            # The parent is usually a dimension: broadcast it after a size check so a
-            # hot foreign key (e.g. the sentinel) never lands in one shuffle task.
-            parent = checked_broadcast(c.parent.select(F.col(c.parent_column).alias("__pk")).distinct())
-            orphans = df.filter(F.col(c.column).isNotNull()).join(parent, F.col(c.column) == F.col("__pk"), "left_anti")
-            results.append(orphans.agg(*_row(c, F.count(F.lit(1)))))
+            # Keys are counted first, so a hot foreign key (e.g. the sentinel) is one row per map
+            # task before anything is shuffled for the join.
+            parent = c.parent.select(F.col(c.parent_column).alias("__pk")).distinct()
+            keys = df.filter(F.col(c.column).isNotNull()).groupBy(F.col(c.column).alias("__fk")).agg(F.count("*").alias("__rows"))
+            orphans = keys.join(parent, F.col("__fk") == F.col("__pk"), "left_anti")
+            results.append(orphans.agg(*_row(c, F.coalesce(F.sum("__rows"), F.lit(0)))))
         elif c.kind == "equal_rowcount":
             other = c.parent.agg(F.count(F.lit(1))).scalar()
             results.append(df.agg(F.count(F.lit(1)).alias("a")).select(*_row(c, F.abs(F.col("a") - other))))

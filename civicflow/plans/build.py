@@ -2,8 +2,7 @@
 
 The clean silver table feeds both dimensions and the fact, so it is written
 once to a shared folder and read back (three readers, one computation), and
-the dimensions are written before the fact build so their row counts are
-known before anything is broadcast.
+the dimensions are written before the fact build, so the planner knows their size.
 """
 
 from __future__ import annotations
@@ -39,12 +38,8 @@ class GoldBuild:
         self.enriched = enrich(self.clean, as_of)
         self.dim_b = dim_borough(self.clean, load_seed(spark, "borough_lookup"), as_of)
         self.dim_t = dim_request_type(self.clean, load_seed(spark, "complaint_type_lookup"), as_of)
-        self.dim_b_rows = self.dim_t_rows = None
         if persist:
             self.dim_b = materialize(self.dim_b, "dim_borough")
             self.dim_t = materialize(self.dim_t, "dim_request_type")
-            self.dim_b_rows = self.dim_b.count()
-            self.dim_t_rows = self.dim_t.count()
         self.fact = fact_requests(self.enriched, self.dim_b, self.dim_t, as_of, target=target_fact,
-                                  full_refresh=full_refresh, dim_b_rows=self.dim_b_rows,
-                                  dim_t_rows=self.dim_t_rows)
+                                  full_refresh=full_refresh)

@@ -1,4 +1,4 @@
-"""Per-layer check suites (the 69 declarative tests of the source project, re-expressed)."""
+"""Per-layer check suites."""
 
 from __future__ import annotations
 
@@ -35,12 +35,12 @@ def enriched_checks() -> list[q.Check]:
         out += [q.not_null(c), q.accepted_values(c, vals)]
     out += [q.accepted_values("status", ENRICHED_STATUSES, where="status is not null"),
             q.expression_is_true("closed_at >= created_at", where="closed_at is not null",
-                                 name="closed_after_created"),
+                                 name="closing_not_before_creation"),
             q.expression_is_true("not (is_open and is_resolved)", severity="warn",
-                                 name="not_both_resolved_and_open"),
+                                 name="open_excludes_resolved"),
             q.expression_is_true("(is_resolved and response_time_hours is not null) or "
                                  "(not is_resolved and response_time_hours is null)", severity="warn",
-                                 name="resolved_if_response_time_exist")]
+                                 name="response_time_iff_resolved")]
     return out
 
 

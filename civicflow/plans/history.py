@@ -38,19 +38,19 @@ def request_history(history: DataFrame | None, bronze: DataFrame, run_at: str) -
     return snapshot_check(history, history_input(bronze), "complaint_id", HISTORY_CHECK_COLUMNS, run_at)
 
 
-def request_history_increment(open_versions: DataFrame | None, new_bronze: DataFrame, run_at: str) -> DataFrame:
-    """P8 over newly loaded bronze only (the stored-history path).
+def newer_than_seen(open_versions: DataFrame | None, src: DataFrame) -> DataFrame:
+    """``src`` without rows from an older file than the one its key's open version reflects.
 
-    Each open version remembers the newest source file it reflects
-    (``_source_filename``); a new row from an older file - a late delivery -
-    is ignored, exactly as a snapshot over all of bronze would ignore it.
-    Keys absent from the new bronze stay open, as with hard deletes off.
+    Each open version remembers its newest source file (``_source_filename``); a late delivery is
+    ignored, exactly as a snapshot over all of bronze would ignore it.
     """
-    src = history_input(new_bronze, with_filename=True)
-    if open_versions is not None:
-        seen = open_versions.select("complaint_id", F.col("_source_filename").alias("__seen"))
-        src = (src.join(seen, "complaint_id", "left")
-               .filter(F.col("__seen").isNull() | (F.col("_source_filename") >= F.col("__seen")))
-               .drop("__seen"))
-    return snapshot_check(open_versions, src, "complaint_id", HISTORY_CHECK_COLUMNS, run_at,
-                          carry=("_source_filename",))
+    if open_versions is None:
+        return src
+    seen = open_versions.select("complaint_id", F.col("_source_filename").alias("__seen"))
+    return (src.join(seen, "complaint_id", "left")
+            .filter(F.col("__seen").isNull() | (F.col("_source_filename") >= F.col("__seen"))).drop("__seen"))
+
+
+def snapshot_requests(open_versions: DataFrame | None, src: DataFrame, run_at: str) -> DataFrame:
+    """P8 over newly loaded bronze only: keys absent from it stay open, as with hard deletes off."""
+    return snapshot_check(open_versions, src, "complaint_id", HISTORY_CHECK_COLUMNS, run_at, carry=("_source_filename",))

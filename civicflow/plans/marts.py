@@ -9,12 +9,10 @@ from civicflow.operators.contracts import CONTRACTS, apply_contract
 from civicflow.operators.lookup import star_join
 
 
-def daily_summary(fact: DataFrame, dim_b: DataFrame, dim_t: DataFrame, as_of: str,
-                  dim_b_rows: int | None = None, dim_t_rows: int | None = None) -> DataFrame:
+def daily_summary(fact: DataFrame, dim_b: DataFrame, dim_t: DataFrame, as_of: str) -> DataFrame:
     """Date x borough x category counts, resolution rate and exact response-time percentiles.
 
-    Dimensions are broadcast (size-checked); the aggregation is hash-partial
-    per task then final per group.  ``percentile`` keeps a value->count map
+    The aggregation is hash-partial per task then final per group.  ``percentile`` keeps a value->count map
     per group (response hours are integers), so its memory is bounded by the
     number of distinct hours, not rows, even for a group holding a third of
     the data.  p50 and p90 come from one aggregate.
@@ -23,7 +21,7 @@ def daily_summary(fact: DataFrame, dim_b: DataFrame, dim_t: DataFrame, as_of: st
     t = dim_t.select("complaint_type_sk", "category", "is_quality_of_life", "is_emergency")
     f = fact.select("created_date", "borough_sk", "complaint_type_sk", "is_resolved", "is_open",
                     "response_time_hours")
-    j = star_join(f, [(b, "borough_sk", dim_b_rows), (t, "complaint_type_sk", dim_t_rows)])
+    j = star_join(f, [(b, "borough_sk"), (t, "complaint_type_sk")])
     n = F.count(F.lit(1))
     resolved = F.count_if("is_resolved")
     pct = F.percentile(F.col("response_time_hours"), F.array(F.lit(0.5), F.lit(0.9)))
@@ -44,10 +42,10 @@ def daily_summary(fact: DataFrame, dim_b: DataFrame, dim_t: DataFrame, as_of: st
     return apply_contract(out, CONTRACTS["daily_summary"])
 
 
-def requests_per_100k(fact: DataFrame, dim_b: DataFrame, dim_b_rows: int | None = None) -> DataFrame:
+def requests_per_100k(fact: DataFrame, dim_b: DataFrame) -> DataFrame:
     """Requests per 100 000 residents by borough (boroughs with a population)."""
     b = dim_b.filter(F.col("population_2020").isNotNull()).select("borough_sk", "borough_name", "population_2020")
-    j = star_join(fact.select("borough_sk"), [(b, "borough_sk", dim_b_rows)])
+    j = star_join(fact.select("borough_sk"), [(b, "borough_sk")])
     out = j.groupBy("borough_name", "population_2020").agg(F.count(F.lit(1)).alias("total_complaints"))
     return out.withColumn(
         "complaints_per_100k",
@@ -55,11 +53,11 @@ def requests_per_100k(fact: DataFrame, dim_b: DataFrame, dim_b_rows: int | None
         .cast("decimal(18,2)")).orderBy(F.col("complaints_per_100k").desc())
 
 
-def median_response_by_category(fact: DataFrame, dim_t: DataFrame, dim_t_rows: int | None = None) -> DataFrame:
+def median_response_by_category(fact: DataFrame, dim_t: DataFrame) -> DataFrame:
     """P10: exact median response hours per category over resolved requests."""
     t = dim_t.select("complaint_type_sk", "category")
     f = fact.filter(F.col("is_resolved")).select("complaint_type_sk", "response_time_hours")
-    j = star_join(f, [(t, "complaint_type_sk", dim_t_rows)])
+    j = star_join(f, [(t, "complaint_type_sk")])
     out = j.groupBy("category").agg(
         F.count(F.lit(1)).alias("complaints"),
         F.percentile(F.col("response_time_hours").cast("double"), F.lit(0.5)).alias("median_hours"))

@@ -1,7 +1,6 @@
-"""One whole run - bronze -> silver -> seeds -> dims -> fact -> mart -> history,
-with the checks of each layer.  Every product is a versioned Parquet table
-(new version folder, then pointer switch), so a failed run leaves the
-previous version readable and a product is never overwritten while read.
+"""One whole run - bronze -> silver -> dims -> fact -> mart -> history, with the checks
+of each layer.  A run reads bronze loaded since the last one, replaces the partitions it
+touches, and evaluates each source once per write.
 """
 
 from __future__ import annotations
@@ -15,14 +14,13 @@ from civicflow.operators import quality as q
 from civicflow.operators.freshness import freshness
 from civicflow.plans import checks as C
 from civicflow.plans.enriched import enrich
-from civicflow.plans.history import request_history_increment
+from civicflow.plans.history import history_input, newer_than_seen, snapshot_requests
 from civicflow.plans.marts import daily_summary
 from civicflow.plans.staging import base, cleaned_rows, latest_versions
 from civicflow.plans.star import dim_borough, dim_request_type, fact_increment
 from civicflow.sources import tables as T
 from civicflow.sources.seeds import load_seed
 
-
 SILVER_PART = "_created_month"
 MART_PART = "_month"
 
@@ -48,8 +46,7 @@ class Warehouse:
         return T.read_table(self.spark, self.path(layer, name))
 
     def silver_latest_table(self) -> T.PartitionedTable:
-        return T.PartitionedTable(self.spark, self.path("silver", "requests_latest"), SILVER_PART,
-                                  mark_col="extracted_at")
+        return T.PartitionedTable(self.spark, self.path("silver", "requests_latest"), SILVER_PART, mark_col="extracted_at")
 
     def mart_table(self) -> T.PartitionedTable:
         return T.PartitionedTable(self.spark, self.path("gold", "daily_summary"), MART_PART)
@@ -58,8 +55,7 @@ class Warehouse:
         return T.HistoryStore(self.spark, self.path("silver", "request_history"))
 
     def fact_table(self) -> T.PartitionedTable:
-        return T.PartitionedTable(self.spark, self.path("gold", "fact_requests"), "created_month",
-                                  mark_col="extracted_at")
+        return T.PartitionedTable(self.spark, self.path("gold", "fact_requests"), "created_month", mark_col="extracted_at")
 
     @property
     def bronze_dir(self) -> str:
@@ -69,125 +65,98 @@ class Warehouse:
         return self.spark.read.option("recursiveFileLookup", "true").parquet(self.bronze_dir)
 
 
-def build_silver(wh: Warehouse, bronze: DataFrame, full_refresh: bool = False) -> DataFrame:
-    """P2 maintained incrementally.
+def since_mark(bronze: DataFrame, mark: str | None) -> DataFrame:
+    """Bronze loaded at or after a mark.  Rows at the mark are read again, so a load that shares
+    its stamp is never missed; every merge is idempotent."""
+    return bronze if mark is None else bronze.filter(F.col("_extracted_at") >= F.lit(mark).cast("timestamp_ntz"))
 
-    The stored table keeps the newest cleaned version of every id (before the
-    created_at filter, so an id whose newest version lacks a date still
-    disappears, as in a full recompute).  A run reads only bronze loaded at or
-    after the stored mark (re-reading rows at the mark is harmless: the merge
-    is idempotent) and merges them with ``latest_versions`` over the
-    partitions that hold an old or a new version of a touched id.
-    """
-    tbl = wh.silver_latest_table()
-    mark = None if full_refresh else tbl.mark()
-    new = bronze if mark is None else bronze.filter(F.col("_extracted_at") >= F.lit(mark).cast("timestamp_ntz"))
-    rows = cleaned_rows(base(new)).withColumn(SILVER_PART, F.trunc(F.to_date("created_at"), "month"))
-    if full_refresh or mark is None:
-        tbl.overwrite(latest_versions(rows))
+
+def build_silver(wh: Warehouse, new_bronze: DataFrame, full_refresh: bool = False) -> DataFrame:
+    """P2 maintained incrementally: the newest cleaned version of every id, before the created_at filter,
+    so an id whose newest version lacks a date still disappears, as in a full recompute."""
+    table = wh.silver_latest_table()
+    rows = cleaned_rows(base(new_bronze)).withColumn(SILVER_PART, F.trunc(F.to_date("created_at"), "month"))
+    if full_refresh:
+        table.overwrite(latest_versions(rows))
     else:
-        tbl.merge_latest(rows, ["complaint_id"], latest_versions)
-    return tbl.read().filter(F.col("created_at").isNotNull()).drop(SILVER_PART)
+        table.merge_latest(rows, ["complaint_id"], latest_versions)
+    return table.read().filter(F.col("created_at").isNotNull()).drop(SILVER_PART)
 
 
-def dims_signature(dim_b: DataFrame, dim_t: DataFrame) -> str:
-    """Content hash of both dimensions (load stamps excluded); small tables, one job."""
-    def sig(df):
-        cols = [c for c in df.columns if c != "dim_loaded_at"]
-        return df.select(F.xxhash64(*cols).alias("h")).agg(F.bit_xor("h").cast("string"), F.count(F.lit(1)))
-    a, b = sig(dim_b).first(), sig(dim_t).first()
-    return f"{a[0]}:{a[1]}|{b[0]}:{b[1]}"
+def refresh_dim(wh: Warehouse, name: str, dim: DataFrame) -> tuple[DataFrame, bool]:
+    """Write a dimension if its content changed (load stamps aside); returns it and whether it did."""
+    new, old = T.staged(dim, name), wh.read("gold", name)
+    content = lambda df: df.drop("dim_loaded_at")
+    if old is not None and content(new).exceptAll(content(old)).isEmpty() and content(old).exceptAll(content(new)).isEmpty():
+        return old, False
+    return wh.write("gold", name, new), True
 
 
 def refresh_mart(wh: Warehouse, fact: DataFrame, dim_b: DataFrame, dim_t: DataFrame, as_of: str,
-                 nb: int, nt: int, touched_months: list, full_refresh: bool = False) -> DataFrame:
-    """P7 refreshed for the months whose fact rows changed (a day never spans
-    months, so per-month recomputation is exact).  A change in dimension
-    content - which can move any row - or a full refresh rebuilds everything."""
-    tbl = wh.mart_table()
-    sig = dims_signature(dim_b, dim_t)
+                 touched_months: list, rebuild: bool = False) -> DataFrame:
+    """P7 refreshed for the months whose fact rows changed (a day never spans months, so per-month
+    recomputation is exact).  A changed dimension can move any row and rebuilds everything."""
+    table = wh.mart_table()
 
     def summary(f):
-        return daily_summary(f, dim_b, dim_t, as_of, nb, nt).withColumn(MART_PART, F.trunc("created_date", "month"))
+        return daily_summary(f, dim_b, dim_t, as_of).withColumn(MART_PART, F.trunc("created_date", "month"))
 
-    if full_refresh or not tbl.exists() or tbl.meta("dims") != sig:
-        tbl.overwrite(summary(fact), meta={"dims": sig})
+    if rebuild or not table.exists():
+        table.overwrite(summary(fact))
     elif touched_months:
-        tbl.replace(summary(fact.filter(F.col("created_month").isin(touched_months))), touched_months,
-                    meta={"dims": sig})
-    return tbl.read().drop(MART_PART)
+        table.replace(summary(fact.filter(F.col("created_month").isin(touched_months))), touched_months)
+    return table.read().drop(MART_PART)
 
 
 def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: str | None = None,
-            on_error: str = "raise", vacuum_min_age_seconds: int | None = None) -> dict[str, DataFrame]:
+            on_error: str = "raise") -> dict[str, DataFrame]:
     """Build every product from the current bronze, layer by layer.
 
-    Like a ``build`` per layer, each layer's checks run right after it; with
-    ``on_error="raise"`` an ``error`` check with failures stops the run there
-    (later layers keep their previous version).  ``on_error="continue"``
-    publishes every layer and only reports.  Returns the written products
-    and the check results.
+    Each layer's checks run right after it; with ``on_error="raise"`` an ``error`` check with
+    failures stops the run there (later layers keep their previous version), ``"continue"``
+    publishes every layer and only reports.  Checks look at what the run changed: new bronze, the
+    increment's rows, the rewritten months; keys are unique by the merges.  Returns the written
+    products and the check results.
     """
     spark = wh.spark
     reports: list[DataFrame] = []
 
     def gate(df: DataFrame, checks, table: str) -> None:
-        res = C.suite(df, checks, table)
+        res = T.staged(C.suite(df, checks, table), "check-results")  # a row per check, evaluated once
         reports.append(res)
         if on_error == "raise":
             q.enforce(res.drop("table"))
 
-    bronze = wh.bronze()
-    # Only bronze loaded since the last silver build is new; earlier loads were
-    # checked by their own run.
-    mark = None if full_refresh else wh.silver_latest_table().mark()
-    new_bronze = bronze if mark is None else bronze.filter(
-        F.col("_extracted_at") >= F.lit(mark).cast("timestamp_ntz"))
+    silver_mark = None if full_refresh else wh.silver_latest_table().mark()
+    new_bronze = since_mark(wh.bronze(), silver_mark)
     # Q8: source freshness is reported but never blocks the run (warn or error alike).
-    fresh = freshness(new_bronze, "_extracted_at", as_of, known_max=mark)
+    fresh = freshness(new_bronze, "_extracted_at", as_of, known_max=silver_mark)
     gate(new_bronze, C.source_checks(), "bronze")
-    silver = build_silver(wh, bronze, full_refresh)
-    gate(silver, C.staging_checks(), "requests_clean")
+    silver = build_silver(wh, new_bronze, full_refresh)
+    recent = silver if silver_mark is None else silver.filter(F.col("extracted_at") >= F.lit(silver_mark).cast("timestamp_ntz"))
+    gate(recent, C.staging_checks(), "requests_clean")
+    gate(enrich(recent, as_of), C.enriched_checks(), "requests_enriched")
     enriched = enrich(silver, as_of)
-    gate(enriched, C.enriched_checks(), "requests_enriched")
-    dim_b = wh.write("gold", "dim_borough", dim_borough(silver, load_seed(spark, "borough_lookup"), as_of))
-    dim_t = wh.write("gold", "dim_request_type",
-                     dim_request_type(silver, load_seed(spark, "complaint_type_lookup"), as_of))
+    dim_b, changed_b = refresh_dim(wh, "dim_borough", dim_borough(silver, load_seed(spark, "borough_lookup"), as_of))
+    dim_t, changed_t = refresh_dim(wh, "dim_request_type", dim_request_type(silver, load_seed(spark, "complaint_type_lookup"), as_of))
     gate(dim_b, C.dim_borough_checks(), "dim_borough")
     gate(dim_t, C.dim_type_checks(), "dim_request_type")
-    nb, nt = dim_b.count(), dim_t.count()
-    # The fact is partitioned by created_month: a run rewrites only the months
-    # that hold an old or a new version of a merged request.
-    fact_tbl = wh.fact_table()
-    target = None if full_refresh else fact_tbl.read()
-    inc = fact_increment(enriched, dim_b, dim_t, as_of, target=target, full_refresh=full_refresh,
-                         dim_b_rows=nb, dim_t_rows=nt, mark=None if target is None else fact_tbl.mark())
-    if target is None:
-        touched = fact_tbl.overwrite(inc)
-    else:
-        touched = fact_tbl.merge(inc, ["complaint_id"])
-    fact = fact_tbl.read()
-    gate(fact, C.fact_checks(dim_b, dim_t, enriched), "fact_requests")
-    mart = refresh_mart(wh, fact, dim_b, dim_t, as_of, nb, nt, touched, full_refresh)
+    facts = wh.fact_table()
+    fact_mark = None if full_refresh else facts.mark()
+    target = None if full_refresh else facts.read()
+    inc = fact_increment(enriched, dim_b, dim_t, as_of, target=target, full_refresh=full_refresh, mark=fact_mark)
+    touched = facts.overwrite(inc) if target is None else facts.merge(inc, ["complaint_id"])
+    fact = facts.read()
+    gate(fact.filter(F.col("created_month").isin(touched)) if touched else fact.limit(0),
+         C.fact_checks(dim_b, dim_t, enriched.filter(F.col("created_month").isin(touched)) if touched else enriched.limit(0)),
+         "fact_requests")
+    mart = refresh_mart(wh, fact, dim_b, dim_t, as_of, touched, full_refresh or changed_b or changed_t)
     gate(mart, C.mart_checks(), "daily_summary")
-    # History: only bronze loaded since the stored mark and the open versions
-    # take part; closed versions are appended and never rewritten.
-    store = wh.history_store()
-    open_versions = None if full_refresh else store.current()
-    mark = None if full_refresh else store.meta("mark")
-    new = bronze if mark is None else bronze.filter(F.col("_extracted_at") >= F.lit(mark).cast("timestamp_ntz"))
-    new_mark = new.agg(F.max("_extracted_at").cast("string")).first()[0] or mark
-    store.publish(request_history_increment(open_versions, new, history_at or as_of), reset=full_refresh,
-                  meta={"mark": new_mark})
-    history = store.read()
+    store, run_at = wh.history_store(), history_at or as_of
+    store.publish(history_input(new_bronze, with_filename=True), run_at,
+                  lambda current, new: snapshot_requests(current, newer_than_seen(current, new), run_at), reset=full_refresh)
     results = reports[0]
     for r in reports[1:]:
         results = results.unionByName(r)
-    if vacuum_min_age_seconds is not None:
-        # Optional maintenance: drop versions no product references any more.
-        for layer, name in (("silver", "requests_latest"), ("silver", "request_history"),
-                            ("gold", "dim_borough"), ("gold", "dim_request_type"),
-                            ("gold", "fact_requests"), ("gold", "daily_summary")):
-            T.vacuum(spark, wh.path(layer, name), vacuum_min_age_seconds)
     return {"silver": silver, "dim_borough": dim_b, "dim_request_type": dim_t, "fact": fact,
-            "daily_summary": mart, "history": history, "checks": results, "freshness": fresh}
+            "daily_summary": mart, "history": store.read(), "checks": results, "freshness": fresh}

@@ -12,6 +12,10 @@ from civicflow.operators.incremental import merge_upsert, since
 from civicflow.operators.lookup import enrich_left, resolve_fk
 
 
+# Columns of P3 that the fact replaces by keys or leaves out.
+NOT_IN_FACT = ("complaint_type", "complaint_descriptor", "borough", "street_name", "city", "source_filename", "source_relation")
+
+
 def _literal_row(spark, **cols) -> DataFrame:
     """F16: a one-row relation with explicit types."""
     return spark.range(1).select(*[F.lit(v).cast(t).alias(k) for k, (v, t) in cols.items()])
@@ -64,23 +68,20 @@ def dim_request_type(clean_df: DataFrame, type_seed: DataFrame, as_of: str) -> D
 
 
 def fact_increment(enriched: DataFrame, dim_b: DataFrame, dim_t: DataFrame, as_of: str,
-                   target: DataFrame | None = None, full_refresh: bool = False,
-                   dim_b_rows: int | None = None, dim_t_rows: int | None = None,
-                   mark: str | None = None) -> DataFrame:
+                   target: DataFrame | None = None, full_refresh: bool = False, mark: str | None = None) -> DataFrame:
     """The rows one run of P6 writes: new/changed requests with resolved keys."""
     e = since(enriched, target, "extracted_at", full_refresh=full_refresh, mark=mark)
-    e = resolve_fk(e, dim_b, "borough", "borough_name", "borough_sk", UNKNOWN, dim_b_rows)
-    e = resolve_fk(e, dim_t, "complaint_type", "complaint_type", "complaint_type_sk", UNKNOWN, dim_t_rows)
+    e = resolve_fk(e, dim_b, "borough", "borough_name", "borough_sk", UNKNOWN)
+    e = resolve_fk(e, dim_t, "complaint_type", "complaint_type", "complaint_type_sk", UNKNOWN)
     e = e.withColumn("complaint_sk", surrogate_key("complaint_id")) \
          .withColumn("fct_loaded_at", F.lit(as_of).cast("timestamp_ntz"))
-    return apply_contract(e, CONTRACTS["fact_requests"])
+    return apply_contract(e.drop(*NOT_IN_FACT), CONTRACTS["fact_requests"])
 
 
 def fact_requests(enriched: DataFrame, dim_b: DataFrame, dim_t: DataFrame, as_of: str,
-                  target: DataFrame | None = None, full_refresh: bool = False,
-                  dim_b_rows: int | None = None, dim_t_rows: int | None = None) -> DataFrame:
+                  target: DataFrame | None = None, full_refresh: bool = False) -> DataFrame:
     """The fact after this run: ``target`` merged with the run's increment on ``complaint_id``."""
-    inc = fact_increment(enriched, dim_b, dim_t, as_of, target, full_refresh, dim_b_rows, dim_t_rows)
+    inc = fact_increment(enriched, dim_b, dim_t, as_of, target, full_refresh)
     if target is None or full_refresh:
         return inc
     return merge_upsert(target, inc, ["complaint_id"])

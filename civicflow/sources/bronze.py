@@ -1,4 +1,4 @@
-"""S3: bronze append with defaults and not-null enforcement."""
+"""S3: bronze rows with defaults; a NULL payload or file name fails the load."""
 
 from __future__ import annotations
 
@@ -12,14 +12,18 @@ from civicflow.fixed_values import SOURCE_TAG
 BRONZE_COLUMNS = ("raw_data", "filename", "_extracted_at", "_source_relation")
 
 
+def _required(column: str, type_: str):
+    c = F.col(column)
+    return F.when(c.isNull(), F.raise_error(F.lit(f"bronze.{column} is NULL")).cast(type_)).otherwise(c).alias(column)
+
+
 def to_bronze(df: DataFrame, loaded_at: str | _dt.datetime | None = None,
               source: str = SOURCE_TAG) -> DataFrame:
     """Shape landed rows (``raw_data`` variant + ``filename``) into the bronze schema.
 
     ``_extracted_at`` defaults to ``loaded_at`` (the load time, one value per
-    load; the current time when omitted) and ``_source_relation`` to the source tag.  Rows lacking payload or
-    filename violate the table's not-null columns: they are routed out here
-    rather than silently stored (see ``bronze_violations``).
+    load; the current time when omitted) and ``_source_relation`` to the source tag.
+    A row without payload or file name violates the table's not-null columns and raises.
     """
     stamp = F.current_timestamp() if loaded_at is None else F.lit(str(loaded_at))
     out = df
@@ -27,14 +31,4 @@ def to_bronze(df: DataFrame, loaded_at: str | _dt.datetime | None = None,
         out = out.withColumn("_extracted_at", stamp.cast("timestamp_ntz"))
     if "_source_relation" not in df.columns:
         out = out.withColumn("_source_relation", F.lit(source))
-    return out.select(*BRONZE_COLUMNS).filter(F.col("raw_data").isNotNull() & F.col("filename").isNotNull())
-
-
-def bronze_violations(df: DataFrame) -> DataFrame:
-    """Rows a bronze load would reject (NULL payload or filename)."""
-    return df.filter(F.col("raw_data").isNull() | F.col("filename").isNull())
-
-
-def append_bronze(df: DataFrame, path: str) -> None:
-    """Append a bronze batch to the bronze Parquet table (variant stored natively)."""
-    df.write.mode("append").parquet(path)
+    return out.select(_required("raw_data", "variant"), _required("filename", "string"), "_extracted_at", "_source_relation")

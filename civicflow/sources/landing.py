@@ -1,14 +1,19 @@
-"""Landing zone: JSON record files -> bronze rows with file lineage."""
+"""Landing zone: JSON record files -> bronze rows with file lineage.
+
+Files are read as text and parsed record by record, so the limit on a variant's size
+holds for one record and not for a file; a file has to fit a task's memory (a few times
+its size).  Malformed JSON fails the load; ``landing_rejects`` lists it without failing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.fixed_values import PAGE_SIZE
 
 
-def _lineage(root: str, path_col: str = "_metadata.file_path") -> F.Column:
+def _lineage(root: str, path_col: str = "_metadata.file_path") -> Column:
     """The source file path relative to the landing root (scheme stripped)."""
     root_rel = root.rstrip("/").split(":", 1)[-1] if root.startswith("file:") else root.rstrip("/")
     path = F.regexp_replace(F.col(path_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "")
@@ -19,31 +24,46 @@ def _re_escape(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
 
 
-def records_from_files(df: DataFrame, root: str, layout: str = "array",
-                       path_col: str = "_metadata.file_path") -> DataFrame:
-    """Turn one-variant-per-file (``array``) or one-variant-per-line (``lines``)
-    rows into one bronze-shaped row per record: ``raw_data`` + relative ``filename``."""
-    rel = _lineage(root, path_col)
-    if layout == "array":
-        # An outer array is stripped; a file holding a single object is one record.
-        records = F.coalesce(F.try_variant_get(F.col("raw"), "$", "array<variant>"), F.array(F.col("raw")))
-        return df.select(F.explode(records).alias("raw_data"), rel.alias("filename"))
-    return df.select(F.col("raw").alias("raw_data"), rel.alias("filename"))
+def _is_array(text: Column) -> Column:
+    return F.substring(F.ltrim(F.regexp_replace(F.substring(text, 1, 64), r"[\s﻿]", "")), 1, 1) == "["
+
+
+def records_from_text(df: DataFrame, root: str, layout: str = "array", path_col: str = "_metadata.file_path") -> DataFrame:
+    """One row per record, ``raw_data`` variant + relative ``filename``, from text rows (``value``).
+
+    ``array``: a row is a file; an outer array is stripped, a file holding one object is one record.
+    ``lines``: a row is a line; blank lines are skipped.  Malformed JSON raises.
+    """
+    text = F.col("value")
+    rows = df.select(text, _lineage(root, path_col).alias("filename")).where(F.length(F.trim(text)) > 0)
+    if layout == "lines":
+        return rows.select(F.parse_json("value").alias("raw_data"), "filename")
+    elements = F.from_json(text, "array<variant>", {"mode": "FAILFAST"})
+    records = F.when(_is_array(text), elements).otherwise(F.array(F.parse_json(text)))
+    return rows.select(F.explode(records).alias("raw_data"), "filename")
+
+
+def _text(spark: SparkSession, root: str, layout: str) -> DataFrame:
+    return spark.read.text(root, wholetext=layout == "array", recursiveFileLookup=True)
 
 
 def read_landing(spark: SparkSession, root: str, layout: str = "array") -> DataFrame:
-    """S1 + S2: one row per landed record, ``raw_data`` variant + relative ``filename``.
+    """S1 + S2: one row per landed record at any folder depth.
 
-    ``layout='array'``: each file is one JSON array of records (the API page
-    format); the whole file parses into one variant, which is exploded.
+    ``layout='array'``: each file is a JSON array of records (the API page format) or one record.
     ``layout='lines'``: one JSON object per line (what ``write_landing`` emits).
-    The file listing is parallel; files are split across tasks, nothing passes
-    through the driver.
     """
-    reader = spark.read.option("singleVariantColumn", "raw").option("recursiveFileLookup", "true")
-    if layout == "array":
-        reader = reader.option("multiLine", "true")
-    return records_from_files(reader.json(root), root, layout)
+    return records_from_text(_text(spark, root, layout), root, layout)
+
+
+def landing_rejects(spark: SparkSession, root: str, layout: str = "array") -> DataFrame:
+    """Texts that a load would fail on: (filename, bytes), one row per malformed file or line."""
+    rows = _text(spark, root, layout).select("value", _lineage(root).alias("filename")).where(F.length(F.trim("value")) > 0)
+    # try_parse_json can't hold a whole large file, so arrays are checked record by record as well.
+    whole = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
+    bad = F.when(_is_array(F.col("value")), whole.isNull()).otherwise(F.try_parse_json("value").isNull()) if layout == "array" \
+        else F.try_parse_json("value").isNull()
+    return rows.where(bad).select("filename", F.octet_length("value").cast("long").alias("bytes"))
 
 
 def write_landing_arrays(pages: DataFrame, day_root: str, page_col: str, payload_cols: list[str]) -> None:

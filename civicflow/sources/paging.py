@@ -4,30 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from civicflow.fixed_values import MAX_RECORDS, PAGE_SIZE
+from civicflow.fixed_values import PAGE_SIZE
+from civicflow.operators.ranking import numbered
 
 
 def page(df: DataFrame, order_col: str, key_col: str, limit: int = PAGE_SIZE, offset: int = 0) -> DataFrame:
     """One page ``ORDER BY order_col DESC, key_col LIMIT limit OFFSET offset``.
 
-    Planned as a TakeOrderedAndProject: each task keeps its top ``offset+limit``
-    rows; the driver merges only those, never the whole table.
+    Planned as a TakeOrderedAndProject: each task keeps its top ``offset + limit``
+    rows.  For the first pages; ``paged`` numbers all of them.
     """
     return df.orderBy(F.col(order_col).desc(), F.col(key_col).asc()).offset(offset).limit(limit)
 
 
-def paged(df: DataFrame, order_col: str, key_col: str, page_size: int = PAGE_SIZE,
-          max_records: int = MAX_RECORDS) -> DataFrame:
-    """All pages of one extraction run in one job: the newest ``max_records``
-    rows, each tagged with its ``batch_offset`` (0, 1000, ...) and ``rank``.
+def paged(df: DataFrame, order_col: str, key_col: str, page_size: int = PAGE_SIZE, max_records: int | None = None) -> DataFrame:
+    """All pages in one job: every row with its ``rank`` and ``batch_offset`` (0, 1000, ...).
 
-    The cap is the feature (the source run takes the newest 10 000 records).
-    A global sort (range-partitioned, no single-task collect) numbers the rows.
+    ``max_records`` keeps the newest rows only, if the caller asks for it.
     """
-    top = page(df, order_col, key_col, limit=max_records, offset=0)
-    # Bounded input (at most max_records rows), so an unpartitioned window is fine.
-    w = F.row_number().over(Window.orderBy(F.col(order_col).desc(), F.col(key_col).asc()))
-    ranked = top.withColumn("rank", w)
-    return ranked.withColumn("batch_offset", ((F.col("rank") - 1) / page_size).cast("long") * page_size)
+    ranked = numbered(df, [F.col(order_col).desc(), F.col(key_col).asc()])
+    out = ranked.withColumn("batch_offset", F.floor((F.col("rank") - 1) / page_size).cast("long") * page_size)
+    return out if max_records is None else out.where(F.col("rank") <= max_records)

@@ -1,9 +1,14 @@
-"""Typed CSV seed loading.  Seeds are small static lookups (tens of rows)."""
+"""Typed CSV seeds.  Seeds are small static lookups (tens of rows).
+
+A packaged seed is parsed on the driver and travels in the plan, so executors need no
+file; a seed given by path is read by Spark from that (shared) path.
+"""
 
 from __future__ import annotations
 
 import csv
 import os
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,18 +29,25 @@ SEED_LENGTHS = {
 }
 
 
-def seed_path(name: str) -> str:
-    return os.path.join(SEED_DIR, f"{name}.csv")
+def seed_rows(name: str) -> list[dict]:
+    """The packaged rows of a seed as text."""
+    with open(os.path.join(SEED_DIR, f"{name}.csv"), newline="") as fh:
+        return list(csv.DictReader(ln for ln in fh if not ln.startswith("#") and ln.strip()))
 
 
-def load_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
-    """Read a seed CSV with its declared schema (no inference, no extra pass)."""
-    return (spark.read.schema(SEED_SCHEMAS[name]).option("header", True).option("comment", "#")
-            .option("mode", "FAILFAST").csv(path or seed_path(name)))
+def _typed(text: str, type_: str):
+    if text == "":
+        return None
+    if type_ == "boolean":
+        return {"true": True, "false": False}[text.strip().lower()]
+    return Decimal(text) if type_.startswith("decimal") else text
 
 
-def seed_rows(name: str) -> list[dict]:
-    """The seed rows as Python dicts (used to render the oracle's VALUES lists)."""
-    with open(seed_path(name), newline="") as fh:
-        lines = [ln for ln in fh if not ln.startswith("#") and ln.strip()]
-    return list(csv.DictReader(lines))
+def load_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
+    """A seed with its declared schema; a value that doesn't fit its type fails the load."""
+    if path is not None:
+        return (spark.read.schema(SEED_SCHEMAS[name]).option("header", True).option("comment", "#")
+                .option("mode", "FAILFAST").csv(path))
+    types = [c.strip().split(" ", 1) for c in SEED_SCHEMAS[name].replace("decimal(10,0)", "decimal").replace("decimal(6,2)", "decimal").split(", ")]
+    rows = [tuple(_typed(r[c], t) for c, t in types) for r in seed_rows(name)]
+    return spark.createDataFrame(rows, SEED_SCHEMAS[name])

@@ -2,9 +2,10 @@
 
 Every event becomes one record in drop 1 unless ``event_id % 10 = 9``; events
 with ``event_id % 10`` in (0, 9) are (re)delivered in drop 2 with a changed
-status.  The shaping produces null and padded keys, bad dates, blank and
-missing close times, closings before creation, placeholder boroughs, blank
-and unlisted types, and out-of-range or unparseable coordinates, so every
+status and resolution.  Requests spread over three months.  The shaping produces
+null and padded keys, bad dates, blank and missing close times, closings before
+creation, placeholder boroughs, blank and unlisted types, swapped, out-of-range
+and unparseable coordinates, and both absent keys and JSON nulls, so every
 cleaning rule is exercised.  The work scales with ``events``: one scan, one
 ``explode`` for the drops, no shuffle.
 """
@@ -14,13 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.fixed_values import SOURCE_TAG
-from civicflow.sources.tables import spread
+from civicflow.fixed_values import RECORD_KEYS, SOURCE_TAG
 
-# Record keys written into the JSON payload, in order (the last two columns of
-# the flat fixture, filename and extracted_at, are load metadata).
-PAYLOAD_KEYS = ("unique_key", "created_date", "closed_date", "status", "complaint_type", "borough",
-                "latitude", "longitude", "agency", "open_data_channel_type", "incident_zip")
+# Keys of the JSON payload (the last columns of the flat fixture are load metadata).
+PAYLOAD_KEYS = RECORD_KEYS
 
 AS_OF = "2024-02-03 00:00:00"
 DROP_LOADED_AT = {1: "2024-02-01 05:00:00", 2: "2024-02-02 05:00:00"}
@@ -35,9 +33,10 @@ def service_request_records(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     in_drop = lambda d: ((d == 1) & (eid % 10 != 9)) | ((d == 2) & (eid % 10).isin(0, 9))
     drops = F.filter(F.array(F.lit(1), F.lit(2)), in_drop)
-    e = spread(events.select("event_id", "user_id", "event_type", "ts", "value")) \
-        .select("*", F.explode(drops).alias("drop_no"))
-    c_ts = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
+    e = events.select("event_id", "user_id", "event_type", "ts", "value", F.explode(drops).alias("drop_no"))
+    c_ts = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz") - F.make_dt_interval(days=(eid % 3 * 31).cast("int"))
+    uid = F.col("user_id")
+    one_of = lambda options, at: F.element_at(F.array(*[F.lit(v).cast("string") for v in options]), (at + 1).cast("int"))
     d_ts = c_ts + F.make_dt_interval(mins=F.floor(F.col("value") * 60).cast("int"))
     etype = F.col("event_type")
     drop1 = F.col("drop_no") == 1
@@ -64,7 +63,16 @@ def service_request_records(events: DataFrame) -> DataFrame:
         F.when(eid % 83 == 0, F.lit("x"))
          .otherwise((F.lit(40) + (eid % 1250) / F.lit(1000.0)).cast("decimal(18,6)").cast("string"))
          .alias("latitude"),
-        (F.lit(-74) + (eid % 500) / F.lit(1000.0)).cast("decimal(18,6)").cast("string").alias("longitude"),
+        (F.when(eid % 11 == 0, 40).otherwise(-74) + (eid % 500) / F.lit(1000.0)).cast("decimal(18,6)").cast("string").alias("longitude"),
+        F.when(eid % 7 != 0, _iso(c_ts + F.make_dt_interval(days=F.col("drop_no")))).alias("resolution_action_updated_date"),
+        one_of(("Police", " Transportation", ""), eid % 3).alias("agency_name"),
+        one_of(("loud music/party", "POTHOLE", " no access", "", None), eid % 5).alias("descriptor"),
+        F.when(eid % 6 != 1, F.when(drop1, "Under review").otherwise(" Work completed ")).alias("resolution_description"),
+        F.concat(uid.cast("string"), F.lit(" MAIN STREET")).alias("incident_address"),
+        F.when(uid % 4 == 0, "").otherwise(" MAIN STREET ").alias("street_name"),
+        one_of(("NEW YORK", "brooklyn ", None), uid % 3).alias("city"),
+        F.lpad((uid % 18).cast("string"), 2, "0").alias("community_board"),
+        F.when(uid % 9 == 0, "").otherwise((uid % 51 + 1).cast("string")).alias("council_district"),
         F.element_at(F.array(F.lit("NYPD"), F.lit(" DOT "), F.lit("")), (eid % 3 + 1).cast("int")).alias("agency"),
         F.element_at(F.array(F.lit("ONLINE"), F.lit("phone"), F.lit("")), (eid % 3 + 1).cast("int"))
          .alias("open_data_channel_type"),
@@ -77,14 +85,20 @@ def service_request_records(events: DataFrame) -> DataFrame:
     )
 
 
+def payload_json() -> Column:
+    """A record as JSON.  A NULL is an absent key, or in every other record a JSON null (the key itself is never a JSON null)."""
+    record = F.struct(*[F.col(k) for k in PAYLOAD_KEYS])
+    spelled = F.trim("unique_key").cast("long") % 2 == 1
+    return F.when(spelled, F.to_json(record, {"ignoreNullFields": "false"})).otherwise(F.to_json(record))
+
+
 def service_request_bronze(events: DataFrame, drops: tuple[int, ...] = (1, 2)) -> DataFrame:
     """Bronze rows for the SR fixture: the payload packed into a variant, plus lineage."""
     rec = service_request_records(events)
     if tuple(drops) != (1, 2):
         rec = rec.filter(F.col("drop_no").isin(*drops))
-    payload = F.parse_json(F.to_json(F.struct(*[F.col(k) for k in PAYLOAD_KEYS])))
     return rec.select(
-        payload.alias("raw_data"),
+        F.parse_json(payload_json()).alias("raw_data"),
         F.col("filename"),
         F.col("extracted_at").alias("_extracted_at"),
         F.lit(SOURCE_TAG).alias("_source_relation"),

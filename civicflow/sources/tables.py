@@ -1,30 +1,28 @@
-"""Table sinks and layer routing (S8-S10, S12) on plain Parquet folders.
-
-A product is "replaced" by writing a new version folder and then committing
-a new, sequence-numbered manifest that names it.  A manifest is written under
-a temporary name and renamed to ``manifest-<seq>.json``; the rename is atomic
-and, on HDFS-like stores, fails if another writer already committed that
-sequence number (optimistic concurrency).  Readers take the highest sequence.
-Nothing is ever overwritten in place, so a reader never sees a half-written
-table, a crash leaves the previous version in force, and a table is never
-overwritten while it is being read (I2/I4 read their own target).
+"""Product sinks and layer routing (S8-S10, S12-S14) on plain Parquet folders.
+
+* A full-refresh product is a series of version folders (``v=000001`` ...); Spark marks a
+  finished write with ``_SUCCESS``, and readers take the highest finished version, so a
+  failed run leaves the last one readable and a product can be read while it is replaced.
+* A partitioned product is one folder, changed by Spark's dynamic partition overwrite:
+  only the partitions that a run writes are replaced.
+* What is written is first staged in the scratch folder.  Partition values and marks are read
+  from the staged files, so a source is evaluated once per write.
+
+One writer per product at a time is assumed, as for any plain Parquet folder.
 """
 
 from __future__ import annotations
 
-import json
 import os
 import re
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_MANIFEST_RE = re.compile(r"^manifest-(\d{12})\.json$")
-
+from civicflow.operators.incremental import unique_source
+from civicflow.session import scratch_path
 
-class ConcurrentCommitError(RuntimeError):
-    pass
+_VERSION = re.compile(r"^v=(\d{6,})$")
 
 
 def layer_name(custom: str | None, default: str) -> str:
@@ -36,71 +34,27 @@ def layer_path(root: str, layer: str | None, name: str, default_layer: str = "de
     return os.path.join(root, layer_name(layer, default_layer), name)
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _hadoop_fs(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _hadoop_fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        jvm = spark.sparkContext._jvm
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
-
-
-def _latest_manifest(spark: SparkSession, table_dir: str) -> tuple[int, dict | None]:
-    """(sequence, content) of the newest committed manifest; (0, None) for no table."""
-    fs, root = _hadoop_fs(spark, table_dir)
-    if not fs.exists(root):
-        return 0, None
-    best = 0
-    for st in fs.listStatus(root):
-        m = _MANIFEST_RE.match(st.getPath().getName())
-        if m:
-            best = max(best, int(m.group(1)))
-    if not best:
-        return 0, None
-    return best, json.loads(_read_text(spark, os.path.join(table_dir, f"manifest-{best:012d}.json")))
-
-
-def _commit(spark: SparkSession, table_dir: str, content: dict, after_seq: int) -> int:
-    """Atomically publish ``content`` as the manifest following ``after_seq``."""
-    seq = after_seq + 1
-    tmp = os.path.join(table_dir, f"_tmp-{uuid.uuid4().hex}.json")
-    _write_text(spark, tmp, json.dumps(content) + "\n")
-    fs, tmp_p = _hadoop_fs(spark, tmp)
-    _, final_p = _hadoop_fs(spark, os.path.join(table_dir, f"manifest-{seq:012d}.json"))
-    # rename fails on HDFS-like stores if the target exists; the exists check
-    # covers local file systems, whose rename would replace it.
-    if fs.exists(final_p) or not fs.rename(tmp_p, final_p):
-        fs.delete(tmp_p, False)
-        raise ConcurrentCommitError(f"{table_dir}: manifest {seq} was committed by another writer")
-    return seq
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _hadoop(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _versions(spark: SparkSession, table_dir: str) -> list[int]:
+    return [int(m[1]) for m in map(_VERSION.match, _names(spark, table_dir)) if m]
 
 
 def current_version(spark: SparkSession, table_dir: str) -> str | None:
-    """Folder of the table's current version, or None if the table does not exist."""
-    _, m = _latest_manifest(spark, table_dir)
-    return os.path.join(table_dir, m["version"]) if m else None
+    """Folder of the newest finished version, or None if there is none."""
+    for n in sorted(_versions(spark, table_dir), reverse=True):
+        path = os.path.join(table_dir, f"v={n:06d}")
+        if "_SUCCESS" in _names(spark, path):
+            return path
+    return None
 
 
 def table_exists(spark: SparkSession, table_dir: str) -> bool:
@@ -109,23 +63,27 @@ def table_exists(spark: SparkSession, table_dir: str) -> bool:
 
 def read_table(spark: SparkSession, table_dir: str) -> DataFrame:
     """Read the current version of a table."""
-    v = current_version(spark, table_dir)
-    if v is None:
+    path = current_version(spark, table_dir)
+    if path is None:
         raise FileNotFoundError(f"no table at {table_dir}")
-    return spark.read.parquet(v)
+    return spark.read.parquet(path)
+
 
+def write_table(df: DataFrame, table_dir: str) -> str:
+    """Full-refresh write of the next version; two writers of the same version: the second fails."""
+    n = max(_versions(df.sparkSession, table_dir), default=0) + 1
+    path = os.path.join(table_dir, f"v={n:06d}")
+    df.write.mode("errorifexists").parquet(path)
+    return path
 
-def write_table(df: DataFrame, table_dir: str, partition_by: list[str] | None = None) -> str:
-    """Full-refresh write: new version folder, then switch the pointer."""
-    spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex[:16]}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(table_dir, version))
-    seq, _ = _latest_manifest(spark, table_dir)
-    _commit(spark, table_dir, {"version": version}, seq)
-    return os.path.join(table_dir, version)
+
+def drop_old_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[str]:
+    """Maintenance: delete all but the newest ``keep`` versions (readers of an older one must be done)."""
+    old = sorted(_versions(spark, table_dir))[:-keep] if keep else []
+    for n in old:
+        fs, p = _hadoop(spark, os.path.join(table_dir, f"v={n:06d}"))
+        fs.delete(p, True)
+    return [f"v={n:06d}" for n in old]
 
 
 def view(df: DataFrame, name: str) -> DataFrame:
@@ -134,270 +92,142 @@ def view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-# Inputs up to this size are cheap to round-robin whatever the cluster size.
-SMALL_INPUT_BYTES = 1 << 30
-# Compressed input per task when spreading a small input (rows expand several
-# times in memory, and the per-row work here - JSON, variant parsing - is CPU-bound).
-SPREAD_BYTES_PER_TASK = 256 << 10
-
-
-def _bytes(conf_value: str) -> int:
-    v = conf_value.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if v.endswith(suffix):
-            return int(float(v[: -len(suffix)]) * units[suffix])
-    return int(v)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan whose splits cannot use the cluster, and only when that is cheap or needed.
-
-    * small input (<= 1 GiB): one cheap shuffle spreads CPU-heavy per-row work
-      over up to ``defaultParallelism`` tasks (e.g. a file with a single row group);
-    * splits far larger than ``spark.sql.files.maxPartitionBytes`` (unsplittable
-      files or row groups): re-split to the size Spark would have chosen;
-    * otherwise - a large, normally split input - it is returned unchanged, so
-      no shuffle is added at scale even when there are fewer splits than cores.
-
-    Planning only (file sizes come from the scan's statistics) - no job.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n >= target:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    want = spread_partitions(n, target, size, max_split)
-    return df if want is None else df.repartition(want)
-
-
-def spread_partitions(splits: int, parallelism: int, size: int, max_split: int) -> int | None:
-    """The partition count ``spread`` re-splits to, or None to keep the scan as is."""
-    if splits >= parallelism:
-        return None
-    if size <= SMALL_INPUT_BYTES:
-        want = min(parallelism, max(1, -(-size // SPREAD_BYTES_PER_TASK)))
-        return want if want > splits else None
-    if size / max(splits, 1) > 2 * max_split:
-        return -(-size // max_split)
-    return None
-
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _part_name(v) -> str:
-    """Folder name of a partition value (Spark stores NULL under a fixed name)."""
-    return _NULL_PARTITION if v is None else str(v)
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class PartitionedTable:
-    """A Parquet table partitioned by one column whose merges rewrite only the
-    partitions they touch (I2 at scale).
-
-    Each merge writes the rewritten partitions into a new version folder and
-    then switches a small manifest (partition value -> version folder, plus
-    the column order), so untouched partitions are never rewritten, nothing is
-    overwritten while being read, and a failed merge leaves the previous
-    manifest in force.
-    """
+    """A Parquet folder partitioned by one column, whose merges replace only the partitions
+    that hold an old or a new version of a merged key."""
 
     def __init__(self, spark: SparkSession, table_dir: str, partition_col: str, mark_col: str | None = None):
         self.spark, self.dir, self.col, self.mark_col = spark, table_dir, partition_col, mark_col
 
-    def _manifest(self) -> dict | None:
-        return _latest_manifest(self.spark, self.dir)[1]
-
     def exists(self) -> bool:
-        return self._manifest() is not None
+        return any(n.startswith(f"{self.col}=") for n in _names(self.spark, self.dir))
 
     def read(self) -> DataFrame | None:
-        return self._read_manifest(self._manifest())
-
-    def _read_manifest(self, m: dict | None) -> DataFrame | None:
-        if not m:
-            return None
-        by_version: dict[str, list[str]] = {}
-        for value, version in m["partitions"].items():
-            by_version.setdefault(version, []).append(value)
-        out = None
-        for version, values in sorted(by_version.items()):
-            base = os.path.join(self.dir, version)
-            part = (self.spark.read.option("basePath", base)
-                    .parquet(*[os.path.join(base, f"{self.col}={v}") for v in sorted(values)]))
-            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-        types = dict(m["types"])
-        # Columns appended by a later merge are NULL in partitions written before it.
-        return out.select(*[(F.col(c) if c in out.columns else F.lit(None)).cast(types[c]).alias(c)
-                            for c in m["columns"]])
-
-    def meta(self, key: str):
-        m = self._manifest()
-        return (m or {}).get("meta", {}).get(key)
-
-    def _write(self, df: DataFrame, manifest: dict | None, base_seq: int, drop_values=(),
-               meta: dict | None = None) -> list:
-        """Write ``df`` as a new version on top of ``manifest`` (committed as
-        ``base_seq``); a commit by another writer since then makes ours fail."""
-        version = f"v-{uuid.uuid4().hex[:16]}"
-        df.write.partitionBy(self.col).parquet(os.path.join(self.dir, version))
-        # Partition values written by this version (bounded: one per partition).
-        written = [_part_name(r[0]) for r in df.select(self.col).distinct().collect()]
-        parts = dict(manifest["partitions"]) if manifest else {}
-        for v in drop_values:
-            parts.pop(_part_name(v), None)
-        parts.update({v: version for v in written})
-        manifest_out = {"partitions": parts, "columns": df.columns,
-                        "types": [(f.name, f.dataType.simpleString()) for f in df.schema.fields],
-                        "meta": dict((manifest or {}).get("meta", {}), **(meta or {}))}
-        if self.mark_col:
-            # High-water mark kept with the table: max over what this write added
-            # (the increment) and the previous mark - never a scan of the table.
-            new = df.agg(F.max(self.mark_col).cast("string")).first()[0]
-            old = (manifest or {}).get("mark")
-            manifest_out["mark"] = max([m for m in (old, new) if m is not None], default=None)
-        _commit(self.spark, self.dir, manifest_out, base_seq)
-        return written
+        """The whole table, or None; the partition column is the last one.  Columns that a later merge
+        appended are NULL in older files."""
+        return self.spark.read.option("mergeSchema", "true").parquet(self.dir) if self.exists() else None
 
     def mark(self) -> str | None:
-        """The stored high-water mark of ``mark_col`` (None for an empty/new table)."""
-        m = self._manifest()
-        return m.get("mark") if m else None
+        """High-water mark: the largest ``mark_col`` stored (one column is read); None for no table."""
+        table = self.read()
+        return None if table is None else table.agg(F.max(self.mark_col).cast("string")).first()[0]
+
+    def _replace(self, rows: DataFrame, drop: list = ()) -> list:
+        """Replace the partitions of staged ``rows``, and remove those of ``drop`` that got none.
+
+        Rebalanced by partition value, so each month is a few files however many tasks wrote it.
+        """
+        values = [r[0] for r in rows.select(self.col).distinct().collect()]  # one per partition
+        if values:
+            (rows.hint("rebalance", self.col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.col).parquet(self.dir))
+        for v in set(drop) - set(values):
+            name = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+            fs, p = _hadoop(self.spark, os.path.join(self.dir, f"{self.col}={name}"))
+            fs.delete(p, True)
+        return values
 
-    def overwrite(self, df: DataFrame, meta: dict | None = None) -> list:
+    def overwrite(self, df: DataFrame) -> list:
         """Replace the whole table; returns the partition values written."""
-        seq, _ = _latest_manifest(self.spark, self.dir)
-        return self._write(df, None, seq, meta=meta)
+        rows = staged(df, "table-rows")
+        old = self.read()
+        gone = [] if old is None else [r[0] for r in old.select(self.col).distinct().collect()]
+        return self._replace(rows, gone)
 
-    def replace(self, df: DataFrame, values: list, meta: dict | None = None) -> None:
+    def replace(self, df: DataFrame, values: list) -> None:
         """Replace exactly the partitions ``values`` with ``df`` (rows of those partitions)."""
-        seq, m = _latest_manifest(self.spark, self.dir)
-        self._write(df, m, seq, drop_values=values, meta=meta)
-
-    def merge_latest(self, src: DataFrame, keys: list[str], pick) -> None:
-        """Keep, per key, the winner of ``pick`` (a latest-per-key function) over the
-        stored rows and ``src`` together - the same winner a full recompute over
-        all inputs would choose, whatever order the inputs arrive in.  Only the
-        partitions holding a stored or a new version of a touched key are read
-        back and rewritten."""
-        seq, m = _latest_manifest(self.spark, self.dir)
-        current = self._read_manifest(m)
-        if current is None:
-            self._write(pick(src), None, seq)
-            return
-        touched = src.select(*keys).distinct()
-        hit = current.join(touched, keys, "left_semi").select(self.col)
+        self._replace(staged(df, "table-rows"), values)
+
+    def _touched(self, current: DataFrame, src: DataFrame, keys: list[str]) -> tuple[list, DataFrame]:
+        """Partition values that hold an old or a new version of a key of ``src``, and their stored rows."""
+        hit = current.join(src.select(*keys).distinct(), keys, "left_semi").select(self.col)
         values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
-        if not values:  # nothing new: no version, no commit
-            return
-        affected = current.filter(F.col(self.col).isin(values) | (F.col(self.col).isNull() if None in values
-                                                                   else F.lit(False)))
-        merged = pick(affected.unionByName(src.select(*current.columns)))
-        self._write(merged.select(*current.columns), m, seq, drop_values=values)
+        known = [v for v in values if v is not None]
+        within = F.col(self.col).isin(known) if known else F.lit(False)
+        return values, current.where(within | F.col(self.col).isNull() if None in values else within)
 
     def merge(self, src: DataFrame, keys: list[str]) -> list:
-        """Matched keys replaced, new keys inserted; only partitions holding an old
-        or a new version of a touched key are rewritten.  Returns those partition values."""
-        seq, m = _latest_manifest(self.spark, self.dir)
-        current = self._read_manifest(m)
+        """Matched keys replaced, new keys inserted; a key twice in the source raises.  Columns new in
+        the source are appended (I3).  Returns the partition values rewritten."""
+        new = staged(unique_source(src, keys), "merge-source")
+        current = self.read()
         if current is None:
-            return self._write(src, None, seq)
-        touched = src.select(*keys).distinct()
-        hit = current.join(touched, keys, "left_semi").select(self.col)
-        values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
-        if not values:  # nothing new: no version, no commit
+            return self._replace(new)
+        values, affected = self._touched(current, new, keys)
+        if not values:
             return []
-        affected = current.filter(F.col(self.col).isin(values))
-        kept = affected.join(touched, keys, "left_anti").select(*current.columns)
-        # Columns new in ``src`` are appended; columns it lacks stay (NULL for its rows).
-        cols = current.columns + [c for c in src.columns if c not in current.columns]
-        merged = kept.unionByName(src, allowMissingColumns=True).select(*cols)
-        self._write(merged, m, seq, drop_values=values)
+        kept = affected.join(new.select(*keys), keys, "left_anti").select(*current.columns)
+        columns = current.columns + [c for c in new.columns if c not in current.columns]
+        self._replace(staged(kept.unionByName(new, allowMissingColumns=True).select(*columns), "table-rows"), values)
+        return values
+
+    def merge_latest(self, src: DataFrame, keys: list[str], pick) -> list:
+        """Keep, per key, the winner of ``pick`` over the stored rows and ``src`` together: the winner that a
+        full recompute over all inputs would choose, whatever order they arrive in."""
+        new = staged(pick(src), "merge-source")
+        current = self.read()
+        if current is None:
+            return self._replace(new)
+        values, affected = self._touched(current, new, keys)
+        if not values:
+            return []
+        both = pick(affected.unionByName(new.select(*current.columns)))
+        self._replace(staged(both.select(*current.columns), "table-rows"), values)
         return values
 
 
 class HistoryStore:
-    """Type-2 history stored so a snapshot never rewrites closed versions.
+    """Type-2 history in two folders.
 
-    Closed versions never change again, so each snapshot run appends its newly
-    closed versions and replaces only the current (open) versions - one row
-    per key - instead of rewriting the whole, ever-growing history.  One write
-    per run (partitioned by a derived ``__closed`` flag), then a manifest
-    switch listing the closed folders and the current folder.
+    ``closed/run=<time>``: versions a run closed; never touched by a run of another time, and a repeated
+    run adds nothing twice.  ``open``: one row per key, spread over key-hash buckets; a run
+    replaces only the buckets of the keys it has seen.
     """
 
-    def __init__(self, spark: SparkSession, table_dir: str):
-        self.spark, self.dir = spark, table_dir
+    BUCKET = "_bucket"
 
-    def _manifest(self) -> dict | None:
-        return _latest_manifest(self.spark, self.dir)[1]
+    def __init__(self, spark: SparkSession, table_dir: str, key: str = "complaint_id", buckets: int = 64):
+        self.spark, self.dir, self.key, self.buckets = spark, table_dir, key, buckets
+        self.open = PartitionedTable(spark, os.path.join(table_dir, "open"), self.BUCKET)
 
-    def _exists(self, rel: str) -> bool:
-        fs, p = _hadoop_fs(self.spark, os.path.join(self.dir, rel))
-        return fs.exists(p)
-
-    def meta(self, key: str):
-        return ((self._manifest() or {}).get("meta") or {}).get(key)
+    def bucket(self, key: Column | None = None) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key) if key is None else key), F.lit(self.buckets)).cast("int")
 
     def current(self) -> DataFrame | None:
-        m = self._manifest()
-        if not m or not m.get("current"):
-            return None
-        return self.spark.read.parquet(os.path.join(self.dir, m["current"])).select(*m["columns"])
+        rows = self.open.read()
+        return None if rows is None else rows.drop(self.BUCKET)
 
     def read(self, hidden: bool = False) -> DataFrame | None:
         """All versions; bookkeeping columns (leading ``_``) are dropped unless ``hidden``."""
-        m = self._manifest()
-        if not m:
+        rows = self.current()
+        if rows is None:
             return None
-        paths = [os.path.join(self.dir, p) for p in [*m["closed"], m.get("current")] if p]
-        if not paths:
-            return None
-        cols = [c for c in m["columns"] if hidden or not c.startswith("_")]
-        return self.spark.read.parquet(*paths).select(*cols)
-
-    def publish(self, snapshot: DataFrame, reset: bool = False, meta: dict | None = None) -> None:
-        """``snapshot`` = open versions after this run plus the versions it closed."""
-        base_seq, old_manifest = _latest_manifest(self.spark, self.dir)
-        version = f"v-{uuid.uuid4().hex[:16]}"
-        (snapshot.withColumn("__closed", F.col("valid_to").isNotNull())
-         .write.partitionBy("__closed").parquet(os.path.join(self.dir, version)))
-        old = None if reset else old_manifest
-        closed = list(old["closed"]) if old else []
-        rel_closed, rel_open = f"{version}/__closed=true", f"{version}/__closed=false"
-        if self._exists(rel_closed):
-            closed.append(rel_closed)
-        manifest = {"closed": closed, "current": rel_open if self._exists(rel_open) else None,
-                    "columns": snapshot.columns,
-                    "meta": dict(((old or {}).get("meta") or {}), **(meta or {}))}
-        _commit(self.spark, self.dir, manifest, base_seq)
-
-
-def vacuum(spark: SparkSession, table_dir: str, min_age_seconds: int = 3600) -> list[str]:
-    """Delete version folders, manifests and leftover temporary files that the
-    newest manifest no longer needs.
-
-    Works for plain versioned tables, ``PartitionedTable`` and ``HistoryStore``.
-    Only entries older than ``min_age_seconds`` go, so a reader that planned
-    against the previous version can finish.  Returns the deleted names.
-    """
-    import time
-    seq, m = _latest_manifest(spark, table_dir)
-    if not m:
-        return []
-    keep = {f"manifest-{seq:012d}.json"}
-    refs = [m.get("version") or ""] + list((m.get("partitions") or {}).values()) + \
-        list(m.get("closed") or []) + [m.get("current") or ""]
-    keep |= {r.split("/", 1)[0] for r in refs if r}
-    fs, root = _hadoop_fs(spark, table_dir)
-    cutoff = (time.time() - min_age_seconds) * 1000
-    deleted = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name in keep or not (name.startswith("v-") or _MANIFEST_RE.match(name) or name.startswith("_tmp-")):
-            continue
-        if st.getModificationTime() <= cutoff:
-            fs.delete(st.getPath(), True)
-            deleted.append(name)
-    return sorted(deleted)
+        closed = os.path.join(self.dir, "closed")
+        if _names(self.spark, closed):
+            rows = rows.unionByName(self.spark.read.option("recursiveFileLookup", "true").parquet(closed).select(*rows.columns))
+        return rows if hidden else rows.select(*[c for c in rows.columns if not c.startswith("_")])
+
+    def publish(self, source: DataFrame, run_at: str, snapshot, reset: bool = False) -> None:
+        """One run: ``snapshot(open versions, source)`` gives the open versions after the run and those it
+        closed.  Only open versions in the source's buckets are read and replaced."""
+        new = staged(source, "history-source")
+        touched = [r[0] for r in new.select(self.bucket()).distinct().collect()]  # at most ``buckets``
+        if reset:
+            fs, p = _hadoop(self.spark, self.dir)
+            fs.delete(p, True)
+        rows = self.open.read()
+        current = None if rows is None else rows.where(F.col(self.BUCKET).isin(touched)).drop(self.BUCKET)
+        result = staged(snapshot(current, new).withColumn(self.BUCKET, self.bucket()), "history-result")
+        closed = result.where("valid_to is not null").drop(self.BUCKET)
+        path = os.path.join(self.dir, "closed", "run=" + re.sub(r"[^0-9A-Za-z]", "-", run_at))
+        if _names(self.spark, path):  # this run was made before, perhaps up to here only
+            closed = staged(closed.unionByName(self.spark.read.parquet(path)).dropDuplicates(["scd_id"]), "history-closed")
+        closed.write.mode("overwrite").parquet(path)
+        self.open.replace(result.where("valid_to is null"), touched)

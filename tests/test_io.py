@@ -2,13 +2,16 @@
 
 import json
 import os
+import subprocess
+import sys
 
+import pytest
 from pyspark.sql import functions as F
 
 from civicflow.plans.history import history_input
 from civicflow.plans.staging import base
-from civicflow.sources.bronze import bronze_violations, to_bronze
-from civicflow.sources.landing import landing_inventory, read_landing, write_landing
+from civicflow.sources.bronze import to_bronze
+from civicflow.sources.landing import landing_inventory, landing_rejects, read_landing, write_landing
 from civicflow.sources.tables import layer_name, read_table, write_table
 from civicflow.streaming.ingest import ingest_available
 
@@ -19,6 +22,12 @@ def _land(root, day, name, records):
         json.dump(records, fh, indent=3)
 
 
+def _write(root, day, name, text):
+    os.makedirs(os.path.join(root, day), exist_ok=True)
+    with open(os.path.join(root, day, name), "w") as fh:
+        fh.write(text)
+
+
 def test_array_files_to_bronze_with_lineage(spark, tmpdir_path):
     _land(tmpdir_path, "2024-02-01", "batch0_2024-02-01_05-00-00.json",
           [{"unique_key": "1", "status": "OPEN", "extra": 5}, {"unique_key": None, "created_date": "x"}, {}])
@@ -36,11 +45,66 @@ def test_array_files_to_bronze_with_lineage(spark, tmpdir_path):
     assert sorted((r.complaint_id or "<null>") for r in hist) == [" 2", "1", "<null>"]
 
 
-def test_bronze_not_null_routing(spark):
-    df = spark.createDataFrame([("a", None), (None, "f")], "p string, filename string") \
+def test_a_null_payload_or_file_name_fails_the_load(spark):
+    df = spark.createDataFrame([("a", None), ("a", "f")], "p string, filename string") \
         .select(F.parse_json(F.lit('{"a":1}')).alias("raw_data"), "filename")
-    assert to_bronze(df, "2024-01-01 00:00:00").count() == 1
-    assert bronze_violations(df).count() == 1
+    assert to_bronze(df.where("filename is not null"), "2024-01-01 00:00:00").count() == 1
+    with pytest.raises(Exception, match="bronze.filename is NULL"):
+        to_bronze(df, "2024-01-01 00:00:00").collect()
+    with pytest.raises(Exception, match="bronze.raw_data is NULL"):
+        to_bronze(df.where("filename is not null").withColumn("raw_data", F.lit(None).cast("variant"))).collect()
+
+
+def test_malformed_input_fails_the_load_and_is_listed(spark, tmpdir_path):
+    _land(tmpdir_path, "good", "a.json", [{"unique_key": "1"}])
+    _write(tmpdir_path, "deep/er", "cut.json", '[{"unique_key": "2"}, {"unique_key":')
+    _write(tmpdir_path, "deep/er", "object.json", '{"unique_key": "3"')
+    assert sorted(r.filename for r in landing_rejects(spark, tmpdir_path).collect()) == ["deep/er/cut.json", "deep/er/object.json"]
+    with pytest.raises(Exception):
+        read_landing(spark, tmpdir_path, "array").collect()
+    lines = os.path.join(tmpdir_path, "lines")
+    _write(lines, "d", "l.json", '{"unique_key": "1"}\n\n{"unique_key": \n{"unique_key": "2"}\n')
+    assert [r.filename for r in landing_rejects(spark, lines, "lines").collect()] == ["d/l.json"]
+    with pytest.raises(Exception):
+        read_landing(spark, lines, "lines").collect()
+
+
+BIG = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from civicflow.sources.landing import read_landing
+spark = (SparkSession.builder.master("local[2]").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").getOrCreate())
+got = read_landing(spark, sys.argv[1], "array")
+print("GOT", *got.select(F.variant_get("raw_data", "$.unique_key", "long").alias("k")).agg(F.count("k"), F.sum("k")).first())
+"""
+
+
+def test_an_array_file_beyond_the_variant_limit_loads_whole(tmpdir_path):
+    """In a process of its own: a file needs a few times its size in memory."""
+    n, pad = 70_000, "x" * 2000
+    with open(os.path.join(tmpdir_path, "a.json"), "w") as fh:
+        fh.write("[" + ",".join(f'{{"unique_key":"{i}","pad":"{pad}"}}' for i in range(n)) + "]")
+    assert os.path.getsize(os.path.join(tmpdir_path, "a.json")) > 128 << 20
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", BIG, tmpdir_path], capture_output=True, text=True, timeout=300,
+                         env=os.environ | {"PYTHONPATH": root})
+    assert f"GOT {n} {n * (n - 1) // 2}" in out.stdout, out.stderr[-2000:]
+
+
+def test_streams_read_deep_folders_and_keep_each_others_loads(spark, tmpdir_path):
+    land, bronze = os.path.join(tmpdir_path, "land"), os.path.join(tmpdir_path, "bronze")
+    _land(land, "a/b/c", "x.json", [{"unique_key": "1"}, {"unique_key": "2"}])
+    for i in range(2):
+        ingest_available(spark, land, bronze, os.path.join(tmpdir_path, f"ckpt{i}"), "2024-02-01 05:00:00")
+    assert spark.read.option("recursiveFileLookup", "true").parquet(bronze).count() == 4
+
+
+def test_a_backlog_is_split_into_batches(spark, tmpdir_path):
+    land, bronze, ckpt = (os.path.join(tmpdir_path, x) for x in ("land", "bronze", "ckpt"))
+    for i in range(5):
+        _land(land, "d", f"{i}.json", [{"unique_key": str(i)}])
+    assert ingest_available(spark, land, bronze, ckpt, "2024-02-01 05:00:00", max_files_per_trigger=2) == 3
+    assert spark.read.option("recursiveFileLookup", "true").parquet(bronze).count() == 5
 
 
 def test_json_lines_writer_round_trip_and_inventory(spark, tmpdir_path):
@@ -82,7 +146,7 @@ def test_continuous_trigger_processes_new_files(spark, tmpdir_path):
     q = ingest_available(spark, land, bronze, ckpt, None, processing_time="1 second")
     try:
         deadline = time.time() + 60
-        while time.time() < deadline and not os.path.exists(os.path.join(bronze, "batch_id=0")):
+        while time.time() < deadline and not os.path.exists(os.path.join(bronze, f"query={q.id}", "batch=0")):
             time.sleep(0.5)
         q.processAllAvailable()
     finally:
@@ -91,15 +155,6 @@ def test_continuous_trigger_processes_new_files(spark, tmpdir_path):
     assert len(rows) == 1 and rows[0]._extracted_at is not None
 
 
-def test_spread_only_when_cheap_or_needed():
-    from civicflow.sources.tables import spread_partitions
-    MB, GB = 1 << 20, 1 << 30
-    assert spread_partitions(1, 8, 2 * MB, 128 * MB) == 8            # tiny single-row-group file
-    assert spread_partitions(16, 8, 2 * MB, 128 * MB) is None        # already enough splits
-    assert spread_partitions(4000, 8000, 500 * GB, 128 * MB) is None  # large, normally split: no shuffle
-    assert spread_partitions(1, 8000, 100 * GB, 128 * MB) == 800      # one unsplittable 100 GB file
-
-
 def test_single_object_file_is_one_record(spark, tmpdir_path):
     os.makedirs(os.path.join(tmpdir_path, "2024-02-03"))
     with open(os.path.join(tmpdir_path, "2024-02-03", "one.json"), "w") as fh:

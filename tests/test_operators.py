@@ -114,3 +114,34 @@ def test_contract_casts_and_enforces_not_null(spark):
         apply_contract(bad, c).collect()
     with pytest.raises(ValueError):
         apply_contract(ok.drop("category"), c)
+
+
+def test_contract_rejects_extra_columns(spark):
+    c = CONTRACTS["dim_request_type"]
+    df = spark.createDataFrame([("sk", "T", "Other", False, False, False, "2024-01-01 00:00:00", 1)],
+                               ", ".join(f"{n} string" if i in (0, 1, 2, 6) else f"{n} boolean" for i, n in enumerate(c.columns)) + ", note int")
+    with pytest.raises(ValueError, match="unexpected columns"):
+        apply_contract(df, c)
+
+
+def test_merge_upsert_raises_on_a_duplicated_source_key(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, v string")
+    src = spark.createDataFrame([(2, "b"), (2, "c"), (None, "d"), (None, "e")], "id int, v string")
+    with pytest.raises(Exception, match="duplicate source key"):
+        merge_upsert(target, src, ["id"]).collect()
+    assert merge_upsert(target, src.where("v != 'c'"), ["id"]).count() == 4  # NULL keys match nothing
+
+
+def test_numbering_and_exact_percentiles(spark):
+    import random
+
+    from civicflow.operators.ranking import exact_percentiles, numbered
+    rng = random.Random(2)
+    rows = [(rng.choice("aab") if i % 50 else None, rng.choice([rng.random(), 0.5, None])) for i in range(2000)] + [("one", 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    got = [r["rank"] for r in numbered(df.where("v is not null"), [F.col("v").desc(), F.col("g").asc()]).orderBy(F.desc("v"), "g").collect()]
+    assert sorted(got) == list(range(1, len(got) + 1))
+    found = {r.g: (r.p50, r.p90) for r in exact_percentiles(df, "g", "v", {"p50": 0.5, "p90": 0.9}).collect()}
+    want = {r.g: (r.p50, r.p90) for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("p50"), F.percentile("v", F.lit(0.9)).alias("p90")).collect()}
+    assert set(found) == set(want)
+    assert all(found[g] == pytest.approx(want[g]) for g in want)

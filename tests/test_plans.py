@@ -1,6 +1,7 @@
 """Plan regression tests: the physical properties the design relies on at scale."""
 
 import __spark_entry__ as E
+from civicflow.catalog import queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,7 +38,7 @@ def test_high_water_mark_reaches_the_scan(spark):
 
 def test_no_registered_query_plans_a_cross_join(spark):
     offenders = []
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(queries().items()):
         plan = _plan(fn(spark, SF))
         if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
             offenders.append(name)

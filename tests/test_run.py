@@ -1,13 +1,19 @@
 """Whole-run behaviour: layer gating and incremental == full refresh."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from civicflow.catalog.queries import sr_bronze
 from civicflow.catalog.queries_io import DAYS, land_arrays
+from civicflow.operators.contracts import CONTRACTS
 from civicflow.operators.quality import CheckFailed
 from civicflow.plans.build import GoldBuild
-from civicflow.plans.run import Warehouse, run_all
+from civicflow.plans.history import history_input, newer_than_seen, request_history, snapshot_requests
+from civicflow.plans.marts import daily_summary
+from civicflow.plans.run import Warehouse, build_silver, refresh_dim, refresh_mart, run_all, since_mark
+from civicflow.plans.staging import base, clean
 from civicflow.session import scratch_path
 from civicflow.sources.service_requests import AS_OF
 
@@ -46,47 +52,44 @@ def test_landing_fixture_pages_are_bounded(spark):
 
 
 def test_incremental_silver_equals_full_recompute(spark):
-    from pyspark.sql import functions as F
-
-    from civicflow.plans.run import build_silver
-    from civicflow.plans.staging import base, clean
     wh = Warehouse(spark, scratch_path(spark, "wh_silver"))
-    b1 = sr_bronze(spark, SF, (1,))
-    b2 = sr_bronze(spark, SF, (2,))
+    b1, b2 = sr_bronze(spark, SF, (1,)), sr_bronze(spark, SF, (2,))
     b1.write.parquet(wh.bronze_dir + "/load=1")
-    build_silver(wh, wh.bronze())
+    build_silver(wh, since_mark(wh.bronze(), wh.silver_latest_table().mark()))
     b2.write.parquet(wh.bronze_dir + "/load=2")
-    inc = build_silver(wh, wh.bronze())
+    inc = build_silver(wh, since_mark(wh.bronze(), wh.silver_latest_table().mark()))
     full = clean(base(b1.unionByName(b2)))
     assert _rows(inc) == _rows(full.select(*inc.columns))
-    again = build_silver(wh, wh.bronze())  # rerun with nothing new: unchanged
-    assert _rows(again) == _rows(inc)
     # A late file with an *older* name must not displace the newer version.
     late = b1.filter(F.col("filename").contains("batch0.json")).withColumn(
         "_extracted_at", F.lit("2024-02-02 06:00:00").cast("timestamp_ntz"))
     late.write.parquet(wh.bronze_dir + "/load=3")
-    after_late = build_silver(wh, wh.bronze())
+    after_late = build_silver(wh, since_mark(wh.bronze(), wh.silver_latest_table().mark()))
     full_late = clean(base(b1.unionByName(b2).unionByName(late)))
     assert _rows(after_late) == _rows(full_late.select(*inc.columns))
 
 
-def test_two_runs_with_vacuum_keep_products_readable(spark):
-    wh = Warehouse(spark, scratch_path(spark, "wh_vac"))
+def test_two_runs_equal_a_full_build_and_a_third_changes_nothing(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh_runs"))
     sr_bronze(spark, SF, (1,)).write.parquet(wh.bronze_dir + "/load=1")
-    run_all(wh, AS_OF, on_error="continue", vacuum_min_age_seconds=0)
+    run_all(wh, AS_OF, on_error="continue")
     sr_bronze(spark, SF, (2,)).write.parquet(wh.bronze_dir + "/load=2")
-    out = run_all(wh, AS_OF, on_error="continue", vacuum_min_age_seconds=0)
-    full = GoldBuild(spark, sr_bronze(spark, SF, (1, 2)), AS_OF, persist=False)
-    assert _rows(wh.fact_table().read()) == _rows(full.fact)
-    assert wh.history_store().read().count() > 0
+    out = run_all(wh, AS_OF, on_error="continue", history_at="2024-02-04 00:00:00")
+    full = GoldBuild(spark, sr_bronze(spark, SF, (1, 2)), AS_OF)
+    columns = CONTRACTS["fact_requests"].columns
+    fact = _rows(wh.fact_table().read().select(*columns))
+    assert fact == _rows(full.fact.select(*columns))
+    mart = daily_summary(full.fact, full.dim_b, full.dim_t, AS_OF)
+    assert _rows(out["daily_summary"].select(*mart.columns)) == _rows(mart)
     assert out["freshness"].first().status in ("pass", "warn", "error")
+    history = _rows(out["history"])
+    again = run_all(wh, AS_OF, on_error="continue", history_at="2024-02-05 00:00:00")
+    assert _rows(wh.fact_table().read().select(*columns)) == fact
+    assert _rows(again["daily_summary"].select(*mart.columns)) == _rows(mart)
+    assert _rows(again["history"]) == history
 
 
 def test_mart_refresh_rewrites_only_touched_months(spark):
-    import datetime as dt
-
-    from civicflow.plans.marts import daily_summary
-    from civicflow.plans.run import refresh_mart
     wh = Warehouse(spark, scratch_path(spark, "wh_mart"))
     D = dt.date
     dim_b = spark.createDataFrame([("b1", "Manhattan", dt.datetime(2024, 1, 1))],
@@ -98,37 +101,35 @@ def test_mart_refresh_rewrites_only_touched_months(spark):
               "is_resolved boolean, is_open boolean, response_time_hours int")
     v1 = [(D(2024, 1, 5), D(2024, 1, 1), "b1", "t1", True, False, 3),
           (D(2024, 2, 7), D(2024, 2, 1), "b1", "t1", False, True, None)]
-    f1 = spark.createDataFrame(v1, schema)
-    refresh_mart(wh, f1, dim_b, dim_t, AS_OF, 1, 1, [D(2024, 1, 1), D(2024, 2, 1)])
-    jan_version = wh.mart_table()._manifest()["partitions"]["2024-01-01"]
+    refresh_mart(wh, spark.createDataFrame(v1, schema), dim_b, dim_t, AS_OF, [D(2024, 1, 1), D(2024, 2, 1)])
+    january = lambda: {r[0] for r in wh.mart_table().read().where("_month = '2024-01-01'").select(F.input_file_name()).collect()}
+    before = january()
     f2 = spark.createDataFrame(v1 + [(D(2024, 2, 8), D(2024, 2, 1), "b1", "t1", True, False, 5)], schema)
-    mart = refresh_mart(wh, f2, dim_b, dim_t, AS_OF, 1, 1, [D(2024, 2, 1)])
-    assert wh.mart_table()._manifest()["partitions"]["2024-01-01"] == jan_version
-    assert _rows(mart) == _rows(daily_summary(f2, dim_b, dim_t, AS_OF, 1, 1).select(*mart.columns))
-    dim_t2 = dim_t.withColumn("category", F.lit("Housing"))
-    mart2 = refresh_mart(wh, f2, dim_b, dim_t2, AS_OF, 1, 1, [])
-    assert wh.mart_table()._manifest()["partitions"]["2024-01-01"] != jan_version  # full rebuild
-    assert {r.category for r in mart2.collect()} == {"Housing"}
+    mart = refresh_mart(wh, f2, dim_b, dim_t, AS_OF, [D(2024, 2, 1)])
+    assert january() == before
+    want = daily_summary(f2, dim_b, dim_t, AS_OF)
+    assert _rows(mart.select(*want.columns)) == _rows(want)
+    mart2 = refresh_mart(wh, f2, dim_b, dim_t.withColumn("category", F.lit("Housing")), AS_OF, [], rebuild=True)
+    assert january() != before and {r.category for r in mart2.collect()} == {"Housing"}
+
+
+def test_dimensions_are_written_when_their_content_changes(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh_dim"))
+    mk = lambda v, t: spark.createDataFrame([("k", v, t)], "sk string, v string, dim_loaded_at string")
+    assert refresh_dim(wh, "d", mk("a", "1"))[1] and not refresh_dim(wh, "d", mk("a", "2"))[1] and refresh_dim(wh, "d", mk("b", "3"))[1]
+    assert wh.read("gold", "d").first().v == "b"
 
 
 def test_incremental_history_equals_full_bronze_snapshots(spark):
-    from civicflow.plans.history import request_history
     wh = Warehouse(spark, scratch_path(spark, "wh_hist"))
     b1, b2 = sr_bronze(spark, SF, (1,)), sr_bronze(spark, SF, (2,))
     late = b1.filter(F.col("filename").contains("batch0.json")).withColumn(
         "_extracted_at", F.lit("2024-02-02 06:00:00").cast("timestamp_ntz"))
-    loads = [b1, b2, late]
     times = ["2024-03-01 00:00:00", "2024-03-02 00:00:00", "2024-03-03 00:00:00"]
     lazy, seen = None, None
-    for i, (b, t) in enumerate(zip(loads, times)):
-        b.write.parquet(f"{wh.bronze_dir}/load={i}")
-        store = wh.history_store()
-        bronze = wh.bronze()
-        mark = store.meta("mark")
-        new = bronze if mark is None else bronze.filter(F.col("_extracted_at") >= F.lit(mark).cast("timestamp_ntz"))
-        from civicflow.plans.history import request_history_increment
-        store.publish(request_history_increment(store.current(), new, t),
-                      meta={"mark": new.agg(F.max("_extracted_at").cast("string")).first()[0] or mark})
+    for b, t in zip([b1, b2, late], times):
+        wh.history_store().publish(history_input(b, with_filename=True), t,
+                                   lambda current, new: snapshot_requests(current, newer_than_seen(current, new), t))
         seen = b if seen is None else seen.unionByName(b)
         lazy = request_history(lazy, seen, t)
     assert _rows(wh.history_store().read()) == _rows(lazy)
@@ -142,21 +143,3 @@ def test_freshness_with_known_mark(spark):
     assert str(r.max_loaded_at) == "2024-01-01 12:00:00" and r.status == "pass"
     r2 = freshness(df, "t", "2024-01-03 00:00:00", known_max="2023-12-31 00:00:00").first()
     assert str(r2.max_loaded_at) == "2024-01-01 00:00:00" and r2.status == "warn"
-
-
-def test_rerun_without_new_data_leaves_fact_and_mart_untouched(spark):
-    from civicflow.sources.tables import _latest_manifest
-    wh = Warehouse(spark, scratch_path(spark, "wh_noop"))
-    sr_bronze(spark, SF, (1,)).write.parquet(wh.bronze_dir + "/load=1")
-    run_all(wh, AS_OF, on_error="continue")
-    names = [("gold", "fact_requests"), ("gold", "daily_summary"), ("silver", "request_history"),
-             ("silver", "requests_latest")]
-    before = {n: _latest_manifest(spark, wh.path(*n))[0] for n in names}
-    fact_before = _rows(wh.fact_table().read())
-    run_all(wh, AS_OF, on_error="continue")
-    after = {n: _latest_manifest(spark, wh.path(*n))[0] for n in names}
-    # Fact and mart: no new version at all.  (History and silver re-read rows
-    # stamped exactly at their mark, so a same-stamp load is never missed; that
-    # re-read is idempotent but commits.)
-    assert {n: after[n] for n in names[:2]} == {n: before[n] for n in names[:2]}
-    assert _rows(wh.fact_table().read()) == fact_before

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from civicflow.catalog.oracle import SR, base_sql, clean_sql, daily_summary_sql, dim_borough_sql, \
     dim_type_sql, enriched_sql, fact_rows_sql
 from civicflow.catalog.queries import table
-from civicflow.plans.build import GoldBuild
+from civicflow.plans.build import GoldBuild, materialize
 from civicflow.plans.marts import daily_summary
-from civicflow.sources.service_requests import AS_OF, PAYLOAD_KEYS, service_request_records
+from civicflow.sources.service_requests import AS_OF, payload_json, service_request_records
 from tests.oracle_compare import duck, rows_of
 
 SF = "/root/testdata/sf0.01"
@@ -25,8 +25,7 @@ def _spark_bronze(spark):
     is_hot = (key_num % 3 == 0) & F.col("unique_key").isNotNull()
     rec = rec.withColumn("unique_key", F.when(is_hot, F.lit("777")).otherwise(F.col("unique_key"))) \
              .withColumn("borough", F.when(is_hot, F.lit("MANHATTAN")).otherwise(F.col("borough")))
-    payload = F.parse_json(F.to_json(F.struct(*[F.col(k) for k in PAYLOAD_KEYS])))
-    return rec.select(payload.alias("raw_data"), "filename", F.col("extracted_at").alias("_extracted_at"),
+    return rec.select(F.parse_json(payload_json()).alias("raw_data"), "filename", F.col("extracted_at").alias("_extracted_at"),
                       F.lit("S3").alias("_source_relation"))
 
 
@@ -40,8 +39,8 @@ def _oracle_sr():
 
 
 def test_hot_key_products_match_oracle(spark):
-    g = GoldBuild(spark, _spark_bronze(spark), AS_OF)
-    mart = daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF, g.dim_b_rows, g.dim_t_rows)
+    g = GoldBuild(spark, materialize(_spark_bronze(spark), "bronze"), AS_OF)
+    mart = daily_summary(g.fact, g.dim_b, g.dim_t, AS_OF)
     sr = _oracle_sr()
     clean = clean_sql(base_sql(sr))
     dim_b, dim_t = dim_borough_sql(clean), dim_type_sql(clean)
