@@ -13,7 +13,7 @@ from civicflow.session import scratch_path
 
 # Texts are tokenised in slices of about this many bytes, so a task's working
 # set does not depend on how long documents are or how many share a batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,8 +14,9 @@ Method
   overlap any partner needs is out before a pair exists.  The others index only
   the shared n-grams of their prefix: the first size - ceil(t * size) + 1.
 * Candidates join on prefix n-grams and pass the length filter, the positional
-  filter (n-grams left after the match) and the suffix filter (overlap of the sets'
-  counts per hash range).  Each candidate pair is verified once, by intersection.
+  filter (n-grams left after the match) and the suffix filter (n-grams whose hash slot
+  the other set leaves empty can't be shared).  Each candidate pair is verified once,
+  by intersection.
 * Groups are linked through a hub first: within each prefix n-gram every set is
   paired with the hub alone (a first round takes the set with the fewest unshared
   n-grams as hub, a second one by hash).  Only then are pairs formed, and only
@@ -38,9 +39,9 @@ from civicflow.llm.components import connected_components
 
 N_WORDS = 5
 THRESHOLD = 75          # per cent
-BUCKET_GRAMS = 4_000_000  # n-grams that one bucket gathers
-FLUSH_GRAMS = 4_000_000   # n-grams that a mapper holds before it sends them on
-RANGES = 16             # hash ranges of the suffix filter
+BUCKET_GRAMS = 1_500_000  # n-grams that one bucket gathers
+FLUSH_GRAMS = 1_000_000   # n-grams that a mapper holds before it sends them on
+SLOTS = 1024            # hash slots of the suffix filter
 HUB_ROUNDS = 2
 
 
@@ -81,31 +82,16 @@ def _sets_of_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.R
 
 def _deal(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Packs (bucket, digests, n-grams per digest, set sizes, n-grams), each set once per flush."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []
     seen: set[int] = set()
     grams = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        h = np.concatenate([x[0] for x in held])
-        owner = np.concatenate([x[1] for x in held])
-        size = np.concatenate([x[2] for x in held])
-        bucket = bucket_of(h, buckets)
-        order = np.argsort(bucket, kind="stable")  # stays grouped by set within a bucket
-        h, owner, size, bucket = h[order], owner[order], size[order], bucket[order]
-        edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
-        rows = []
-        for a, b in zip(edges[:-1], edges[1:]):
-            o = owner[a:b]
-            runs = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
-            rows.append((int(bucket[a]), o[runs].tobytes(), np.diff(np.r_[runs, b - a]).astype(np.int32).tobytes(),
-                         size[a:b][runs].astype(np.int32).tobytes(), h[a:b].tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 5)],
-            names=["bucket", "digests", "runs", "sizes", "grams"])
-        held.clear()
-        seen.clear()
+        if held:
+            h, owner, size = (np.concatenate([x[k] for x in held]) for k in range(3))
+            held.clear()
+            seen.clear()
+            yield _pack(bucket_of(h, buckets), owner, size, h)
 
     for batch in batches:
         for part in slices(batch, "text"):
@@ -130,33 +116,81 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """One bucket: n-grams that two sets or more hold, by set, with the number of sets."""
-    owner, size, grams = [], [], []
-    for d, r, s, g in zip(*(table.column(c) for c in ("digests", "runs", "sizes", "grams"))):
+PACK = "bucket int, digests binary, runs binary, sizes binary, grams binary, freqs binary"
+_PACK_NAMES = ["bucket", "digests", "runs", "sizes", "grams", "freqs"]
+SETS = "digest bigint, size int, prefix int, grams array<bigint>, slots array<bigint>"
+
+
+def _edges(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin, and the end."""
+    if not len(columns[0]):
+        return np.zeros(1, np.int64)
+    new = np.ones(len(columns[0]) + 1, bool)
+    new[1:-1] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _pack(bucket: np.ndarray, owner: np.ndarray, size: np.ndarray, grams: np.ndarray, freq: np.ndarray | None = None) -> pa.RecordBatch:
+    """One row per bucket: its n-grams set by set, with each set's digest and size once."""
+    order = np.argsort(bucket, kind="stable")  # stays grouped by set within a bucket
+    bucket, owner, size, grams = bucket[order], owner[order], size[order], grams[order]
+    freq = None if freq is None else freq[order]
+    rows, edge = [], _edges(bucket)
+    for a, b in zip(edge[:-1], edge[1:]):
+        runs = _edges(owner[a:b])
+        first = a + runs[:-1]
+        rows.append((int(bucket[a]), owner[first].tobytes(), np.diff(runs).astype(np.int32).tobytes(), size[first].astype(np.int32).tobytes(),
+                     grams[a:b].tobytes(), None if freq is None else freq[a:b].astype(np.int32).tobytes()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 6)], names=_PACK_NAMES)
+
+
+def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(set digest, set size, n-gram, frequency) of each n-gram of a bucket."""
+    out = ([], [], [], [])
+    for d, r, s, g, f in zip(*(table.column(c) for c in _PACK_NAMES[1:])):
         runs = np.frombuffer(r.as_buffer(), np.int32)
-        owner.append(np.repeat(np.frombuffer(d.as_buffer(), np.uint64), runs))
-        size.append(np.repeat(np.frombuffer(s.as_buffer(), np.int32), runs))
-        grams.append(np.frombuffer(g.as_buffer(), np.uint64))
-    owner, size, grams = np.concatenate(owner), np.concatenate(size), np.concatenate(grams)
+        out[0].append(np.repeat(np.frombuffer(d.as_buffer(), np.uint64), runs))
+        out[1].append(np.repeat(np.frombuffer(s.as_buffer(), np.int32), runs))
+        out[2].append(np.frombuffer(g.as_buffer(), np.uint64))
+        out[3].append(np.frombuffer(f.as_buffer(), np.int32) if f.is_valid else np.zeros(0, np.int32))
+    return tuple(np.concatenate(x) for x in out)
+
+
+def _shared(table: pa.Table, buckets: int) -> pa.Table:
+    """One bucket of n-grams: those that two sets or more hold, with the number of sets, dealt by set."""
+    owner, size, grams, _ = _unpack(table)
     order = np.lexsort((owner, grams))
     owner, size, grams = owner[order], size[order], grams[order]
-    new = np.r_[True, (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])]  # the same set from two flushes
-    owner, size, grams = owner[new], size[new], grams[new]
-    edge = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1], True])
+    first = _edges(grams, owner)[:-1]  # the same set may come from two flushes
+    owner, size, grams = owner[first], size[first], grams[first]
+    edge = _edges(grams)
     freq = np.repeat(np.diff(edge), np.diff(edge))
     mine = np.flatnonzero(freq > 1)
     mine = mine[np.argsort(owner[mine], kind="stable")]
     owner, size, grams, freq = owner[mine], size[mine], grams[mine], freq[mine]
-    edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
-    lists = lambda v, t: pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(v, t))
-    first = edge[:-1]
+    return pa.Table.from_batches([_pack(bucket_of(mix(owner), buckets), owner, size, grams, freq)])
+
+
+def _assemble(table: pa.Table, threshold: int) -> pa.Table:
+    """One bucket of sets: each set that has enough shared n-grams for a partner, rare ones first."""
+    owner, size, grams, freq = _unpack(table)
+    order = np.lexsort((grams, freq, owner))
+    owner, size, grams = owner[order], size[order].astype(np.int64), grams[order]
+    edge = _edges(owner)
+    held, first = np.diff(edge), edge[:-1]
+    need = -(-size[first] * threshold // 100)  # overlap that any partner needs
+    stay = held >= need
+    mine = np.repeat(stay, held)
+    grams, held, first, need = grams[mine], held[stay], first[stay], need[stay]
+    slots = np.zeros((len(held), SLOTS // 64), np.uint64)
+    slot = (mix(grams) % np.uint64(SLOTS)).astype(np.int64)
+    np.bitwise_or.at(slots, (np.repeat(np.arange(len(held)), held), slot >> 6), np.uint64(1) << (slot & 63).astype(np.uint64))
+    lists = lambda v, n: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(v.view(np.int64)))
     return pa.table({"digest": pa.array(owner[first].view(np.int64)), "size": pa.array(size[first].astype(np.int32)),
-                     "grams": lists(grams.view(np.int64), pa.int64()), "freqs": lists(freq.astype(np.int32), pa.int32())})
-
-
-def _ceil_share(size, threshold: int):
-    return F.ceil(size * threshold / F.lit(100.0)).cast("int")
+                     # N-grams of this set alone come first in rare-first order; the rest of its prefix are these:
+                     "prefix": pa.array((held - need + 1).astype(np.int32)), "grams": lists(grams, held),
+                     "slots": lists(slots.reshape(-1), np.full(len(held), SLOTS // 64))})
 
 
 def _need(a, b, threshold: int):
@@ -176,17 +210,27 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _filters(threshold: int):
-    """Length, positional and suffix filters of a candidate pair sharing one prefix n-gram."""
+    """Length and positional filters of a candidate pair that shares one prefix n-gram."""
     small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    most = F.least("before_a", "before_b") + 1 + F.least("after_a", "after_b")
+    return (small * 100 >= large * threshold) & (most >= _need(F.col("size_a"), F.col("size_b"), threshold))
+
+
+def _suffix_filter(threshold: int):
+    """Each slot that only one set fills holds at least one n-gram that isn't shared."""
+    only = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))),
+                                    F.lit(0), lambda n, v: n + v)
     need = _need(F.col("size_a"), F.col("size_b"), threshold)
-    left = F.least(F.col("after_a"), F.col("after_b"))
-    by_range = F.aggregate(F.zip_with("hist_a", "hist_b", lambda p, q: F.least(p, q)), F.lit(0), lambda acc, v: acc + v)
-    return (small * 100 >= large * threshold) & (left + F.least("before_a", "before_b") + 1 >= need) & (by_range >= need)
+    held = lambda x: F.col(f"before_{x}") + 1 + F.col(f"after_{x}")
+    return (held("a") - only("slots_a", "slots_b") >= need) & (held("b") - only("slots_b", "slots_a") >= need)
 
 
 def _side(index: DataFrame, name: str) -> DataFrame:
-    return index.select("gram", *[F.col(c).alias(f"{c}_{name}") for c in ("digest", "size", "before", "after", "hist", "comp")
-                                  if c in index.columns])
+    return index.select("gram", *[F.col(c).alias(f"{c}_{name}") for c in index.columns if c != "gram"])
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("digest_a", "digest_b").alias("a"), F.greatest("digest_a", "digest_b").alias("b")).distinct()
 
 
 def text_key():
@@ -202,45 +246,33 @@ def ngram_links(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -
                    "shingle-sizes")
     total = sizes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = bucket_count(total, BUCKET_GRAMS, spark)
-    packs = docs.select("text").mapInArrow(
-        lambda it: _deal(it, n, buckets), "bucket int, digests binary, runs binary, sizes binary, grams binary")
-    shared = (packs.repartition(buckets, "bucket").groupBy("bucket")
-              .applyInArrow(_shared, "digest bigint, size int, grams array<bigint>, freqs array<int>"))
-    # One row per set: all its shared n-grams.  Too few shared ones for any partner: out.
-    sets = (shared.groupBy("digest").agg(F.first("size").alias("size"), F.flatten(F.collect_list("grams")).alias("grams"),
-                                         F.flatten(F.collect_list("freqs")).alias("freqs"))
-            .where(F.size("grams") >= _ceil_share(F.col("size"), threshold)))
-    hist = F.expr(f"transform(sequence(0, {RANGES - 1}), r -> size(filter(grams, g -> (g & {RANGES - 1}) = r)))")
-    ranked = F.expr("array_sort(transform(arrays_zip(freqs, grams), x -> struct(x.freqs AS freq, x.grams AS gram)))")
-    alone = F.col("size") - F.size("grams")  # n-grams of this set alone: first in rare-first order
-    sets = stored(sets.withColumn("hist", hist).withColumn("alone", alone)
-                  .withColumn("prefix", F.slice(ranked, F.lit(1),
-                                                F.greatest(F.col("size") - _ceil_share(F.col("size"), threshold) + 1 - alone, F.lit(0))))
-                  .drop("freqs"), "shingle-sets")
-    index = (sets.select("digest", "size", "alone", "hist", F.size("grams").alias("held"), F.posexplode("prefix").alias("pos", "x"))
-             .select(F.col("x.gram").alias("gram"), "digest", "size", "alone", "hist", F.col("pos").alias("before"),
-                     (F.col("held") - F.col("pos") - 1).alias("after")))
-    links, comps = None, None
+    packs = docs.select("text").mapInArrow(lambda it: _deal(it, n, buckets), PACK)
+    shared = packs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _shared(t, buckets), PACK)
+    sets = stored(shared.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _assemble(t, threshold), SETS),
+                  "shingle-sets")
+    index = (sets.select("digest", "size", F.size("grams").alias("held"), F.posexplode(F.slice("grams", F.lit(1), F.col("prefix"))))
+             .select(F.col("col").alias("gram"), "digest", "size", F.col("pos").alias("before"), (F.col("held") - F.col("pos") - 1).alias("after")))
+    links = None
     for i in range(HUB_ROUNDS):
-        order = F.struct((F.col("alone") / F.col("size")) if i == 0 else F.xxhash64("digest", F.lit(i)), F.col("digest"))
-        hubs = index.groupBy("gram").agg(F.min_by(F.struct("digest", "size", "before", "after", "hist"), order).alias("hub"))
-        b = hubs.select("gram", *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("digest", "size", "before", "after", "hist")])
-        pairs = (_side(index, "a").join(b, "gram").where((F.col("digest_a") != F.col("digest_b")) & _filters(threshold))
-                 .select(F.least("digest_a", "digest_b").alias("a"), F.greatest("digest_a", "digest_b").alias("b")).distinct())
+        unshared = F.lit(1.0) - (F.col("before") + F.col("after") + 1) / F.col("size")
+        order = F.struct(unshared if i == 0 else F.xxhash64("digest", F.lit(i)), F.col("digest"))
+        hubs = index.groupBy("gram").agg(F.min_by(F.struct("digest", "size", "before", "after"), order).alias("hub"), F.count("*").alias("members"))
+        b = _side(hubs.where("members > 1").select("gram", "hub.*"), "b")
+        pairs = _pairs(_side(index, "a").join(b, "gram").where((F.col("digest_a") != F.col("digest_b")) & _filters(threshold)))
         found = stored(_links(pairs, sets, threshold), "shingle-links")
         links = found if links is None else links.unionByName(found)
     comps = connected_components(links)
-    # What the hubs didn't join: pairs between different components, without the largest
-    # component's pairs with itself, since rows of equal component never meet.
+    # What the hubs didn't join: pairs between different components.  Rows of an n-gram's
+    # largest component meet the others, but never each other.
     tagged = stored(index.join(comps.withColumnRenamed("node", "digest"), "digest", "left")
                     .withColumn("comp", F.coalesce("component", "digest")).drop("component"), "shingle-index")
     per_comp = tagged.groupBy("gram", "comp").agg(F.count("*").alias("members"))
     mixed = (per_comp.groupBy("gram").agg(F.max(F.struct("members", "comp")).alias("top"), F.count("*").alias("comps"))
              .where(F.col("comps") > 1).select("gram", F.col("top.comp").alias("largest")))
-    rest = stored(tagged.join(mixed, "gram"), "shingle-mixed")
+    rest = stored(tagged.join(mixed, "gram").join(sets.select("digest", "slots"), "digest"), "shingle-mixed")
     outside = _side(rest.where(F.col("comp") != F.col("largest")).drop("largest"), "a")
-    pairs = (outside.join(_side(rest, "b"), "gram").where((F.col("comp_a") != F.col("comp_b")) & _filters(threshold))
-             .select(F.least("digest_a", "digest_b").alias("a"), F.greatest("digest_a", "digest_b").alias("b")).distinct())
+    pairs = _pairs(outside.join(_side(rest.drop("largest"), "b"), "gram")
+                   .where((F.col("comp_a") != F.col("comp_b")) & _filters(threshold) & _suffix_filter(threshold)))
     more = stored(_links(pairs, sets, threshold), "shingle-links")
     if not more.isEmpty():
         comps = connected_components(links.unionByName(more))
