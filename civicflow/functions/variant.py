@@ -36,14 +36,11 @@ def parse_decimal(c: Column | str, precision: int = 18, scale: int = 12) -> Colu
     return _col(c).try_cast(f"decimal({precision},{scale})")
 
 
-def empty_string_count(raw_json: Column | str) -> Column:
-    """Number of top-level values equal to the empty string in one JSON object."""
-    m = F.from_json(_col(raw_json), "map<string,string>")
-    return F.coalesce(F.size(F.filter(F.map_values(m), lambda v: v == F.lit(""))), F.lit(0))
+def record_map(raw: Column | str) -> Column:
+    """A record as ``map<string,string>`` in one traversal; NULL for what isn't an object."""
+    return F.try_variant_get(_col(raw), "$", "map<string,string>")
 
 
-def empty_string_count_variant(raw: Column | str) -> Column:
-    """X22 on a variant record: the object is cast straight to ``map<string,string>``
-    (no JSON text round trip); a non-object record counts 0."""
-    m = F.try_variant_get(_col(raw), "$", "map<string,string>")
-    return F.coalesce(F.size(F.filter(F.map_values(m), lambda v: v == F.lit(""))), F.lit(0))
+def empty_string_count(record: Column | str) -> Column:
+    """Number of top-level values equal to the empty string in a record's map; no object counts 0."""
+    return F.coalesce(F.size(F.filter(F.map_values(_col(record)), lambda v: v == F.lit(""))), F.lit(0))

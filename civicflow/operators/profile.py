@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.functions.variant import empty_string_count_variant, json_fields
+from civicflow.functions.variant import empty_string_count, record_map
+
 
 PROFILE_COLUMNS = ("filename", "records", "missing_unique_key", "missing_created_date",
                    "missing_complaint_type", "missing_borough", "empty_strings", "duplicate_keys")
@@ -17,27 +18,24 @@ def _missing(v):
 
 
 def file_profile(bronze: DataFrame) -> DataFrame:
-    """Q10: one row per landed file; the record-level counters are one aggregation
-    and duplicated keys (number of distinct keys seen twice or more in a file)
-    a second, map-side combined one."""
-    keys = ("unique_key", "created_date", "complaint_type", "borough")
-    r = bronze.select("filename", json_fields("raw_data", keys).alias("r"),
-                      empty_string_count_variant("raw_data").alias("empties"))
-    rec = r.select("filename", F.col("r.unique_key").alias("k"),
-                   _missing(F.col("r.unique_key")).alias("m_key"),
-                   _missing(F.col("r.created_date")).alias("m_date"),
-                   _missing(F.col("r.complaint_type")).alias("m_type"),
-                   _missing(F.col("r.borough")).alias("m_borough"), "empties")
-    counters = rec.groupBy("filename").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if("m_key").alias("missing_unique_key"),
-        F.count_if("m_date").alias("missing_created_date"),
-        F.count_if("m_type").alias("missing_complaint_type"),
-        F.count_if("m_borough").alias("missing_borough"),
-        F.sum("empties").cast("long").alias("empty_strings"))
-    dups = (rec.filter(~F.col("m_key")).groupBy("filename", "k").count().filter(F.col("count") > 1)
-            .groupBy("filename").agg(F.count(F.lit(1)).alias("duplicate_keys")))
-    out = counters.join(dups, "filename", "left").fillna(0, ["duplicate_keys"])
+    """Q10: one row per landed file.
+
+    Each record is read once, as a map; counters are summed per (file, key) first, which also shows
+    the keys that a file holds more than once, and then per file.
+    """
+    value = lambda k: F.col("m")[k]
+    rec = bronze.select("filename", record_map("raw_data").alias("m")).select(
+        "filename", F.when(~_missing(value("unique_key")), value("unique_key")).alias("k"),
+        *[_missing(value(k)).alias(f"no_{k}") for k in ("created_date", "complaint_type", "borough")],
+        empty_string_count("m").alias("empties"))
+    keys = rec.groupBy("filename", "k").agg(
+        F.count("*").alias("records"), *[F.count_if(f"no_{k}").alias(f"no_{k}") for k in ("created_date", "complaint_type", "borough")],
+        F.sum("empties").alias("empties"))
+    out = keys.groupBy("filename").agg(
+        F.sum("records").alias("records"), F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("records"))), F.lit(0)).alias("missing_unique_key"),
+        F.sum("no_created_date").alias("missing_created_date"), F.sum("no_complaint_type").alias("missing_complaint_type"),
+        F.sum("no_borough").alias("missing_borough"), F.sum("empties").cast("long").alias("empty_strings"),
+        F.count_if(F.col("k").isNotNull() & (F.col("records") > 1)).alias("duplicate_keys"))
     return out.select(*PROFILE_COLUMNS)
 
 
