@@ -16,16 +16,28 @@ from civicflow.session import scratch_path
 SLICE_BYTES = 1 << 20
 
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: cuts the
-    lineage, survives lost executors and gives later joins a known size."""
+    lineage, survives lost executors and gives later joins a known size.
+
+    The written files replace the shuffles that led to them, so Spark is told to drop those
+    at the end of the write instead of when the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
