@@ -75,6 +75,18 @@ def q_order_relationship_checks(spark, sf_dir):
                             q.accepted_values("o_orderstatus", ("F", "O", "P"))], "orders")
 
 
+def q_failing_checks(spark, sf_dir):
+    """Q1-Q7 on rules that the order lines break: every kind of check reports failures."""
+    from civicflow.catalog.queries import table
+    from civicflow.operators import quality as q
+    orders = table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem").withColumn("late_line", F.when(F.col("l_linenumber") > 1, F.col("l_linenumber")))
+    urgent = orders.where("o_orderpriority = '1-URGENT'")
+    return C.suite(lines, [q.not_null("late_line"), q.unique("l_orderkey"), q.accepted_values("l_returnflag", ("A", "N")),
+                           q.expression_is_true("< 40", "l_quantity"), q.relationships("l_orderkey", urgent, "o_orderkey"),
+                           q.unique_combination(("l_orderkey", "l_linenumber")), q.equal_rowcount(orders, severity="warn")], "lineitem")
+
+
 def q_events_freshness(spark, sf_dir):
     """Q8: newest event time against three probe times (pass / warn / error)."""
     from civicflow.catalog.queries import table
@@ -124,6 +136,7 @@ def extra() -> dict:
         "q_mart_checks": q_mart_checks,
         "q_seed_checks": q_seed_checks,
         "q_order_relationship_checks": q_order_relationship_checks,
+        "q_failing_checks": q_failing_checks,
         "q9_contract_report": q_contract_report,
         "q8_events_freshness": q_events_freshness,
         "q10_file_profile": q_file_profile,

@@ -36,6 +36,11 @@ def test_entry_runs(spark):
     assert df.count() >= 0 and "total_complaints" in df.columns
 
 
+def test_every_kind_of_check_has_failures(con):
+    rows = con.sql(ORACLE["q_failing_checks"]).fetchall()
+    assert len(rows) == 7 and all(r[-1] > 0 for r in rows)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, name, QUERIES[name], ORACLE.get(name), SF, con)
