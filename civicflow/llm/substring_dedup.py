@@ -38,7 +38,7 @@ PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 BUCKET_BYTES = 16 << 20  # text whose anchors one bucket gathers
-FLUSH_PLACES = 2_000_000  # anchors or windows that a mapper holds before it sends them on
+FLUSH_PLACES = 500_000  # anchors or windows that a mapper holds before it sends them on
 
 NO_ID = 2**63 - 1
 PACK = "bucket int, ids binary, keys binary, runs binary, places binary, hashes binary"
@@ -61,6 +61,11 @@ def _runs(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[:-1], np.diff(edge).astype(np.int32)
 
 
+def _own_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """A document's bucket."""
+    return (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+
+
 def _packs(bucket: np.ndarray, doc: np.ndarray, ids: np.ndarray, keys: np.ndarray, place: np.ndarray,
            h: np.ndarray | None) -> pa.RecordBatch:
     """One row per bucket; places of a document stand together."""
@@ -115,7 +120,7 @@ class _Flush:
         if self.docs:
             h, doc, place = (np.concatenate(x) for x in (self.h, self.doc, self.place))
             ids, keys = np.concatenate(self.ids), np.concatenate(self.keys)
-            own = (mix(keys.view(np.uint64)) % np.uint64(self.buckets)).astype(np.int32)
+            own = _own_bucket(keys, self.buckets)
             yield from self.send_places(h, doc, place, ids, keys, own)
         self.clear()
 
@@ -204,8 +209,8 @@ def _windows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
     yield from flush.send()
 
 
-def _settle(table: pa.Table, earliest: bool) -> pa.Table:
-    """One bucket: marks (id, key, places) of what occurs elsewhere (earlier elsewhere, for windows)."""
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """(ids, keys, places, hashes, already known) of a bucket, a row per place."""
     ids, keys, place, h, known = [], [], [], [], []
     for i, k, r, p, x in zip(*(table.column(c) for c in _PACK_NAMES[1:])):
         runs = np.frombuffer(r.as_buffer(), np.int32)
@@ -214,28 +219,44 @@ def _settle(table: pa.Table, earliest: bool) -> pa.Table:
         place.append(np.frombuffer(p.as_buffer(), np.int32))
         known.append(np.full(len(place[-1]), not x.is_valid))
         h.append(np.frombuffer(x.as_buffer(), np.uint64) if x.is_valid else np.zeros(len(place[-1]), np.uint64))
-    ids, keys, place, h, known = (np.concatenate(x) for x in (ids, keys, place, h, known))
+    return tuple(np.concatenate(x) for x in (ids, keys, place, h, known))
+
+
+def _by_document(ids: np.ndarray, keys: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(ids, keys, places) sorted by document, and where each document begins, and the end."""
+    order = np.lexsort((place, keys, ids))
+    ids, keys, place = ids[order], keys[order], place[order]
+    edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]), True]) if len(ids) else np.zeros(1, np.int64)
+    return ids, keys, place, edge
+
+
+def _settle(table: pa.Table, earliest: bool, buckets: int) -> pa.Table:
+    """One bucket of hashes: the places of what occurs elsewhere (earlier elsewhere, for windows), dealt by document."""
+    ids, keys, place, h, known = _unpacked(table)
     out = [(ids[known], keys[known], place[known])]
     ids, keys, place, h = (x[~known] for x in (ids, keys, place, h))
     order = np.lexsort((place, keys, ids, h))
     ids, keys, place, h = (x[order] for x in (ids, keys, place, h))
     _, mark = _elsewhere(h, ids, keys, place, earliest)
     out.append((ids[mark], keys[mark], place[mark]))
-    ids, keys, place = (np.concatenate([o[k] for o in out]) for k in range(3))
-    order = np.lexsort((place, keys, ids))
-    ids, keys, place = ids[order], keys[order], place[order]
-    edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]), True]) if len(ids) else np.zeros(1, int)
+    ids, keys, place, edge = _by_document(*(np.concatenate([o[k] for o in out]) for k in range(3)))
+    first, doc = edge[:-1], np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+    own = _own_bucket(keys[first], buckets)
+    return pa.Table.from_batches([_packs(own[doc], doc, ids[first], keys[first], place, None)])
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """One bucket of documents: (id, key, places) of each."""
+    ids, keys, place, edge = _by_document(*_unpacked(table)[:3])
     first = edge[:-1]
     return pa.table({"id": pa.array(ids[first]), "key": pa.array(keys[first]),
                      "places": pa.array([place[a:b].astype(np.int32).tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())})
 
 
 def _marks(packs: DataFrame, buckets: int, earliest: bool) -> DataFrame:
-    """Per document (id, key): all its marked places."""
-    marks = (packs.repartition(buckets, "bucket").groupBy("bucket")
-             .applyInArrow(lambda t: _settle(t, earliest), MARKS))
-    return marks.groupBy("id", "key").agg(F.array_join(F.transform(F.collect_list("places"), F.hex), "").alias("hexed")) \
-                .select("id", "key", F.unhex("hexed").alias("places"))
+    """Per document (id, key): all its marked places.  Buckets of hashes, then buckets of documents."""
+    dealt = packs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _settle(t, earliest, buckets), PACK)
+    return dealt.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_gather, MARKS)
 
 
 def _finish_or_keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
