@@ -13,6 +13,7 @@ probabilities; a document's are their mean.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ HIDDEN = 8
 WINDOW = 64
 SAMPLE_PER_LANG = 250
 WINDOWS_PER_DOC = 4
+OVERSAMPLE = 8  # times per_lang: distinct texts that the hash bound is to let through
 STEPS = 160
 BATCH = 192
 RATE = 0.02
@@ -182,20 +184,29 @@ def sample_windows(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> tupl
     """Bounded training sample: (languages, windows, real bytes, label) of rows (text, lang).
 
     The distinct texts with the smallest hash of each language; of each text up to WINDOWS_PER_DOC
-    evenly spaced pieces of WINDOW characters.  A first pass counts rows per language; the second
-    lets only hashes below a bound pass, so a language's sort sees a few times the sample however
-    many rows it has.
+    evenly spaced pieces of WINDOW characters.  A first pass estimates distinct texts per language (a
+    sketch each); the next lets only hashes below a bound pass, so a language's sort sees a few times
+    the sample however many texts it has.  Languages whose bound let too few texts through are taken
+    again with a wider one, so the sample doesn't depend on the estimate.
     """
     known = labelled.where("text is not null and lang is not null and text != ''").select("lang", "text", F.xxhash64("text").alias("h"))
-    bound = F.lit(0)
-    for r in known.groupBy("lang").count().collect():  # one row per language
-        bound = F.when(F.col("lang") == r.lang, int(min(1.0, 8 * per_lang / r["count"]) * 2**32)).otherwise(bound)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     gap = F.greatest(F.lit(1), F.length("text") / F.lit(WINDOWS_PER_DOC)).cast("int")
     cut = F.array(*[F.substring(F.col("text"), F.lit(1) + gap * k, F.lit(WINDOW)) for k in range(WINDOWS_PER_DOC)])
-    below = F.shiftrightunsigned("h", 32) < bound
-    rows = (known.where(below).select("lang", "h", cut.alias("pieces")).groupBy("lang", "h").agg(F.first("pieces").alias("pieces"))
-            .withColumn("rank", rank).where(F.col("rank") <= per_lang).orderBy("lang", "h").collect())
+    share = {r.lang: min(1.0, OVERSAMPLE * per_lang / max(r.n, 1))  # one row per language
+             for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    rows = []
+    while share:
+        top = F.lit(None).cast("long")
+        for lang, part in share.items():
+            top = F.when(F.col("lang") == lang, 2**63 - 1 if part >= 1 else int(part * 2**64) - 2**63).otherwise(top)
+        got = (known.where(F.col("h") <= top).select("lang", "h", cut.alias("pieces")).groupBy("lang", "h").agg(F.first("pieces").alias("pieces"))
+               .withColumn("rank", rank).where(F.col("rank") <= per_lang).collect())
+        n = Counter(r.lang for r in got)
+        again = {lang for lang, part in share.items() if part < 1 and n[lang] < per_lang}
+        rows += [r for r in got if r.lang not in again]
+        share = {lang: min(1.0, 8 * share[lang]) for lang in share if lang in again}
+    rows.sort(key=lambda r: (r.lang, r.h))
     langs = sorted({r.lang for r in rows})
     pieces = [(p.encode()[:WINDOW], langs.index(r.lang)) for r in rows for p in r.pieces if p]
     x = np.full((len(pieces), WINDOW), 32, np.uint8)

@@ -85,3 +85,24 @@ def test_nothing_to_learn(spark):
     assert {r.lang_pred for r in lid.with_language(unlabelled, None).collect()} == {lid.UNKNOWN}
     assert lid.with_language(empty, model()).collect() == [] and lid.keep_known(empty, model()).collect() == []
     assert lid.keep_known(unlabelled, None).count() == sum(t is not None and any(c.isalpha() for c in t) for t in edge_texts())
+
+
+def test_copies_take_no_text_out_of_the_sample(spark):
+    copied = {f"c{k}": f"one text of c{k} again and again" for k in range(4)}
+    few = [("c0", f"text {i} of a few") for i in range(300)]
+    df = spark.createDataFrame(few + [("plain", f"plain text {i}") for i in range(40)], "lang string, text string")
+    for lang, text in copied.items():
+        df = df.unionByName(spark.range(100_000).select(F.lit(lang).alias("lang"), F.lit(text).alias("text")))
+    langs, _, lengths, label = lid.sample_windows(df)
+    assert langs == [*copied, "plain"] and len(lengths) == len(label)
+    texts = np.bincount(label) / lid.WINDOWS_PER_DOC
+    assert texts.tolist() == [250, 1, 1, 1, 40]
+
+
+def test_the_sample_does_not_depend_on_the_estimate(spark, monkeypatch):
+    df = spark.createDataFrame([(f"l{i % 2}", f"text number {i}") for i in range(3000)], "lang string, text string")
+    whole = lid.sample_windows(df, 50)
+    monkeypatch.setattr(lid, "OVERSAMPLE", 0.001)
+    again = lid.sample_windows(df, 50)
+    assert whole[0] == again[0] and all((a == b).all() for a, b in zip(whole[1:], again[1:]))
+    assert len(whole[3]) == 2 * 50 * lid.WINDOWS_PER_DOC
