@@ -25,7 +25,7 @@ def _re_escape(s: str) -> str:
 
 
 def _is_array(text: Column) -> Column:
-    return F.substring(F.ltrim(F.regexp_replace(F.substring(text, 1, 64), r"[\s﻿]", "")), 1, 1) == "["
+    return text.rlike(r"^[\s﻿]*\[")
 
 
 def records_from_text(df: DataFrame, root: str, layout: str = "array", path_col: str = "_metadata.file_path") -> DataFrame:

@@ -69,6 +69,16 @@ def test_malformed_input_fails_the_load_and_is_listed(spark, tmpdir_path):
         read_landing(spark, lines, "lines").collect()
 
 
+@pytest.mark.parametrize("blank", [" " * 70, "\n" * 65, "\t \r\n" * 5000])
+def test_an_array_after_much_white_space_is_an_array(spark, tmpdir_path, blank):
+    _write(tmpdir_path, "d", "a.json", blank + '[{"unique_key": "1"}, {"unique_key": "2"}]')
+    _write(tmpdir_path, "d", "one.json", blank + '{"unique_key": "3", "list": [1]}')
+    got = read_landing(spark, tmpdir_path, "array").select(F.expr("try_variant_get(raw_data, '$.unique_key', 'string')").alias("k")).collect()
+    assert sorted(r.k or "" for r in got) == ["1", "2", "3"]
+    _write(tmpdir_path, "d", "cut.json", blank + '[{"unique_key": "4"}, {"unique_key":')
+    assert [r.filename for r in landing_rejects(spark, tmpdir_path).collect()] == ["d/cut.json"]
+
+
 BIG = """
 import sys
 from pyspark.sql import SparkSession, functions as F
