@@ -61,9 +61,9 @@ def _runs(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[:-1], np.diff(edge).astype(np.int32)
 
 
-def _own_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """A document's bucket."""
-    return (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+def _own_bucket(ids: np.ndarray, keys: np.ndarray, buckets: int) -> np.ndarray:
+    """A document's bucket; copies of a text have buckets of their own."""
+    return (mix(keys.view(np.uint64) ^ mix(ids.view(np.uint64))) % np.uint64(buckets)).astype(np.int32)
 
 
 def _packs(bucket: np.ndarray, doc: np.ndarray, ids: np.ndarray, keys: np.ndarray, place: np.ndarray,
@@ -120,7 +120,7 @@ class _Flush:
         if self.docs:
             h, doc, place = (np.concatenate(x) for x in (self.h, self.doc, self.place))
             ids, keys = np.concatenate(self.ids), np.concatenate(self.keys)
-            own = _own_bucket(keys, self.buckets)
+            own = _own_bucket(ids, keys, self.buckets)
             yield from self.send_places(h, doc, place, ids, keys, own)
         self.clear()
 
@@ -241,7 +241,7 @@ def _settle(table: pa.Table, earliest: bool, buckets: int) -> pa.Table:
     out.append((ids[mark], keys[mark], place[mark]))
     ids, keys, place, edge = _by_document(*(np.concatenate([o[k] for o in out]) for k in range(3)))
     first, doc = edge[:-1], np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-    own = _own_bucket(keys[first], buckets)
+    own = _own_bucket(ids[first], keys[first], buckets)
     return pa.Table.from_batches([_packs(own[doc], doc, ids[first], keys[first], place, None)])
 
 

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,19 @@ def test_repeated_rows_are_one_document_and_null_ids_come_last(spark):
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_copies_of_a_text_are_dealt_over_all_buckets():
+    n, buckets, text = 4000, 16, " ".join(f"w{i}" for i in range(30))
+    batch = pa.RecordBatch.from_pydict({"id": list(range(n)), "key": [12345] * n, "text": [text] * n})
+    own = np.zeros(buckets, np.int64)  # copies that a mapper sends to each bucket of documents
+    for pack in substring_dedup._anchors(iter([batch]), buckets):
+        for bucket, ids, h in zip(*(pack.column(c).to_pylist() for c in ("bucket", "ids", "hashes"))):
+            own[bucket] += len(ids) // 8 if h is None else 0
+    assert own.sum() == n - 1 and own.max() < 2 * n / buckets
+    # the same for what a bucket of hashes deals on: an anchor that all documents hold
+    ids = np.arange(n)
+    packs = substring_dedup._packs(np.zeros(n, np.int32), ids, ids, np.full(n, 12345), np.zeros(n, np.int64), np.full(n, 7, np.uint64))
+    settled = substring_dedup._settle(pa.Table.from_batches([packs]), False, buckets)
+    sizes = [len(x) // 8 for x in settled.column("ids").to_pylist()]
+    assert sum(sizes) == n and max(sizes) < 2 * n / buckets
