@@ -16,12 +16,13 @@ Method
 * Candidates join on prefix n-grams and pass the length filter, the positional
   filter (n-grams left after the match) and the suffix filter (n-grams whose hash slot
   the other set leaves empty can't be shared).  Each candidate pair is verified once,
-  by intersection.
+  by intersection; later rounds leave out the pairs of earlier ones.
 * Groups are linked through a hub first: within each prefix n-gram every set is
   paired with the hub alone (a first round takes the set with the fewest unshared
   n-grams as hub, a second one by hash).  Only then are pairs formed, and only
   between sets that are still in different components, so a group of near copies
   costs as many pairs as it has members, and no link between components is lost.
+  Links inside a component aren't all formed then; ``near_duplicate_links`` lists every link.
 """
 
 from __future__ import annotations
@@ -237,9 +238,9 @@ def text_key():
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
 
 
-def ngram_links(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(documents, components): documents has doc_id, key (hash of the text), n_shingles, digest for every row;
-    components has digest, component (the smallest digest that links reach) for digests with a link."""
+def _indexed(docs: DataFrame, n: int, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, sets, index): documents as ``ngram_links`` gives them, sets that have enough shared n-grams
+    for a partner, and a row per prefix n-gram of each."""
     spark = docs.sparkSession
     slim = docs.select("doc_id", text_key(), "text")
     sizes = stored(slim.mapInArrow(lambda it: _sets_of_batches(it, n), "doc_id bigint, key bigint, n_shingles bigint, digest bigint"),
@@ -252,13 +253,22 @@ def ngram_links(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -
                   "shingle-sets")
     index = (sets.select("digest", "size", F.size("grams").alias("held"), F.posexplode(F.slice("grams", F.lit(1), F.col("prefix"))))
              .select(F.col("col").alias("gram"), "digest", "size", F.col("pos").alias("before"), (F.col("held") - F.col("pos") - 1).alias("after")))
-    links = None
+    return sizes, sets, index
+
+
+def ngram_links(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(documents, components): documents has doc_id, key (hash of the text), n_shingles, digest for every row;
+    components has digest, component (the smallest digest that links reach) for digests with a link."""
+    sizes, sets, index = _indexed(docs, n, threshold)
+    links = asked = None
     for i in range(HUB_ROUNDS):
         unshared = F.lit(1.0) - (F.col("before") + F.col("after") + 1) / F.col("size")
         order = F.struct(unshared if i == 0 else F.xxhash64("digest", F.lit(i)), F.col("digest"))
         hubs = index.groupBy("gram").agg(F.min_by(F.struct("digest", "size", "before", "after"), order).alias("hub"), F.count("*").alias("members"))
         b = _side(hubs.where("members > 1").select("gram", "hub.*"), "b")
         pairs = _pairs(_side(index, "a").join(b, "gram").where((F.col("digest_a") != F.col("digest_b")) & _filters(threshold)))
+        pairs = stored(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"), "shingle-pairs")
+        asked = pairs if asked is None else asked.unionByName(pairs)
         found = stored(_links(pairs, sets, threshold), "shingle-links")
         links = found if links is None else links.unionByName(found)
     comps = connected_components(links)
@@ -272,13 +282,32 @@ def ngram_links(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -
     rest = stored(tagged.join(mixed, "gram").join(sets.select("digest", "slots"), "digest"), "shingle-mixed")
     outside = _side(rest.where(F.col("comp") != F.col("largest")).drop("largest"), "a")
     pairs = _pairs(outside.join(_side(rest.drop("largest"), "b"), "gram")
-                   .where((F.col("comp_a") != F.col("comp_b")) & _filters(threshold) & _suffix_filter(threshold)))
+                   .where((F.col("comp_a") != F.col("comp_b")) & _filters(threshold) & _suffix_filter(threshold))).join(asked, ["a", "b"], "left_anti")
     more = stored(_links(pairs, sets, threshold), "shingle-links")
     if not more.isEmpty():
         comps = connected_components(links.unionByName(more))
     return sizes, comps
 
 
+def near_duplicate_links(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """Every link between different sets, once: a, b (digests, a < b), id_a, id_b, rows_a, rows_b.
+
+    The ids are the smallest doc_id of the rows with that set (NULL if none has one), rows_a and rows_b their
+    numbers, so rows_a * rows_b pairs of rows link; rows of one set are copies and not listed.  All pairs that
+    share a prefix n-gram and pass the filters are verified, without hubs and components: a group of near
+    copies gives as many rows as it has links, up to the square of its size.  NULL, empty and blank texts
+    link with nothing; other columns are ignored; an empty table gives no rows.
+    """
+    sizes, sets, index = _indexed(docs, n, threshold)
+    slotted = index.join(sets.select("digest", "slots"), "digest")
+    pairs = _pairs(_side(slotted, "a").join(_side(slotted, "b"), "gram")
+                   .where((F.col("digest_a") < F.col("digest_b")) & _filters(threshold) & _suffix_filter(threshold)))
+    links = stored(_links(pairs, sets, threshold), "shingle-links")
+    heads = stored(sizes.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows")), "shingle-heads")
+    head = lambda x: heads.select(F.col("digest").alias(x), F.col("id").alias(f"id_{x}"), F.col("rows").alias(f"rows_{x}"))
+    return links.join(head("a"), "a").join(head("b"), "b").select("a", "b", "id_a", "id_b", "rows_a", "rows_b")
+
+
 def near_duplicates(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 

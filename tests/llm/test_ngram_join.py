@@ -6,7 +6,7 @@ import pytest
 
 from civicflow.llm import ngram_join
 from civicflow.llm.components import connected_components
-from civicflow.llm.ngram_join import near_duplicates, one_of_each, shingle_sets
+from civicflow.llm.ngram_join import near_duplicate_links, near_duplicates, one_of_each, shingle_sets
 from tests.llm import brute
 from tests.llm.helpers import DOCS, docs_frame, edge_texts, rows, sf, tuples, words
 
@@ -115,3 +115,36 @@ def test_components(spark):
         parent[max(find(a), find(b))] = min(find(a), find(b))
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {x: find(x) for e in edges for x in e if any(a != b and x in (a, b) for a, b in edges)}
+
+
+@pytest.mark.parametrize("data", ["edge", "families"])
+def test_links_against_brute_force(spark, data):
+    made = rows(edge_texts() if data == "edge" else families() + families()[:9])
+    sets = {}  # set of n-grams -> ids
+    for i, text, *_ in made:
+        w = (text or "").lower().split()
+        grams = frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+        if grams:
+            sets.setdefault(grams, []).append(i)
+    groups = list(sets.items())
+    want = {frozenset([(min(x), len(x)), (min(y), len(y))]) for k, (a, x) in enumerate(groups) for b, y in groups[:k]
+            if 100 * len(a & b) >= 75 * len(a | b)}
+    got = near_duplicate_links(docs_frame(spark, made, clash=True)).collect()
+    assert len(got) == len(want) and all(r.a < r.b for r in got)
+    assert {frozenset([(r.id_a, r.rows_a), (r.id_b, r.rows_b)]) for r in got} == want
+
+
+def test_no_pair_is_verified_twice(spark, monkeypatch):
+    asked, links = [], ngram_join._links
+
+    def spy(pairs, sets, threshold):
+        asked.extend((r.a, r.b) for r in pairs.collect())
+        return links(pairs, sets, threshold)
+
+    monkeypatch.setattr(ngram_join, "_links", spy)
+    near_duplicates(docs_frame(spark, rows(families())))
+    assert asked and len(asked) == len(set(asked))
+
+
+def test_links_of_an_empty_table(spark):
+    assert near_duplicate_links(spark.createDataFrame([], DOCS)).collect() == []
