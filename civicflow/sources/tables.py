@@ -39,20 +39,20 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _hadoop(spark, path)
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
 def _versions(spark: SparkSession, table_dir: str) -> list[int]:
-    return [int(m[1]) for m in map(_VERSION.match, _names(spark, table_dir)) if m]
+    return [int(m[1]) for m in map(_VERSION.match, folder_names(spark, table_dir)) if m]
 
 
 def current_version(spark: SparkSession, table_dir: str) -> str | None:
     """Folder of the newest finished version, or None if there is none."""
     for n in sorted(_versions(spark, table_dir), reverse=True):
         path = os.path.join(table_dir, f"v={n:06d}")
-        if "_SUCCESS" in _names(spark, path):
+        if "_SUCCESS" in folder_names(spark, path):
             return path
     return None
 
@@ -107,7 +107,7 @@ class PartitionedTable:
         self.spark, self.dir, self.col, self.mark_col = spark, table_dir, partition_col, mark_col
 
     def exists(self) -> bool:
-        return any(n.startswith(f"{self.col}=") for n in _names(self.spark, self.dir))
+        return any(n.startswith(f"{self.col}=") for n in folder_names(self.spark, self.dir))
 
     def read(self) -> DataFrame | None:
         """The whole table, or None; the partition column is the last one.  Columns that a later merge
@@ -210,7 +210,7 @@ class HistoryStore:
         if rows is None:
             return None
         closed = os.path.join(self.dir, "closed")
-        if _names(self.spark, closed):
+        if folder_names(self.spark, closed):
             rows = rows.unionByName(self.spark.read.option("recursiveFileLookup", "true").parquet(closed).select(*rows.columns))
         return rows if hidden else rows.select(*[c for c in rows.columns if not c.startswith("_")])
 
@@ -227,7 +227,7 @@ class HistoryStore:
         result = staged(snapshot(current, new).withColumn(self.BUCKET, self.bucket()), "history-result")
         closed = result.where("valid_to is not null").drop(self.BUCKET)
         path = os.path.join(self.dir, "closed", "run=" + re.sub(r"[^0-9A-Za-z]", "-", run_at))
-        if _names(self.spark, path):  # this run was made before, perhaps up to here only
+        if folder_names(self.spark, path):  # this run was made before, perhaps up to here only
             closed = staged(closed.unionByName(self.spark.read.parquet(path)).dropDuplicates(["scd_id"]), "history-closed")
         closed.write.mode("overwrite").parquet(path)
         self.open.replace(result.where("valid_to is null"), touched)
