@@ -1,4 +1,4 @@
-"""The eleven contract queries: thin wrappers that read whole tables and apply the operators."""
+"""The contract queries: thin wrappers that read whole tables and apply the operators."""
 
 from __future__ import annotations
 
@@ -13,8 +13,12 @@ from civicflow.llm.fingerprints import fingerprints
 from civicflow.llm.language_id import held_out, train, with_language
 from civicflow.llm.mixing import mix
 from civicflow.llm.ngram_join import near_duplicates
+from civicflow.llm.secret_ledger import BASE, scan_history
+from civicflow.llm.secret_ledger import spelled as named_spans
 from civicflow.llm.sharding import place
+from civicflow.llm.source_divergence import divergence
 from civicflow.llm.substring_dedup import remove_repeats
+from civicflow.llm.turn_repair import repair
 from civicflow.llm.url_filter import blocked, canonical
 from civicflow.llm.warc import read_archives, write_archives
 from civicflow.llm.weak_pii import KINDS, find_spans, spelled
@@ -85,6 +89,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the secrets in its text, each distinct text scanned once."""
+    found = scan_history(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = tuple(r.kind for r in BASE)
+    n = [F.expr(f"cast(size(filter(spans, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *n, F.sha2(named_spans("spans", kinds), 256).alias("base_sha256"), named_spans("spans").alias("spans"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults, cheapest edits and repaired rows' digest."""
+    return repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source's distance to the others of its language, and its ten most telling terms."""
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -97,4 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": op8_fingerprints,
         "op9_url_filter": op9_url_filter,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_secret_ledger": op11_secret_ledger,
+        "op12_turn_repair": op12_turn_repair,
+        "op13_source_divergence": op13_source_divergence,
     }
