@@ -146,3 +146,127 @@ def url_parts(url):
 def url_rule(host, path):
     fits = [r for r in RULES for h, _, p in [r.partition("/")] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
     return max(fits, key=len) if fits else None
+
+
+# ---- secrets
+
+
+SECRETS = (("assign", re.compile(r"((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))"
+                                 r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), lambda m: len(m[2]) >= 12),
+           ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
+           ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16))
+
+
+def secrets(text):
+    """[(start, rank, end, kind)] of the base kinds, in order."""
+    return sorted((m.start(), k, m.end(), kind) for k, (kind, pattern, ok) in enumerate(SECRETS) for m in pattern.finditer(text or "") if ok(m))
+
+
+# ---- conversations
+
+
+def cheapest_audit(rows):
+    """(cost, audit) by trying every sequence of edits, cheapest and ASCII-least first, of (initial, must go, cut off) rows."""
+    import heapq
+
+    heap, done = [(0, "", 0, 0)], set()
+    keep = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+    turn = (2, 2, 3, 2)
+    while heap:
+        cost, audit, i, q = heapq.heappop(heap)
+        if i == len(rows) and q in (0, 3):
+            return cost, audit
+        if (i, q) in done:
+            continue
+        done.add((i, q))
+        heapq.heappush(heap, (cost + 3, audit + "I", i, turn[q]))
+        if i == len(rows):
+            continue
+        initial, must_go, cut = rows[i]
+        heapq.heappush(heap, (cost + 4, audit + "D", i + 1, q))
+        if not must_go:
+            if initial in keep[q]:
+                heapq.heappush(heap, (cost + 3 * cut, audit + "K", i + 1, keep[q][initial]))
+            heapq.heappush(heap, (cost + 3 + 3 * cut, audit + "R", i + 1, turn[q]))
+
+
+def repair(rows):
+    """{conv_id: (gaps, blank, duplicate, truncated, illegal, cost, audit, sha256)} of (conv_id, turn, role, text) rows."""
+    import zlib
+
+    by = {}
+    for conv, turn, role, text in rows:
+        out = by.setdefault(conv, [])
+        spell = lambda v: " " if v is None else str(v)
+        fault = zlib.crc32(f"{spell(conv)}:{spell(turn)}".encode()) % 20
+        role, text = spell(role), spell(text)
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        if fault:
+            out += [(turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1)
+    return {conv: _repaired(out) for conv, out in by.items()}
+
+
+def _repaired(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).hexdigest()))
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    seen, codes, counts, illegal, before = set(), [], [0, 0, 0], 0, None
+    for _, role, text in rows:
+        last = re.search(r"[^\x20\x09-\x0D](?=[\x20\x09-\x0D]*\Z)", text)
+        fault = 0 if not last else 1 if (role, text) in seen else 2 if last[0] not in ".!?" else None
+        seen.add((role, text))
+        if fault is not None:
+            counts[fault] += 1
+        if before is not None and before + role[:1] not in ("su", "ua", "au"):
+            illegal += 1
+        before = role[:1]
+        codes.append((role[:1], fault in (0, 1), fault == 2))
+    cost, audit = cheapest_audit(codes)
+    out, at, q, names = [], 0, 0, {2: "user", 3: "assistant"}
+    turn, keep = (2, 2, 3, 2), ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+    for edit in audit:
+        if edit == "I":
+            q = turn[q]
+            out.append(f"{names[q]}:")
+            continue
+        _, role, text = rows[at]
+        at += 1
+        if edit == "R":
+            q = turn[q]
+            out.append(f"{names[q]}:{text}")
+        elif edit == "K":
+            q = keep[q][role[0]]
+            out.append(f"{role}:{text}")
+    return (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest())
+
+
+# ---- divergence
+
+
+def divergence(docs, min_docs=10, top=10):
+    """{(lang, source, part, item, value, rank)} of (text, lang, source) rows."""
+    docs = [((t or "").translate(UPPER), lang or "", s or "") for t, lang, s in docs]
+    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    of = [(lang, s, term.findall(t)) for t, lang, s in docs]
+    out = set()
+    for lang in {d[0] for d in of}:
+        df = {}
+        for g, _, ts in of:
+            for t in set(ts) if g == lang else ():
+                df[t] = df.get(t, 0) + 1
+        kept = sorted(t for t, n in df.items() if n >= min_docs)
+        counts = {s: dict.fromkeys(kept, 0) for g, s, _ in of if g == lang}
+        for g, s, ts in of:
+            for t in ts if g == lang else ():
+                if t in counts[s]:
+                    counts[s][t] += 1
+        total = {t: sum(c[t] for c in counts.values()) for t in kept}
+        p = lambda c: {t: 1 + 10**9 * (n + 2) // (sum(c.values()) + 2 * len(kept)) for t, n in c.items()}
+        shares, q = {s: p(c) for s, c in counts.items()}, p(total)
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in counts:
+            pairs = sorted((-sum(f(shares[s][t], shares[o][t]) for t in kept), o.encode(), o) for o in counts if o != s)
+            out |= {(lang, s, "pair", o, -v, i + 1) for i, (v, _, o) in enumerate(pairs)}
+            terms = sorted((-f(shares[s][t], q[t]), t.encode(), t) for t in kept if counts[s][t] and shares[s][t] > q[t])
+            out |= {(lang, s, "term", t, -v, i + 1) for i, (v, _, t) in enumerate(terms[:top])}
+    return out
