@@ -49,17 +49,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: cuts the
     lineage, survives lost executors and gives later joins a known size.
 
-    The written files replace the shuffles that led to them, so Spark is told to drop those
-    at the end of the write instead of when the driver happens to collect its garbage.
+    The written files replace the shuffles that led to them, so Spark is told (once per session) to drop shuffles
+    at the end of a query instead of when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(DROP_SHUFFLES, "false")
-    spark.conf.set(DROP_SHUFFLES, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(DROP_SHUFFLES, before)
+    if spark.conf.get(DROP_SHUFFLES, "false") != "true":
+        spark.conf.set(DROP_SHUFFLES, "true")
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,6 +66,22 @@ def bucket_count(total_units: int, units_per_bucket: int, spark: SparkSession) -
     return max(width, -(-int(total_units) // units_per_bucket), 1)
 
 
+def spread_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows.join(lookup, key, how)`` for stored ``rows`` and a lookup with a row per key, without a hot task.
+
+    A key is hot if it has more than a shuffle partition's share of the rows, so there are fewer hot keys
+    than partitions: a proven bound, under which their part of the lookup is broadcast.  All others shuffle.
+    """
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = rows.count()
+    hot = stored(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") * width > total).select(key), "hot-keys")
+    if hot.isEmpty():
+        return rows.join(lookup, key, how)
+    small = F.broadcast(stored(lookup.join(F.broadcast(hot), key, "left_semi"), "hot-lookup"))
+    spread = rows.join(F.broadcast(hot), key, "left_semi").join(small, key, how)
+    return spread.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how))
+
+
 def text_bytes(docs: DataFrame, col: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(col))).first()[0] or 0
 

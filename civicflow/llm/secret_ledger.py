@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import stored
+from civicflow.llm.common import spread_join, stored
 from civicflow.llm.weak_pii import matches, placed
 from civicflow.session import scratch_path
 from civicflow.sources.tables import folder_names
@@ -137,8 +137,8 @@ def findings(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULE
     each = ledger.rows().select("blob", F.explode("scanned").alias("s")).select(
         "blob", "s.kind", rank[F.concat_ws(":", "s.kind", "s.version")].alias("rank"), F.explode("s.spans").alias("at")).where("rank is not null")
     spans = each.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("at.start", "rank", "at.end", "kind"))).alias("spans"))
-    rows = versions.withColumn("blob", blob_id()).drop("text", "spans")
-    return rows.join(spans, "blob", "left").withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)")))
+    rows = stored(versions.withColumn("blob", blob_id()).drop("text", "spans"), "ledger-versions")
+    return spread_join(rows, spans, "blob", "left").withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)")))
 
 
 def scan_history(versions: DataFrame, rules: tuple[Rule, ...] = RULES, root: str | None = None) -> DataFrame:

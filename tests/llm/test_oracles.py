@@ -18,4 +18,4 @@ def test_query_matches_its_sql(spark, name):
 def test_entry_adds_operators_and_pipeline():
     names = set(E.queries())
     assert set(queries()) | {"pipeline"} <= names and set(oracle_sql()) <= set(E.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
