@@ -1,36 +1,21 @@
 """Vectorised words and 64-bit hashes of byte ranges.
 
-Words are maximal runs of "word" bytes.  Every byte gets a fixed random 64-bit
-value; a range's hash is the sum of value * base**position (mod 2**64), shifted
-back to position zero and scrambled.  One prefix sum over the bytes therefore
-hashes every word of a slice at once, at a few nanoseconds a byte.  Hashes are
-64 bits wide: two different word sequences meet with a chance near 2**-64, and
-the same text has the same hash in every task and every run.
+Words are maximal runs of "word" bytes.  A word is hashed eight bytes at a time: each block is
+added to the state by exclusive or, and the state is scrambled by multiplications and shifts, so
+the result is no linear function of the bytes and no family of texts collides by its structure.  All words of a slice
+take their first block together, then those that have a second one, and so on; the few long words are hashed one by one.
+Hashes are 64 bits wide and the same in every task and every run; another seed gives an independent hash.
+Where two different sequences of the whole corpus must never be taken for one, two of them are used.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
-from civicflow.llm.common import SLICE_BYTES
-
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_RANDOM = np.random.Generator(np.random.PCG64(20240601)).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (n + 1).bit_length())
-    if size not in _POWERS:
-        inverse = np.uint64(pow(int(_BASE), -1, 2**64))
-        out = []
-        for b in (_BASE, inverse):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=np.uint64))
-        _POWERS.clear()
-        _POWERS[size] = (out[0], out[1])
-    return _POWERS[size]
+_LONG = 64           # bytes; longer words are rare
+_WORDS_AT_ONCE = 1 << 17
+_BLOCK, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -43,40 +28,51 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None = None, seed: int = 0) -> np.ndarray:
     """Hash of data[start:end] for each range; ``fold`` maps bytes first (e.g. to lower case)."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
     out = np.empty(len(starts), np.uint64)
-    values = _RANDOM if fold is None else _RANDOM[fold]
-    long = np.flatnonzero(ends - starts > SLICE_BYTES)
-    if len(long):
-        for i in long:
-            out[i] = _long_hash(values, data, int(starts[i]), int(ends[i]))
-        short = np.setdiff1d(np.arange(len(starts)), long, assume_unique=True)
-        out[short] = range_hashes(data, starts[short], ends[short], fold)
+    if not len(starts):
         return out
-    lo = 0
-    while lo < len(starts):  # a window of bytes at a time
-        hi = int(np.searchsorted(starts, starts[lo] + SLICE_BYTES))
-        hi = max(hi, lo + 1)
-        a, b = int(starts[lo]), int(ends[lo:hi].max())
-        p, inv = _powers(b - a)
-        prefix = np.zeros(b - a + 1, np.uint64)
-        np.cumsum(values[data[a:b]] * p[:b - a], out=prefix[1:], dtype=np.uint64)
-        s, e = starts[lo:hi] - a, ends[lo:hi] - a
-        out[lo:hi] = mix((prefix[e] - prefix[s]) * inv[s] + (e - s).astype(np.uint64))
-        lo = hi
+    if fold is not None:
+        data = fold[data]
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    blocks = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))  # the eight bytes from each position on
+    start_state = mix(np.array([seed + 1], np.uint64))[0]
+    for lo in range(0, len(starts), _WORDS_AT_ONCE):
+        at, size = starts[lo:lo + _WORDS_AT_ONCE].astype(np.int64), (ends - starts)[lo:lo + _WORDS_AT_ONCE].astype(np.int64)
+        h = start_state ^ (size.astype(np.uint64) * _BLOCK)
+        some = np.flatnonzero((size > 0) & (size <= _LONG))
+        for k in range(0, _LONG, 8):
+            some = some[size[some] > k]
+            if not len(some):
+                break
+            block, rest = blocks[at[some] + k], size[some] - k
+            part = np.flatnonzero(rest < 8)
+            block[part] &= (np.uint64(1) << (rest[part] * 8).astype(np.uint64)) - np.uint64(1)
+            h[some] = _scrambled(h[some] ^ block)
+        for i in np.flatnonzero(size > _LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(padded[at[i]:at[i] + size[i]].data, seed)
+        out[lo:lo + _WORDS_AT_ONCE] = mix(h)
     return out
 
 
-def _long_hash(values: np.ndarray, data: np.ndarray, a: int, b: int) -> np.uint64:
-    """The same hash for one very long range, a slice at a time."""
-    total, p = 0, _powers(SLICE_BYTES)[0]
-    for c in range(a, b, SLICE_BYTES):
-        part = values[data[c:min(b, c + SLICE_BYTES)]]
-        total += int((part * p[:len(part)]).sum(dtype=np.uint64)) * pow(int(_BASE), c - a, 2**64)
-    return mix(np.array([(total + (b - a)) % 2**64], np.uint64))[0]
+def _scrambled(h: np.ndarray) -> np.ndarray:
+    h = h * _BLOCK
+    h ^= h >> np.uint64(32)
+    h *= _STEP
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def sequence_hashes(words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` word hashes from each place on; the shift keeps it from being linear in the words."""
+    h = np.zeros(len(at), np.uint64)
+    for k in range(n):
+        h ^= h >> np.uint64(29)
+        h *= _STEP
+        h += words[at + k]
+    return mix(h)
 
 
 def byte_class(members: str | bytes) -> np.ndarray:
@@ -124,8 +120,4 @@ def gram_hashes(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarr
     row = np.repeat(np.arange(len(counts)), per_row)
     start = np.arange(total) - np.repeat(np.cumsum(per_row) - per_row, per_row)
     at = np.repeat(np.cumsum(counts) - counts, per_row) + start
-    h = np.zeros(total, np.uint64)
-    for k in range(n):
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h += words[at + k]
-    return mix(h), row, start
+    return sequence_hashes(words, at, n), row, start

@@ -1,6 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut at line ends, and long paragraphs again after words whose hash says
+A text is cut at line ends, and each paragraph again after words whose hash says
 so (one in four), so a piece depends on its own words only and an edit leaves the
 other pieces alone.  Each piece's digest, with the number of its equal predecessors,
 is added to one cell in each of three parts of a table (count, xor of digests,
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.llm.bytehash import NOT_SPACE, mix, range_hashes, word_ranges
-from civicflow.llm.common import SLICE_BYTES, bucket_count, byte_view, slices, text_bytes
+from civicflow.llm.common import SLICE_BYTES, bucket_count, byte_view, slices, stored, text_bytes
 
 PARTS = 3
 CELLS = 24          # of a stored fingerprint, over all parts
 GROWTH = 4          # a stuck comparison is retried with so many times the cells
-CUT_ONE_IN = 4      # words of a long paragraph that end a piece
-BINS = 4096
+CUT_ONE_IN = 4      # words of a paragraph that end a piece
+SAMPLES = 50        # rows looked at for each range of documents, to cut ranges of near equal size
 BUCKET_BYTES = 32 << 20
 _CHECK = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -81,14 +82,19 @@ class Sketches:
             np.bitwise_xor.at(self.checks, cell, check)
 
     def encoded(self) -> list[str]:
-        out = np.zeros((self.rows, self.width), [("n", "<i2"), ("k", "<u8"), ("c", "<u4")])
-        out["n"] = self.count.astype(np.int16).reshape(self.rows, -1)
-        out["k"] = self.keys.reshape(self.rows, -1)
-        out["c"] = (self.checks & np.uint64(0xFFFFFFFF)).astype(np.uint32).reshape(self.rows, -1)
-        raw = out.tobytes()
-        size = len(raw) // max(1, self.rows)
+        """The stored form: every cell whole, so what is read back is the table that was written."""
+        raw = np.stack([self.count.view(np.uint64), self.keys, self.checks], axis=1).astype("<u8").tobytes()
+        size = 24 * self.width
         return [base64.b64encode(raw[i * size:(i + 1) * size]).decode() for i in range(self.rows)]
 
+    @classmethod
+    def decoded(cls, stored: list[str]) -> "Sketches":
+        """The tables of stored fingerprints of one width."""
+        raw = np.frombuffer(b"".join(map(base64.b64decode, stored)), "<u8").astype(np.uint64).reshape(-1, 3)
+        out = cls(len(stored), len(raw) // max(1, len(stored)))
+        out.count, out.keys, out.checks = raw[:, 0].copy().view(np.int64), raw[:, 1].copy(), raw[:, 2].copy()
+        return out
+
     def minus(self, other: "Sketches") -> "Sketches":
         out = Sketches(self.rows, self.width)
         out.count, out.keys, out.checks = self.count - other.count, self.keys ^ other.keys, self.checks ^ other.checks
@@ -169,50 +175,125 @@ def _compare(doc_ids: list, texts: list[str], nexts: list[str]) -> pa.RecordBatc
     n = len(texts)
     edits = [edited(t, a) for t, a in zip(texts, nexts)]
     own, edit, after = pieces(texts), pieces(edits), pieces(nexts)
-    mine, theirs, follow = (sketch(*x, n) for x in (own, edit, after))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc_ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
-         pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edits]), pa.array(mine.encoded(), pa.string()),
-         pa.array(theirs.encoded(), pa.string()), pa.array(likeness(own, edit, n, mine.minus(theirs))),
-         pa.array(likeness(own, after, n, mine.minus(follow)))],
-        names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+    stored = [sketch(*x, n).encoded() for x in (own, edit, after)]
+    mine, theirs, follow = map(Sketches.decoded, stored)  # the fingerprints themselves are compared
+    columns = [pa.array(doc_ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
+               pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edits]), pa.array(stored[0], pa.string()),
+               pa.array(stored[1], pa.string()), pa.array(likeness(own, edit, n, mine.minus(theirs))),
+               pa.array(likeness(own, after, n, mine.minus(follow)))]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 
 RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
           " near_edited double, near_next double")
 
 
-def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as Zstandard frames: a third less to shuffle than with the shuffle's own compression."""
-    squeeze = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        for part in slices(batch, "text"):
-            data, off = byte_view(part.column("text"))
-            raw = memoryview(np.ascontiguousarray(data))
-            packed = [squeeze(raw[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+def _range_of(down: np.ndarray, key: np.ndarray, bounds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The range of each row: how many bounds (down, key) are not above it."""
+    tops, keys = bounds
+    lo, hi = np.searchsorted(tops, down, "left"), np.searchsorted(tops, down, "right")
+    out = lo.copy()
+    for i in np.flatnonzero(hi > lo):  # rows whose id is a bound's: the key decides
+        out[i] = lo[i] + np.searchsorted(keys[lo[i]:hi[i]], key[i], "right")
+    return out
+
+
+def _ranges(bounds):
+    """(range, down, key): the first row of each range that a task saw."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[int, tuple[int, int]] = {}
+        for batch in batches:
+            down, key = (batch.column(c).to_numpy() for c in ("down", "key"))
+            at = _range_of(down, key, bounds)
+            order = np.lexsort((key, down, at))
+            heads = order[np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])] if len(order) else order
+            for r, d, k in zip(at[heads].tolist(), down[heads].tolist(), key[heads].tolist()):
+                first[r] = min(first.get(r, (d, k)), (d, k))
+        yield pa.RecordBatch.from_arrays([pa.array(list(first), pa.int32()), pa.array([d for d, _ in first.values()], pa.int64()),
+                                          pa.array([k for _, k in first.values()], pa.int64())], names=["range", "down", "key"])
+
+    return run
+
+
+def _squeezed(bounds, guests: dict[tuple[int, int], int]):
+    """Texts as Zstandard frames (a third less to shuffle than with the shuffle's own compression), with their range.
+
+    Equal rows of a batch go once, with their number; a range's first row goes to the range before it too, as a guest.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, off = byte_view(part.column("text"))
+                raw, ids = memoryview(np.ascontiguousarray(data)), part.column("doc_id").to_pylist()
+                down, key = (part.column(c).to_numpy() for c in ("down", "key"))
+                order = np.lexsort((key, down))
+                times = Counter(zip(down.tolist(), key.tolist(), (bytes(raw[off[i]:off[i + 1]]) for i in range(part.num_rows))) if _repeats(down, key, order)
+                                else ())
+                seen, rows = set(), []
+                for i, r in enumerate(_range_of(down, key, bounds).tolist()):
+                    text = bytes(raw[off[i]:off[i + 1]])
+                    row = (int(down[i]), int(key[i]), text)
+                    if times and times[row] > 1:
+                        if row in seen:
+                            continue
+                        seen.add(row)
+                    frame, d, k = squeeze(text), int(down[i]), int(key[i])
+                    rows.append((r, False, d, k, ids[i], frame, times[row] if times else 1))
+                    if (d, k) in guests:
+                        rows.append((guests[d, k], True, d, k, ids[i], frame, 1))
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], t) for c, t in enumerate(
+                    (pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))], names=_PACKED)
+
+    return run
+
+
+_PACKED = ["range", "guest", "down", "key", "doc_id", "packed", "times"]
+
+
+def _repeats(down: np.ndarray, key: np.ndarray, order: np.ndarray) -> bool:
+    d, k = down[order], key[order]
+    return bool(((d[1:] == d[:-1]) & (k[1:] == k[:-1])).any())
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs each row with the row after it in its bucket; guests only serve as the last row's neighbour."""
+    """Pairs each row with the row after it in its range; guests only serve as the last row's neighbour.
+
+    A row that stands for several equal ones is its own neighbour for all but the last of them.
+    """
     open_up = zstandard.ZstdDecompressor().decompress
-    held = None  # the last row: (bucket, guest, doc_id, text)
-    ids, texts, nexts, size = [], [], [], 0
+    held = None  # the last row: (range, guest, doc_id, text)
+    ids, texts, nexts, times, size = [], [], [], [], 0
     for batch in batches:
         for part in slices(batch, "packed"):
-            for bucket, guest, doc_id, packed in zip(*(part.column(c).to_pylist() for c in ("bucket", "guest", "doc_id", "packed"))):
+            for at, guest, doc_id, packed, n in zip(*(part.column(c).to_pylist() for c in ("range", "guest", "doc_id", "packed", "times"))):
                 text = open_up(packed).decode()
-                if held is not None and not held[1] and held[0] == bucket:
+                if held is not None and not held[1] and held[0] == at:
                     ids.append(held[2])
                     texts.append(held[3])
                     nexts.append(text)
-                    size += len(held[3]) + len(text)
-                    if size > SLICE_BYTES:
-                        yield _compare(ids, texts, nexts)
-                        ids, texts, nexts, size = [], [], [], 0
-                held = (bucket, guest, doc_id, text)
+                    times.append(1)
+                if not guest and n > 1:
+                    ids.append(doc_id)
+                    texts.append(text)
+                    nexts.append(text)
+                    times.append(n - 1)
+                size += 2 * len(text)
+                if size > SLICE_BYTES and ids:
+                    yield from _repeated(_compare(ids, texts, nexts), times)
+                    ids, texts, nexts, times, size = [], [], [], [], 0
+                held = (at, guest, doc_id, text)
     if ids:
-        yield _compare(ids, texts, nexts)
+        yield from _repeated(_compare(ids, texts, nexts), times)
+
+
+def _repeated(rows: pa.RecordBatch, times: list[int]) -> Iterator[pa.RecordBatch]:
+    if max(times) == 1:
+        yield rows
+        return
+    for i, n in enumerate(times):
+        for lo in range(0, n, 1000):
+            yield rows.take(pa.array(np.full(min(1000, n - lo), i)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -223,38 +304,29 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     NULL text is empty: no pieces, an empty sketch.  Other columns are ignored; an empty table gives
     no rows.
 
-    Neighbours meet in one shuffle of the texts: ids are cut into ranges of near equal size, each
-    range is sorted where it lands, and the first row of the next range comes along as a guest.
-    Only range bounds (one number per range) pass through the driver.
+    Neighbours meet in one shuffle of the texts: rows are ranged by (id, hash of the text), between bounds taken
+    from a sample of the rows themselves, so sparse ids or many NULL ones make no range large; each range is
+    sorted where it lands, and the first row of the next one comes along as a guest.  Bounds and first
+    rows (two numbers per range) pass through the driver.
     """
     spark = docs.sparkSession
-    rank = F.coalesce("doc_id", F.lit(-2**63)).alias("rank")
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (low or 0), (high or 0)
-    step = (high - low) // BINS + 1
-    bin_of = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.floor((F.col("doc_id").cast("double") - float(low)) / step)).cast("int")
-    bin_of = F.least(bin_of, F.lit(BINS))
-    counts = {r.bin: r for r in docs.select("doc_id", rank).groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"), F.max("rank").alias("top")).collect()}
-    if not counts:
+    # Ascending ``down`` is descending id, NULL last.
+    down = F.bitwise_not(F.coalesce("doc_id", F.lit(-2**63))).alias("down")
+    keyed = docs.select("doc_id", "text", down, F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    slim = stored(keyed.select("down", "key"), "fingerprint-keys")
+    n_rows = slim.count()
+    if not n_rows:
         return spark.createDataFrame([], RESULT)
-    ranges = min(bucket_count(text_bytes(docs), BUCKET_BYTES, spark), len(counts))
-    total, seen = sum(c.n for c in counts.values()), 0
-    bucket_of_bin, tops = [], {}
-    for b in range(BINS + 1):
-        bucket = min(seen * ranges // total, ranges - 1)
-        bucket_of_bin.append(bucket)
-        if b in counts:
-            seen += counts[b].n
-            tops[bucket] = counts[b].top  # bins rise, so the last one has the largest id
-    order = sorted(tops)  # the range above a range needs its largest id; the lowest needs the largest of all
-    guests = spark.createDataFrame([(tops[b], order[(i + 1) % len(order)]) for i, b in enumerate(order)],
-                                   "top bigint, bucket_above int")
-    lookup = F.split(F.lit(",".join(map(str, bucket_of_bin))), ",")
-    squeezed = docs.select("doc_id", "text").mapInArrow(_squeezed, "doc_id bigint, packed binary").select("doc_id", "packed", rank)
-    placed = squeezed.withColumn("bucket", F.element_at(lookup, bin_of + 1).cast("int"))
-    both = placed.join(F.broadcast(guests), F.col("rank") == F.col("top"), "left")
-    seats = F.filter(F.array(F.struct(F.col("bucket"), F.lit(False).alias("guest")),
-                             F.struct(F.col("bucket_above").alias("bucket"), F.lit(True).alias("guest"))), lambda s: s.bucket.isNotNull())
-    rows = both.select("doc_id", "rank", "packed", F.explode(seats).alias("seat")).select("doc_id", "rank", "packed", "seat.*")
-    return (rows.repartition(ranges, "bucket").sortWithinPartitions("bucket", "guest", F.desc("rank"), "packed")
-            .select("bucket", "guest", "doc_id", "packed").mapInArrow(_in_order, RESULT))
+    ranges = min(bucket_count(text_bytes(docs), BUCKET_BYTES, spark), n_rows)
+    every = max(1, n_rows // (SAMPLES * ranges))
+    sample = sorted(map(tuple, slim.where(F.pmod(F.xxhash64("down", "key", F.lit(3)), F.lit(every)) == 0).distinct().collect()))
+    cuts = [sample[i * len(sample) // ranges] for i in range(1, ranges)] if sample else []
+    cuts = sorted(set(cuts))
+    bounds = (np.array([d for d, _ in cuts], np.int64), np.array([k for _, k in cuts], np.int64))
+    heads = slim.mapInArrow(_ranges(bounds), "range int, down bigint, key bigint").groupBy("range").agg(F.min(F.struct("down", "key")).alias("first"))
+    firsts = {r["range"]: (r["first"]["down"], r["first"]["key"]) for r in heads.collect()}
+    order = sorted(firsts)
+    guests = {firsts[r]: order[i - 1] for i, r in enumerate(order)}  # the first range's first row follows the last range
+    packed = keyed.mapInArrow(_squeezed(bounds, guests), "range int, guest boolean, down bigint, key bigint, doc_id bigint, packed binary, times bigint")
+    return (packed.repartition(len(order), "range").sortWithinPartitions("range", "guest", "down", "key", "packed")
+            .select("range", "guest", "doc_id", "packed", "times").mapInArrow(_in_order, RESULT))

@@ -13,8 +13,10 @@ Method
   anchors occur elsewhere.  A mapper settles what it can see itself and sends each
   distinct anchor once per flush, so an anchor that a third of the documents hold
   reaches its bucket once per flush, not once per document.
-* Extension: only windows around a shared anchor are hashed in full; each distinct
-  window's smallest (document, start) stays, every other one marks its words.
+* Extension: only windows around a shared anchor are hashed in full, twice with independent hashes of
+  their words; each distinct window's smallest (document, start) stays, every other one marks its words.  Windows are
+  equal where both hashes are: one alone would take different windows for one at 10^13 of them.  (Anchors
+  that are taken for one by chance only cause more windows to be looked at.)
 
 Texts cross the network once, to meet their shared anchors.  Documents without any
 are finished there; the others are written to the shared folder for the second step.
@@ -22,7 +24,6 @@ are finished there; the others are written to the shared folder for the second s
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.bytehash import NOT_SPACE, mix, range_hashes, word_ranges
+from civicflow.llm.bytehash import NOT_SPACE, mix, range_hashes, sequence_hashes, word_ranges
 from civicflow.llm.common import bucket_count, byte_view, slices, stored, text_bytes
 
 WINDOW = 20
 PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
+WINDOW_SEEDS = (0, 1)  # independent hashes of a window
 BUCKET_BYTES = 16 << 20  # text whose anchors one bucket gathers
 FLUSH_PLACES = 500_000  # anchors or windows that a mapper holds before it sends them on
 
@@ -47,14 +49,6 @@ _PACK_NAMES = ["bucket", "ids", "keys", "runs", "places", "hashes"]
 COPY = -1  # a document whose whole text another one with a smaller id has
 
 
-def _hash_at(words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    h = np.zeros(len(at), np.uint64)
-    for k in range(n):
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h += words[at + k]
-    return mix(h)
-
-
 def _runs(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first position, length) of each run of equal values."""
     edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
@@ -82,6 +76,11 @@ def _packs(bucket: np.ndarray, doc: np.ndarray, ids: np.ndarray, keys: np.ndarra
                                       + [pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 6)], names=_PACK_NAMES)
 
 
+def _by_hash(h: np.ndarray, ids: np.ndarray, keys: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Order by hash (all its lanes), document and place."""
+    return np.lexsort((place, keys, ids, *h.T[::-1]))
+
+
 def _elsewhere(h, ids, keys, place, earliest: bool) -> tuple[np.ndarray, np.ndarray]:
     """For places sorted by hash and document: (first of its hash, occurs elsewhere).
 
@@ -90,7 +89,7 @@ def _elsewhere(h, ids, keys, place, earliest: bool) -> tuple[np.ndarray, np.ndar
     """
     if not len(h):
         return np.zeros(0, bool), np.zeros(0, bool)
-    new = np.r_[True, h[1:] != h[:-1]]
+    new = np.r_[True, (h[1:] != h[:-1]).any(axis=1)]
     group = np.cumsum(new) - 1
     head = np.flatnonzero(new)[group]
     other = (ids != ids[head]) | (keys != keys[head]) | (place != place[head])
@@ -129,7 +128,7 @@ class _Flush:
         if whole.any():
             yield _packs(own[doc[whole]], doc[whole], ids, keys, place[whole], None)
             h, doc, place = h[~whole], doc[~whole], place[~whole]
-        order = np.lexsort((place, keys[doc], ids[doc], h))
+        order = _by_hash(h, ids[doc], keys[doc], place)
         h, doc, place = h[order], doc[order], place[order]
         new, known = _elsewhere(h, ids[doc], keys[doc], place, self.earliest)
         # What this mapper can tell by itself: for anchors all that occur twice here,
@@ -137,14 +136,15 @@ class _Flush:
         if known.any():
             yield _packs(own[doc[known]], doc[known], ids, keys, place[known], None)
         if new.any():
-            bucket = ((h >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int32)
+            bucket = ((h[:, 0] >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int32)
             yield _packs(bucket[new], doc[new], ids, keys, place[new], h[new])
 
 
-def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _words(part: pa.RecordBatch, seeds: tuple[int, ...] = (0,)) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all words for each seed, words per row, ids, keys)."""
     data, off = byte_view(part.column("text"))
     starts, ends, counts = word_ranges(data, off, NOT_SPACE)
-    return range_hashes(data, starts, ends), counts, np.asarray(part.column("id")), np.asarray(part.column("key"))
+    return [range_hashes(data, starts, ends, seed=s) for s in seeds], counts, np.asarray(part.column("id")), np.asarray(part.column("key"))
 
 
 def _spread(counts: np.ndarray, per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,7 +160,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
     on_cover = np.isin(np.arange(PERIOD), COVER)
     for batch in batches:
         for part in slices(batch, "text"):
-            words, counts, ids, keys = _words(part)
+            (words,), counts, ids, keys = _words(part)
             # Of equal texts that meet here the one with the smallest id speaks for all so far.
             use = np.zeros(len(ids), bool)
             copies = []
@@ -174,8 +174,8 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             row, place, at = _spread(counts, np.where(use & (counts >= WINDOW), np.maximum(counts - ANCHOR + 1, 0), 0))
             mine = on_cover[place % PERIOD]
             row, place, at = row[mine], place[mine], at[mine]
-            h = _hash_at(words, at, ANCHOR)
-            flush.add(ids, keys, np.r_[h, np.zeros(len(copies), np.uint64)], np.r_[row, np.array(copies, np.int64)],
+            h = sequence_hashes(words, at, ANCHOR)
+            flush.add(ids, keys, np.r_[h, np.zeros(len(copies), np.uint64)][:, None], np.r_[row, np.array(copies, np.int64)],
                       np.r_[place, np.full(len(copies), COPY)])
             if flush.n >= FLUSH_PLACES:
                 yield from flush.send()
@@ -187,7 +187,7 @@ def _windows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
     flush = _Flush(buckets, earliest=True)
     for batch in batches:
         for part in slices(batch, "text"):
-            words, counts, ids, keys = _words(part)
+            lanes, counts, ids, keys = _words(part, WINDOW_SEEDS)
             per_row = np.maximum(counts - WINDOW + 1, 0)
             base = np.cumsum(per_row) - per_row
             delta = np.zeros(int(per_row.sum()) + 1, np.int64)  # +1 and -1 around the windows of a shared anchor
@@ -203,13 +203,13 @@ def _windows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             row, place, at = _spread(counts, per_row)
             mine = np.cumsum(delta[:-1]) > 0
             row, place, at = row[mine], place[mine], at[mine]
-            flush.add(ids, keys, _hash_at(words, at, WINDOW), row, place)
+            flush.add(ids, keys, np.stack([sequence_hashes(words, at, WINDOW) for words in lanes], axis=1), row, place)
             if flush.n >= FLUSH_PLACES:
                 yield from flush.send()
     yield from flush.send()
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
+def _unpacked(table: pa.Table, lanes: int = 1) -> tuple[np.ndarray, ...]:
     """(ids, keys, places, hashes, already known) of a bucket, a row per place."""
     ids, keys, place, h, known = [], [], [], [], []
     for i, k, r, p, x in zip(*(table.column(c) for c in _PACK_NAMES[1:])):
@@ -218,7 +218,7 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
         keys.append(np.repeat(np.frombuffer(k.as_buffer(), np.int64), runs))
         place.append(np.frombuffer(p.as_buffer(), np.int32))
         known.append(np.full(len(place[-1]), not x.is_valid))
-        h.append(np.frombuffer(x.as_buffer(), np.uint64) if x.is_valid else np.zeros(len(place[-1]), np.uint64))
+        h.append(np.frombuffer(x.as_buffer(), np.uint64).reshape(-1, lanes) if x.is_valid else np.zeros((len(place[-1]), lanes), np.uint64))
     return tuple(np.concatenate(x) for x in (ids, keys, place, h, known))
 
 
@@ -232,10 +232,10 @@ def _by_document(ids: np.ndarray, keys: np.ndarray, place: np.ndarray) -> tuple[
 
 def _settle(table: pa.Table, earliest: bool, buckets: int) -> pa.Table:
     """One bucket of hashes: the places of what occurs elsewhere (earlier elsewhere, for windows), dealt by document."""
-    ids, keys, place, h, known = _unpacked(table)
+    ids, keys, place, h, known = _unpacked(table, len(WINDOW_SEEDS) if earliest else 1)
     out = [(ids[known], keys[known], place[known])]
     ids, keys, place, h = (x[~known] for x in (ids, keys, place, h))
-    order = np.lexsort((place, keys, ids, h))
+    order = _by_hash(h, ids, keys, place)
     ids, keys, place, h = (x[order] for x in (ids, keys, place, h))
     _, mark = _elsewhere(h, ids, keys, place, earliest)
     out.append((ids[mark], keys[mark], place[mark]))
