@@ -7,25 +7,33 @@ window (10 words, or the whole of a shorter item), the window's words are hit an
 the state names the items it occurs in.  Spans of hit words are cut out of the
 text; a document whose hit share exceeds the coverage limit goes.
 
-Items are the bounded side: an automaton holds at most AUTOMATON_WORDS item words
-(about), more items make further automata, one group at a time.  Texts never shuffle.
+An automaton holds about AUTOMATON_WORDS item words; more items make more automata.  They are built in tasks, a
+group of items each, and stored; executors fetch the files, and a task has one automaton in memory at a
+time: it holds HELD_BYTES of text and runs it through one after the other.  Neither items nor automata come to
+the driver, and documents are read once however many items there are.  Texts never shuffle.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicflow.llm.bytehash import ALNUM, LOWER, range_hashes, word_ranges
 from civicflow.llm.common import byte_view, slices
+from civicflow.session import scratch_path
+from civicflow.sources.tables import folder_names
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
 AUTOMATON_WORDS = 200_000
+HELD_BYTES = 32 << 20  # texts that a task holds while several automata read them
 
 
 class SuffixAutomaton:
@@ -178,30 +186,79 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def matchers(items: DataFrame, window: int = WINDOW) -> list[Matcher]:
-    """Automata over ``items`` (item_id, text), each of about AUTOMATON_WORDS words at most.
+def automata(items: DataFrame, window: int = WINDOW) -> list[str]:
+    """Names of files with the automata of ``items`` (item_id, text), which executors can open as Spark files.
 
-    Only one group of items is on the driver at a time.  A NULL item_id is the empty string.
+    A NULL item_id is the empty string; repeated items count once; an empty table gives no file.
     """
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    spark = items.sparkSession
+    slim = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").where("text is not null").distinct()
+    total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-total // (AUTOMATON_WORDS * 6)))
-    slim = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
-    out = []
-    for g in range(groups):
-        part = slim if groups == 1 else slim.where(F.pmod(F.xxhash64("item", "text"), F.lit(groups)) == g)
-        out.append(Matcher([(r.item, r.text) for r in part.toLocalIterator()], window))
-    return out
 
-
-def _matched(found: list[Matcher], column: pa.Array):
-    """Hits of all matchers on one column."""
-    counts, hits, first, starts, ends = found[0].match(column)
-    for m in found[1:]:
-        for row, (spans, items) in m.match(column)[1].items():
-            old = hits.setdefault(row, ([], set()))
-            old[0].extend(spans)
-            old[1].update(items)
-    return counts, {r: (merged(s), i) for r, (s, i) in hits.items()}, first, starts, ends
+    def build(table: pa.Table) -> pa.Table:
+        found = Matcher(list(zip(table["item"].to_pylist(), table["text"].to_pylist())), window)
+        return pa.table({"automaton": pa.array([pickle.dumps(found, pickle.HIGHEST_PROTOCOL)], pa.binary())})
+
+    grouped = slim.withColumn("group", F.pmod(F.xxhash64("item", "text"), F.lit(groups)))
+    path = scratch_path(spark, "automata")
+    grouped.groupBy("group").applyInArrow(build, "automaton binary").write.parquet(path)
+    names = [n for n in folder_names(spark, path) if n.endswith(".parquet")]
+    for n in names:
+        spark.sparkContext.addFile(f"{path}/{n}")
+    return names
+
+
+_LOADED: dict[tuple[str, int, int], Matcher] = {}  # at most one
+
+
+def _each(names: list[str], back: bool) -> Iterator[Matcher]:
+    """The automata one after the other, from the first or the last; the one read last stays loaded."""
+    for name in reversed(names) if back else names:
+        file = pq.ParquetFile(SparkFiles.get(name))
+        rows = range(file.num_row_groups)
+        for g in reversed(rows) if back else rows:
+            blobs = file.metadata.row_group(g).num_rows
+            for i in reversed(range(blobs)) if back else range(blobs):
+                key = (name, g, i)
+                if key not in _LOADED:
+                    _LOADED.clear()
+                    for k, batch in enumerate(file.iter_batches(batch_size=1, row_groups=[g])):
+                        if k == i:
+                            _LOADED[key] = pickle.loads(batch.column(0)[0].as_buffer())
+                            break
+                yield _LOADED[key]
+
+
+def _matched(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, tuple]]:
+    """(slice of rows, (words per row, hits, first word, word starts, word ends)) over all automata."""
+    empty, held, size, back = Matcher([]), [], 0, False
+    single = sum(pq.ParquetFile(SparkFiles.get(n)).metadata.num_rows for n in names) < 2  # then nothing is loaded twice
+
+    def run() -> Iterator[tuple[pa.RecordBatch, tuple]]:
+        seen = [[None, {}] for _ in held]
+        for found in _each(names, back):
+            for part, entry in zip(held, seen):
+                words = found.match(part.column("text"))
+                entry[0] = entry[0] or (words[0], *words[2:])
+                for row, (spans, items) in words[1].items():
+                    old = entry[1].setdefault(row, ([], set()))
+                    old[0].extend(spans)
+                    old[1].update(items)
+        for part, (words, hits) in zip(held, seen):
+            if words is None:  # no items at all
+                counts, _, *words = empty.match(part.column("text"))
+                words = (counts, *words)
+            yield part, (words[0], {r: (merged(s), i) for r, (s, i) in hits.items()}, *words[1:])
+
+    for batch in batches:
+        for part in slices(batch, "text"):
+            held.append(part)
+            size += part.nbytes
+            if single or size >= HELD_BYTES:
+                yield from run()
+                held, size, back = [], 0, not back
+    yield from run()
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -211,20 +268,18 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     repeated items count once; an empty table of items finds nothing.  Repeated and NULL
     doc_ids are carried through.  Other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(matchers(items, window))
+    names = automata(items, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                counts, hits, *_ = _matched(shared.value, part.column("text"))
-                n_hit = np.zeros(part.num_rows, np.int64)
-                ids: list[list[str]] = [[] for _ in range(part.num_rows)]
-                for row, (spans, found) in hits.items():
-                    n_hit[row] = sum(b - a for a, b in spans)
-                    ids[row] = sorted(found)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(n_hit), pa.array(ids, pa.list_(pa.string()))],
-                    names=["doc_id", "n_words", "n_hit", "item_ids"])
+        for part, (counts, hits, *_) in _matched(names, batches):
+            n_hit = np.zeros(part.num_rows, np.int64)
+            ids: list[list[str]] = [[] for _ in range(part.num_rows)]
+            for row, (spans, found) in hits.items():
+                n_hit[row] = sum(b - a for a, b in spans)
+                ids[row] = sorted(found)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(n_hit), pa.array(ids, pa.list_(pa.string()))],
+                names=["doc_id", "n_words", "n_hit", "item_ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_words bigint, n_hit bigint, item_ids array<string>")
 
@@ -234,37 +289,35 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
 
     Bytes from a hit span's first word to its last are cut, and ``n_chars`` (where there is
     such a column) follows; documents with more than ``max_coverage`` of their words hit go.
-    Clean documents are passed on untouched, extra columns too; NULL texts stay NULL.
+    Clean documents are passed on untouched, extra columns too; NULL texts stay NULL; repeated rows are treated alike;
+    an empty table gives no rows, and an empty table of items changes nothing.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(matchers(items, window))
-    names, text_at = docs.columns, docs.columns.index("text")
-    chars_at = names.index("n_chars") if dict(docs.dtypes).get("n_chars") == "bigint" else None
+    names, text_at = automata(items, window), docs.columns.index("text")
+    chars_at = docs.columns.index("n_chars") if dict(docs.dtypes).get("n_chars") == "bigint" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                counts, hits, first, starts, ends = _matched(shared.value, part.column("text"))
-                if not hits:
-                    yield part
+        for part, (counts, hits, first, starts, ends) in _matched(names, batches):
+            if not hits:
+                yield part
+                continue
+            texts = part.column("text").to_pylist()
+            stay = np.ones(part.num_rows, bool)
+            for row, (spans, _) in hits.items():
+                if sum(b - a for a, b in spans) > max_coverage * counts[row]:
+                    stay[row] = False
                     continue
-                texts = part.column("text").to_pylist()
-                stay = np.ones(part.num_rows, bool)
-                for row, (spans, _) in hits.items():
-                    if sum(b - a for a, b in spans) > max_coverage * counts[row]:
-                        stay[row] = False
-                        continue
-                    raw, kept, at = texts[row].encode(), [], 0
-                    for a, b in spans:
-                        kept.append(raw[at:starts[first[row] + a]])
-                        at = ends[first[row] + b - 1]
-                    texts[row] = b"".join([*kept, raw[at:]]).decode()
-                columns = list(part.columns)
-                columns[text_at] = pa.array(texts, part.schema.field(text_at).type)
-                if chars_at is not None:
-                    chars = part.column(chars_at).to_pylist()
-                    for row in hits:
-                        chars[row] = len(texts[row])
-                    columns[chars_at] = pa.array(chars, pa.int64())
-                yield pa.RecordBatch.from_arrays(columns, schema=part.schema).filter(pa.array(stay))
+                raw, kept, at = texts[row].encode(), [], 0
+                for a, b in spans:
+                    kept.append(raw[at:starts[first[row] + a]])
+                    at = ends[first[row] + b - 1]
+                texts[row] = b"".join([*kept, raw[at:]]).decode()
+            columns = list(part.columns)
+            columns[text_at] = pa.array(texts, part.schema.field(text_at).type)
+            if chars_at is not None:
+                chars = part.column(chars_at).to_pylist()
+                for row in hits:
+                    chars[row] = len(texts[row])
+                columns[chars_at] = pa.array(chars, pa.int64())
+            yield pa.RecordBatch.from_arrays(columns, schema=part.schema).filter(pa.array(stay))
 
     return docs.mapInArrow(run, docs.schema)
