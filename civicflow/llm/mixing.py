@@ -106,11 +106,34 @@ def _plan(docs: DataFrame, max_epochs: int, seed: str) -> tuple[DataFrame, DataF
 
 
 def _at_end(rows: DataFrame) -> DataFrame:
-    """The rows of each source's end bucket, with the words that the sample takes of them."""
-    before = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("order", "doc_id", "size")
-                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return (rows.where(F.substring("order", 1, 4) == F.col("end"))
-            .withColumn("sampled", F.least("size", F.greatest(F.lit(0), F.col("rest") - before)).cast("long")))
+    """The rows of each source's end bucket, with the words that the sample takes of them.
+
+    Rows equal in order, id and size are interchangeable, so they are counted first; a source's window sees
+    one row for each.  Only in the one group at the sample's end are rows told apart, by their
+    number in their partition and the partition's offset, so repeated ids make no hot window.
+    """
+    kind = ["source", "order", "doc_id", "size"]
+    at_end = rows.where(F.substring("order", 1, 4) == F.col("end"))
+    before = F.coalesce(F.sum(F.col("size") * F.col("n")).over(Window.partitionBy("source").orderBy("order", "doc_id", "size")
+                                                               .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = at_end.groupBy(*kind).agg(F.count("*").alias("n"), F.max("rest").alias("left")).withColumn("due", F.greatest(F.lit(0), F.col("left") - before))
+    groups = stored(groups.select(*[F.col(c).alias(f"g_{c}") for c in kind], "n", F.least(F.col("due"), F.col("size") * F.col("n")).alias("due")), "mix-end")
+    same = F.lit(True)
+    for c in kind:
+        same = same & F.col(c).eqNullSafe(F.col(f"g_{c}"))
+    met = stored(at_end.join(groups, same).drop(*[f"g_{c}" for c in kind]).withColumn("id", F.monotonically_increasing_id()), "mix-end-rows")
+    split = (F.col("due") > 0) & (F.col("due") < F.col("size") * F.col("n"))
+    settled = met.where(~split).withColumn("sampled", F.when(F.col("due") > 0, F.col("size")).otherwise(0).cast("long"))
+    part = F.shiftright("id", 33)
+    parts = met.where(split).groupBy("source", part.alias("part")).agg(F.count("*").alias("held"))
+    offset = F.coalesce(F.sum("held").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = parts.select(F.col("source").alias("of"), F.col("part").alias("in"), offset.alias("offset"))
+    nth = F.row_number().over(Window.partitionBy("source", "part").orderBy("id"))
+    told = (met.where(split).withColumn("part", part).withColumn("nth", nth)
+            .join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))))
+    rest = F.col("due") - (F.col("offset") + F.col("nth") - 1) * F.col("size")
+    told = told.withColumn("sampled", F.least(F.col("size"), F.greatest(F.lit(0), rest)).cast("long"))
+    return settled.select(*rows.columns, "sampled").unionByName(told.select(*rows.columns, "sampled"))
 
 
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
@@ -120,7 +143,7 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> Data
     document's words for a sampled one, none for the others, a part for the one document of each
     source at the end of the sample, so that a source takes its target to the word.  NULL sources
     are a source of their own, last in order.  NULL, empty and blank texts have size 0 and are taken
-    0 words.  Repeated ids share an order; their rows are taken one after the other.  Sources
+    0 words.  Repeated ids share an order; their rows are taken one after the other, by size.  Sources
     without any words have target 0.  Other columns are ignored; an empty table gives no rows.
     """
     rows, _ = _plan(docs, max_epochs, seed)
@@ -138,7 +161,8 @@ def mixed_documents(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = S
     Documents stay whole: the one at the end of a source's sample counts if at least half of it is
     due.  The plan comes down to one row per source (repetitions and the last order sampled), so
     texts meet a table of sources and don't shuffle by document.  Rows without words are kept once,
-    since they cost the mix nothing; rows that the mix takes no time are left out.
+    since they cost the mix nothing; rows that the mix takes no time are left out.  NULL sources are a source;
+    rows of one id (repeated rows, NULL ids) are sampled together; an empty table gives no rows.
     """
     rows, ends = _plan(docs, max_epochs, seed)
     last = (_at_end(rows).where((F.col("sampled") > 0) & (F.col("sampled") * 2 >= F.col("size")))

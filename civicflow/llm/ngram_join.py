@@ -4,11 +4,15 @@ The set of a text is its distinct n-word shingles (fewer words than n: the whole
 sequence as one).  Two texts link when intersection / union reaches the threshold.
 
 Method
-* Equal sets collapse to one digest first; copies never meet each other again.
+* Equal sets collapse to one digest first; copies never meet each other again.  Digests that two different sets
+  have (a second digest tells) are replaced by the second one, so equal means equal.
 * Every distinct n-gram hash is dealt to a hash bucket together with the digest
   of its set.  A mapper sends each set once per flush, however many copies it
-  read, so an n-gram of a text that makes up a third of the table arrives at
-  most once per flush.  A bucket counts in how many sets its n-grams occur.
+  read.  A bucket counts in how many sets its n-grams occur.
+* N-grams that one in HOT_SHARE sets holds, or more, never meet in a bucket: the first pass over
+  the texts finds them (each is that frequent in some flush) with a count that serves as their
+  frequency, and mappers send them straight on to their sets, which are spread evenly.  Any order that all sets
+  agree on will do for rare-first, and that such an n-gram is shared is known.
 * Rare-first order is (sets containing the n-gram, hash).  N-grams of a single set come
   first and can't match anything; a set whose shared n-grams are fewer than the
   overlap any partner needs is out before a pair exists.  The others index only
@@ -31,11 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicflow.llm.bytehash import LOWER, NOT_SPACE, gram_hashes, mix, range_hashes, word_ranges
-from civicflow.llm.common import bucket_count, byte_view, slices, stored
+from civicflow.llm.common import bucket_count, byte_view, slices, spread_join, stored
 from civicflow.llm.components import connected_components
 
 N_WORDS = 5
@@ -43,11 +48,12 @@ THRESHOLD = 75          # per cent
 BUCKET_GRAMS = 1_500_000  # n-grams that one bucket gathers
 FLUSH_GRAMS = 1_000_000   # n-grams that a mapper holds before it sends them on
 SLOTS = 1024            # hash slots of the suffix filter
+HOT_SHARE = 256         # one set in so many holds a hot n-gram
 HUB_ROUNDS = 2
 
 
-def shingle_sets(column: pa.Array, n: int = N_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct n-gram hashes, their row, set digest per row); rows in order, hashes sorted within a row."""
+def shingle_sets(column: pa.Array, n: int = N_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct n-gram hashes, their row, set digest per row, second digest); rows in order, hashes sorted within a row."""
     data, off = byte_view(column)
     starts, ends, counts = word_ranges(data, off, NOT_SPACE)
     words = range_hashes(data, starts, ends, LOWER)
@@ -66,23 +72,75 @@ def shingle_sets(column: pa.Array, n: int = N_WORDS) -> tuple[np.ndarray, np.nda
     keep[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
     h, row = h[keep], row[keep]
     sizes = np.bincount(row, minlength=len(counts))
-    # The digest of a set: two independent sums of scrambled members, so order doesn't matter.
-    digest = np.zeros(len(counts), np.uint64)
-    np.add.at(digest, row, mix(h ^ np.uint64(0xA0761D6478BD642F)))
-    return h, row, np.where(sizes > 0, mix(digest + sizes.astype(np.uint64)), 0).astype(np.uint64)
+    digests = [_digest(h, row, sizes, salt) for salt in DIGEST_SALTS]
+    return h, row, *digests
+
+
+DIGEST_SALTS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+
+
+def _digest(h: np.ndarray, row: np.ndarray, sizes: np.ndarray, salt: int) -> np.ndarray:
+    """A digest of each row's set, 0 for an empty one: a sum of scrambled members, so their order doesn't matter."""
+    total = np.zeros(len(sizes), np.uint64)
+    np.add.at(total, row, mix(h ^ np.uint64(salt)))
+    return np.where(sizes > 0, np.maximum(mix(total + sizes.astype(np.uint64)), 1), 0).astype(np.uint64)
+
+
+def _told_apart(digest: np.ndarray, second: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Digests that different sets share, replaced by the second digest."""
+    return np.where(np.isin(digest, shared), second, digest) if len(shared) else digest
 
 
 def _sets_of_batches(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """A row per text with its set's size and digests; a row per flush has the n-grams that are hot in it and their counts."""
+    held: list[np.ndarray] = []
+    seen: set[int] = set()  # copies count once, as in the sets that n-grams are counted by
+    grams = 0
+
+    def hot() -> Iterator[pa.RecordBatch]:
+        if held:
+            h, counts = np.unique(np.concatenate(held), return_counts=True)
+            often = np.flatnonzero((counts > 1) & (counts * (2 * HOT_SHARE) >= len(seen)))
+            held.clear()
+            seen.clear()
+            yield _sized([None], [None], [0], [0], [0], [h[often].view(np.int64).tolist()], [counts[often].tolist()])
+
     for batch in batches:
         for part in slices(batch, "text"):
-            _, row, digest = shingle_sets(part.column("text"), n)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("key"), pa.array(np.bincount(row, minlength=part.num_rows).astype(np.int64)),
-                 pa.array(digest.view(np.int64))], names=["doc_id", "key", "n_shingles", "digest"])
+            h, row, digest, second = shingle_sets(part.column("text"), n)
+            yield _sized(part.column("doc_id"), part.column("key"), np.bincount(row, minlength=part.num_rows).astype(np.int64),
+                         digest.view(np.int64), second.view(np.int64), None, None)
+            held.append(h[_first_time(digest, seen)[row]])
+            grams += len(held[-1])
+            if grams >= FLUSH_GRAMS:
+                yield from hot()
+                grams = 0
+    yield from hot()
+
+
+def _first_time(digest: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Which rows bring a set that is not in ``seen`` yet; it is then."""
+    fresh = np.zeros(len(digest), bool)
+    for i, d in enumerate(digest.tolist()):
+        if d and d not in seen:
+            seen.add(d)
+            fresh[i] = True
+    return fresh
+
+
+SIZED = "doc_id bigint, key bigint, n_shingles bigint, digest bigint, second bigint, hot array<bigint>, counts array<bigint>"
+
 
+def _sized(*columns) -> pa.RecordBatch:
+    n = len(columns[0])
+    types = (pa.int64(),) * 5 + (pa.list_(pa.int64()),) * 2
+    return pa.RecordBatch.from_arrays([pa.nulls(n, t) if c is None else c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)],
+                                      names=["doc_id", "key", "n_shingles", "digest", "second", "hot", "counts"])
 
-def _deal(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packs (bucket, digests, n-grams per digest, set sizes, n-grams), each set once per flush."""
+
+def _deal(batches: Iterator[pa.RecordBatch], n: int, buckets: int, shared: np.ndarray, hot: np.ndarray, often: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Packs (bucket, digests, n-grams per digest, set sizes, n-grams), each set once per flush; hot n-grams
+    go to their sets' buckets, with their frequency."""
     held: list[tuple[np.ndarray, ...]] = []
     seen: set[int] = set()
     grams = 0
@@ -92,17 +150,17 @@ def _deal(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[p
             h, owner, size = (np.concatenate([x[k] for x in held]) for k in range(3))
             held.clear()
             seen.clear()
-            yield _pack(bucket_of(h, buckets), owner, size, h)
+            at = np.searchsorted(hot, h)
+            known = hot[np.minimum(at, len(hot) - 1)] == h if len(hot) else np.zeros(len(h), bool)
+            yield _pack(bucket_of(h[~known], buckets), owner[~known], size[~known], h[~known])
+            if known.any():
+                yield _pack(bucket_of(mix(owner[known]), buckets), owner[known], size[known], h[known], often[at[known]])
 
     for batch in batches:
         for part in slices(batch, "text"):
-            h, row, digest = shingle_sets(part.column("text"), n)
-            fresh = np.zeros(part.num_rows, bool)
-            for i, d in enumerate(digest.tolist()):
-                if d and d not in seen:
-                    seen.add(d)
-                    fresh[i] = True
-            mine = fresh[row]
+            h, row, digest, second = shingle_sets(part.column("text"), n)
+            digest = _told_apart(digest, second, shared)
+            mine = _first_time(digest, seen)[row]
             h, row = h[mine], row[mine]
             held.append((h, digest[row], np.bincount(row, minlength=part.num_rows)[row]))
             grams += len(h)
@@ -159,7 +217,12 @@ def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def _shared(table: pa.Table, buckets: int) -> pa.Table:
-    """One bucket of n-grams: those that two sets or more hold, with the number of sets, dealt by set."""
+    """One bucket of n-grams: those that two sets or more hold, with the number of sets, dealt by set.  Packs
+    that have their frequencies are for sets already and pass."""
+    ready = table.filter(pc.is_valid(table["freqs"]))
+    table = table.filter(pc.is_null(table["freqs"]))
+    if not len(table):
+        return ready
     owner, size, grams, _ = _unpack(table)
     order = np.lexsort((owner, grams))
     owner, size, grams = owner[order], size[order], grams[order]
@@ -170,13 +233,15 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
     mine = np.flatnonzero(freq > 1)
     mine = mine[np.argsort(owner[mine], kind="stable")]
     owner, size, grams, freq = owner[mine], size[mine], grams[mine], freq[mine]
-    return pa.Table.from_batches([_pack(bucket_of(mix(owner), buckets), owner, size, grams, freq)])
+    out = pa.Table.from_batches([_pack(bucket_of(mix(owner), buckets), owner, size, grams, freq)])
+    return pa.concat_tables([ready.cast(out.schema), out]) if len(ready) else out
 
 
 def _assemble(table: pa.Table, threshold: int) -> pa.Table:
     """One bucket of sets: each set that has enough shared n-grams for a partner, rare ones first."""
     owner, size, grams, freq = _unpack(table)
     order = np.lexsort((grams, freq, owner))
+    order = order[_edges(owner[order], grams[order])[:-1]]  # hot n-grams come once per flush that has the set
     owner, size, grams = owner[order], size[order].astype(np.int64), grams[order]
     edge = _edges(owner)
     held, first = np.diff(edge), edge[:-1]
@@ -234,6 +299,28 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("digest_a", "digest_b").alias("a"), F.greatest("digest_a", "digest_b").alias("b")).distinct()
 
 
+def _distinct_digests(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(rows with a digest that different sets never share, the digests that were replaced).  At 64 bits a
+    corpus of 10^11 texts has about a hundred of those."""
+    lanes = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("second").alias("a"), F.max("second").alias("b")).where("a != b")
+    shared = np.array(sorted(r.digest for r in lanes.select("digest").collect()), np.int64)
+    if len(shared):
+        own = F.col("digest").isin([int(d) for d in shared])
+        rows = rows.withColumn("digest", F.when(own, F.col("second")).otherwise(F.col("digest")))
+    return rows.drop("second"), shared.view(np.uint64)
+
+
+def _hot_grams(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams, sorted; their frequencies): all that one set in HOT_SHARE holds, and at most 2 * HOT_SHARE times the mean size
+    of a set.  An n-gram that frequent is so in some flush, and the flushes where it is half as frequent hold half of its sets."""
+    each = found.where("hot is not null").select(F.explode(F.arrays_zip("hot", "counts")).alias("g")).groupBy("g.hot").agg(F.sum("g.counts").alias("n"))
+    sets = found.where("n_shingles > 0").select(F.approx_count_distinct("digest")).first()[0]
+    rows = each.where(F.col("n") * 2 * HOT_SHARE >= sets).where("n > 1").collect()
+    grams = np.array([r.hot for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], np.array([r.n for r in rows], np.int64)[order]
+
+
 def text_key():
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
 
@@ -243,11 +330,12 @@ def _indexed(docs: DataFrame, n: int, threshold: int) -> tuple[DataFrame, DataFr
     for a partner, and a row per prefix n-gram of each."""
     spark = docs.sparkSession
     slim = docs.select("doc_id", text_key(), "text")
-    sizes = stored(slim.mapInArrow(lambda it: _sets_of_batches(it, n), "doc_id bigint, key bigint, n_shingles bigint, digest bigint"),
-                   "shingle-sizes")
-    total = sizes.agg(F.sum("n_shingles")).first()[0] or 0
+    found = stored(slim.mapInArrow(lambda it: _sets_of_batches(it, n), SIZED), "shingle-sizes")
+    sizes, shared_digests = _distinct_digests(found.where("hot is null").drop("hot", "counts"))
+    hot, often = _hot_grams(found)
+    total = found.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = bucket_count(total, BUCKET_GRAMS, spark)
-    packs = docs.select("text").mapInArrow(lambda it: _deal(it, n, buckets), PACK)
+    packs = docs.select("text").mapInArrow(lambda it: _deal(it, n, buckets, shared_digests, hot, often), PACK)
     shared = packs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _shared(t, buckets), PACK)
     sets = stored(shared.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _assemble(t, threshold), SETS),
                   "shingle-sets")
@@ -318,13 +406,13 @@ def near_duplicates(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOL
     of ``docs`` are ignored.  An empty table gives no rows.
     """
     sizes, comps = ngram_links(docs, n, threshold)
-    heads = (sizes.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("head"))
-             .join(comps.withColumnRenamed("node", "digest"), "digest", "left")
-             .withColumn("component", F.coalesce("component", "digest")))
-    per_comp = heads.groupBy("component").agg(F.min("head").alias("component_id"))
-    # Only sets that more than one row or set shares need a look-up.
-    named = stored(heads.join(per_comp, "component").select("digest", "component_id"), "shingle-names")
-    return (sizes.join(named, "digest", "left")
+    heads = stored(sizes.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("head"))
+                   .join(comps.withColumnRenamed("node", "digest"), "digest", "left"), "shingle-heads")
+    linked = stored(heads.where("component is not null").select("digest", "component", "head"), "shingle-linked")
+    per_comp = linked.groupBy("component").agg(F.min("head").alias("component_id"))
+    named = stored(spread_join(linked, per_comp, "component").select("digest", "component_id")
+                   .unionByName(heads.where("component is null").select("digest", F.col("head").alias("component_id"))), "shingle-names")
+    return (spread_join(sizes, named, "digest", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
                     .otherwise(F.col("doc_id")).alias("component_id")))
 
@@ -340,11 +428,14 @@ def one_of_each(docs: DataFrame, n: int = N_WORDS, threshold: int = THRESHOLD) -
     heads = (sizes.where("n_shingles > 0").groupBy("digest").agg(F.min(member).alias("head"))
              .join(comps.withColumnRenamed("node", "digest"), "digest", "left")
              .groupBy(F.coalesce("component", "digest")).agg(F.min("head").alias("head")))
-    stay = stored(heads.select(F.col("head.doc_id").alias("stay_id"), F.col("head.key").alias("stay_key"))
-                  .withColumn("alone", F.lit(False))
-                  .unionByName(sizes.where("n_shingles = 0").select(F.col("doc_id").alias("stay_id"), F.col("key").alias("stay_key"))
-                               .distinct().withColumn("alone", F.lit(True))), "shingle-stay")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), text_key().alias("own_key"))
-    nth = F.row_number().over(Window.partitionBy("own_id", "own_key").orderBy(F.lit(1)))
-    return (rows.join(stay, F.col("own_id").eqNullSafe(F.col("stay_id")) & (F.col("own_key") == F.col("stay_key")))
-            .withColumn("nth", nth).where("alone or nth = 1").select("row.*"))
+    # NULL ids are told apart from 0, so rows and heads meet by plain equality.
+    ident = lambda d, k: [F.coalesce(d, F.lit(0)).alias("own_id"), d.isNull().alias("no_id"), k.alias("own_key")]
+    by = ["own_id", "no_id", "own_key"]
+    stay = stored(heads.select(*ident(F.col("head.doc_id"), F.col("head.key"))), "shingle-stay")
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    rows = docs.select(F.struct("*").alias("row"), has_words.alias("has_words"), *ident(F.col("doc_id"), text_key()))
+    # Of equal rows one per task is left before anything is shuffled (a limit of one within each window); texts
+    # without words never meet.
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(1)))
+    once = rows.where("has_words").withColumn("nth", nth).where("nth = 1")
+    return once.join(stay, by, "left_semi").select("row.*").unionByName(rows.where("not has_words").select("row.*"))

@@ -47,7 +47,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = [F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in KINDS]
     return (rows.withColumn("spans", F.expr("array_sort(concat(base, added))"))
             .select("doc_id", *n, F.sha2(spelled("base"), 256).alias("base_sha256"), spelled("spans").alias("spans"),
-                    F.size("added").cast("long").alias("n_added")))
+                    F.size("added").cast("long").alias("n_added"), F.size("spans").cast("long").alias("n_spans")))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

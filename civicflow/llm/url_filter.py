@@ -88,6 +88,8 @@ def blocked(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
         all_set = all_set & b
     probed = (rows.join(cells, "block", "left")
               .withColumn("possible", F.coalesce(all_set, F.lit(False)) & (F.col("key") != "")))
+    # Written once, as both halves read it; only possible hits shuffle.
+    probed = stored(probed.select("page_id", "host", "path", "key", "rule", "ruled", "possible"), "url-probed")
     out = ["page_id", "host", "path", "rule", "ruled", "possible"]
     passed = probed.where(~F.col("possible")).select(*out, F.lit(False).alias("listed"))
     hits = (probed.where("possible").join(urls.withColumnRenamed("url", "hit"), F.col("key") == F.col("hit"), "left")

@@ -1,7 +1,8 @@
 """Personal data by weak supervision; DataFrame operations only.
 
-Regular expressions find base spans of four kinds, which always stay, and looser candidates
-(phone numbers without a country code, e-mail addresses with a spelled-out "at").  Six labelers
+Regular expressions find base spans of four kinds, which always stay, and looser candidates: phone numbers without
+a country code, e-mail addresses with a spelled-out "at", numbers written like cards that fail the checksum (kind
+``account``), and literals that are assigned to a keyword such as "token" (kind ``secret``).  Six labelers
 vote on each match from its pattern, a check of its digits, gazetteers, words before and around it,
 and its edges.  Expectation-maximisation over the counts of vote patterns in the whole corpus
 estimates how reliable each labeler is; its posteriors train a logistic regression, which
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from civicflow.llm.common import stored
 
 KINDS = ("email", "ip", "card", "phone")
+ALL_KINDS = (*KINDS, "account", "secret")
 # kind -> (pattern, cheap condition that every match fulfils).  Possessive and anchored at the start
 # of a run where that can't change a match, so long runs cost no more than linear time.
 BASE = {
@@ -33,6 +35,9 @@ BASE = {
 LOOSE = {
     "phone": (r"(?<![0-9+])(?<![0-9+)][\x20.(-]{1,3})\(?[2-9][0-9]{2}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![.-]?[0-9])",
               r"text rlike '[0-9]{3}[\\x20.-][0-9]{4}'"),
+    "account": (r"(?<![0-9A-Za-z.+_-])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9A-Za-z_]|[.-][0-9])", r"text rlike '[0-9]{4}[\\x20-]?[0-9]{4}[\\x20-]?[0-9]{4}'"),
+    "secret": (r"(?<=(?i:password|passwd|secret|token|api[_-]?key)[\"']?\x20{0,4}[:=]\x20{0,4}[\"']?)(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{8,}+",
+               r"text rlike '(?i)(?:password|passwd|secret|token|api[_-]?key)[\"\']?\\x20*[:=]'"),
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z0-9-]++)++",
               r"text rlike '[\\[(](?:at|AT)[\\])]'"),
 }
@@ -42,8 +47,11 @@ TOP_LEVEL = ("at", "be", "br", "ca", "ch", "cn", "com", "de", "edu", "es", "eu",
              "nl", "org", "pl", "pt", "ru", "se", "uk", "us")
 ISSUERS = ("2[2-7]", "3[4-9]", "4", "5[0-8]", "6")
 CODES = ("1", "2[07]", "3[0-469]", "4[013-9]", "5[1-8]", "6[0-6]", "7", "8[1246]", "9[0-58]")
+STAND_INS = ("changeme", "example", "none", "null", "password", "placeholder", "xxxx", "your")
+KEY_FORMS = ("^AKIA", "^[0-9a-f]{32,}$", "^gh[oprsu]_", "^[A-Za-z0-9+/]{40,}=*$")
 CUES = {"email": "contact|e-?mail|mail|write to", "ip": "address|host|ip|peer|server", "card": "amex|card|credit|mastercard|pay|visa",
-        "phone": "call|cell|fax|mobile|phone|tel|whatsapp"}
+        "phone": "call|cell|fax|mobile|phone|tel|whatsapp", "account": "account|amex|card|credit|iban|mastercard|pay|visa",
+        "secret": "auth|aws|bearer|config|credential|env|export|login|private"}
 COUNTER = "chapter|invoice|isbn|issn|license|no\\.|order|part|ref|release|section|serial|sku|ticket|version"
 BEFORE, AFTER = 40, 20
 EM_ROUNDS = 25
@@ -98,6 +106,8 @@ def _check(kind: str) -> str:
         "ip": "forall(split(x.value, '[.]'), p -> length(ltrim('0', p)) <= 3 and coalesce(try_cast(ltrim('0', p) as int), 0) <= 255)",
         "card": f"length({digits}) between 14 and 19 and {_luhn(digits)}",
         "phone": f"length({digits}) between 10 and 15",
+        "account": f"not ({_luhn(digits)}) and not ({digits} rlike '^(.)\\\\1*$')",
+        "secret": "length(x.value) >= 12 and x.value rlike '[0-9]' and x.value rlike '[A-Za-z]'",
     }[kind]
 
 
@@ -107,6 +117,8 @@ def _gazetteer(kind: str) -> str:
         "email": f"case when lower(x.value) rlike '(?:[.]|[\\\\])]\\\\x20?)(?:{'|'.join(TOP_LEVEL)})$' then 1 else -1 end",
         "ip": "case when x.value rlike '^(?:0|127|255)[.]' then -1 else 0 end",
         "card": f"case when {digits} rlike '^(?:{'|'.join(ISSUERS)})' then 1 else -1 end",
+        "account": f"case when {digits} rlike '^(?:{'|'.join(ISSUERS)})' then 1 else -1 end",
+        "secret": f"case when lower(x.value) rlike '{'|'.join(STAND_INS)}' then -1 when x.value rlike '{'|'.join(KEY_FORMS)}' then 1 else 0 end",
         "phone": f"case when x.value rlike '^[+](?:{'|'.join(CODES)})' then 1 when x.value rlike '^[(]?[2-9]' then 1 else -1 end",
     }[kind]
 
@@ -198,7 +210,7 @@ def find_spans(docs: DataFrame) -> tuple[DataFrame, Labels, list[float]]:
     counts = {r.votes: r.n for r in patterns.groupBy("votes").agg(F.count("*").alias("n")).collect()}
     labels = Labels(counts)
     weights = train_classifier(counts, labels)
-    span = lambda k: f"x -> struct(x.start as start, {KINDS.index(k)} as rank, x.end as end, '{k}' as kind, x.value as value)"
+    span = lambda k: f"x -> struct(x.start as start, {ALL_KINDS.index(k)} as rank, x.end as end, '{k}' as kind, x.value as value)"
     base = F.array_sort(F.concat(*[F.expr(f"transform(filter(base_{k}, x -> x.good), {span(k)})") for k in BASE]))
     picked = F.concat(*[F.expr(f"transform(filter(loose_{k}, x -> x.good and {_score('x.votes', weights)} > {SURE}D), {span(k)})") for k in LOOSE])
     rows = judged.select("doc_id", base.alias("base"), picked.alias("picked"))
