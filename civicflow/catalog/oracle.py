@@ -50,7 +50,7 @@ RECORD = {
     "unique_key": "case when e % 101 <> 0 then if(e % 13 = 0, ' ', '') || e end",
     "created_date": f"if(e % 97 = 0, 'not-a-date', {ISO.format('created')})",
     "closed_date": f"case when kind = 'view' and first then '' when kind <> 'error' then "
-                   f"{ISO.format('if(e % 89 = 0, created - interval 5 hour, closed)')} end",
+                   f"{ISO.format('if(e % 89 = 0 and drop_no < {early}, created - interval 5 hour, closed)')} end",
     "resolution_action_updated_date": f"case when e % 7 <> 0 then {ISO.format('created + to_days(cast(drop_no as int))')} end",
     "agency": pick("e % 3", ("NYPD", " DOT ", "")),
     "agency_name": pick("e % 3", ("Police", " Transportation", "")),
@@ -71,14 +71,17 @@ RECORD = {
     "longitude": "cast(cast(if(e % 11 = 0, 40, -74) + (e % 500) / 1000.0 as decimal(18,6)) as varchar)",
     "open_data_channel_type": pick("e % 3", ("ONLINE", "phone", "")),
 }
-SR = f"""select {", ".join(f"{RECORD[k]} as {k}" for k in RECORD_KEYS)},
+def records_sql(drops: str = "(1), (2)", early: int = 3) -> str:
+    """The fixture's drops; ids divisible by 89 close before their creation in drops below ``early``."""
+    record = ", ".join(f"{RECORD[k].replace('{early}', str(early))} as {k}" for k in RECORD_KEYS)
+    return f"""select {record},
   'source/2024-02-0' || drop_no || '/batch' || (e - e % 1000) || '.json' as filename,
   timestamp '2024-02-01 05:00:00' + to_days(cast(drop_no as int) - 1) as extracted_at
 from (select d as drop_no, d = 1 as first, event_id as e, user_id as u, event_type as kind,
         date_trunc('second', ts) - to_days(cast(31 * (event_id % 3) as int)) as created,
         date_trunc('second', ts) - to_days(cast(31 * (event_id % 3) as int)) + to_minutes(cast(floor(value * 60) as int)) as closed
-      from events, (values (1), (2)) as drops(d)
-      where if(d = 1, event_id % 10 <> 9, event_id % 10 in (0, 9)))"""
+      from events, (values {drops}) as drops(d)
+      where case d when 1 then event_id % 10 <> 9 when 2 then event_id % 10 in (0, 9) else event_id % 89 = 0 end)"""
 
 
 def title(x: str) -> str:
@@ -92,8 +95,8 @@ def surrogate(column: str) -> str:
     return f"md5(coalesce(cast({column} as varchar), {lit(SURROGATE_NULL_TOKEN)}))"
 
 
-def sr_where(cond: str = "true") -> str:
-    return f"(select * from ({SR}) s where {cond})"
+def sr_where(cond: str = "true", **fixture) -> str:
+    return f"(select * from ({records_sql(**fixture)}) s where {cond})"
 
 
 _BASE = {
@@ -240,8 +243,8 @@ group by created_date, borough_name, category"""
 class SRProducts:
     """Oracle SQL text of every SR product for one bronze selection."""
 
-    def __init__(self, sr_filter: str = "true", as_of: str = AS_OF):
-        self.as_of, self.sr = as_of, sr_where(sr_filter)
+    def __init__(self, sr_filter: str = "true", as_of: str = AS_OF, **fixture):
+        self.as_of, self.sr = as_of, sr_where(sr_filter, **fixture)
         self.base = base_sql(self.sr)
         self.clean = clean_sql(self.base)
         self.enriched = enriched_sql(self.clean, as_of)

@@ -59,7 +59,17 @@ from (select make_date(cast(year(created_date) as bigint), cast(month(created_da
         sum(total_complaints) as total, sum(resolved_complaints) as resolved from {daily} group by all) months"""
     return {
         "p9_requests_per_100k": per_capita, "p10_median_response_by_category": median, "p11_monthly_trend": trend,
-        "s8_sql_per_capita": per_capita, "s8_sql_median_by_category": median, "s8_sql_monthly_trend": trend,
+        "s8_sql_per_capita": f"""with rates as ({per_capita})
+select a.borough_name, a.complaints_per_100k, cast(1 + count(b.borough_name) as integer) as place,
+  a.complaints_per_100k * cast((select sum(population_2020) from rates) as decimal(18,0)) > 100000 * cast((select sum(total_complaints) from rates) as decimal(18,0)) as above_city
+from rates a left join rates b on b.complaints_per_100k > a.complaints_per_100k group by all""",
+        "s8_sql_median_by_category": f"""with medians as ({median})
+select category, median_hours, count(*) as request_types, median_hours > (select avg(median_hours) from medians) as slower_than_most
+from medians join {types} using (category) group by category, median_hours""",
+        "s8_sql_monthly_trend": f"""with months as ({trend})
+select a.month, a.complaints, cast(a.complaints - b.complaints as decimal(29,0)) as change,
+  cast(a.pct_resolved - (select pct_resolved from months where month = (select min(month) from months)) as decimal(11,1)) as points_since_start
+from months a left join months b on b.month = a.month - interval 1 month""",
         "s8_sql_open_backlog": f"""select borough_name, complaint_age_bucket as age, count(*) as waiting, max(days_since_created) as oldest_days
 from {fact}, {boroughs} where facts.borough_sk = boroughs.borough_sk and is_open and not is_missing_metadata
 group by borough_name, complaint_age_bucket""",
@@ -119,6 +129,8 @@ group by l_orderkey, l_linenumber having count(*) > 1""",
 from orders""",
         "s6_events_page": """select event_id, ts, event_type from events order by ts desc, event_id
 limit 1000 offset 1000""",
+        "s6_events_deep_page": """select event_id, ts, event_type from events order by ts desc, event_id
+limit 1000 offset (select count(*) * 9 // 10 from events)""",
         "s6_events_paged": """select event_id, rank, cast((rank - 1) // 1000 * 1000 as bigint) as batch_offset
 from (select event_id, row_number() over (order by ts desc, event_id) as rank from events) x""",
         "i1_orders_since_mark": f"""select o_orderkey, o_orderdate from orders where o_orderdate >
@@ -147,7 +159,9 @@ HIST_COLS = ["status", "closed_at", "resolution_description", "resolution_update
 
 def io_extra(full) -> dict[str, str]:
     drop1 = SRProducts("extracted_at = timestamp '2024-02-01 05:00:00'")
-    consistent = SRProducts("coalesce(try_cast(trim(unique_key) as bigint), 0) % 89 <> 0")
+    repaired = SRProducts(early=0)
+    corrected = SRProducts(drops="(1), (2), (3)")
+    first_seen = "timestamp '2024-02-03 05:00:00'"
     stored_hist = _snapshot("complaint_id", HIST_COLS, _history_input(drop1.sr), _history_input(full.sr),
                             "timestamp '2024-02-01 05:00:00'", "timestamp '2024-02-02 05:00:00'")
     parsed = f"""select unique_key as complaint_id, try_cast(created_date as timestamp) as created_at,
@@ -157,6 +171,7 @@ def io_extra(full) -> dict[str, str]:
 from {full.sr}"""
     return {
         "s1_landing_arrays": parsed,
+        "s1_landing_split_arrays": parsed,
         "s5_landing_lines": parsed,
         "t1_stream_bronze": parsed,
         "s11_landing_inventory": f"""select substr(filename, 8, 10) as landing_date, count(distinct filename) as files
@@ -167,11 +182,16 @@ from (select distinct event_id - event_id % 1000 as page from events where event
 from {drop1.sr} group by unique_key""",
         "t2_stream_fact": full.fact,
         "t4_stream_history": stored_hist,
-        "p12_gated_run": consistent.daily_summary,
+        "p12_gated_run": repaired.daily_summary,
         "q12_severities": "select * from (values ('error', false), ('warn', true)) as t(severity, failing)",
-        "s10_custom_layers": consistent.dim_t,
+        "s10_custom_layers": repaired.dim_t,
         "p12_full_run": full.daily_summary,
         "p12_full_run_history": stored_hist,
+        "p12_stopped_run": f"select *, 3 as stops from ({corrected.fact}) f",
+        "p12_stopped_run_mart": corrected.daily_summary,
+        "p12_stopped_run_history": f"""select complaint_id, {", ".join(HIST_COLS)}, md5(complaint_id || '|' || cast({first_seen} as varchar)) as scd_id,
+  {first_seen} as updated_at, {first_seen} as valid_from, cast(null as timestamp) as valid_to from ({_history_input(corrected.sr)}) x""",
+        "i6_history_full_refresh": stored_hist,
         "i6_fact_full_refresh": full.fact,
         "i7_request_history_as_of": f"""select * from ({_snapshot("complaint_id", HIST_COLS, _history_input(drop1.sr),
             _history_input(full.sr))}) h where valid_from <= {PROBE} and (valid_to is null or valid_to > {PROBE})""",

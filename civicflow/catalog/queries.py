@@ -27,9 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def sr_bronze(spark: SparkSession, sf_dir: str, drops=(1, 2)) -> DataFrame:
+def sr_bronze(spark: SparkSession, sf_dir: str, drops=(1, 2), repaired: bool = False) -> DataFrame:
     """Bronze as a stored table, as the products read it: the fixture is derived once per query."""
-    return materialize(service_request_bronze(table(spark, sf_dir, "events"), drops), "bronze")
+    return materialize(service_request_bronze(table(spark, sf_dir, "events"), drops, repaired), "bronze")
 
 
 def _prepare(spark: SparkSession) -> None:

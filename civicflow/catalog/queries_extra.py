@@ -15,7 +15,7 @@ from civicflow.operators.lookup import orphans, star_join
 from civicflow.operators.ranking import exact_percentiles
 from civicflow.plans.history import request_history
 from civicflow.plans.build import GoldBuild
-from civicflow.sources.paging import page, paged
+from civicflow.sources.paging import PageIndex, page, paged
 from civicflow.sources.service_requests import AS_OF
 
 ORDERS_CUT = "1998-01-01 00:00:00"
@@ -165,6 +165,12 @@ def _orders_batches(spark, sf_dir):
     return target, src
 
 
+def q_events_deep_page(spark, sf_dir):
+    """The page that begins after nine tenths of all events, read by a seek."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    return PageIndex(ev, "ts", "event_id").page(offset=ev.count() * 9 // 10)
+
+
 def q_orders_since_mark(spark, sf_dir):
     """Rows newer than the target's high-water mark (scalar subquery)."""
     o = _t(spark, sf_dir, "orders")
@@ -241,6 +247,7 @@ def extra() -> dict:
         "x19_order_keys": q_order_keys,
         "s6_events_page": q_events_page,
         "s6_events_paged": q_events_paged,
+        "s6_events_deep_page": q_events_deep_page,
         "i1_orders_since_mark": q_orders_since_mark,
         "i2_orders_merge": q_orders_merge,
         "i3_orders_evolve": q_orders_evolve,

@@ -7,7 +7,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from civicflow.plans.run import Warehouse, run_all
+from civicflow.operators.quality import CheckFailed
+from civicflow.plans.run import Warehouse, build_pending, run_all
 from civicflow.plans.staging import base
 from civicflow.session import scratch_path
 from civicflow.sources.bronze import to_bronze
@@ -20,10 +21,10 @@ from civicflow.streaming.ingest import ingest_available
 DAYS = {1: "2024-02-01", 2: "2024-02-02"}
 
 
-def _records(spark, sf_dir):
+def _records(spark, sf_dir, **fixture):
     from civicflow.catalog.queries import _prepare, table
     _prepare(spark)
-    return service_request_records(table(spark, sf_dir, "events"))
+    return service_request_records(table(spark, sf_dir, "events"), **fixture)
 
 
 def land_arrays(spark, sf_dir, root: str, drops=(1, 2)) -> None:
@@ -37,6 +38,14 @@ def land_arrays(spark, sf_dir, root: str, drops=(1, 2)) -> None:
                              list(PAYLOAD_KEYS))
 
 
+def write_large_array(records, root: str) -> None:
+    """Land all records as one JSON-array file, as a bulk export does: the writer streams them in one task."""
+    bare = records.coalesce(1).select(F.to_json(F.struct("*")).alias("value")).withColumn("at", F.monotonically_increasing_id())
+    lines = bare.select(F.concat(F.when(F.col("at") == 0, "[").otherwise(","), F.col("value")).alias("value"))
+    end = records.sparkSession.range(1).select(F.lit("]").alias("value"))
+    lines.unionByName(end).coalesce(1).write.mode("append").text(root)
+
+
 def _parsed(bronze):
     b = base(bronze)
     return b.select("complaint_id", "created_at", "closed_at", "agency_code", "complaint_type", "status",
@@ -53,6 +62,18 @@ def q_landing_arrays(spark, sf_dir):
     return _parsed(parts[0].unionByName(parts[1]))
 
 
+def q_landing_split(spark, sf_dir):
+    """Each drop lands as one large array file, and many tasks read its records."""
+    root = scratch_path(spark, "landing_split")
+    rec, parts = _records(spark, sf_dir), []
+    for d in (1, 2):
+        day = os.path.join(root, DAYS[d])
+        write_large_array(rec.filter(F.col("drop_no") == d).select(*PAYLOAD_KEYS), day)
+        parts.append(to_bronze(read_landing(spark, day, "array", split_bytes=0), DROP_LOADED_AT[d])
+                     .withColumn("filename", F.concat(F.lit(DAYS[d] + "/"), F.col("filename"))))
+    return _parsed(parts[0].unionByName(parts[1]))
+
+
 def q_landing_lines(spark, sf_dir):
     """S5 + S1: records written as JSON lines under date prefixes, then read back."""
     root = scratch_path(spark, "landing_lines")
@@ -119,11 +140,10 @@ def _two_drop_run(spark, sf_dir, streaming: bool, on_error: str = "continue"):
     for d in (1, 2):
         land_arrays(spark, sf_dir, root, drops=(d,))
         if streaming:
-            # The downstream build runs inside the micro-batch (high-water
-            # mark + merge into the fact, history snapshot).
-            ingest_available(spark, root, wh.bronze_dir, ckpt, DROP_LOADED_AT[d],
-                             on_batch=lambda df, bid: run_all(wh, AS_OF, history_at=DROP_LOADED_AT[d],
-                                                         on_error=on_error))
+            # A drop comes in several micro-batches; the build runs once over those not built yet
+            # (high-water mark + merge into the fact, history snapshot).
+            ingest_available(spark, root, wh.bronze_dir, ckpt, DROP_LOADED_AT[d], max_files_per_trigger=4)
+            build_pending(wh, AS_OF, history_at=DROP_LOADED_AT[d], on_error=on_error)
         else:
             bronze = to_bronze(read_landing(spark, os.path.join(root, DAYS[d]), "array"), DROP_LOADED_AT[d]) \
                 .withColumn("filename", F.concat(F.lit(DAYS[d] + "/"), F.col("filename")))
@@ -143,16 +163,12 @@ def q_stream_history(spark, sf_dir):
     return _two_drop_run(spark, sf_dir, streaming=True).history_store().read()
 
 
-def _consistent(records):
-    """Records without a closing before their creation: input that every ``error`` check accepts."""
-    return records.where("coalesce(try_cast(trim(unique_key) as bigint), 0) % 89 <> 0")
-
-
 def _gated_run(spark, sf_dir, layers=None):
-    """One whole run in the default mode, in which an ``error`` check with failures would stop it."""
+    """One whole run in the default mode, in which an ``error`` check with failures would stop it, over records
+    whose closings are repaired."""
     root = scratch_path(spark, "gated_landing")
     wh = Warehouse(spark, scratch_path(spark, "gated_warehouse"), layers)
-    rec = _consistent(_records(spark, sf_dir)).withColumn("ingest_date", F.to_date("extracted_at"))
+    rec = _records(spark, sf_dir, repaired=True).withColumn("ingest_date", F.to_date("extracted_at"))
     write_landing(rec.select(*PAYLOAD_KEYS, "ingest_date"), root)
     day = F.regexp_extract("filename", r"(\d{4}-\d{2}-\d{2})", 1)
     bronze = read_landing(spark, root, "lines").withColumn("_extracted_at", F.concat(day, F.lit(" 05:00:00")).cast("timestamp_ntz"))
@@ -161,7 +177,7 @@ def _gated_run(spark, sf_dir, layers=None):
 
 
 def q_gated_run(spark, sf_dir):
-    """P12 + Q12: a gated run over consistent input passes; returns its daily mart."""
+    """P12 + Q12: a gated run over repaired records passes; returns its daily mart."""
     wh, _ = _gated_run(spark, sf_dir)
     return wh.mart_table().read().drop("_month")
 
@@ -190,6 +206,49 @@ def q_full_run_history(spark, sf_dir):
     return wh.history_store().read()
 
 
+def stopped_run(spark, sf_dir):
+    """Loads with closings before creation, which a check refuses, one after the other: runs stop, with a second
+    load and without, until a third load redelivers the faulty requests.  Returns the warehouse and the number of stops."""
+    from civicflow.catalog.queries import _prepare, table
+    from civicflow.sources.service_requests import service_request_bronze
+    _prepare(spark)
+    wh, stops = Warehouse(spark, scratch_path(spark, "stopped_warehouse")), 0
+    staged = scratch_path(spark, "stopped_loads")
+    service_request_bronze(table(spark, sf_dir, "events"), (1, 2, 3)).write.parquet(staged)
+    bronze = spark.read.parquet(staged)
+    for load in (1, None, 2, 3):
+        if load is not None:
+            bronze.where(F.col("_extracted_at") == F.lit(DROP_LOADED_AT[load]).cast("timestamp_ntz")).write.parquet(os.path.join(wh.bronze_dir, f"load={load}"))
+        try:
+            run_all(wh, AS_OF, history_at=DROP_LOADED_AT[3])
+        except CheckFailed:
+            stops += 1
+    return wh, stops
+
+
+def q_stopped_run(spark, sf_dir):
+    """P12 + Q12: the fact after three stopped runs and a good one equals that of one clean run; with the number of stops."""
+    wh, stops = stopped_run(spark, sf_dir)
+    return wh.fact_table().read().withColumn("stops", F.lit(stops))
+
+
+def q_stopped_run_mart(spark, sf_dir):
+    """P12 + Q12: the daily mart after the same runs."""
+    return stopped_run(spark, sf_dir)[0].mart_table().read().drop("_month")
+
+
+def q_stopped_run_history(spark, sf_dir):
+    """P12 + S14: the history after the same runs: no key is lost, and no refused version was published."""
+    return stopped_run(spark, sf_dir)[0].history_store().read()
+
+
+def q_history_full_refresh(spark, sf_dir):
+    """I6 + S14: two runs, then a full refresh: the history is rebuilt from all loads with its closed versions."""
+    wh = _two_drop_run(spark, sf_dir, streaming=False)
+    run_all(wh, AS_OF, full_refresh=True, history_at=DROP_LOADED_AT[3], on_error="continue")
+    return wh.history_store().read()
+
+
 def q_fact_full_refresh(spark, sf_dir):
     """A full refresh ignores the stored fact and its high-water mark."""
     from civicflow.catalog.queries import sr_bronze
@@ -208,6 +267,7 @@ def q_request_history_as_of(spark, sf_dir):
 def extra() -> dict:
     return {
         "s1_landing_arrays": q_landing_arrays,
+        "s1_landing_split_arrays": q_landing_split,
         "s5_landing_lines": q_landing_lines,
         "s11_landing_inventory": q_landing_inventory,
         "t1_stream_bronze": q_stream_bronze,
@@ -220,6 +280,10 @@ def extra() -> dict:
         "s10_custom_layers": q_custom_layers,
         "p12_full_run": q_full_run,
         "p12_full_run_history": q_full_run_history,
+        "p12_stopped_run": q_stopped_run,
+        "p12_stopped_run_mart": q_stopped_run_mart,
+        "p12_stopped_run_history": q_stopped_run_history,
         "i6_fact_full_refresh": q_fact_full_refresh,
+        "i6_history_full_refresh": q_history_full_refresh,
         "i7_request_history_as_of": q_request_history_as_of,
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SCD_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
@@ -64,6 +64,34 @@ def snapshot_check(history: DataFrame | None, source: DataFrame, key: str,
     return closed.select(*cols, *SCD_COLUMNS, *carry).unionByName(old).unionByName(fresh)
 
 
+def snapshot_runs(states: DataFrame, key: str, check_cols: Sequence[str], newest: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """The history that ``snapshot_check`` gives run after run, in one pass over all runs' deliveries.
+
+    ``states``: (key, run, run_at, tracked and carried columns, ``newest``), one row per key and run, the row that wins
+    within the run.  A key's state after a run is the row with the largest ``newest`` up to it (NULLs lowest, a later
+    run wins a tie), so a late delivery of an older file changes nothing.  A version starts where the state's
+    tracked columns differ from the state before (NULL-safe) and ends where the next one starts.
+
+    Windows are per key over one row per run, so their size is bounded by the number of runs.
+    """
+    cols = [key, *check_cols]
+    by_run = Window.partitionBy(key).orderBy("run")
+    rank = [x for c in newest for x in (F.col(c).isNotNull().alias(f"__has_{c}"), F.col(c).alias(f"__{c}"))]
+    state = F.struct(*rank, F.col("run").alias("__run"), *check_cols, *carry)
+    known = states.select(key, "run", "run_at", F.max(state).over(by_run.rowsBetween(Window.unboundedPreceding, 0)).alias("state"))
+    tracked = F.struct(*[F.col(f"state.{c}") for c in check_cols])
+    before = known.withColumn("__now", tracked).withColumn("__before", F.lag(tracked).over(by_run)).withColumn("__first", F.row_number().over(by_run) == 1)
+    # The state's carried columns at the end of a version are those of the last run before the next one starts.
+    starts = before.withColumn("__starts", F.col("__first") | ~F.col("__now").eqNullSafe(F.col("__before")))
+    numbered = starts.withColumn("__version", F.sum(F.col("__starts").cast("int")).over(by_run))
+    versions = numbered.groupBy(key, "__version").agg(F.min_by("__now", "run").alias("now"), F.min_by("run_at", "run").alias("run_at"),
+                                                      F.min("run").alias("run"), F.max_by("state", "run").alias("last"))
+    ts = F.col("run_at").cast("timestamp_ntz")
+    return versions.select(key, *[F.col(f"now.{c}").alias(c) for c in check_cols], _scd_id(key, ts).alias("scd_id"), ts.alias("updated_at"),
+                           ts.alias("valid_from"), F.lead(ts).over(by_run).alias("valid_to"),
+                           *[F.col(f"last.{c}").alias(c) for c in carry]).select(*cols, *SCD_COLUMNS, *carry)
+
+
 def as_of(history: DataFrame, t: str) -> DataFrame:
     """The version of each key that was current at time ``t``."""
     tt = F.lit(t).cast("timestamp_ntz")

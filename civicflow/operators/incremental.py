@@ -62,7 +62,9 @@ def unique_source(src: DataFrame, keys: Sequence[str]) -> DataFrame:
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    again = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) > 1
+    # A row with a NULL key matches no other one, so it gets a window of its own.
+    src = src.withColumn("__alone", F.when(~known, F.monotonically_increasing_id()))
+    again = F.row_number().over(Window.partitionBy(*keys, "__alone").orderBy(*keys)) > 1
     first = F.col(keys[0])
     bad = F.raise_error(F.concat(F.lit("duplicate source key: "), key)).cast(src.schema[keys[0]].dataType)
-    return src.withColumn("__again", again).withColumn(keys[0], F.when(F.col("__again") & known, bad).otherwise(first)).drop("__again")
+    return src.withColumn("__again", again).withColumn(keys[0], F.when(F.col("__again") & known, bad).otherwise(first)).drop("__again", "__alone")

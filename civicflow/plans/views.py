@@ -13,9 +13,17 @@ from civicflow.sources.tables import view
 
 # Question -> SQL over the registered views.
 QUESTIONS = {
-    "per_capita": "select * from v_requests_per_100k",
-    "median_by_category": "select * from v_median_response",
-    "monthly_trend": "select * from v_monthly_trend",
+    "per_capita": """
+        select borough_name, complaints_per_100k, rank() over (order by complaints_per_100k desc) as place,
+               complaints_per_100k > (select sum(total_complaints) * 100000 / sum(population_2020) from v_requests_per_100k) as above_city
+        from v_requests_per_100k""",
+    "median_by_category": """
+        select m.category, m.median_hours, t.request_types, m.median_hours > (select avg(median_hours) from v_median_response) as slower_than_most
+        from v_median_response m join (select category, count(*) as request_types from v_request_type group by category) t using (category)""",
+    "monthly_trend": """
+        select month, complaints, complaints - lag(complaints) over (order by month) as change,
+               pct_resolved - first(pct_resolved) over (order by month) as points_since_start
+        from v_monthly_trend""",
     "open_backlog": """
         with waiting as (
           select borough_name, days_since_created, complaint_age_bucket

@@ -1,8 +1,8 @@
 """Landing zone: JSON record files -> bronze rows with file lineage.
 
 Files are read as text and parsed record by record, so the limit on a variant's size
-holds for one record and not for a file; a file has to fit a task's memory (a few times
-its size).  Malformed JSON fails the load; ``landing_rejects`` lists it without failing.
+holds for one record and not for a file.  An array file that would not fit a task's memory is cut into pieces
+that many tasks read (``split_arrays``).  Malformed JSON fails the load; ``landing_rejects`` lists it without failing.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.fixed_values import PAGE_SIZE
+from civicflow.sources.split_arrays import split_array_records
+
+SPLIT_BYTES = 256 << 20  # array files above this are read in pieces by many tasks
 
 
 def _lineage(root: str, path_col: str = "_metadata.file_path") -> Column:
@@ -24,8 +27,13 @@ def _re_escape(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
 
 
+def _is_blank(text: Column) -> Column:
+    """Nothing but white space of any kind (and a byte-order mark)."""
+    return text.rlike(r"^[\s\uFEFF]*\z")
+
+
 def _is_array(text: Column) -> Column:
-    return text.rlike(r"^[\s﻿]*\[")
+    return text.rlike(r"^[\s\uFEFF]*\[")
 
 
 def records_from_text(df: DataFrame, root: str, layout: str = "array", path_col: str = "_metadata.file_path") -> DataFrame:
@@ -35,7 +43,7 @@ def records_from_text(df: DataFrame, root: str, layout: str = "array", path_col:
     ``lines``: a row is a line; blank lines are skipped.  Malformed JSON raises.
     """
     text = F.col("value")
-    rows = df.select(text, _lineage(root, path_col).alias("filename")).where(F.length(F.trim(text)) > 0)
+    rows = df.select(text, _lineage(root, path_col).alias("filename")).where(~_is_blank(text))
     if layout == "lines":
         return rows.select(F.parse_json("value").alias("raw_data"), "filename")
     elements = F.from_json(text, "array<variant>", {"mode": "FAILFAST"})
@@ -47,18 +55,30 @@ def _text(spark: SparkSession, root: str, layout: str) -> DataFrame:
     return spark.read.text(root, wholetext=layout == "array", recursiveFileLookup=True)
 
 
-def read_landing(spark: SparkSession, root: str, layout: str = "array") -> DataFrame:
+def large_files(spark: SparkSession, root: str, split_bytes: int = SPLIT_BYTES) -> list[str]:
+    """Paths of the files that hold more than ``split_bytes`` (listed without reading them)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return [r.path for r in files.where(F.col("length") > split_bytes).select("path").collect()]
+
+
+def read_landing(spark: SparkSession, root: str, layout: str = "array", split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """S1 + S2: one row per landed record at any folder depth.
 
-    ``layout='array'``: each file is a JSON array of records (the API page format) or one record.
+    ``layout='array'``: each file is a JSON array of records (the API page format) or one record; files above
+    ``split_bytes`` have to be arrays.
     ``layout='lines'``: one JSON object per line (what ``write_landing`` emits).
     """
-    return records_from_text(_text(spark, root, layout), root, layout)
+    large = large_files(spark, root, split_bytes) if layout == "array" else []
+    if not large:
+        return records_from_text(_text(spark, root, layout), root, layout)
+    split = split_array_records(spark, large).select("raw_data", _lineage(root, "file").alias("filename"))
+    small = _text(spark, root, layout).where(F.col("_metadata.file_size") <= split_bytes)
+    return records_from_text(small, root, layout).unionByName(split)
 
 
 def landing_rejects(spark: SparkSession, root: str, layout: str = "array") -> DataFrame:
     """Texts that a load would fail on: (filename, bytes), one row per malformed file or line."""
-    rows = _text(spark, root, layout).select("value", _lineage(root).alias("filename")).where(F.length(F.trim("value")) > 0)
+    rows = _text(spark, root, layout).select("value", _lineage(root).alias("filename")).where(~_is_blank(F.col("value")))
     # try_parse_json can't hold a whole large file, so arrays are checked record by record as well.
     whole = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
     bad = F.when(_is_array(F.col("value")), whole.isNull()).otherwise(F.try_parse_json("value").isNull()) if layout == "array" \

@@ -21,18 +21,23 @@ from civicflow.fixed_values import RECORD_KEYS, SOURCE_TAG
 PAYLOAD_KEYS = RECORD_KEYS
 
 AS_OF = "2024-02-03 00:00:00"
-DROP_LOADED_AT = {1: "2024-02-01 05:00:00", 2: "2024-02-02 05:00:00"}
+DROP_LOADED_AT = {1: "2024-02-01 05:00:00", 2: "2024-02-02 05:00:00", 3: "2024-02-03 05:00:00"}
 
 
 def _iso(ts: Column) -> Column:
     return F.regexp_replace(ts.cast("string"), " ", "T")
 
 
-def service_request_records(events: DataFrame) -> DataFrame:
-    """Flat SR records (all strings) plus ``filename``, ``extracted_at`` and ``drop_no``."""
+def service_request_records(events: DataFrame, repaired: bool = False, corrections: bool = False) -> DataFrame:
+    """Flat SR records (all strings) plus ``filename``, ``extracted_at`` and ``drop_no``.
+
+    Ids divisible by 89 close before they were created, which an ``error`` check refuses.  ``repaired`` records have the
+    closings that these should have had; with ``corrections`` a third drop redelivers just these ids so.
+    """
     eid = F.col("event_id")
-    in_drop = lambda d: ((d == 1) & (eid % 10 != 9)) | ((d == 2) & (eid % 10).isin(0, 9))
-    drops = F.filter(F.array(F.lit(1), F.lit(2)), in_drop)
+    in_drop = lambda d: (((d == 1) & (eid % 10 != 9)) | ((d == 2) & (eid % 10).isin(0, 9))
+                         | ((d == 3) & (eid % 89 == 0)))
+    drops = F.filter(F.array(*[F.lit(d) for d in ((1, 2, 3) if corrections else (1, 2))]), in_drop)
     e = events.select("event_id", "user_id", "event_type", "ts", "value", F.explode(drops).alias("drop_no"))
     c_ts = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz") - F.make_dt_interval(days=(eid % 3 * 31).cast("int"))
     uid = F.col("user_id")
@@ -47,7 +52,7 @@ def service_request_records(events: DataFrame) -> DataFrame:
         F.when(eid % 97 == 0, F.lit("not-a-date")).otherwise(_iso(c_ts)).alias("created_date"),
         F.when((etype == "view") & drop1, F.lit(""))
          .when(etype == "error", F.lit(None).cast("string"))
-         .when(eid % 89 == 0, _iso(c_ts - F.make_dt_interval(hours=F.lit(5))))
+         .when((eid % 89 == 0) & (F.col("drop_no") < (0 if repaired else 3)), _iso(c_ts - F.make_dt_interval(hours=F.lit(5))))
          .otherwise(_iso(d_ts)).alias("closed_date"),
         F.when((etype == "view") & drop1, F.lit("OPEN"))
          .when(etype == "error", F.lit("in progress"))
@@ -79,8 +84,7 @@ def service_request_records(events: DataFrame) -> DataFrame:
         F.concat(F.lit("0"), (F.lit(1000) + F.col("user_id")).cast("string")).alias("incident_zip"),
         F.concat(F.lit("source/2024-02-0"), F.col("drop_no").cast("string"), F.lit("/batch"),
                  (eid - eid % 1000).cast("string"), F.lit(".json")).alias("filename"),
-        F.when(drop1, F.lit(DROP_LOADED_AT[1])).otherwise(F.lit(DROP_LOADED_AT[2]))
-         .cast("timestamp_ntz").alias("extracted_at"),
+        F.element_at(F.create_map(*[F.lit(x) for kv in DROP_LOADED_AT.items() for x in kv]), F.col("drop_no")).cast("timestamp_ntz").alias("extracted_at"),
         F.col("drop_no"),
     )
 
@@ -92,9 +96,9 @@ def payload_json() -> Column:
     return F.when(spelled, F.to_json(record, {"ignoreNullFields": "false"})).otherwise(F.to_json(record))
 
 
-def service_request_bronze(events: DataFrame, drops: tuple[int, ...] = (1, 2)) -> DataFrame:
+def service_request_bronze(events: DataFrame, drops: tuple[int, ...] = (1, 2), repaired: bool = False) -> DataFrame:
     """Bronze rows for the SR fixture: the payload packed into a variant, plus lineage."""
-    rec = service_request_records(events)
+    rec = service_request_records(events, repaired, corrections=3 in drops)
     if tuple(drops) != (1, 2):
         rec = rec.filter(F.col("drop_no").isin(*drops))
     return rec.select(

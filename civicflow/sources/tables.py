@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,9 +100,41 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass
+class Change:
+    """A staged change of a partitioned table: written aside, not yet visible.  ``after`` is the table as it
+    will be, for checks; ``publish`` replaces the partitions and returns their values."""
+
+    table: PartitionedTable
+    rows: DataFrame | None          # None: nothing to change
+    values: list                    # partition values that the change replaces
+    whole: bool = False             # replaces the table, whatever it holds
+
+    def after(self) -> DataFrame | None:
+        current = None if self.whole else self.table.read()
+        if self.rows is None or current is None:
+            return current if self.rows is None else self.rows
+        return current.where(~self.table.within(self.values)).unionByName(self.rows, allowMissingColumns=True)
+
+    def changed(self) -> DataFrame:
+        """The rows of the partitions that the change replaces, as they will be."""
+        return self.table.read().limit(0) if self.rows is None else self.rows
+
+    def publish(self) -> list:
+        if self.rows is None:
+            return []
+        gone = self.values
+        if self.whole and (old := self.table.read()) is not None:
+            gone = [r[0] for r in old.select(self.table.col).distinct().collect()]
+        return self.table._replace(self.rows, gone)
+
+
 class PartitionedTable:
     """A Parquet folder partitioned by one column, whose merges replace only the partitions
-    that hold an old or a new version of a merged key."""
+    that hold an old or a new version of a merged key.
+
+    Every change can be prepared first (``prepare_*``, a ``Change``), checked, and then published.
+    """
 
     def __init__(self, spark: SparkSession, table_dir: str, partition_col: str, mark_col: str | None = None):
         self.spark, self.dir, self.col, self.mark_col = spark, table_dir, partition_col, mark_col
@@ -119,6 +152,19 @@ class PartitionedTable:
         table = self.read()
         return None if table is None else table.agg(F.max(self.mark_col).cast("string")).first()[0]
 
+    def within(self, values: list) -> Column:
+        """Whether a row is in one of the partitions; never NULL."""
+        known = [v for v in values if v is not None]
+        hit = F.coalesce(F.col(self.col).isin(known), F.lit(False)) if known else F.lit(False)
+        return hit | F.col(self.col).isNull() if None in values else hit
+
+    def _folder(self, value) -> str:
+        """A partition's folder as Spark's writer names it."""
+        if value is None:
+            return f"{self.col}=__HIVE_DEFAULT_PARTITION__"
+        text = self.spark.range(1).select(F.lit(value).cast("string")).first()[0]
+        return f"{self.col}=" + self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(text)
+
     def _replace(self, rows: DataFrame, drop: list = ()) -> list:
         """Replace the partitions of staged ``rows``, and remove those of ``drop`` that got none.
 
@@ -129,58 +175,63 @@ class PartitionedTable:
             (rows.hint("rebalance", self.col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(self.col).parquet(self.dir))
         for v in set(drop) - set(values):
-            name = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
-            fs, p = _hadoop(self.spark, os.path.join(self.dir, f"{self.col}={name}"))
+            fs, p = _hadoop(self.spark, os.path.join(self.dir, self._folder(v)))
             fs.delete(p, True)
         return values
 
-    def overwrite(self, df: DataFrame) -> list:
-        """Replace the whole table; returns the partition values written."""
-        rows = staged(df, "table-rows")
-        old = self.read()
-        gone = [] if old is None else [r[0] for r in old.select(self.col).distinct().collect()]
-        return self._replace(rows, gone)
+    def prepare_overwrite(self, df: DataFrame) -> Change:
+        """Replace the whole table."""
+        return Change(self, staged(df, "table-rows"), [], whole=True)
 
-    def replace(self, df: DataFrame, values: list) -> None:
+    def prepare_replace(self, df: DataFrame, values: list) -> Change:
         """Replace exactly the partitions ``values`` with ``df`` (rows of those partitions)."""
-        self._replace(staged(df, "table-rows"), values)
+        return Change(self, staged(df, "table-rows"), values)
 
     def _touched(self, current: DataFrame, src: DataFrame, keys: list[str]) -> tuple[list, DataFrame]:
         """Partition values that hold an old or a new version of a key of ``src``, and their stored rows."""
         hit = current.join(src.select(*keys).distinct(), keys, "left_semi").select(self.col)
         values = [r[0] for r in src.select(self.col).unionByName(hit).distinct().collect()]
-        known = [v for v in values if v is not None]
-        within = F.col(self.col).isin(known) if known else F.lit(False)
-        return values, current.where(within | F.col(self.col).isNull() if None in values else within)
+        return values, current.where(self.within(values))
 
-    def merge(self, src: DataFrame, keys: list[str]) -> list:
+    def prepare_merge(self, src: DataFrame, keys: list[str]) -> Change:
         """Matched keys replaced, new keys inserted; a key twice in the source raises.  Columns new in
-        the source are appended (I3).  Returns the partition values rewritten."""
+        the source are appended (I3)."""
         new = staged(unique_source(src, keys), "merge-source")
         current = self.read()
         if current is None:
-            return self._replace(new)
+            return Change(self, new, [], whole=True)
         values, affected = self._touched(current, new, keys)
         if not values:
-            return []
+            return Change(self, None, [])
         kept = affected.join(new.select(*keys), keys, "left_anti").select(*current.columns)
         columns = current.columns + [c for c in new.columns if c not in current.columns]
-        self._replace(staged(kept.unionByName(new, allowMissingColumns=True).select(*columns), "table-rows"), values)
-        return values
+        return self.prepare_replace(kept.unionByName(new, allowMissingColumns=True).select(*columns), values)
 
-    def merge_latest(self, src: DataFrame, keys: list[str], pick) -> list:
+    def prepare_merge_latest(self, src: DataFrame, keys: list[str], pick) -> Change:
         """Keep, per key, the winner of ``pick`` over the stored rows and ``src`` together: the winner that a
         full recompute over all inputs would choose, whatever order they arrive in."""
         new = staged(pick(src), "merge-source")
         current = self.read()
         if current is None:
-            return self._replace(new)
+            return Change(self, new, [], whole=True)
         values, affected = self._touched(current, new, keys)
         if not values:
-            return []
+            return Change(self, None, [])
         both = pick(affected.unionByName(new.select(*current.columns)))
-        self._replace(staged(both.select(*current.columns), "table-rows"), values)
-        return values
+        return self.prepare_replace(both.select(*current.columns), values)
+
+    def overwrite(self, df: DataFrame) -> list:
+        return self.prepare_overwrite(df).publish()
+
+    def replace(self, df: DataFrame, values: list) -> None:
+        self.prepare_replace(df, values).publish()
+
+    def merge(self, src: DataFrame, keys: list[str]) -> list:
+        """Merge at once; returns the partition values rewritten."""
+        return self.prepare_merge(src, keys).publish()
+
+    def merge_latest(self, src: DataFrame, keys: list[str], pick) -> list:
+        return self.prepare_merge_latest(src, keys, pick).publish()
 
 
 class HistoryStore:
@@ -189,13 +240,32 @@ class HistoryStore:
     ``closed/run=<time>``: versions a run closed; never touched by a run of another time, and a repeated
     run adds nothing twice.  ``open``: one row per key, spread over key-hash buckets; a run
     replaces only the buckets of the keys it has seen.
+
+    A rebuild writes both folders of a new generation ``g=<n>`` and marks it ready last; until then the old one
+    is read, and it is never deleted here.
     """
 
     BUCKET = "_bucket"
+    _GENERATION = re.compile(r"^g=(\d{6,})$")
 
     def __init__(self, spark: SparkSession, table_dir: str, key: str = "complaint_id", buckets: int = 64):
-        self.spark, self.dir, self.key, self.buckets = spark, table_dir, key, buckets
-        self.open = PartitionedTable(spark, os.path.join(table_dir, "open"), self.BUCKET)
+        self.spark, self.root, self.key, self.buckets = spark, table_dir, key, buckets
+
+    def _generations(self) -> list[int]:
+        return sorted(int(m[1]) for m in map(self._GENERATION.match, folder_names(self.spark, self.root)) if m)
+
+    @property
+    def dir(self) -> str:
+        """The folder of the newest finished generation; the first one is the root itself."""
+        for n in reversed(self._generations()):
+            path = os.path.join(self.root, f"g={n:06d}")
+            if "_SUCCESS" in folder_names(self.spark, os.path.join(path, "ready")):
+                return path
+        return self.root
+
+    @property
+    def open(self) -> PartitionedTable:
+        return PartitionedTable(self.spark, os.path.join(self.dir, "open"), self.BUCKET)
 
     def bucket(self, key: Column | None = None) -> Column:
         return F.pmod(F.xxhash64(F.col(self.key) if key is None else key), F.lit(self.buckets)).cast("int")
@@ -214,14 +284,11 @@ class HistoryStore:
             rows = rows.unionByName(self.spark.read.option("recursiveFileLookup", "true").parquet(closed).select(*rows.columns))
         return rows if hidden else rows.select(*[c for c in rows.columns if not c.startswith("_")])
 
-    def publish(self, source: DataFrame, run_at: str, snapshot, reset: bool = False) -> None:
+    def publish(self, source: DataFrame, run_at: str, snapshot) -> None:
         """One run: ``snapshot(open versions, source)`` gives the open versions after the run and those it
         closed.  Only open versions in the source's buckets are read and replaced."""
         new = staged(source, "history-source")
         touched = [r[0] for r in new.select(self.bucket()).distinct().collect()]  # at most ``buckets``
-        if reset:
-            fs, p = _hadoop(self.spark, self.dir)
-            fs.delete(p, True)
         rows = self.open.read()
         current = None if rows is None else rows.where(F.col(self.BUCKET).isin(touched)).drop(self.BUCKET)
         result = staged(snapshot(current, new).withColumn(self.BUCKET, self.bucket()), "history-result")
@@ -231,3 +298,22 @@ class HistoryStore:
             closed = staged(closed.unionByName(self.spark.read.parquet(path)).dropDuplicates(["scd_id"]), "history-closed")
         closed.write.mode("overwrite").parquet(path)
         self.open.replace(result.where("valid_to is null"), touched)
+
+    def rebuild(self, versions: DataFrame) -> None:
+        """Replace the whole history by ``versions``, closed ones included."""
+        rows = staged(versions.withColumn(self.BUCKET, self.bucket()), "history-rebuilt")
+        path = os.path.join(self.root, f"g={max(self._generations(), default=0) + 1:06d}")
+        rows.where("valid_to is not null").drop(self.BUCKET).write.parquet(os.path.join(path, "closed", "rebuilt"))
+        PartitionedTable(self.spark, os.path.join(path, "open"), self.BUCKET).overwrite(rows.where("valid_to is null"))
+        self.spark.range(1).write.parquet(os.path.join(path, "ready"))
+
+    def drop_old_generations(self) -> list[str]:
+        """Maintenance: delete what the newest finished generation replaced (readers of it must be done)."""
+        newest = os.path.basename(self.dir)
+        if self.dir == self.root:
+            return []
+        old = [n for n in folder_names(self.spark, self.root) if n in ("open", "closed") or n.startswith("g=") and n < newest]
+        for n in old:
+            fs, p = _hadoop(self.spark, os.path.join(self.root, n))
+            fs.delete(p, True)
+        return old

@@ -6,7 +6,7 @@ the same skewed fixture.
 
 from pyspark.sql import functions as F
 
-from civicflow.catalog.oracle import SR, base_sql, clean_sql, daily_summary_sql, dim_borough_sql, \
+from civicflow.catalog.oracle import records_sql, base_sql, clean_sql, daily_summary_sql, dim_borough_sql, \
     dim_type_sql, enriched_sql, fact_rows_sql
 from civicflow.catalog.queries import table
 from civicflow.plans.build import GoldBuild, materialize
@@ -35,7 +35,7 @@ def _oracle_sr():
             f"case when unique_key is not null and cast(trim(unique_key) as bigint) % 3 = 0 then '777' "
             f"else unique_key end as unique_key, "
             f"case when unique_key is not null and cast(trim(unique_key) as bigint) % 3 = 0 then 'MANHATTAN' "
-            f"else borough end as borough) from ({SR}) s)")
+            f"else borough end as borough) from ({records_sql()}) s)")
 
 
 def test_hot_key_products_match_oracle(spark):
