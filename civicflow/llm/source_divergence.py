@@ -34,10 +34,10 @@ MIN_DOCS = 10
 TOP_TERMS = 10
 UNIT = 1_000_000_000
 FLUSH_WORDS = 2_000_000       # words that a mapper counts before it sends them on
-BUCKET_BYTES = 48 << 20       # text whose chunks one bucket gathers
+BUCKET_BYTES = 24 << 20       # text whose chunks one bucket gathers
 SOURCES_PER_BLOCK = 128       # sources compared with one another in one group
 TERMS_PER_TILE = 2048
-ENTRIES_PER_BUCKET = 1_000_000
+ENTRIES_PER_BUCKET = 50_000   # counts in one group, but no fewer than it gives sums
 
 
 def _edges(*columns: np.ndarray) -> np.ndarray:
@@ -324,18 +324,19 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS)
     sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("entries"))
     groups = _read(docs).select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").na.fill(0)
     groups = stored(groups.join(kept.groupBy("lang").agg(F.count("*").alias("v")), "lang", "left").na.fill(0), "divergence-groups")
-    buckets = max(1, -(-(groups.agg(F.sum("entries")).first()[0] or 0) // ENTRIES_PER_BUCKET))
-    langs = groups.groupBy("lang").agg(F.ceil(F.count("*") / SOURCES_PER_BLOCK).cast("int").alias("blocks"), F.sum("total").alias("lang_total"), F.max("v").alias("v"))
+    n = F.count("*")
+    buckets = F.greatest(F.lit(1), F.ceil(F.sum("entries") / F.greatest(F.lit(ENTRIES_PER_BUCKET), n * n))).cast("int").alias("buckets")
+    langs = groups.groupBy("lang").agg(F.ceil(n / SOURCES_PER_BLOCK).cast("int").alias("blocks"), buckets, F.sum("total").alias("lang_total"), F.max("v").alias("v"))
     block = F.expr("cast(pmod(xxhash64(source), blocks) as int)")
     heads = (groups.drop("v").join(langs, "lang").withColumn("block", block)
-             .groupBy("lang", "block", "blocks", F.col("lang_total").alias("lang_n"), "v")
+             .groupBy("lang", "block", "blocks", "buckets", F.col("lang_total").alias("lang_n"), "v")
              .agg(F.collect_list(F.struct("source", F.col("total").alias("n"))).alias("held"))  # a block's sources
-             .withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))).withColumn("term", F.lit(None).cast("string")))
-    rows = (counts.join(langs.select("lang", "blocks"), "lang").withColumn("block", block)
-            .groupBy("lang", "term", "block", "blocks").agg(F.collect_list(F.struct("source", "n")).alias("held"), F.sum("n").alias("block_n")))
+             .withColumn("bucket", F.explode(F.expr("sequence(0, buckets - 1)"))).withColumn("term", F.lit(None).cast("string")).drop("buckets"))
+    rows = (counts.join(langs.select("lang", "blocks", "buckets"), "lang").withColumn("block", block)
+            .groupBy("lang", "term", "block", "blocks", "buckets").agg(F.collect_list(F.struct("source", "n")).alias("held"), F.sum("n").alias("block_n")))
     rows = rows.withColumn("lang_n", F.sum("block_n").over(Window.partitionBy("lang", "term"))).select(  # a row per block of sources
         "lang", "term", "block", "blocks", "held", "lang_n", F.lit(None).cast("long").alias("v"),
-        F.expr(f"cast(pmod(xxhash64(term, 7), {buckets}) as int)").alias("bucket"))
+        F.expr("cast(pmod(xxhash64(term, 7), buckets) as int)").alias("bucket"))
     dealt = heads.unionByName(rows).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "lang", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "bucket", "block", "term", "lang_n", "v",
         F.col("held.source").alias("sources"), F.col("held.n").alias("ns"))
