@@ -106,8 +106,8 @@ def _check(kind: str) -> str:
         "ip": "forall(split(x.value, '[.]'), p -> length(ltrim('0', p)) <= 3 and coalesce(try_cast(ltrim('0', p) as int), 0) <= 255)",
         "card": f"length({digits}) between 14 and 19 and {_luhn(digits)}",
         "phone": f"length({digits}) between 10 and 15",
-        "account": f"not ({_luhn(digits)}) and not ({digits} rlike '^(.)\\\\1*$')",
-        "secret": "length(x.value) >= 12 and x.value rlike '[0-9]' and x.value rlike '[A-Za-z]'",
+        "account": f"not ({_luhn(digits)}) and {digits} rlike '^(?:{'|'.join(ISSUERS)})'",
+        "secret": f"length(x.value) >= 12 and x.value rlike '[0-9]' and x.value rlike '[A-Za-z]' and not lower(x.value) rlike '{'|'.join(STAND_INS)}'",
     }[kind]
 
 
@@ -117,8 +117,8 @@ def _gazetteer(kind: str) -> str:
         "email": f"case when lower(x.value) rlike '(?:[.]|[\\\\])]\\\\x20?)(?:{'|'.join(TOP_LEVEL)})$' then 1 else -1 end",
         "ip": "case when x.value rlike '^(?:0|127|255)[.]' then -1 else 0 end",
         "card": f"case when {digits} rlike '^(?:{'|'.join(ISSUERS)})' then 1 else -1 end",
-        "account": f"case when {digits} rlike '^(?:{'|'.join(ISSUERS)})' then 1 else -1 end",
-        "secret": f"case when lower(x.value) rlike '{'|'.join(STAND_INS)}' then -1 when x.value rlike '{'|'.join(KEY_FORMS)}' then 1 else 0 end",
+        "account": f"case when {digits} rlike '(.)\\\\1{{4}}' then -1 else 0 end",
+        "secret": f"case when x.value rlike '{'|'.join(KEY_FORMS)}' then 1 when x.value rlike '(.)\\\\1{{3}}' then -1 else 0 end",
         "phone": f"case when x.value rlike '^[+](?:{'|'.join(CODES)})' then 1 when x.value rlike '^[(]?[2-9]' then 1 else -1 end",
     }[kind]
 

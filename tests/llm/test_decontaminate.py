@@ -58,3 +58,24 @@ def test_empty_tables(spark):
     assert d.contamination(spark.createDataFrame([], DOCS), items).collect() == []
     assert d.decontaminate(spark.createDataFrame([], DOCS), items).collect() == []
     assert all(r.n_hit == 0 and r.item_ids == [] for r in d.contamination(docs_frame(spark), none).collect())
+
+
+def test_one_automaton_at_a_time(spark, monkeypatch):
+    """Ten groups of items are built apart and read one after the other, from either end."""
+    monkeypatch.setattr(d, "AUTOMATON_WORDS", 5)
+    items, docs = made()
+    names = d.automata(spark.createDataFrame(items, "item_id bigint, text string"))
+    sizes, alive = [], []
+    for back in (False, True):
+        lens = []
+        for m in d._each(names, back):
+            lens.append(len(m.automaton.step))
+            alive.append(len(d._LOADED))
+        sizes.append(lens)
+    assert len(sizes[0]) >= 6 and sizes[1] == sizes[0][::-1] and set(alive) == {1}
+    monkeypatch.setattr(d, "HELD_BYTES", 500)  # the texts are held in many parts
+    got = found(docs_frame(spark, docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert got == sorted(brute.contamination([(r[0], r[1]) for r in docs], items))
+
+
+

