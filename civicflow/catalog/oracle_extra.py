@@ -10,24 +10,15 @@ CUT = "timestamp '1998-01-01 00:00:00'"
 RUN1, RUN2, PROBE = "timestamp '2024-03-01 00:00:00'", "timestamp '2024-03-02 00:00:00'", "timestamp '2024-03-01 12:00:00'"
 
 
-def _snapshot(key: str, cols: list[str], src1: str, src2: str, run1: str | None = None,
-              run2: str | None = None) -> str:
-    """Two check-strategy snapshot runs, in plain SQL."""
-    RUN1_, RUN2_ = run1 or RUN1, run2 or RUN2
-    c = ", ".join(cols)
-    changed = " or ".join(f"o.{x} is distinct from s.{x}" for x in cols)
-    scd = lambda k, ts: f"md5(coalesce(cast({k} as varchar), '') || '|' || coalesce(cast({ts} as varchar), ''))"
-    return f"""with s1 as ({src1}), s2 as ({src2}),
-h1 as (select {key}, {c}, {scd(key, RUN1_)} as scd_id, {RUN1_} as updated_at, {RUN1_} as valid_from,
-         cast(null as timestamp) as valid_to from s1),
-j as (select o.{key} as okey, s.{key} as skey, ({changed}) as chg from h1 o full join s2 s on o.{key} = s.{key}),
-old as (select h1.{key}, {", ".join("h1." + x for x in cols)}, h1.scd_id, h1.updated_at, h1.valid_from,
-          case when j.chg and j.skey is not null then {RUN2_} end as valid_to
-        from h1 join j on h1.{key} = j.okey),
-fresh as (select s2.{key}, {", ".join("s2." + x for x in cols)}, {scd("s2." + key, RUN2_)} as scd_id,
-            {RUN2_} as updated_at, {RUN2_} as valid_from, cast(null as timestamp) as valid_to
-          from s2 join j on s2.{key} = j.skey where j.okey is null or j.chg)
-select * from old union all select * from fresh"""
+def _snapshot(key: str, cols: list[str], src1: str, src2: str, run1: str = RUN1, run2: str = RUN2) -> str:
+    """Versions of two snapshot runs by their change points: one starts where a key's tracked columns differ from its row
+    before, and ends where its next one starts."""
+    tracked = f"row({', '.join(cols)})"
+    return f"""select {key}, {", ".join(cols)}, md5(coalesce(cast({key} as varchar), '') || '|' || cast(run_at as varchar)) as scd_id, run_at as updated_at,
+  run_at as valid_from, lead(run_at) over (partition by {key} order by run_at) as valid_to
+from (select *, {tracked} as this, lag({tracked}) over (partition by {key} order by run_at) as before, row_number() over (partition by {key} order by run_at) = 1 as first
+      from (select {run1} as run_at, {key}, {", ".join(cols)} from ({src1}) a union all select {run2}, {key}, {", ".join(cols)} from ({src2}) b) runs) seen
+where first or this is distinct from before"""
 
 
 def _history_input(sr: str) -> str:
@@ -177,9 +168,10 @@ from {full.sr}"""
         "s11_landing_inventory": f"""select substr(filename, 8, 10) as landing_date, count(distinct filename) as files
 from {full.sr} group by 1""",
         "s1_landing_rejects": """select if(page % 3000 = 0, 'deep', 'flat') as folder, count(*) as rejected
-from (select distinct event_id - event_id % 1000 as page from events where event_id % 10 <> 9) pages where page % 4000 = 0 group by 1""",
+from (select distinct drop_no, event_id - event_id % 1000 as page from events, (values (1), (2)) as drops(drop_no)
+      where if(drop_no = 1, event_id % 10 <> 9, event_id % 10 in (0, 9))) pages where page % 4000 = 0 group by 1""",
         "t1_stream_two_checkpoints": f"""select unique_key as complaint_id, 2 * count(*) as loads, max(status) as status
-from {drop1.sr} group by unique_key""",
+from {full.sr} group by unique_key""",
         "t2_stream_fact": full.fact,
         "t4_stream_history": stored_hist,
         "p12_gated_run": repaired.daily_summary,
@@ -187,7 +179,7 @@ from {drop1.sr} group by unique_key""",
         "s10_custom_layers": repaired.dim_t,
         "p12_full_run": full.daily_summary,
         "p12_full_run_history": stored_hist,
-        "p12_stopped_run": f"select *, 3 as stops from ({corrected.fact}) f",
+        "p12_stopped_run": f"select *, 2 as stops from ({corrected.fact}) f",
         "p12_stopped_run_mart": corrected.daily_summary,
         "p12_stopped_run_history": f"""select complaint_id, {", ".join(HIST_COLS)}, md5(complaint_id || '|' || cast({first_seen} as varchar)) as scd_id,
   {first_seen} as updated_at, {first_seen} as valid_from, cast(null as timestamp) as valid_to from ({_history_input(corrected.sr)}) x""",

@@ -37,7 +37,6 @@ SURROGATE_SEPARATOR = "-"
 SOURCE_TAG = "S3"
 DEFAULT_WATERMARK = "1900-01-01 00:00:00"
 PAGE_SIZE = 1000
-MAX_RECORDS = 10000  # of one extraction run
 
 # History (type-2) tracked columns, in order.
 HISTORY_CHECK_COLUMNS = ("status", "closed_at", "resolution_description",

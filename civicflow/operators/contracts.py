@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DecimalType, StringType, StructField, StructType,
                                TimestampNTZType)
 
+# The products' contracts, which consumers rely on.
 # name -> ([(column, type)], not-null columns).  Column order is the contract order.
 _SPECS = {
     "dim_borough": (

@@ -54,6 +54,10 @@ class Warehouse:
     def silver_latest_table(self) -> T.PartitionedTable:
         return T.PartitionedTable(self.spark, self.path("silver", "requests_latest"), SILVER_PART, mark_col="extracted_at")
 
+    def observed_table(self) -> T.PartitionedTable:
+        """The natural keys that clean silver holds, with their numbers, by silver's partitions: (kind, value, n)."""
+        return T.PartitionedTable(self.spark, self.path("silver", "observed_values"), SILVER_PART)
+
     def mart_table(self) -> T.PartitionedTable:
         return T.PartitionedTable(self.spark, self.path("gold", "daily_summary"), MART_PART)
 
@@ -98,6 +102,34 @@ def build_silver(wh: Warehouse, new_bronze: DataFrame, full_refresh: bool = Fals
     return clean_silver(wh.silver_latest_table().read())
 
 
+NATURAL_KEYS = ("borough", "complaint_type")
+
+
+def _observed(latest: DataFrame) -> DataFrame:
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in NATURAL_KEYS]))
+    return (latest.filter(F.col("created_at").isNotNull()).select(SILVER_PART, each.alias("k")).where("k.value is not null")
+            .groupBy("k.kind", "k.value", SILVER_PART).agg(F.count("*").alias("n")).select("kind", "value", "n", SILVER_PART))
+
+
+def refresh_observed(wh: Warehouse, change: T.Change) -> dict[str, DataFrame]:
+    """Keep the observed values in step with a change of silver: counts of the partitions it replaced are made anew, so a
+    value whose last request moved away is gone, and a repeated run changes nothing.  Returns a DataFrame of each key's values."""
+    table = wh.observed_table()
+    if change.whole or not table.exists():
+        table.overwrite(_observed(wh.silver_latest_table().read()))
+    elif change.rows is not None:
+        table.replace(_observed(change.changed()), change.values)
+    held = table.read()
+    if held is None:
+        held = wh.spark.createDataFrame([], "kind string, value string")
+    return {c: held.where(F.col("kind") == c).select(F.col("value").alias(c)) for c in NATURAL_KEYS}
+
+
+def _dates(spelled: list[str]) -> list[datetime.date | None]:
+    """Partition values as the ledger spells them."""
+    return [None if d == "None" else datetime.date.fromisoformat(d) for d in spelled]
+
+
 def staged_dim(wh: Warehouse, name: str, dim: DataFrame) -> tuple[DataFrame, bool]:
     """A dimension written aside, and whether its content differs from the published one (load stamps aside)."""
     new, old = T.staged(dim, name), wh.read("gold", name)
@@ -235,17 +267,21 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     gate(unchecked, C.source_checks(), "bronze")
 
     change = silver_change(wh, since_mark(bronze, silver_mark), full_refresh)
-    recent = clean_silver(change.after())
-    if checked_mark is not None:
-        recent = recent.filter(F.col("extracted_at") >= F.lit(checked_mark).cast("timestamp_ntz"))
+    recent = change.after()
+    if checked_mark is not None:  # only partitions that silver changed since then can hold such rows
+        since_run = [*_dates(ledger.since("requests_latest", entry("run").seq)), *change.values]
+        recent = recent.where(wh.silver_latest_table().within(since_run)).filter(F.col("extracted_at") >= F.lit(checked_mark).cast("timestamp_ntz"))
+    recent = clean_silver(recent)
     gate(recent, C.staging_checks(), "requests_clean")
     gate(enrich(recent, as_of), C.enriched_checks(), "requests_enriched")
-    change.publish()
-    ledger.record(run, "requests_latest", mark=upto, run_at=as_of)
-    silver = clean_silver(wh.silver_latest_table().read())
-
-    dims = {"dim_borough": (dim_borough(silver, load_seed(spark, "borough_lookup"), as_of), C.dim_borough_checks()),
-            "dim_request_type": (dim_request_type(silver, load_seed(spark, "complaint_type_lookup"), as_of), C.dim_type_checks())}
+    replaced = change.publish()
+    observed = refresh_observed(wh, change)
+    ledger.record(run, "requests_latest", mark=upto, run_at=as_of, detail=[str(v) for v in {*replaced, *change.values}])
+    latest = wh.silver_latest_table()
+    silver = clean_silver(latest.read())
+
+    dims = {"dim_borough": (dim_borough(observed["borough"], load_seed(spark, "borough_lookup"), as_of), C.dim_borough_checks()),
+            "dim_request_type": (dim_request_type(observed["complaint_type"], load_seed(spark, "complaint_type_lookup"), as_of), C.dim_type_checks())}
     for name, (dim, checks) in dims.items():
         new, changed = staged_dim(wh, name, dim)
         gate(new, checks, name)
@@ -253,13 +289,18 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     dim_b, dim_t = dims["dim_borough"], dims["dim_request_type"]
 
     facts, fact_mark = wh.fact_table(), entry("fact_requests").mark
-    enriched, target = enrich(silver, as_of), None if full_refresh else facts.read()
-    pending = enriched if fact_mark is None else enriched.filter(F.col("extracted_at") >= F.lit(fact_mark).cast("timestamp_ntz"))
+    target = None if full_refresh else facts.read()
+    pending = silver
+    if fact_mark is not None:
+        since_fact = _dates(ledger.since("requests_latest", entry("fact_requests").seq))
+        pending = clean_silver(latest.read().where(latest.within(since_fact))).filter(F.col("extracted_at") >= F.lit(fact_mark).cast("timestamp_ntz"))
+    pending = enrich(pending, as_of)
     inc = without_merged(fact_increment(pending, dim_b, dim_t, as_of), target, fact_mark)
     change = facts.prepare_overwrite(inc) if target is None else facts.prepare_merge(inc, ["complaint_id"])
     rows = change.changed()
     months = change.values if not change.whole else [r[0] for r in rows.select("created_month").distinct().collect()]
-    gate(rows, C.fact_checks(dim_b, dim_t, enriched.filter(F.col("created_month").isin(months)) if months else enriched.limit(0)), "fact_requests")
+    same_months = enrich(clean_silver(latest.read().where(latest.within(months))), as_of)  # silver's partitions are the fact's months
+    gate(rows, C.fact_checks(dim_b, dim_t, same_months), "fact_requests")
     change.publish()
     ledger.record(run, "fact_requests", mark=upto, run_at=as_of, detail=[str(m) for m in months])
     fact = facts.read()
@@ -267,7 +308,7 @@ def run_all(wh: Warehouse, as_of: str, full_refresh: bool = False, history_at: s
     # The mart follows every month that the fact changed since the mart was published last, and the dimensions it was made with.
     versions = [f"{name}/{os.path.basename(T.current_version(spark, wh.path('gold', name)))}" for name in dims]
     mart = entry("daily_summary")
-    touched = [datetime.date.fromisoformat(m) for m in ledger.since("fact_requests", mart.seq)]
+    touched = _dates(ledger.since("fact_requests", mart.seq))
     change = mart_change(wh, fact, dim_b, dim_t, as_of, touched, full_refresh or sorted(mart.detail) != sorted(versions))
     gate(change.after().drop(MART_PART), C.mart_checks(), "daily_summary")
     change.publish()

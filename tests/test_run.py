@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from civicflow.catalog.queries import sr_bronze
 from civicflow.catalog.queries_io import DAYS, land_arrays
 from civicflow.operators.contracts import CONTRACTS
+from civicflow.operators.dedup import latest_per_key
 from civicflow.operators.quality import CheckFailed
 from civicflow.plans.build import GoldBuild
 from civicflow.plans.history import history_input, newer_than_seen, request_history, snapshot_requests
 from civicflow.plans.marts import daily_summary
-from civicflow.plans.run import Warehouse, build_silver, refresh_dim, refresh_mart, run_all, since_mark
+from civicflow.plans.run import Warehouse, build_silver, refresh_dim, refresh_mart, refresh_observed, run_all, since_mark
 from civicflow.plans.staging import base, clean
 from civicflow.session import scratch_path
 from civicflow.sources.service_requests import AS_OF
@@ -113,6 +114,29 @@ def test_mart_refresh_rewrites_only_touched_months(spark):
     assert january() != before and {r.category for r in mart2.collect()} == {"Housing"}
 
 
+def test_observed_values_follow_silver(spark):
+    """A value whose last request moves to another one, or loses its date, is gone, as in a full build; a repeat changes nothing."""
+    wh = Warehouse(spark, scratch_path(spark, "wh_observed"))
+    table = wh.silver_latest_table()
+
+    def merge(rows):
+        df = spark.createDataFrame(rows, "complaint_id string, created_at timestamp, borough string, complaint_type string, v int")
+        df = df.withColumn("_created_month", F.trunc(F.to_date("created_at"), "month"))
+        pick = lambda d: latest_per_key(d, ["complaint_id"], [F.col("v").desc()])
+        change = table.prepare_merge_latest(df, ["complaint_id"], pick)
+        change.publish()
+        held = refresh_observed(wh, change)
+        assert change.after().count() == table.read().count()
+        return {c: sorted({r[0] for r in df.distinct().collect()}) for c, df in held.items()}
+
+    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    assert merge([("1", jan, "A", "x", 1), ("2", jan, "B", "x", 1), ("3", feb, "A", None, 1)]) == {"borough": ["A", "B"], "complaint_type": ["x"]}
+    second = [("2", feb, "C", "y", 2)]  # B's last request moves month and borough
+    assert merge(second) == merge(second) == {"borough": ["A", "C"], "complaint_type": ["x", "y"]}
+    assert merge([("1", None, "A", "x", 2), ("4", jan, None, None, 1)]) == {"borough": ["A", "C"], "complaint_type": ["y"]}
+    assert merge([]) == {"borough": ["A", "C"], "complaint_type": ["y"]}
+
+
 def test_dimensions_are_written_when_their_content_changes(spark):
     wh = Warehouse(spark, scratch_path(spark, "wh_dim"))
     mk = lambda v, t: spark.createDataFrame([("k", v, t)], "sk string, v string, dim_loaded_at string")
