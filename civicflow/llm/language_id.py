@@ -231,7 +231,7 @@ def with_language(docs: DataFrame, model: ByteGRU | None, keep: Callable | None
     ``score`` is the pooled probability of ``lang_pred``, ``share`` the part of the positions
     labelled with it.  NULL text and text without a letter (and every text where there is no
     model) are ``und`` with score 0.  Equal texts get equal results; NULL and repeated doc_ids
-    are carried through; other columns are ignored.
+    are carried through; other columns are ignored; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -274,7 +274,8 @@ def held_out(doc_id: Column) -> Column:
 
 def keep_known(docs: DataFrame, model: ByteGRU | None, least_score: float = 0.3) -> DataFrame:
     """``docs`` without the documents that the model rejects: ``und``, or a pooled probability below
-    ``least_score``.  Same columns, rows untouched; without a model every document with a letter stays."""
+    ``least_score``.  Same columns, rows untouched; without a model every document with a letter stays.
+    NULL and empty texts go; equal rows stay or go together; ids aren't looked at; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     letters = "letters"
     while letters in docs.columns:

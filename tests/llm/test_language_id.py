@@ -106,3 +106,11 @@ def test_the_sample_does_not_depend_on_the_estimate(spark, monkeypatch):
     again = lid.sample_windows(df, 50)
     assert whole[0] == again[0] and all((a == b).all() for a, b in zip(whole[1:], again[1:]))
     assert len(whole[3]) == 2 * 50 * lid.WINDOWS_PER_DOC
+
+
+def test_repeated_and_null_ids(spark):
+    df = spark.createDataFrame([(1, "ab ab abba"), (1, "ab ab abba"), (None, "ab ab abba"), (None, None), (2, "")], "doc_id bigint, text string")
+    got = sorted((str(r.doc_id), r.lang_pred, r.score) for r in lid.with_language(df, model()).collect())
+    assert [g[:2] for g in got] == [("1", "ab"), ("1", "ab"), ("2", lid.UNKNOWN), ("None", "ab"), ("None", lid.UNKNOWN)]
+    assert len({g[2] for g in got if g[1] == "ab"}) == 1
+    assert lid.keep_known(df, model()).count() == 3
