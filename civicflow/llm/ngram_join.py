@@ -45,7 +45,7 @@ from civicflow.llm.components import connected_components
 
 N_WORDS = 5
 THRESHOLD = 75          # per cent
-BUCKET_GRAMS = 1_500_000  # n-grams that one bucket gathers
+BUCKET_GRAMS = 1_000_000  # n-grams that one bucket gathers
 FLUSH_GRAMS = 1_000_000   # n-grams that a mapper holds before it sends them on
 SLOTS = 1024            # hash slots of the suffix filter
 HOT_SHARE = 256         # one set in so many holds a hot n-gram
