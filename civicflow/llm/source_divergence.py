@@ -33,7 +33,7 @@ TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 MIN_DOCS = 10
 TOP_TERMS = 10
 UNIT = 1_000_000_000
-FLUSH_WORDS = 2_000_000       # words that a mapper counts before it sends them on
+FLUSH_WORDS = 800_000         # words that a mapper counts before it sends them on
 BUCKET_BYTES = 24 << 20       # text whose chunks one bucket gathers
 SOURCES_PER_BLOCK = 128       # sources compared with one another in one group
 TERMS_PER_TILE = 2048
