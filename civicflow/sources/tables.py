@@ -126,7 +126,8 @@ class Change:
         gone = self.values
         if self.whole and (old := self.table.read()) is not None:
             gone = [r[0] for r in old.select(self.table.col).distinct().collect()]
-        return self.table._replace(self.rows, gone)
+        written = self.table._replace(self.rows, gone)
+        return written if self.whole else self.values  # a partition that the change emptied counts as replaced
 
 
 class PartitionedTable:
