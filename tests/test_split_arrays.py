@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,3 +66,17 @@ def test_landing_cuts_large_files_only(spark, tmpdir_path):
     rows = sorted(map(tuple, whole.collect()))
     assert rows == sorted(map(tuple, cut.collect())) and len(rows) == 54
     assert {r[0] for r in rows} == {"day/large.json", "small.json", "one.json"}
+
+
+def test_a_files_text_does_not_meet_in_one_task(small_splits, tmpdir_path):
+    """Without a small enough side by size, too: one file's pieces stay spread over its splits."""
+    recs = _records(2000)
+    path = _write(tmpdir_path, "a.json", "[" + ",".join(json.dumps(r) for r in recs) + "]")
+    small_splits.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = split_array_records(small_splits, [path])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 2000
+    finally:
+        small_splits.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [ln for ln in plan.splitlines() if re.search(r"(SortMerge|ShuffledHash)Join \[file#\d+\], \[file#\d+\]", ln)], plan
