@@ -117,6 +117,35 @@ def test_a_backlog_is_split_into_batches(spark, tmpdir_path):
     assert spark.read.option("recursiveFileLookup", "true").parquet(bronze).count() == 5
 
 
+def test_a_large_backlog_comes_in_a_bounded_number_of_batches(spark, tmpdir_path):
+    land, bronze, ckpt = (os.path.join(tmpdir_path, x) for x in ("land", "bronze", "ckpt"))
+    for i in range(20):
+        _land(land, f"d/{i % 3}", f"{i}.json", [{"unique_key": str(i)}])
+    assert ingest_available(spark, land, bronze, ckpt, "2024-02-01 05:00:00", max_files_per_trigger=1, max_batches=4) == 4
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(bronze)
+    assert sorted(int(r[0]) for r in base(rows).select("complaint_id").collect()) == list(range(20))
+    _land(land, "d", "20.json", [{"unique_key": "20"}])
+    assert ingest_available(spark, land, bronze, ckpt, "2024-02-01 05:00:00", max_files_per_trigger=1, max_batches=4) == 1
+
+
+def test_streamed_queries_batches_do_not_grow_with_the_backlog(spark, tmpdir_path, monkeypatch):
+    from civicflow.catalog import queries_io as Q
+
+    seen = []
+
+    def landed(spark, sf_dir, root, drops=(1, 2)):
+        for i in range(60):
+            _land(root.removeprefix("file:"), "d", f"{i}.json", [{"unique_key": str(i), "status": "Open"}])
+
+    def counted(*a, **k):
+        seen.append(ingest_available(*a, **k))
+
+    monkeypatch.setattr(Q, "land_arrays", landed)
+    monkeypatch.setattr(Q, "ingest_available", counted)
+    assert Q.q_stream_two_checkpoints(spark, tmpdir_path).where("loads = 2").count() == 60
+    assert all(1 < n <= Q.MAX_BATCHES for n in seen) and len(seen) == 2
+
+
 def test_json_lines_writer_round_trip_and_inventory(spark, tmpdir_path):
     recs = spark.createDataFrame([(str(i), "2024-02-01" if i % 2 else "2024-02-02", None if i == 3 else "v")
                                   for i in range(10)], "unique_key string, ingest_date string, status string")
