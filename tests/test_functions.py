@@ -63,3 +63,11 @@ def test_surrogate_key_matches_md5_with_null_token(spark):
     assert got[1] == hashlib.md5(b"_dbt_utils_surrogate_key_null_").hexdigest()
     two = df.select(surrogate_key("a", "b")).collect()[1][0]
     assert two == hashlib.md5(b"_dbt_utils_surrogate_key_null_-2").hexdigest()
+
+
+def test_a_query_session_limits_generated_methods_to_what_the_jvm_compiles(spark):
+    from civicflow.catalog.queries import _prepare
+
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    _prepare(spark)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
