@@ -71,3 +71,21 @@ def test_a_query_session_limits_generated_methods_to_what_the_jvm_compiles(spark
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     _prepare(spark)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_the_fixture_derives_a_record_in_compiled_expressions_and_its_time_once(spark):
+    import datetime
+
+    from civicflow.sources.service_requests import service_request_records
+
+    events = spark.createDataFrame([(89, 7, "view", datetime.datetime(2024, 1, 31, 10, 20, 30, 500000), 1.25)],
+                                   "event_id long, user_id long, event_type string, ts timestamp_ntz, value double")
+    records = service_request_records(events, corrections=True)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    assert plan.count("date_trunc(") == 1
+    got = [(r.drop_no, r.created_date, r.closed_date, r.resolution_action_updated_date, r.latitude, r.longitude) for r in records.collect()]
+    times = ("2023-11-30T10:20:30", "2023-11-30T11:35:30")
+    assert [g[0] for g in got] == [2, 3]  # 89 % 10 = 9: not in drop 1
+    assert got[0][1:] == ("2023-11-30T10:20:30", "2023-11-30T05:20:30", "2023-12-02T10:20:30", "40.089000", "-73.911000")
+    assert got[1][1:3] == times
