@@ -119,3 +119,23 @@ def test_versions(spark, tmpdir_path):
     assert current_version(spark, t).endswith("v=000004")
     assert drop_old_versions(spark, t, keep=2) == ["v=000001", "v=000002", "v=000003"]
     assert read_table(spark, t).count() == 7
+
+
+def test_the_history_stages_its_open_versions_once(spark, tmpdir_path, monkeypatch):
+    from civicflow.sources import tables as T
+
+    names, real = [], T.staged
+    monkeypatch.setattr(T, "staged", lambda df, name: names.append(name) or real(df, name))
+    store = HistoryStore(spark, os.path.join(tmpdir_path, "h"), key="k", buckets=4)
+    snapshot = lambda at: lambda cur, src: snapshot_check(cur, src, "k", ["v"], at)
+    for at, rows in (("2024-01-01 00:00:00", "1 a,2 b"), ("2024-01-02 00:00:00", "1 A,3 c")):
+        src = spark.createDataFrame([tuple(r.split()) for r in rows.split(",")], "k string, v string")
+        store.publish(src, at, snapshot(at))
+    assert names == ["history-source", "history-result"] * 2
+    versions = lambda: sorted((r.k, r.v, r.valid_to is None) for r in store.read().collect())
+    want = [("1", "A", True), ("1", "a", False), ("2", "b", True), ("3", "c", True)]
+    assert versions() == want
+    before = store.read(hidden=True)
+    names.clear()
+    store.rebuild(before)
+    assert names == ["history-rebuilt"] and versions() == want
