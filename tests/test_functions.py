@@ -89,3 +89,14 @@ def test_the_fixture_derives_a_record_in_compiled_expressions_and_its_time_once(
     assert [g[0] for g in got] == [2, 3]  # 89 % 10 = 9: not in drop 1
     assert got[0][1:] == ("2023-11-30T10:20:30", "2023-11-30T05:20:30", "2023-12-02T10:20:30", "40.089000", "-73.911000")
     assert got[1][1:3] == times
+
+
+def test_fixture_work_is_spread_over_tasks(spark, tmpdir_path):
+    from civicflow.sources.service_requests import service_request_records
+    path = tmpdir_path + "/events"
+    far = F.pmod(F.xxhash64("id"), F.lit(10**12))
+    (spark.range(100_000).select(far.alias("event_id"), (far + 1).alias("user_id"), F.lit("view").alias("event_type"), F.rand(1).alias("value"),
+                                 F.lit("2024-01-05 10:00:00").cast("timestamp").alias("ts")).coalesce(1).write.parquet(path))
+    one = spark.read.parquet(path)  # one file of one row group: only one task can read rows of it
+    sizes = service_request_records(one).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.hash("*"))).collect()
+    assert len(sizes) > 1 and max(r.n for r in sizes) < 0.8 * sum(r.n for r in sizes)
