@@ -91,6 +91,19 @@ def test_the_fixture_derives_a_record_in_compiled_expressions_and_its_time_once(
     assert got[1][1:3] == times
 
 
+def test_fixture_variants_equal_the_parsed_payload(spark):
+    from civicflow.sources.service_requests import payload_json, payload_variant, service_request_records
+    schema = "event_id bigint, user_id bigint, event_type string, value double, ts timestamp"
+    rows = [(e, e * 7 % 50 if e % 17 else None, [None, "view", "click", "error", 'a"b\\é'][e % 5], e / 7 if e % 19 else None, None)
+            for e in range(200)] + [(None, 1, "view", 2.0, None), (5, 5, "view", 2.0, None)]
+    events = spark.createDataFrame(rows, schema).withColumn("ts", F.when(F.coalesce(F.col("event_id"), F.lit(0)) % 23 != 1, F.lit("2024-01-05 10:00:00").cast("timestamp")))
+    records = service_request_records(events)
+    both = records.select(F.to_json(F.parse_json(payload_json())).alias("old"), F.to_json(payload_variant()).alias("new"))
+    assert both.where("old is null or not (old <=> new)").isEmpty()
+    plan = records.select(payload_variant().alias("v"))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "to_variant_object" in plan or "tovariantobject" in plan
+
+
 def test_fixture_work_is_spread_over_tasks(spark, tmpdir_path):
     from civicflow.sources.service_requests import service_request_records
     path = tmpdir_path + "/events"
